@@ -27,9 +27,25 @@ from ..functions.text import split_lines
 from ..rules import SECTION_FOOTER
 
 
-def _first_index(lines: Column, pred) -> Column:
-    """Index of the first array element satisfying ``pred(line, i)``; NULL if none."""
-    return F.array_min(F.transform(lines, lambda x, i: F.when(pred(x, i), i)))
+def section_bounds(lines: Column, header: Column, footer: Column) -> Column:
+    """AGG-5 on one row: ``struct(h, f)``, the 0-based index of the first line
+    containing ``header`` and of the first later line containing ``footer``
+    (NULL when missing).
+
+    One left-to-right fold over the lines (``aggregate``), so the cost is
+    linear in the report length.  The footer test only looks at lines after
+    the header line, exactly like a reader that continues from there.
+    """
+    init = F.struct(F.lit(0).alias("i"), F.lit(None).cast("int").alias("h"),
+                    F.lit(None).cast("int").alias("f"))
+
+    def step(acc: Column, x: Column) -> Column:
+        i, h, f = acc["i"], acc["h"], acc["f"]
+        new_h = F.when(h.isNull() & F.contains(x, header), i).otherwise(h)
+        new_f = F.when(h.isNotNull() & f.isNull() & F.contains(x, footer), i).otherwise(f)
+        return F.struct((i + 1).alias("i"), new_h.alias("h"), new_f.alias("f"))
+
+    return F.aggregate(lines, init, step)
 
 
 def sections_in_text(reports: DataFrame, headers: DataFrame | Sequence[str],
@@ -41,24 +57,27 @@ def sections_in_text(reports: DataFrame, headers: DataFrame | Sequence[str],
 
     ``reports`` has one row per report with ``text_col``; ``keys`` identify a
     report.  ``headers`` is a list of header texts or a small DataFrame with
-    ``header_col``/``position_col`` (plus ``header_keys`` shared with
-    ``reports``, e.g. ``source_id``, when each report kind has its own
-    headers).  Output: ``keys + [position, header_col, line_no, line]`` with
-    ``line_no`` the 0-based line index in the report.
+    ``header_col``/``position_col`` plus ``header_keys`` shared with
+    ``reports`` (e.g. ``source_id``: each report kind has its own headers).
+    Output: ``keys + [position, header_col, line_no, line]`` with ``line_no``
+    the 0-based line index in the report.
 
     With ``keep_status=True`` the output is one row per (report, header) with
     ``header_line``/``footer_line`` (NULL when missing) and the section's line
-    array, which is what a status report or the first-row pick needs.
+    array (NULL when the section is incomplete).
+
+    No filter is placed on the derived bounds: a pushed-down filter would
+    re-evaluate the fold, so missing sections simply explode to no rows.
     """
     lines = split_lines(text_col)
-    base = reports.select(*keys, *[k for k in header_keys if k not in keys],
-                          lines.alias("_lines"))
+    out_keys = list(keys) + [k for k in header_keys if k not in keys]
+    base = reports.select(*out_keys, lines.alias("_lines"))
     if isinstance(headers, DataFrame):
         # Literal, size-checked rule table: broadcast hash join on the shared
         # keys - map side only.
-        rules = headers.select(*header_keys, position_col, header_col)
         if not header_keys:
             raise ValueError("a header table needs header_keys; pass a list of texts instead")
+        rules = headers.select(*header_keys, position_col, header_col)
         paired = base.join(F.broadcast(rules), list(header_keys), "inner")
     else:
         # Same headers for every report: a literal array, exploded per row.
@@ -66,22 +85,15 @@ def sections_in_text(reports: DataFrame, headers: DataFrame | Sequence[str],
                         for i, h in enumerate(headers)])
         paired = base.select("*", F.inline(arr))
 
-    hdr = F.col(header_col)
-    h = _first_index(F.col("_lines"), lambda x, i: F.contains(x, hdr))
-    with_h = paired.withColumn("header_line", h)
-    f = _first_index(F.col("_lines"),
-                     lambda x, i: (i > F.col("header_line")) & F.contains(x, F.lit(footer)))
-    bounded = with_h.withColumn("footer_line", f)
-    body = F.when(F.col("footer_line").isNotNull(),
-                  F.slice("_lines", F.col("header_line") + 2,
-                          F.col("footer_line") - F.col("header_line") - 1))
-    out_keys = list(keys) + [k for k in header_keys if k not in keys]
+    bounded = paired.withColumn(
+        "_b", section_bounds(F.col("_lines"), F.col(header_col), F.lit(footer)))
+    h, f = F.col("_b.h"), F.col("_b.f")
+    body = F.when(f.isNotNull(), F.slice("_lines", h + 2, f - h - 1))
     if keep_status:
-        return bounded.select(*out_keys, position_col, header_col, "header_line",
-                              "footer_line", body.alias("section_lines"))
-    return (bounded.where(F.col("footer_line").isNotNull())
-            .select(*out_keys, position_col, header_col, "header_line",
-                    F.posexplode(body).alias("_pos", "line"))
+        return bounded.select(*out_keys, position_col, header_col, h.alias("header_line"),
+                              f.alias("footer_line"), body.alias("section_lines"))
+    return (bounded.select(*out_keys, position_col, header_col, h.alias("header_line"),
+                           F.posexplode(body).alias("_pos", "line"))
             .select(*out_keys, position_col, header_col,
                     (F.col("header_line") + 1 + F.col("_pos")).cast("bigint").alias("line_no"),
                     "line"))

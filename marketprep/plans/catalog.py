@@ -16,7 +16,7 @@ from ..functions import numeric as num
 from ..functions import text as txt
 from ..operators import joins, reshape, sections
 from ..rules import PivotRule
-from ..session import read_table, rule_frame
+from ..session import read_table, rule_frame, spread
 from ..sources import envelope, facets
 from .utilization import utilization
 
@@ -68,7 +68,7 @@ def rule_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------- SRC-1/JOIN-2/AGG-5/FLT-*
 def section_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Section lines of every document, whole-text form (narrow, no shuffle)."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     out = sections.sections_in_text(docs, list(SECTION_PHRASES), keys=["doc_id"],
                                     footer=SECTION_FOOTER_WORD, header_col="phrase")
     return out.select("doc_id", "phrase", "line_no", "line")

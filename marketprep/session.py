@@ -20,6 +20,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -72,6 +73,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition, but only when the input has fewer splits than
+    the session has cores.
+
+    For CPU-heavy narrow work (text folds, regexes, JSON) over a source with
+    few large files or row groups.  On a cluster reading thousands of files
+    the split count already exceeds the cores and this is a no-op, so no
+    shuffle is added there.  Only the plan is inspected, no job runs.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def rule_frame(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
     """Literal rule table, broadcast to every task.
 
