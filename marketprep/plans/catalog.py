@@ -198,41 +198,35 @@ def _nation_region(spark: SparkSession, sf_dir: str, regions=None) -> DataFrame:
 
 def _monthly_values(spark: SparkSession, sf_dir: str, regions=None, grain=("nationkey", "regionkey")):
     """Ordered value (by order month) and shipped value (by ship month) per
-    (month, nation, region), exact decimal sums.
-
-    Plan: lineitem is shuffled once (join to orders on the order key); right
-    after the join the rows are pre-aggregated to (customer, month) with a
-    partial aggregate, so only that small table meets ``customer``.  The
-    orders side is pre-aggregated the same way.  A customer holding a third
-    of all orders collapses map-side.
+    (month, <grain>), exact decimal sums.
+
+    Plan: fact rows are joined out to their nation/region and aggregated
+    straight into the (month, grain) groups, so the partial aggregate leaves
+    one row per group per task and the final shuffle is tiny.  The only
+    shuffles that grow with the data are the joins on the order key and the
+    customer key; Spark broadcasts a side only when its measured size is
+    under the threshold, and AQE splits a hot customer's partition (skew
+    join) instead of sending a third of all rows to one task.  Keeping the
+    region filter on the small side lets it prune before the fact join.
     """
-    orders = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", F.trunc(_date("o_orderdate"), "month").alias("o_month"),
-        num.exact_money("o_totalprice").alias("o_amount"))
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", F.trunc(_date("l_shipdate"), "month").alias("l_month"),
-        (num.exact_money("l_extendedprice") * (1 - num.exact_money("l_discount", 4, 2)))
-        .alias("l_amount"))
+    orders = read_table(spark, sf_dir, "orders")
+    li = read_table(spark, sf_dir, "lineitem")
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     geo = _nation_region(spark, sf_dir, regions)
-
-    shipped_by_cust = (li.join(orders.select("o_orderkey", "o_custkey"),
-                               li.l_orderkey == orders.o_orderkey, "inner")
-                       .groupBy("o_custkey", F.col("l_month").alias("month"))
-                       .agg(F.sum("l_amount").alias("amount")))
-    ordered_by_cust = (orders.groupBy("o_custkey", F.col("o_month").alias("month"))
-                       .agg(F.sum("o_amount").alias("amount")))
-
-    def to_geo(df: DataFrame) -> DataFrame:
-        g = (df.join(cust, df.o_custkey == cust.c_custkey, "inner")
-             .join(geo, F.col("c_nationkey") == geo.n_nationkey, "inner"))
-        keys = {"nationkey": F.col("n_nationkey").alias("nationkey"),
-                "regionkey": F.col("n_regionkey").alias("regionkey"),
-                "region": F.col("r_name").alias("region")}
-        return (g.groupBy("month", *[keys[k] for k in grain])
-                .agg(F.sum("amount").cast("double").alias("value")))
-
-    return to_geo(ordered_by_cust), to_geo(shipped_by_cust)
+    cust_geo = cust.join(geo, cust.c_nationkey == geo.n_nationkey, "inner").select(
+        "c_custkey", F.col("n_nationkey").alias("nationkey"),
+        F.col("n_regionkey").alias("regionkey"), F.col("r_name").alias("region"))
+    keys = ["month", *grain]
+
+    ordered = (orders.join(cust_geo, orders.o_custkey == cust_geo.c_custkey, "inner")
+               .groupBy(F.trunc(_date("o_orderdate"), "month").alias("month"), *grain)
+               .agg(F.sum(num.exact_money("o_totalprice")).cast("double").alias("value")))
+    amount = num.exact_money("l_extendedprice") * (1 - num.exact_money("l_discount", 4, 2))
+    shipped = (li.join(orders.select("o_orderkey", "o_custkey"), li.l_orderkey == orders.o_orderkey)
+               .join(cust_geo, F.col("o_custkey") == cust_geo.c_custkey, "inner")
+               .groupBy(F.trunc(_date("l_shipdate"), "month").alias("month"), *grain)
+               .agg(F.sum(amount).cast("double").alias("value")))
+    return ordered.select(*keys, "value"), shipped.select(*keys, "value")
 
 
 def ratio_join(spark: SparkSession, sf_dir: str) -> DataFrame:
