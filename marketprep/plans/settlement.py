@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import numeric as num
@@ -51,15 +51,18 @@ def first_rows(spark: SparkSession, reports: DataFrame, footer: str = SECTION_FO
     s = sections.sections_in_text(reports, product_rules(spark), keys=list(REPORT_KEYS),
                                   header_keys=["source_id"], footer=footer, keep_status=True)
     # Blank lines are not data rows (the CSV reader skipped them), so the
-    # first row is the first non-blank line of the section.
-    data_lines = F.filter("section_lines", lambda x: txt.trim_ws(x) != "")
-    first = F.get(data_lines, 0)
-    padded = txt.pad_ragged(txt.tokens(first))
+    # first row is the first non-blank line of the section (NULL when the
+    # section is missing or empty).  Rows are dropped by exploding a
+    # conditional one-element array rather than by a filter, which the
+    # optimizer would push below the projection and evaluate twice.
     kept = list(REPORT_COLUMNS[:KEPT_COLUMN_COUNT])
-    cells = s.where(F.col("footer_line").isNotNull()).select(
+    with_first = s.withColumn(
+        "_first", F.get(F.filter("section_lines", lambda x: txt.trim_ws(x) != ""), 0))
+    with_tokens = with_first.withColumn("_tokens", txt.pad_ragged(txt.tokens("_first")))
+    cells = with_tokens.select(
         *REPORT_KEYS, "position", "data_set",
-        *txt.token_columns(padded, kept))
-    cells = cells.where(F.col("MTH_STRIKE").isNotNull())
+        F.inline(F.when(F.col("_first").isNotNull(),
+                        F.array(F.struct(*txt.token_columns("_tokens", kept))))))
     return cells.select(
         *REPORT_KEYS, "position",
         F.col("data_set").alias("Data_Set"),
@@ -81,14 +84,17 @@ def _priced(rows: DataFrame) -> DataFrame:
     return rows.withColumn("price_value", value)
 
 
-def settlement_wide(rows: DataFrame, keys: Sequence[str] = ("report_date",)) -> DataFrame:
-    """AGG-1: cleaned first rows -> one wide row per key, sink column names.
+def settlement_wide(rows: DataFrame, keys: Sequence[str] = ("report_date",),
+                    order_col: Column | str | None = None) -> DataFrame:
+    """AGG-1: cleaned rows (``Data_Set, Settlement_Price, Last_Price``) -> one
+    wide row per key, sink column names; ``keys=[]`` gives one global row.
 
-    Several files for the same key and product: the last file name wins.
+    Several rows for the same key and product: the highest ``order_col``
+    wins (default: the latest report date, then the last file name).
     """
+    order = order_col if order_col is not None else F.struct("report_date", "file_name")
     return reshape.rule_pivot(_priced(rows), list(keys), product_pivot_rules(),
-                              name_col="Data_Set", value_col="price_value",
-                              order_col=F.struct("report_date", "file_name"))
+                              name_col="Data_Set", value_col="price_value", order_col=order)
 
 
 def settlement_history(spark: SparkSession, reports: DataFrame, parity: bool = False) -> DataFrame:

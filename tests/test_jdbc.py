@@ -1,0 +1,30 @@
+"""JDBC helpers that do not need a database: declared-type casting and
+argument checks.  (No database is started in this environment, so the
+write/read round trip itself is not exercised here.)"""
+
+from __future__ import annotations
+
+import pytest
+
+from marketprep.rules import SETTLEMENT_SINK_TYPES, UTILIZATION_SINK_TYPES
+from marketprep.sources import jdbc
+
+
+def test_parse_ddl_with_backticks():
+    assert jdbc._parse_ddl(UTILIZATION_SINK_TYPES) == [("Date", "DATE"), ("U.S.", "DOUBLE"),
+                                                       ("PADD3", "DOUBLE")]
+    assert [c for c, _ in jdbc._parse_ddl(SETTLEMENT_SINK_TYPES)] == [
+        "wti_crude_oil", "propane", "brent_crude_oil", "ethane", "usd2cad", "euro2usd", "nat_gas"]
+
+
+def test_cast_to_declared(spark):
+    df = spark.createDataFrame([("2024-12-06", "88.1", 93.51)], "Date string, `U.S.` string, PADD3 double")
+    out = jdbc.cast_to_declared(df, UTILIZATION_SINK_TYPES)
+    assert out.dtypes == [("Date", "date"), ("U.S.", "double"), ("PADD3", "double")]
+    r = out.first()
+    assert r["U.S."] == 88.1 and r["Date"].isoformat() == "2024-12-06"
+
+
+def test_partitioned_read_needs_bounds(spark):
+    with pytest.raises(ValueError):
+        jdbc.read_jdbc(spark, "jdbc:none", "t", partition_column="id", num_partitions=4)
