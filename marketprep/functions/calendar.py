@@ -23,6 +23,12 @@ def last_friday(d: Column | str) -> Column:
     return F.date_sub(d, (F.weekday(d) + 3) % 7)
 
 
+def week_ending_friday(d: Column | str) -> Column:
+    """The Friday on or after ``d``: the label of a week that ends on Friday."""
+    d = _col(d)
+    return F.date_add(d, (F.lit(FRIDAY) - F.weekday(d) + 7) % 7)
+
+
 def days_before(d: Column | str, n: int | Column) -> Column:
     """DATE-2: ``d`` minus ``n`` days."""
     return F.date_sub(_col(d), n if isinstance(n, Column) else F.lit(n))

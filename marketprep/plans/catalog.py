@@ -18,7 +18,8 @@ from ..operators import joins, reshape, sections
 from ..rules import PivotRule
 from ..session import read_table, rule_frame, spread
 from ..sources import envelope, facets
-from .utilization import utilization
+from .settlement import first_data_rows, priced
+from .utilization import latest_week_wide, utilization
 
 # --------------------------------------------------------------------------
 # FIXED VALUES for the driver-table queries
@@ -35,6 +36,16 @@ EVENT_RULE_SCHEMA = "position int, event_type string, column string, source stri
 # section_extract: header phrases searched in each document, and the footer.
 SECTION_PHRASES = ("The ", "Es ", "Licensed", "Ort ", "rights")
 SECTION_FOOTER_WORD = "the"
+# report_settlement: header phrase -> (output column, price cell, transform).
+DOCUMENT_RULES = (
+    (0, "The ", "the_sett", "settlement", "none"),
+    (1, "Es ", "es_last", "last", "none"),
+    (2, "Licensed", "licensed_sett_inverse", "settlement", "reciprocal"),
+    (3, "Ort ", "ort_sett", "settlement", "none"),
+    (4, "rights", "rights_last", "last", "reciprocal"),
+)
+# facet_single: one facet value, newest first, offset and row count.
+SINGLE_FACET_STATUS, SINGLE_FACET_OFFSET, SINGLE_FACET_ROWS = "F", 0, 12
 # wide_two_areas: the two labels kept, as they appear in the data.
 TWO_REGIONS = ("AMERICA", "MIDDLE EAST")
 # fallback_week / asof_lookback filters.
@@ -196,9 +207,10 @@ def _nation_region(spark: SparkSession, sf_dir: str, regions=None) -> DataFrame:
         "n_nationkey", "n_regionkey", "r_name")
 
 
-def _monthly_values(spark: SparkSession, sf_dir: str, regions=None, grain=("nationkey", "regionkey")):
-    """Ordered value (by order month) and shipped value (by ship month) per
-    (month, <grain>), exact decimal sums.
+def _monthly_values(spark: SparkSession, sf_dir: str, regions=None, grain=("nationkey", "regionkey"),
+                    period=lambda d: F.trunc(d, "month"), period_name: str = "month"):
+    """Ordered value (by order period) and shipped value (by ship period) per
+    (period, <grain>), exact decimal sums; the period is a month by default.
 
     Plan: fact rows are joined out to their nation/region and aggregated
     straight into the (month, grain) groups, so the partial aggregate leaves
@@ -216,15 +228,15 @@ def _monthly_values(spark: SparkSession, sf_dir: str, regions=None, grain=("nati
     cust_geo = cust.join(geo, cust.c_nationkey == geo.n_nationkey, "inner").select(
         "c_custkey", F.col("n_nationkey").alias("nationkey"),
         F.col("n_regionkey").alias("regionkey"), F.col("r_name").alias("region"))
-    keys = ["month", *grain]
+    keys = [period_name, *grain]
 
     ordered = (orders.join(cust_geo, orders.o_custkey == cust_geo.c_custkey, "inner")
-               .groupBy(F.trunc(_date("o_orderdate"), "month").alias("month"), *grain)
+               .groupBy(period(_date("o_orderdate")).alias(period_name), *grain)
                .agg(F.sum(num.exact_money("o_totalprice")).cast("double").alias("value")))
     amount = num.exact_money("l_extendedprice") * (1 - num.exact_money("l_discount", 4, 2))
     shipped = (li.join(orders.select("o_orderkey", "o_custkey"), li.l_orderkey == orders.o_orderkey)
                .join(cust_geo, F.col("o_custkey") == cust_geo.c_custkey, "inner")
-               .groupBy(F.trunc(_date("l_shipdate"), "month").alias("month"), *grain)
+               .groupBy(period(_date("l_shipdate")).alias(period_name), *grain)
                .agg(F.sum(amount).cast("double").alias("value")))
     return ordered.select(*keys, "value"), shipped.select(*keys, "value")
 
@@ -303,6 +315,58 @@ def asof_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
         "reference_found_date", "reference_offset")
 
 
+# ------------------------------------- job B shape: weekly, fallback week, wide
+def weekly_utilization(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Job B end to end on the driver tables.
+
+    Weekly (week ending Friday) shipped over ordered value for two regions,
+    null-safe joined, half-even percent; then for every calendar day the
+    latest week with data (this Friday, else the previous one) pivoted into
+    one row ``as_of, Date, AMERICA, MIDDLEEAST``.
+    """
+    ordered, shipped = _monthly_values(spark, sf_dir, regions=TWO_REGIONS, grain=("region",),
+                                       period=cal.week_ending_friday, period_name="period")
+    keys = ["period", "region"]
+    util = utilization(ordered.withColumnRenamed("value", "output_value"),
+                       shipped.withColumnRenamed("value", "input_value"), keys) \
+        .withColumnRenamed("region", "area_name")
+    spine = _order_day_spine(spark, sf_dir, "as_of")
+    return latest_week_wide(util, spine, areas=TWO_REGIONS)
+
+
+# ----------------------------------------- job A shape: sections -> wide rows
+def report_settlement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Job A end to end on ``documents``: per document and header phrase the
+    first data line of the section, tokenised, padded, numbers cleaned, then
+    a rule pivot to one wide row per document."""
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    status = sections.sections_in_text(docs, [r[1] for r in DOCUMENT_RULES], keys=["doc_id"],
+                                       footer=SECTION_FOOTER_WORD, header_col="phrase",
+                                       keep_status=True)
+    rows = first_data_rows(status, ["doc_id", "position"], header_col="phrase")
+    rules = [PivotRule(p, phrase, col, price, tf) for p, phrase, col, price, tf in DOCUMENT_RULES]
+    # Pivot the month cell together with the price: one struct per rule.
+    both = priced(rows, rules).withColumn(
+        "cell", F.struct(F.col("Month").alias("month"), F.col("price_value").alias("price")))
+    wide = reshape.rule_pivot(both, ["doc_id"], rules, name_col="Data_Set", value_col="cell",
+                              order_col="position")
+    out = [F.col("doc_id")]
+    for r in rules:
+        out += [F.col(f"{r.column}.month").alias(f"{r.column}_month"),
+                F.col(f"{r.column}.price").alias(r.column)]
+    return wide.select(*out)
+
+
+# ------------------------------------------------------- TOP-2, single facet
+def facet_single(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One facet value, newest first, ``OFFSET .. LIMIT`` (the 12 is the feature)."""
+    o = read_table(spark, sf_dir, "orders").select(
+        "o_orderstatus", "o_orderkey", _date("o_orderdate").alias("o_orderdate"), "o_totalprice")
+    return facets.facet_top_n(o, {"o_orderstatus": [SINGLE_FACET_STATUS]}, [],
+                              [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()],
+                              n=SINGLE_FACET_ROWS, offset=SINGLE_FACET_OFFSET)
+
+
 # ------------------------------------------------------------------ STR-7/DATE-4
 def report_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing keys built from each order's date and priority."""
@@ -331,4 +395,7 @@ QUERIES = {
     "fallback_week": fallback_week,
     "asof_lookback": asof_lookback,
     "report_key": report_key,
+    "weekly_utilization": weekly_utilization,
+    "report_settlement": report_settlement,
+    "facet_single": facet_single,
 }

@@ -7,8 +7,9 @@ decimals so neither engine depends on addition order.
 
 from __future__ import annotations
 
-from .catalog import (ASOF_PRIORITY, ASOF_REGION, ASOF_STATUS, EVENT_RULES, FALLBACK_PRIORITY,
-                      FALLBACK_STATUS, SECTION_FOOTER_WORD, SECTION_PHRASES, TWO_REGIONS)
+from .catalog import (ASOF_PRIORITY, ASOF_REGION, ASOF_STATUS, DOCUMENT_RULES, EVENT_RULES,
+                      FALLBACK_PRIORITY, FALLBACK_STATUS, SECTION_FOOTER_WORD, SECTION_PHRASES,
+                      SINGLE_FACET_OFFSET, SINGLE_FACET_ROWS, SINGLE_FACET_STATUS, TWO_REGIONS)
 
 
 def _q(s: str) -> str:
@@ -259,6 +260,112 @@ SELECT o_orderkey,
 FROM orders
 """
 
+
+def _week_end(d: str) -> str:
+    return f"CAST({d} + CAST((4 - (isodow({d}) - 1) + 7) % 7 AS INTEGER) AS DATE)"
+
+
+_TWO_COLS = ",\n".join(
+    f"  max(u.percent_utilization) FILTER (WHERE replace(u.region, ' ', '') = {_q(lab)}) AS \"{lab}\""
+    for lab in _TWO_LABELS)
+
+WEEKLY_UTILIZATION = f"""
+WITH geo AS (
+  SELECT n.n_nationkey, n.n_regionkey, r.r_name
+  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey WHERE r.r_name IN ({_TWO})),
+ordered AS (
+  SELECT {_week_end("CAST(o.o_orderdate AS DATE)")} AS period, g.r_name AS region,
+         CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS output_value
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+       JOIN geo g ON c.c_nationkey = g.n_nationkey
+  GROUP BY ALL),
+shipped AS (
+  SELECT {_week_end("CAST(l.l_shipdate AS DATE)")} AS period, g.r_name AS region,
+         CAST(sum(CAST(l.l_extendedprice AS DECIMAL(18,2))
+                  * (1 - CAST(l.l_discount AS DECIMAL(4,2)))) AS DOUBLE) AS input_value
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+       JOIN customer c ON o.o_custkey = c.c_custkey
+       JOIN geo g ON c.c_nationkey = g.n_nationkey
+  GROUP BY ALL),
+util AS (
+  SELECT a.period, a.region,
+         round_even(b.input_value / a.output_value * 100 * 100, 0) / 100 AS percent_utilization
+  FROM ordered a JOIN shipped b
+    ON a.period IS NOT DISTINCT FROM b.period AND a.region IS NOT DISTINCT FROM b.region),
+weeks AS (SELECT DISTINCT period FROM util WHERE region IN ({_TWO})),
+{_SPINE.format(col="as_of").strip()},
+cand AS (
+  SELECT as_of, r.rk,
+         CAST(as_of - CAST((isodow(as_of) - 1 + 3) % 7 AS INTEGER) - 7 * r.rk AS DATE) AS d
+  FROM spine, (VALUES (0), (1)) r(rk)),
+pick AS (
+  SELECT as_of, d FROM (
+    SELECT c.as_of, c.d, row_number() OVER (PARTITION BY c.as_of ORDER BY c.rk) AS pn
+    FROM cand c JOIN weeks w ON w.period = c.d)
+  WHERE pn = 1)
+SELECT p.as_of, p.d AS "Date",
+{_TWO_COLS}
+FROM pick p JOIN util u ON u.period = p.d AND u.region IN ({_TWO})
+GROUP BY p.as_of, p.d
+"""
+
+_DOC_RULE_VALUES = ", ".join(
+    f"({p}, {_q(ph)}, {_q(c)}, {_q(pr)}, {_q(tf)})" for p, ph, c, pr, tf in DOCUMENT_RULES)
+_DOC_COLS = ",\n  ".join(
+    f"max(month) FILTER (WHERE col = {_q(c)}) AS {c}_month, max(v) FILTER (WHERE col = {_q(c)}) AS {c}"
+    for _, _, c, _, _ in DOCUMENT_RULES)
+_TRIM = "regexp_replace(l.line, '^\\s+|\\s+$', '', 'g')"
+
+REPORT_SETTLEMENT = f"""
+WITH rules(position, phrase, col, price, tf) AS (VALUES {_DOC_RULE_VALUES}),
+split AS (SELECT doc_id, string_split_regex(text, '\\r\\n|\\r|\\n') AS parts FROM documents),
+lines AS (
+  SELECT doc_id, CAST(generate_subscripts(parts, 1) - 1 AS BIGINT) AS line_no,
+         unnest(parts) AS line
+  FROM split),
+heads AS (
+  SELECT l.doc_id, p.phrase, min(l.line_no) AS header_line
+  FROM lines l JOIN rules p ON contains(l.line, p.phrase)
+  GROUP BY l.doc_id, p.phrase),
+bounds AS (
+  SELECT h.doc_id, h.phrase, h.header_line, min(l.line_no) AS footer_line
+  FROM heads h JOIN lines l
+    ON l.doc_id = h.doc_id AND l.line_no > h.header_line
+   AND contains(l.line, {_q(SECTION_FOOTER_WORD)})
+  GROUP BY h.doc_id, h.phrase, h.header_line),
+firsts AS (
+  SELECT b.doc_id, b.phrase, min(l.line_no) AS first_line
+  FROM bounds b JOIN lines l
+    ON l.doc_id = b.doc_id AND l.line_no > b.header_line AND l.line_no < b.footer_line
+   AND {_TRIM} <> ''
+  GROUP BY b.doc_id, b.phrase),
+tok AS (
+  SELECT f.doc_id, f.phrase, string_split_regex({_TRIM}, '\\s+') AS t
+  FROM firsts f JOIN lines l ON l.doc_id = f.doc_id AND l.line_no = f.first_line),
+nums AS (
+  SELECT doc_id, phrase, t[1] AS month,
+         {_num_default("t[6]")} AS sett, {_num_default("t[5]")} AS last FROM tok),
+val AS (
+  SELECT n.doc_id, r.col, r.tf, n.month,
+         CASE WHEN r.price = 'settlement' THEN n.sett ELSE n.last END AS raw
+  FROM nums n JOIN rules r ON r.phrase = n.phrase),
+v AS (
+  SELECT doc_id, col, month,
+         CASE WHEN tf = 'reciprocal' THEN (CASE WHEN raw <> 0 THEN 1.0 / raw ELSE raw END)
+              ELSE raw END AS v
+  FROM val)
+SELECT doc_id,
+  {_DOC_COLS}
+FROM v GROUP BY doc_id
+"""
+
+FACET_SINGLE = f"""
+SELECT o_orderstatus, o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate, o_totalprice
+FROM orders WHERE o_orderstatus = {_q(SINGLE_FACET_STATUS)}
+ORDER BY CAST(o_orderdate AS DATE) DESC, o_orderkey DESC
+LIMIT {SINGLE_FACET_ROWS} OFFSET {SINGLE_FACET_OFFSET}
+"""
+
 ORACLE_SQL = {
     "rule_pivot": RULE_PIVOT,
     "section_extract": SECTION_EXTRACT,
@@ -275,4 +382,7 @@ ORACLE_SQL = {
     "fallback_week": FALLBACK_WEEK,
     "asof_lookback": ASOF_LOOKBACK,
     "report_key": REPORT_KEY,
+    "weekly_utilization": WEEKLY_UTILIZATION,
+    "report_settlement": REPORT_SETTLEMENT,
+    "facet_single": FACET_SINGLE,
 }

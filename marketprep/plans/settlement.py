@@ -22,7 +22,7 @@ from ..functions import numeric as num
 from ..functions import text as txt
 from ..operators import joins, reshape, sections
 from ..rules import (KEPT_COLUMN_COUNT, PRODUCT_RULES, REPORT_COLUMNS, SECTION_FOOTER,
-                     product_pivot_rules, products_by_source)
+                     PivotRule, product_pivot_rules, products_by_source)
 from ..sources.literal import product_rules
 
 REPORT_KEYS = ("report_date", "source_id", "file_name")
@@ -41,59 +41,71 @@ def section_status(spark: SparkSession, reports: DataFrame,
                     F.col("footer_line").isNotNull().alias("found"))
 
 
-def first_rows(spark: SparkSession, reports: DataFrame, footer: str = SECTION_FOOTER,
-               parity: bool = False) -> DataFrame:
-    """One cleaned row per (report, product): the section's first data line.
+def first_data_rows(status: DataFrame, keys: Sequence[str], parity: bool = False,
+                    header_col: str = "data_set") -> DataFrame:
+    """TOP-1 + SRC-3 + STR-* on sections kept with ``keep_status=True``: the
+    first data line of each section, tokenised, padded, the first six report
+    cells named, numbers cleaned.
 
-    Output: ``report_date, source_id, file_name, position, Data_Set, Month,
-    Settlement_Price, Last_Price`` plus the six raw kept cells.
+    Output: ``keys + [Data_Set, Month, Settlement_Price, Last_Price]`` plus
+    the six raw kept cells; sections without a data line give no row.
     """
-    s = sections.sections_in_text(reports, product_rules(spark), keys=list(REPORT_KEYS),
-                                  header_keys=["source_id"], footer=footer, keep_status=True)
+    kept = list(REPORT_COLUMNS[:KEPT_COLUMN_COUNT])
     # Blank lines are not data rows (the CSV reader skipped them), so the
     # first row is the first non-blank line of the section (NULL when the
     # section is missing or empty).  Rows are dropped by exploding a
     # conditional one-element array rather than by a filter, which the
     # optimizer would push below the projection and evaluate twice.
-    kept = list(REPORT_COLUMNS[:KEPT_COLUMN_COUNT])
-    with_first = s.withColumn(
+    with_first = status.withColumn(
         "_first", F.get(F.filter("section_lines", lambda x: txt.trim_ws(x) != ""), 0))
     with_tokens = with_first.withColumn("_tokens", txt.pad_ragged(txt.tokens("_first")))
     cells = with_tokens.select(
-        *REPORT_KEYS, "position", "data_set",
+        *keys, F.col(header_col).alias("Data_Set"),
         F.inline(F.when(F.col("_first").isNotNull(),
                         F.array(F.struct(*txt.token_columns("_tokens", kept))))))
     return cells.select(
-        *REPORT_KEYS, "position",
-        F.col("data_set").alias("Data_Set"),
+        *keys, "Data_Set",
         F.col("MTH_STRIKE").alias("Month"),
         txt.first_number("SETT", parity).alias("Settlement_Price"),
         txt.first_number("DAILY_LAST", parity).alias("Last_Price"),
         *kept)
 
 
-def _priced(rows: DataFrame) -> DataFrame:
-    """Pick settlement or last price per product rule, apply its transform."""
-    rule_by_name = {r[2]: r for r in PRODUCT_RULES}
+def first_rows(spark: SparkSession, reports: DataFrame, footer: str = SECTION_FOOTER,
+               parity: bool = False) -> DataFrame:
+    """One cleaned row per (report, product): the section's first data line.
+
+    Output: ``report_date, source_id, file_name, position, Data_Set, Month,
+    Settlement_Price, Last_Price`` plus the six raw kept cells.
+    """
+    s = sections.sections_in_text(reports, product_rules(spark), keys=list(REPORT_KEYS),
+                                  header_keys=["source_id"], footer=footer, keep_status=True)
+    return first_data_rows(s, [*REPORT_KEYS, "position"], parity)
+
+
+def priced(rows: DataFrame, rules: Sequence[PivotRule]) -> DataFrame:
+    """Pick the settlement or last price per rule and apply its transform."""
     value = None
-    for name, r in rule_by_name.items():
-        base = F.col("Settlement_Price") if r[4] == "settlement" else F.col("Last_Price")
-        expr = num.reciprocal_or_self(base) if r[5] == "reciprocal" else base
-        cond = F.col("Data_Set") == name
+    for r in rules:
+        base = F.col("Settlement_Price") if r.price == "settlement" else F.col("Last_Price")
+        expr = num.reciprocal_or_self(base) if r.transform == "reciprocal" else base
+        cond = F.col("Data_Set") == r.key
         value = F.when(cond, expr) if value is None else value.when(cond, expr)
     return rows.withColumn("price_value", value)
 
 
 def settlement_wide(rows: DataFrame, keys: Sequence[str] = ("report_date",),
-                    order_col: Column | str | None = None) -> DataFrame:
+                    order_col: Column | str | None = None,
+                    rules: Sequence[PivotRule] | None = None) -> DataFrame:
     """AGG-1: cleaned rows (``Data_Set, Settlement_Price, Last_Price``) -> one
     wide row per key, sink column names; ``keys=[]`` gives one global row.
 
     Several rows for the same key and product: the highest ``order_col``
     wins (default: the latest report date, then the last file name).
     """
+    rules = list(rules) if rules is not None else product_pivot_rules()
     order = order_col if order_col is not None else F.struct("report_date", "file_name")
-    return reshape.rule_pivot(_priced(rows), list(keys), product_pivot_rules(),
+    return reshape.rule_pivot(priced(rows, rules), list(keys), rules,
                               name_col="Data_Set", value_col="price_value", order_col=order)
 
 
