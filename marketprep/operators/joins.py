@@ -73,19 +73,19 @@ def asof_lookback(spine: DataFrame, as_of_col: str, inventory: DataFrame,
     inv = inventory.select(*keys, F.col(inv_date_col).alias("_cand")).distinct() \
         .withColumn("_hit", F.lit(True))
     joined = cands.join(inv, keys + ["_cand"], "left")
+    # Integer-only aggregate buffers keep this a hash aggregate; the found
+    # date is recomputed from the winning offset.
     aggs = []
     for m in modes:
         hit = F.col("_hit").isNotNull() & (F.col("_mode") == m)
-        best = F.min_by(F.when(hit, F.struct(F.col("_cand").alias("d"), F.col("_offset").alias("o"),
-                                             F.col("_trial").alias("t"))),
-                        F.when(hit, F.col("_trial")))
-        aggs.append(best.alias(f"_best_{m}"))
+        trial = F.when(hit, F.col("_trial"))
+        aggs += [F.min(trial).alias(f"{m}_trial"),
+                 F.min_by(F.when(hit, F.col("_offset")), trial).alias(f"{m}_offset")]
     out = joined.groupBy(*keys, as_of_col).agg(*aggs)
     cols = []
     for m in modes:
-        cols += [F.col(f"_best_{m}.d").alias(f"{m}_found_date"),
-                 F.col(f"_best_{m}.o").alias(f"{m}_offset"),
-                 F.col(f"_best_{m}.t").alias(f"{m}_trial")]
+        cols += [F.date_sub(F.col(as_of_col), F.col(f"{m}_offset")).alias(f"{m}_found_date"),
+                 F.col(f"{m}_offset"), F.col(f"{m}_trial")]
     return out.select(*keys, as_of_col, *cols)
 
 

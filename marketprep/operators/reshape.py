@@ -3,6 +3,8 @@
 Row picks are aggregates (``min_by``/``max_by`` over a struct) rather than a
 window sort wherever one row per group is wanted: the aggregate combines
 map-side, so a hot key shrinks to one row per task before the shuffle.
+(A struct buffer makes Spark plan a sort-based aggregate, which spills
+cleanly; fixed-width values, as in the pivots, stay hash aggregates.)
 Top-n uses ``row_number() <= n``, which Spark plans as a partial
 ``WindowGroupLimit`` before the exchange and a final one after.
 """
@@ -25,10 +27,11 @@ def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
           cols: Sequence[str] | None, last: bool) -> DataFrame:
     keys = list(keys)
     cols = [c for c in (cols or df.columns) if c not in keys]
-    payload = F.struct(*[F.col(c) for c in cols])
+    payload = F.struct(*[F.col(f"`{c}`") for c in cols])
     ordering = F.struct(*_cols(order))
     agg = F.max_by(payload, ordering) if last else F.min_by(payload, ordering)
-    return df.groupBy(*keys).agg(agg.alias("_row")).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in cols])
+    return df.groupBy(*keys).agg(agg.alias("_row")).select(
+        *keys, *[F.col("_row").getField(c).alias(c) for c in cols])
 
 
 def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
@@ -67,8 +70,9 @@ def rule_pivot(long: DataFrame, keys: Sequence[str], rules: Sequence[PivotRule],
                name_col: str, value_col: str, order_col: Column | str) -> DataFrame:
     """AGG-1: long -> wide by a rule list; duplicates: the highest ``order`` wins.
 
-    One conditional ``max_by`` per output column in a single hash aggregate
-    (partial + final), instead of ``pivot()`` which adds a sort aggregate.
+    One conditional ``max_by`` per output column in a single aggregate
+    (partial + final; a hash aggregate for numeric values), instead of
+    ``pivot()`` over ``max_by`` which adds a sort aggregate.
     Rules whose key never appears produce a NULL column, not an error.
     """
     order = F.col(order_col) if isinstance(order_col, str) else order_col

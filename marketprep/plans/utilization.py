@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar as cal
 from ..functions import numeric as num
 from ..functions import text as txt
-from ..operators import joins, reshape
+from ..operators import joins, reshape  # noqa: F401
 from ..rules import (SERIES_CAPACITY, SERIES_GROSS_INPUT, SERIES_JOIN_KEYS,
                      UTILIZATION_AREAS)
 
@@ -68,17 +68,22 @@ def latest_week_wide(util: DataFrame, spine: DataFrame, as_of_col: str = "as_of"
     wide row ``as_of, Date, <area labels without spaces>``.
 
     ``parity=True`` always uses the previous Friday, as the source job did.
+
+    Plan: the candidate weeks of every as-of date are joined once to the
+    (small, per week x area) utilization table, pivoted per (as-of, rank),
+    and the lowest rank per as-of date is kept.  As-of dates whose
+    candidate weeks have no rows produce no row.
     """
-    weeks = (util.where(F.col("area_name").isin(list(areas)))
-             .select("period").distinct())
+    labels = [a.replace(" ", "") for a in areas]
+    rows = (util.where(F.col("area_name").isin(list(areas)))
+            .select(F.col("period").alias("Date"), txt.strip_spaces("area_name").alias("label"),
+                    "percent_utilization"))
     this_fri = cal.last_friday(F.col(as_of_col))
     cands = ([cal.days_before(this_fri, 7)] if parity
              else [this_fri, cal.days_before(this_fri, 7)])
-    chosen = joins.first_nonempty_candidate(spine.select(as_of_col), [as_of_col], cands,
-                                            weeks, "period", cand_name="Date")
-    rows = (chosen.join(util.where(F.col("area_name").isin(list(areas))),
-                        chosen.Date == util.period, "inner")
-            .withColumn("label", txt.strip_spaces("area_name")))
-    labels = [a.replace(" ", "") for a in areas]
-    wide = reshape.label_pivot(rows, [as_of_col, "Date"], "label", "percent_utilization", labels)
-    return reshape.select_in_order(wide, [as_of_col, "Date", *labels])
+    arr = F.array(*[F.struct(F.lit(i).alias("_rank"), c.alias("Date")) for i, c in enumerate(cands)])
+    hits = spine.select(as_of_col, F.inline(arr)).join(rows, "Date", "inner")
+    per_rank = reshape.label_pivot(hits, [as_of_col, "_rank", "Date"], "label",
+                                   "percent_utilization", labels)
+    best = reshape.first_per_group(per_rank, [as_of_col], ["_rank"])
+    return reshape.select_in_order(best, [as_of_col, "Date", *labels])
