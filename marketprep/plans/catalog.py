@@ -87,7 +87,7 @@ def section_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def section_extract_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Same result through the line-table form (broadcast theta join + mins)."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     lines = sections.report_lines(docs, keys=["doc_id"])
     phrases = rule_frame(spark, list(enumerate(SECTION_PHRASES)), "position int, phrase string")
     out = sections.sections_in_lines(lines, phrases, keys=["doc_id"],
@@ -98,7 +98,8 @@ def section_extract_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ----------------------------------------------------------- STR-1/2/3, SRC-3
 def ragged_pad(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ragged lines (7-12 tokens) built from ``part``; tokenise, pad, name."""
-    p = read_table(spark, sf_dir, "part")
+    p = spread(read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type",
+                                                        "p_size"))
     line = F.concat_ws(" ", "p_name", "p_brand", "p_type",
                        F.repeat(F.concat("p_brand", F.lit(" ")), F.lit(3) + F.col("p_size") % 6))
     t = p.select("p_partkey", txt.tokens(line).alias("t"))
@@ -115,7 +116,7 @@ def ragged_pad(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------- STR-4/5, CAST-1, PRJ-1
 def clean_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First number of several text shapes, default and parity patterns."""
-    p = read_table(spark, sf_dir, "part")
+    p = spread(read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size"))
     size = F.col("p_size").cast("string")
     key = F.col("p_partkey").cast("string")
     shapes = {
@@ -140,7 +141,8 @@ def json_unwrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``to_json`` -> ``from_json`` with an explicit schema -> ``inline`` ->
     strict cast; all narrow, per row.
     """
-    ev = read_table(spark, sf_dir, "events")
+    ev = spread(read_table(spark, sf_dir, "events").select(
+        "event_id", "ts", "user_id", "event_type", "value", "props"))
     record = F.struct(
         cal.format_iso(F.col("ts")).alias("period"),
         F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("duoarea"),
