@@ -15,8 +15,9 @@ from ..functions import calendar as cal
 from ..functions import numeric as num
 from ..functions import text as txt
 from ..operators import joins, reshape, sections
-from ..rules import PivotRule
-from ..session import read_table, rule_frame, spread
+from ..rules import KEPT_COLUMN_COUNT, REPORT_COLUMNS, PivotRule
+from ..session import rule_frame, spread
+from ..sources.tables import read_table
 from ..sources import envelope, facets
 from .settlement import first_data_rows, priced
 from .utilization import latest_week_wide, utilization
@@ -103,13 +104,16 @@ def ragged_pad(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.concat_ws(" ", "p_name", "p_brand", "p_type",
                        F.repeat(F.concat("p_brand", F.lit(" ")), F.lit(3) + F.col("p_size") % 6))
     t = p.select("p_partkey", txt.tokens(line).alias("t"))
-    padded = txt.pad_ragged(F.col("t"))
-    return t.select(
+    padded = t.select("p_partkey", "t", txt.pad_ragged(F.col("t")).alias("padded"))
+    # All eleven report cells by name, then the first six by position (PRJ-2).
+    named = padded.select(*txt.token_columns("padded", [c.lower() for c in REPORT_COLUMNS]),
+                          "p_partkey", "t", "padded")
+    kept = reshape.select_first_n_columns(named, KEPT_COLUMN_COUNT).columns
+    return named.select(
         "p_partkey",
         F.size("t").alias("n_tokens"),
-        *txt.token_columns(padded, ["mth_strike", "daily_open", "daily_high",
-                                    "daily_low", "daily_last", "sett"]),
-        txt.join_tokens(padded).alias("padded_csv"),
+        *kept,
+        txt.join_tokens("padded").alias("padded_csv"),
         txt.is_irregular("t").alias("is_irregular"))
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 from collections.abc import Sequence
 
@@ -97,11 +96,3 @@ def rule_frame(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataF
     if len(rows) > MAX_RULE_ROWS:
         raise ValueError(f"rule table of {len(rows)} rows exceeds {MAX_RULE_ROWS}")
     return F.broadcast(spark.createDataFrame(list(rows), schema))
-
-
-def table_path(sf_dir: str, name: str) -> str:
-    return os.path.join(sf_dir, f"{name}.parquet")
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
