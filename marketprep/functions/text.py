@@ -30,19 +30,27 @@ def split_lines(text: Column | str) -> Column:
     return F.split(_col(text), LINE_BREAK, -1)
 
 
-def trim_ws(c: Column | str) -> Column:
+def _ws_flag(unicode_ws: bool) -> str:
+    # Java's \s is ASCII whitespace; (?U) widens it to Unicode White_Space
+    # (no-break and em spaces ...), closer to Python's str.split().
+    return "(?U)" if unicode_ws else ""
+
+
+def trim_ws(c: Column | str, unicode_ws: bool = False) -> Column:
     """Strip leading/trailing whitespace of any kind (SQL ``trim`` strips spaces only)."""
-    return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
+    return F.regexp_replace(_col(c), _ws_flag(unicode_ws) + r"^\s+|\s+$", "")
 
 
-def tokens(line: Column | str) -> Column:
+def tokens(line: Column | str, unicode_ws: bool = False) -> Column:
     """STR-1: split on runs of whitespace, ends trimmed; a blank line -> [].
 
     ``split('')`` in Spark gives ``['']``, so blanks are mapped to an empty
-    array explicitly to keep token counts right.
+    array explicitly to keep token counts right.  ``unicode_ws=True`` also
+    splits on non-ASCII spaces.
     """
-    t = trim_ws(line)
-    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, r"\s+"))
+    t = trim_ws(line, unicode_ws)
+    return F.when(t == "", F.array().cast("array<string>")).otherwise(
+        F.split(t, _ws_flag(unicode_ws) + r"\s+"))
 
 
 def _pad_for_count(t: Column, n: int, inserts: Sequence[tuple[int, int]]) -> Column:

@@ -81,10 +81,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     the split count already exceeds the cores and this is a no-op, so no
     shuffle is added there.  Only the plan is inspected, no job runs.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a remote session without RDD access
         return df
-    return df.repartition(target)
+    return df if splits >= target else df.repartition(target)
 
 
 def rule_frame(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
