@@ -45,8 +45,12 @@ def as_of_spine(spark: SparkSession, dates: Sequence[str] | None = None,
 
 def _sink(df: DataFrame, column_types: str, jdbc_url: str | None, table: str | None,
           mode: str, options: Mapping[str, str] | None) -> None:
+    """Write a job's wide output (one row per date: small by construction)
+    from one task, i.e. in one database transaction: a task retried after a
+    lost executor rolls back instead of leaving half a batch."""
     if jdbc_url and table:
-        write_jdbc(df, jdbc_url, table, mode=mode, column_types=column_types, options=options)
+        write_jdbc(df.coalesce(1), jdbc_url, table, mode=mode, column_types=column_types,
+                   options=options, num_partitions=1)
 
 
 def settlement_job(spark: SparkSession, landing_root: str, spine: DataFrame,

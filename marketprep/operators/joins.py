@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import lookback_offsets
+from ..session import broadcast_if_bounded
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
@@ -38,10 +39,11 @@ def lookup_rules(df: DataFrame, rules: DataFrame, on: Sequence[str] | str,
                  how: str = "inner") -> DataFrame:
     """JOIN-3: attach rule columns from a literal, size-checked rule table.
 
-    The rule table never grows with the data (see ``session.rule_frame``), so
-    the broadcast hint is safe and the big side is never shuffled.
+    A rule table from ``session.rule_frame`` never grows with the data, so it
+    is broadcast and the big side is never shuffled; any other frame is left
+    to the planner's size check.
     """
-    return df.join(F.broadcast(rules), on, how)
+    return df.join(broadcast_if_bounded(rules), on, how)
 
 
 def asof_lookback(spine: DataFrame, as_of_col: str, inventory: DataFrame,

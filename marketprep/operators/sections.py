@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import split_lines
 from ..rules import SECTION_FOOTER
+from ..session import broadcast_if_bounded, row_bound
 
 
 def section_bounds(lines: Column, header: Column, footer: Column) -> Column:
@@ -77,8 +78,9 @@ def sections_in_text(reports: DataFrame, headers: DataFrame | Sequence[str],
         # keys - map side only.
         if not header_keys:
             raise ValueError("a header table needs header_keys; pass a list of texts instead")
-        rules = headers.select(*header_keys, position_col, header_col)
-        paired = base.join(F.broadcast(rules), list(header_keys), "inner")
+        rules = broadcast_if_bounded(headers.select(*header_keys, position_col, header_col),
+                                     row_bound(headers))
+        paired = base.join(rules, list(header_keys), "inner")
     else:
         # Same headers for every report: a literal array, exploded per row.
         arr = F.array(*[F.struct(F.lit(i).alias(position_col), F.lit(h).alias(header_col))
@@ -115,12 +117,15 @@ def sections_in_lines(lines: DataFrame, headers: DataFrame, keys: Sequence[str],
     ``headers``: literal rule table with ``header_keys + [position, header_col]``.
     """
     keys = list(keys)
+    if row_bound(headers) is None:
+        raise ValueError("headers must be a literal rule table (session.rule_frame)")
     rules = headers.select(*header_keys, position_col, header_col)
     on = F.contains(F.col("line"), F.col(header_col))
     for k in header_keys:
         on = on & (lines[k] == rules[k])
-    # JOIN-2: theta join against the broadcast header table; with shared keys
-    # it is a broadcast hash join plus a substring condition.
+    # JOIN-2: theta join against the broadcast header table (its size is
+    # bounded at construction); with shared keys it is a broadcast hash join
+    # plus a substring condition, without them a broadcast nested loop.
     hits = lines.join(F.broadcast(rules), on, "inner")
     for k in header_keys:
         hits = hits.drop(rules[k])

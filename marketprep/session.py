@@ -89,12 +89,32 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df if splits >= target else df.repartition(target)
 
 
+_BOUND_ATTR = "_marketprep_row_bound"
+
+
 def rule_frame(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
     """Literal rule table, broadcast to every task.
 
     The row count is checked here, at construction, which is what makes the
-    broadcast hint safe: rule tables never grow with the data.
+    broadcast hint safe: rule tables never grow with the data.  The returned
+    frame carries its bound so operators can tell it from a data table.
     """
     if len(rows) > MAX_RULE_ROWS:
         raise ValueError(f"rule table of {len(rows)} rows exceeds {MAX_RULE_ROWS}")
-    return F.broadcast(spark.createDataFrame(list(rows), schema))
+    df = F.broadcast(spark.createDataFrame(list(rows), schema))
+    setattr(df, _BOUND_ATTR, len(rows))
+    return df
+
+
+def row_bound(df: DataFrame) -> int | None:
+    """The proven row bound of a rule table, or None for any other frame."""
+    return getattr(df, _BOUND_ATTR, None)
+
+
+def broadcast_if_bounded(df: DataFrame, bound: int | None = None) -> DataFrame:
+    """Broadcast hint only for a frame with a proven row bound.
+
+    Anything else is left to the planner (size-checked broadcast threshold)
+    and to AQE, which fall back to a shuffle join when the side is large.
+    """
+    return F.broadcast(df) if (bound if bound is not None else row_bound(df)) is not None else df

@@ -111,3 +111,22 @@ def test_keep_status_reports_missing(spark):
     assert rows[1]["section_lines"] is None
     assert (rows[2]["header_line"], rows[2]["footer_line"]) == (1, 4)
     assert rows[2]["section_lines"] == ["JAN25 1 2", "FEB25 3 4"]
+
+
+def test_line_form_requires_bounded_headers(spark):
+    lines = spark.createDataFrame([(1, 0, "x")], "doc_id long, line_no long, line string")
+    headers = spark.createDataFrame([(0, "x")], "position int, h string")
+    with pytest.raises(ValueError):
+        sections.sections_in_lines(lines, headers, keys=["doc_id"], header_col="h")
+
+
+def test_broadcast_only_bounded(spark):
+    from marketprep.session import broadcast_if_bounded, row_bound
+    rules = rule_frame(spark, [(0, "x")], "position int, h string")
+    data = spark.createDataFrame([(0, "x")], "position int, h string")
+    assert row_bound(rules) == 1 and row_bound(data) is None
+    big = spark.range(10).toDF("position")
+    plan = big.join(broadcast_if_bounded(data), "position")._jdf.queryExecution().logical().toString()
+    assert "broadcast" not in plan.lower()
+    plan = big.join(broadcast_if_bounded(rules), "position")._jdf.queryExecution().logical().toString()
+    assert "broadcast" in plan.lower()
