@@ -3,7 +3,7 @@
 Each function takes ``(spark, sf_dir)`` and returns a lazy DataFrame whose
 columns are aliased to match the DuckDB oracle in ``oracle.py``.  Every query
 reads whole tables; nothing is sampled or capped except where the cap is the
-feature (``facet_topn``).
+feature (the newest-12 facet queries ``facet_topn`` and ``facet_single``).
 """
 
 from __future__ import annotations
@@ -213,7 +213,7 @@ def _nation_region(spark: SparkSession, sf_dir: str, regions=None) -> DataFrame:
         "n_nationkey", "n_regionkey", "r_name")
 
 
-def _monthly_values(spark: SparkSession, sf_dir: str, regions=None, grain=("nationkey", "regionkey"),
+def _period_values(spark: SparkSession, sf_dir: str, regions=None, grain=("nationkey", "regionkey"),
                     period=lambda d: F.trunc(d, "month"), period_name: str = "month"):
     """Ordered value (by order period) and shipped value (by ship period) per
     (period, <grain>), exact decimal sums; the period is a month by default.
@@ -253,7 +253,7 @@ def _monthly_values(spark: SparkSession, sf_dir: str, regions=None, grain=("nati
 
 def ratio_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shipped over ordered value per (month, nation, region), in percent."""
-    ordered, shipped = _monthly_values(spark, sf_dir)
+    ordered, shipped = _period_values(spark, sf_dir)
     keys = ["month", "nationkey", "regionkey"]
     return utilization(ordered.withColumnRenamed("value", "output_value"),
                        shipped.withColumnRenamed("value", "input_value"), keys) \
@@ -263,7 +263,7 @@ def ratio_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------- AGG-2/3, PRJ-6, FLT-4, STR-6
 def wide_two_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Region-level utilization for two regions, one wide row per month."""
-    ordered, shipped = _monthly_values(spark, sf_dir, regions=TWO_REGIONS, grain=("region",))
+    ordered, shipped = _period_values(spark, sf_dir, regions=TWO_REGIONS, grain=("region",))
     keys = ["month", "region"]
     util = utilization(ordered.withColumnRenamed("value", "output_value"),
                        shipped.withColumnRenamed("value", "input_value"), keys)
@@ -334,7 +334,7 @@ def weekly_utilization(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest week with data (this Friday, else the previous one) pivoted into
     one row ``as_of, Date, AMERICA, MIDDLEEAST``.
     """
-    ordered, shipped = _monthly_values(spark, sf_dir, regions=TWO_REGIONS, grain=("region",),
+    ordered, shipped = _period_values(spark, sf_dir, regions=TWO_REGIONS, grain=("region",),
                                        period=cal.week_ending_friday, period_name="period")
     keys = ["period", "region"]
     util = utilization(ordered.withColumnRenamed("value", "output_value"),
