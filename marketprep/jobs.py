@@ -57,11 +57,17 @@ def settlement_job(spark: SparkSession, landing_root: str, spine: DataFrame,
                    mode: str = "corrected", parity: bool = False,
                    jdbc_url: str | None = None, table: str | None = None,
                    write_mode: str = "overwrite",
-                   options: Mapping[str, str] | None = None) -> DataFrame:
+                   options: Mapping[str, str] | None = None,
+                   as_of_range: tuple[str, str] | None = None) -> DataFrame:
     """``Date`` (the as-of date) + the seven sink price columns, one row per
-    as-of date; each report kind from its latest report within 7 days."""
-    wide = settlement.settlement_as_of(spark, read_reports(spark, landing_root), spine,
-                                       mode=mode, parity=parity)
+    as-of date; each report kind from its latest report within 7 days.
+
+    ``as_of_range`` (first, last) prunes the landing folder to the report
+    dates the lookback can reach."""
+    reports = read_reports(spark, landing_root)
+    if as_of_range:
+        reports = settlement.report_window(reports, *as_of_range, mode=mode)
+    wide = settlement.settlement_as_of(spark, reports, spine, mode=mode, parity=parity)
     out = wide.withColumnRenamed("as_of", "Date")
     _sink(out, "Date DATE, " + SETTLEMENT_SINK_TYPES, jdbc_url, table, write_mode, options)
     return out
@@ -113,10 +119,17 @@ def main(argv: Sequence[str] | None = None) -> int:
     spark = get_session(a.master)
     spine = as_of_spine(spark, a.as_of, a.start, a.end)
     mode = "append" if a.append else "overwrite"
+    if a.start and a.end:
+        window = (a.start, a.end)
+    elif a.as_of:
+        window = (min(a.as_of), max(a.as_of))
+    else:
+        window = None
     if a.job == "settlement":
         out = settlement_job(spark, a.landing, spine,
                              mode="reference" if a.parity else "corrected", parity=a.parity,
-                             jdbc_url=a.jdbc_url, table=a.table, write_mode=mode)
+                             jdbc_url=a.jdbc_url, table=a.table, write_mode=mode,
+                             as_of_range=window)
         if a.display_names:
             out = out.withColumnsRenamed({r[6]: r[3] for r in PRODUCT_RULES})
     else:

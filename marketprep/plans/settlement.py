@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from ..functions import numeric as num
 from ..functions import text as txt
 from ..operators import joins, reshape, sections
-from ..rules import (KEPT_COLUMN_COUNT, PRODUCT_RULES, REPORT_COLUMNS, SECTION_FOOTER,
-                     PivotRule, product_pivot_rules, products_by_source)
+from ..rules import (KEPT_COLUMN_COUNT, LOOKBACK_DAYS, PRODUCT_RULES, REPORT_COLUMNS,
+                     SECTION_FOOTER, PivotRule, product_pivot_rules, products_by_source)
 from ..sources.literal import product_rules
 
 REPORT_KEYS = ("report_date", "source_id", "file_name")
@@ -114,15 +114,31 @@ def settlement_history(spark: SparkSession, reports: DataFrame, parity: bool = F
     return settlement_wide(first_rows(spark, reports, parity=parity))
 
 
+def report_window(reports: DataFrame, first_as_of: str, last_as_of: str,
+                  days: int = LOOKBACK_DAYS, mode: str = "corrected") -> DataFrame:
+    """Only the reports a lookback over ``[first_as_of, last_as_of]`` can pick.
+
+    A filter on the ``report_date=`` partition column: Spark prunes whole
+    directories (``PartitionFilters``), so a daily run opens a week of files,
+    not the whole history.  The source's trial order reaches further back
+    (its weekend shift adds up to 4 days), so that mode gets a wider window.
+    """
+    reach = days - 1 + (4 if mode == "reference" else 0)
+    lo = F.date_sub(F.to_date(F.lit(first_as_of)), reach)
+    hi = F.to_date(F.lit(last_as_of))
+    return reports.where(F.col("report_date").between(lo, hi))
+
+
 def settlement_as_of(spark: SparkSession, reports: DataFrame, spine: DataFrame,
                      as_of_col: str = "as_of", mode: str = "corrected",
                      parity: bool = False) -> DataFrame:
     """One wide row per as-of date, each report kind taken from its latest
     available date within the 7-day lookback (SRC-6).
 
-    The inventory is the partition listing of landed reports (no file is
-    read for it); each (as-of, source) picks its report date, then the
-    parsed rows of exactly those reports are pivoted.
+    Each (as-of, source) picks its report date from the inventory of landed
+    reports, then the parsed rows of exactly those reports are pivoted.
+    Narrow ``reports`` with :func:`report_window` first when the as-of range
+    is known, so only the partitions in reach are listed and read.
     """
     sources = list(products_by_source())
     inv = reports.select("source_id", "report_date").distinct()

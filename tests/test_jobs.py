@@ -61,3 +61,41 @@ def test_cli_prints(spark, tmp_path, capsys):
                       "--display-names"]) == 0
     printed = capsys.readouterr().out
     assert "WTI Crude Oil" in printed and "68.72" in printed
+
+
+def test_report_window_prunes_partitions(spark, tmp_path):
+    from marketprep.plans import settlement
+    from marketprep.sources.reports import read_reports
+    root = str(tmp_path)
+    _landing(root)
+    pruned = settlement.report_window(read_reports(spark, root), "2024-11-22", "2024-11-22")
+    jvm = spark.sparkContext._jvm
+    plan = jvm.PythonSQLUtils.explainString(pruned._jdf.queryExecution(), "formatted")
+    assert "PartitionFilters" in plan and "report_date" in plan.split("PartitionFilters")[1][:300]
+    assert sorted(r["report_date"].isoformat() for r in pruned.select("report_date").collect()) \
+        == ["2024-11-20", "2024-11-20", "2024-11-20", "2024-11-22"]
+    narrow = settlement.report_window(read_reports(spark, root), "2024-11-28", "2024-11-28")
+    assert [r["report_date"].isoformat() for r in narrow.select("report_date").collect()] \
+        == ["2024-11-22"]
+    spine = jobs.as_of_spine(spark, ["2024-11-23"])
+    full = jobs.settlement_job(spark, root, spine).collect()
+    windowed = jobs.settlement_job(spark, root, spine, as_of_range=("2024-11-23", "2024-11-23")).collect()
+    assert full == windowed
+
+
+def test_report_window_reference_mode_reaches_further(spark, tmp_path):
+    from marketprep.plans import settlement
+    from marketprep.sources.reports import read_reports
+    root = str(tmp_path)
+    _landing(root)
+    # Saturday 30th: the source order tries 10 days back (the 20th) last.
+    corr = settlement.report_window(read_reports(spark, root), "2024-11-30", "2024-11-30")
+    ref = settlement.report_window(read_reports(spark, root), "2024-11-30", "2024-11-30",
+                                   mode="reference")
+    assert corr.where("report_date = '2024-11-20'").count() == 0
+    assert ref.where("report_date = '2024-11-20'").count() == 3
+    spine = jobs.as_of_spine(spark, ["2024-11-30"])
+    full = jobs.settlement_job(spark, root, spine, mode="reference").collect()
+    windowed = jobs.settlement_job(spark, root, spine, mode="reference",
+                                   as_of_range=("2024-11-30", "2024-11-30")).collect()
+    assert full == windowed and full[0]["usd2cad"] == 1 / 0.7147
