@@ -7,7 +7,7 @@ without a footer (or no header) yields no section.
 Two physical forms, same result:
 
 * :func:`sections_in_text` - one row per whole report text.  Header and footer
-  are found with array lambdas on the row itself, so the scan is a narrow
+  are found by one fold over the row's line array, so the scan is a narrow
   map: no shuffle, no join.  Parallelism comes from the number of reports.
 * :func:`sections_in_lines` - a landed line table ``(keys.., line_no, line)``
   for reports too large for one row.  Header hits come from a broadcast theta

@@ -86,6 +86,18 @@ def section_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "phrase", "line_no", "line")
 
 
+def section_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document and phrase: header line, footer line (NULL when missing)
+    and whether a complete section exists - the report instead of a crash."""
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    st = sections.sections_in_text(docs, list(SECTION_PHRASES), keys=["doc_id"],
+                                   footer=SECTION_FOOTER_WORD, header_col="phrase",
+                                   keep_status=True)
+    return st.select("doc_id", "phrase", F.col("header_line").cast("bigint").alias("header_line"),
+                     F.col("footer_line").cast("bigint").alias("footer_line"),
+                     F.col("footer_line").isNotNull().alias("found"))
+
+
 def section_extract_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Same result through the line-table form (broadcast theta join + mins)."""
     docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -393,6 +405,7 @@ QUERIES = {
     "rule_pivot": rule_pivot,
     "section_extract": section_extract,
     "section_extract_lines": section_extract_lines,
+    "section_status": section_status,
     "ragged_pad": ragged_pad,
     "clean_numeric": clean_numeric,
     "json_unwrap": json_unwrap,

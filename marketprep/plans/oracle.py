@@ -65,6 +65,29 @@ FROM bounds b JOIN lines l
   ON l.doc_id = b.doc_id AND l.line_no > b.header_line AND l.line_no < b.footer_line
 """
 
+SECTION_STATUS = f"""
+WITH phrases(position, phrase) AS (VALUES {_PHRASE_VALUES}),
+split AS (SELECT doc_id, string_split_regex(text, '\\r\\n|\\r|\\n') AS parts FROM documents),
+lines AS (
+  SELECT doc_id, CAST(generate_subscripts(parts, 1) - 1 AS BIGINT) AS line_no,
+         unnest(parts) AS line
+  FROM split),
+heads AS (
+  SELECT l.doc_id, p.phrase, min(l.line_no) AS header_line
+  FROM lines l JOIN phrases p ON contains(l.line, p.phrase)
+  GROUP BY l.doc_id, p.phrase),
+bounds AS (
+  SELECT h.doc_id, h.phrase, min(l.line_no) AS footer_line
+  FROM heads h JOIN lines l
+    ON l.doc_id = h.doc_id AND l.line_no > h.header_line
+   AND contains(l.line, {_q(SECTION_FOOTER_WORD)})
+  GROUP BY h.doc_id, h.phrase)
+SELECT d.doc_id, p.phrase, h.header_line, b.footer_line, b.footer_line IS NOT NULL AS found
+FROM documents d CROSS JOIN phrases p
+LEFT JOIN heads h ON h.doc_id = d.doc_id AND h.phrase = p.phrase
+LEFT JOIN bounds b ON b.doc_id = d.doc_id AND b.phrase = p.phrase
+"""
+
 RAGGED_PAD = r"""
 WITH t AS (
   SELECT p_partkey,
@@ -370,6 +393,7 @@ ORACLE_SQL = {
     "rule_pivot": RULE_PIVOT,
     "section_extract": SECTION_EXTRACT,
     "section_extract_lines": SECTION_EXTRACT,
+    "section_status": SECTION_STATUS,
     "ragged_pad": RAGGED_PAD,
     "clean_numeric": CLEAN_NUMERIC,
     "json_unwrap": JSON_UNWRAP,
