@@ -56,10 +56,15 @@ def report_stream(spark: SparkSession, landing_root: str,
 
 def ingest_reports(spark: SparkSession, landing_root: str, rows_path: str,
                    checkpoint_location: str | None = None, trigger: str = "available_now",
-                   parity: bool = False) -> StreamingQuery:
+                   parity: bool = False,
+                   max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Append the cleaned first row of every product section of every newly
-    landed report to ``rows_path`` (parquet, partitioned by report date)."""
-    rows = settlement.first_rows(spark, report_stream(spark, landing_root), parity=parity)
+    landed report to ``rows_path`` (parquet, partitioned by report date).
+
+    ``max_files_per_trigger`` bounds a micro-batch, so a large backlog is
+    worked off in steps (``available_now`` still stops when it is done)."""
+    rows = settlement.first_rows(spark, report_stream(spark, landing_root, max_files_per_trigger),
+                                 parity=parity)
     w = (rows.writeStream.format("parquet").outputMode("append")
          .option("path", rows_path)
          .option("checkpointLocation", _checkpoint(spark, "report_rows", checkpoint_location))
@@ -74,11 +79,15 @@ def settlement_from_rows(spark: SparkSession, rows_path: str) -> DataFrame:
 
 def ingest_series(spark: SparkSession, landing_root: str, records_path: str,
                   checkpoint_location: str | None = None,
-                  trigger: str = "available_now") -> StreamingQuery:
+                  trigger: str = "available_now",
+                  max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Append the records of every newly landed JSON envelope
     (``series_code=<code>/*.json``) to ``records_path``."""
     schema = envelope_schema(SERIES_RECORD)
-    raw = (spark.readStream.schema(schema).option("multiLine", True).json(landing_root))
+    r = spark.readStream.schema(schema).option("multiLine", True)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    raw = r.json(landing_root)
     path = F.col("_metadata.file_path")
     recs = (raw.select(F.regexp_extract(path, r"series_code=([^/]+)", 1).alias("series_code"),
                        F.inline(F.col("response.data")))

@@ -99,3 +99,13 @@ def test_report_window_reference_mode_reaches_further(spark, tmp_path):
     windowed = jobs.settlement_job(spark, root, spine, mode="reference",
                                    as_of_range=("2024-11-30", "2024-11-30")).collect()
     assert full == windowed and full[0]["usd2cad"] == 1 / 0.7147
+
+
+def test_cli_utilization(spark, tmp_path, capsys):
+    root = str(tmp_path)
+    land(root, "YRL", [rec("2024-12-06", "NUS", "U.S.", "18400")])
+    land(root, "EPXXX2", [rec("2024-12-06", "NUS", "U.S.", "16210.5")])
+    assert jobs.main(["utilization", "--landing", root, "--start", "2024-12-06",
+                      "--end", "2024-12-08"]) == 0
+    printed = capsys.readouterr().out
+    assert "2024-12-06" in printed and "88.1" in printed

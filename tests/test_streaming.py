@@ -27,7 +27,7 @@ def test_report_stream_matches_batch(spark, tmp_path):
 
     put("2024-11-20", NYMEX, nymex_report("68.72"))
     put("2024-11-20", FX, fx_report(".7147"))
-    q = landing.ingest_reports(spark, land, out, ck)
+    q = landing.ingest_reports(spark, land, out, ck, max_files_per_trigger=1)
     q.awaitTermination(120)
     first = spark.read.parquet(out).count()
     assert first == 4 + 2
