@@ -1,3 +1,3 @@
-"""Sources and sinks: landed reports, JSON envelopes, literal tables, JDBC."""
+"""Sources and sinks: landed reports, JSON envelopes, literal tables, warehouse tables, JDBC."""
 
-from . import envelope, facets, jdbc, literal, reports  # noqa: F401
+from . import envelope, facets, jdbc, literal, reports, tables  # noqa: F401

@@ -11,12 +11,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-REPORT_PARTITIONS = T.StructType([
-    T.StructField("report_date", T.DateType()),
-    T.StructField("source_id", T.StringType()),
-])
 
 
 def read_reports(spark: SparkSession, root: str) -> DataFrame:

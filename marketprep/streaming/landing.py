@@ -24,7 +24,6 @@ from pyspark.sql.streaming import StreamingQuery
 from ..plans import settlement
 from ..session import checkpoint_dir
 from ..sources.envelope import SERIES_RECORD, SNAKE, envelope_schema
-from ..sources.reports import REPORT_PARTITIONS
 
 
 def _trigger(writer, trigger: str):
@@ -99,5 +98,4 @@ def ingest_series(spark: SparkSession, landing_root: str, records_path: str,
     return _trigger(w, trigger).start()
 
 
-__all__ = ["REPORT_PARTITIONS", "ingest_reports", "ingest_series", "report_stream",
-           "settlement_from_rows"]
+__all__ = ["ingest_reports", "ingest_series", "report_stream", "settlement_from_rows"]

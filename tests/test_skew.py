@@ -3,7 +3,6 @@ and exact; the operators must not rely on a key being small."""
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from marketprep.operators import joins, reshape
