@@ -1,6 +1,7 @@
-"""JDBC helpers that do not need a database: declared-type casting and
-argument checks.  (No database is started in this environment, so the
-write/read round trip itself is not exercised here.)"""
+"""JDBC source and sinks without a database: declared-type casting, DDL
+parsing, and the options handed to Spark's JDBC writer/reader (recorded by
+replacing the final ``save``/``load``).  No database is started in this
+environment, so the round trip itself is not exercised here."""
 
 from __future__ import annotations
 
@@ -28,3 +29,78 @@ def test_cast_to_declared(spark):
 def test_partitioned_read_needs_bounds(spark):
     with pytest.raises(ValueError):
         jdbc.read_jdbc(spark, "jdbc:none", "t", partition_column="id", num_partitions=4)
+
+
+class _Recorder:
+    def __init__(self):
+        self.options, self.mode, self.saved, self.loaded, self.fmt = {}, None, None, False, None
+
+
+@pytest.fixture
+def recorded_writer(monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+    rec = _Recorder()
+
+    def option(self, k, v):
+        rec.options[k] = v
+        return self
+
+    def fmt(self, f):
+        rec.fmt = f
+        return self
+
+    def mode(self, m):
+        rec.mode = m
+        return self
+
+    def save(self, *a, **kw):
+        rec.saved = self._df
+    monkeypatch.setattr(DataFrameWriter, "option", option)
+    monkeypatch.setattr(DataFrameWriter, "format", fmt)
+    monkeypatch.setattr(DataFrameWriter, "mode", mode)
+    monkeypatch.setattr(DataFrameWriter, "save", save)
+    return rec
+
+
+def test_write_overwrite_declares_types(spark, recorded_writer):
+    df = spark.createDataFrame([("2024-12-06", 88.1, 93.51)], "Date string, `U.S.` double, PADD3 double")
+    jdbc.write_jdbc(df, "jdbc:db://host/x", "stg.rates", column_types=UTILIZATION_SINK_TYPES,
+                    options={"user": "u"}, num_partitions=1)
+    r = recorded_writer
+    assert r.fmt == "jdbc" and r.mode == "overwrite"
+    assert r.options["dbtable"] == "stg.rates" and r.options["url"] == "jdbc:db://host/x"
+    assert r.options["createTableColumnTypes"] == UTILIZATION_SINK_TYPES
+    assert r.options["truncate"] == "true" and r.options["numPartitions"] == "1"
+    assert r.options["user"] == "u"
+    assert r.saved.dtypes[0] == ("Date", "date")          # cast before the write
+
+
+def test_write_append(spark, recorded_writer):
+    df = spark.createDataFrame([(1.0,)], "wti_crude_oil double")
+    jdbc.write_jdbc(df, "jdbc:db://host/x", "t", mode="append")
+    assert recorded_writer.mode == "append" and "createTableColumnTypes" not in recorded_writer.options
+
+
+def test_job_sink_writes_one_partition(spark, recorded_writer):
+    from marketprep import jobs
+    from tests.test_settlement import F1_ROWS
+    jobs.literal_settlement_job(spark, F1_ROWS, jdbc_url="jdbc:db://h/x", table="stg.so2")
+    saved = recorded_writer.saved
+    assert saved.rdd.getNumPartitions() == 1
+    assert recorded_writer.options["createTableColumnTypes"] == SETTLEMENT_SINK_TYPES
+
+
+def test_partitioned_read_options(spark, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameReader
+    seen = {}
+
+    def option(self, k, v):
+        seen[k] = v
+        return self
+    monkeypatch.setattr(DataFrameReader, "option", option)
+    monkeypatch.setattr(DataFrameReader, "load", lambda self, *a, **k: "loaded")
+    out = jdbc.read_jdbc(spark, "jdbc:db://h/x", "stg.so2", partition_column="id", lower_bound=0,
+                         upper_bound=1000, num_partitions=8)
+    assert out == "loaded"
+    assert (seen["partitionColumn"], seen["lowerBound"], seen["upperBound"], seen["numPartitions"]) \
+        == ("id", "0", "1000", "8")
