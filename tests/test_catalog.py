@@ -71,3 +71,22 @@ def test_top_n_uses_group_limit(spark):
 def test_row_picks_aggregate_map_side(spark):
     plan = _plan(QUERIES["first_per_group"](spark, SF_SMALL))
     assert "partial_min_by" in plan and "Window " not in plan
+
+
+SESSION_SENSITIVE = ["json_unwrap", "report_key", "first_per_group", "fallback_week",
+                     "asof_lookback", "clean_numeric", "weekly_utilization"]
+
+
+@pytest.mark.parametrize("name", SESSION_SENSITIVE)
+def test_results_do_not_depend_on_session_settings(spark, con, name):
+    """Timestamps are timezone-free and casts are explicit, so another
+    session time zone or ANSI mode off must not change any result."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled")}
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        problems, _, _, _ = compare(spark, con, name, QUERIES[name], ORACLE[name], SF_SMALL)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert not problems, problems
