@@ -47,7 +47,7 @@ def test_literal_golden_row(spark):
 
 def nymex_report(wti_sett: str, first_blank: bool = False) -> str:
     lines = [
-        "CME GROUP SETTLEMENT REPORT",
+        "DAILY SETTLEMENT REPORT",
         "",
         WTI,
         *([""] if first_blank else []),
