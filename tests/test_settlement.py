@@ -168,3 +168,53 @@ def test_display_names(spark):
     cols = settlement.to_display(wide).columns
     assert cols == ["Date", "WTI Crude Oil", "Propane", "Brent Crude Oil", "Ethane", "US to CA$",
                     "Euro to $US", "Nat. Gas"]
+
+
+def test_many_dates_generated(spark, tmp_path):
+    """40 dates x 3 report kinds x 7 products, random missing reports, ragged
+    first lines (5 to 12 tokens), blank lines and signed / dot-leading numbers.
+    Expected rows come from the generator, not from a second parser."""
+    import random
+
+    from marketprep.rules import PRODUCT_RULES
+    rng = random.Random(7)
+    root = str(tmp_path)
+    expected = {}
+    start = dt.date(2024, 1, 1)
+    for d in range(40):
+        day = start + dt.timedelta(days=d)
+        row = {}
+        for source in (NYMEX, FX, GAS):
+            if rng.random() < 0.2:
+                continue  # report missing that day
+            lines = ["HEADER", ""]
+            for _, src, name, _, price, transform, col in PRODUCT_RULES:
+                if src != source:
+                    continue
+                n_tok = rng.choice([5, 8, 9, 10, 11, 12])
+                sett = rng.choice([round(rng.uniform(0.1, 99), 4), -round(rng.uniform(0.1, 9), 3)])
+                last = round(rng.uniform(0.1, 99), 5)
+                sett_txt = f"{sett:.4f}".replace("0.", ".", 1) if 0 < sett < 1 else f"{sett}"
+                cells = ["MAR24", "1.0", "2.0", "0.5", f"{last}", sett_txt, "+.1", "10", "9.9", "1",
+                         "2", "3"][:n_tok]
+                lines += [name] + [""] * rng.randint(0, 2) + ["  ".join(cells), "APR24 1 2 3 4 5",
+                                                             "TOTAL 1"]
+                if n_tok < 5:
+                    value = None
+                elif price == "settlement":
+                    value = float(sett) if n_tok >= 6 else None
+                else:
+                    value = last
+                if transform == "reciprocal" and value is not None:
+                    value = 1 / value if value != 0 else value
+                row[col] = value
+            write_text(os.path.join(root, f"report_date={day.isoformat()}", f"source_id={source}",
+                                    "r.txt"), "\n".join(lines))
+        if row:
+            expected[day] = row
+    wide = settlement.settlement_history(spark, read_reports(spark, root))
+    got = {r["report_date"]: r.asDict() for r in wide.collect()}
+    assert set(got) == set(expected)
+    for day, cols in expected.items():
+        for col in (r[6] for r in PRODUCT_RULES):
+            assert got[day][col] == cols.get(col), (day, col)
