@@ -7,8 +7,11 @@ reports (report_date, source_id, file_name, text)
   -> numbers cleaned (default or parity pattern)
   -> rule pivot: one wide row per report date (or per as-of date).
 
-One lazy plan.  The only shuffle is the final group-by on the date, which
-receives one partially aggregated row per (task, date).
+One lazy plan.  Per report date (``settlement_history``) the only shuffle is
+the final group-by on the date, which receives one partially aggregated row
+per (task, date).  Per as-of date (``settlement_as_of``) the lookback adds a
+join of the (small) report inventory and one of the parsed rows with the
+chosen (as-of, source, report date) triples.
 """
 
 from __future__ import annotations

@@ -121,3 +121,59 @@ def test_period_is_date(spark, series_root):
     t = typed_series(read_envelopes(spark, series_root))
     assert dict(t.dtypes)["period"] == "date" and dict(t.dtypes)["value"] == "double"
     assert t.where(F.col("series_code") == "YUP").count() == 1
+
+
+def test_generated_weeks_against_pandas(spark, tmp_path):
+    """30 weeks x 3 areas, random gaps on either side, zero capacities and a
+    duplicated key; join and percent checked against a pandas merge, the
+    latest-week pick against a plain loop."""
+    import random
+
+    import numpy as np
+    import pandas as pd
+
+    rng = random.Random(11)
+    root = str(tmp_path)
+    areas = [("NUS", "U.S."), ("R30", "PADD 3"), ("R10", "PADD 1")]
+    fridays = [dt.date(2024, 1, 5) + dt.timedelta(days=7 * w) for w in range(30)]
+    cap, inp = [], []
+    for f in fridays:
+        for code, area in areas:
+            if rng.random() < 0.85:
+                cap.append(rec(f.isoformat(), code, area, rng.choice(["0", f"{rng.randint(900, 19000)}"])))
+            if rng.random() < 0.85:
+                inp.append(rec(f.isoformat(), code, area, f"{rng.uniform(500, 18000):.2f}"))
+    inp.append(dict(inp[0]))  # duplicated key on the input side
+    land(root, "YRL", cap)
+    land(root, "EPXXX2", inp)
+
+    util = series_utilization(typed_series(read_envelopes(spark, root)))
+    got = sorted((r["period"], r["area_name"], r["percent_utilization"]) for r in util.collect())
+
+    c = pd.DataFrame(cap).rename(columns={"area-name": "area"})
+    i = pd.DataFrame(inp).rename(columns={"area-name": "area"})
+    m = c.merge(i, on=["period", "duoarea", "area"], suffixes=("", ".in"))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        pct = m["value.in"].astype(float) / m["value"].astype(float) * 100
+    pct = np.round(pct, 2).replace([np.inf, -np.inf], np.nan)
+    exp = sorted((dt.date.fromisoformat(p), a, None if np.isnan(v) else float(v))
+                 for p, a, v in zip(m["period"], m["area"], pct))
+    assert got == exp
+
+    wanted = ["U.S.", "PADD 3"]
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=k) for k in range(0, 215, 3)]
+    spine = spark.createDataFrame([(d,) for d in days], "as_of date")
+    wide = {r["as_of"]: r for r in latest_week_wide(util, spine).collect()}
+    by_week = {}
+    for p, a, v in exp:
+        if a in wanted:
+            by_week.setdefault(p, {})[a] = v
+    for d in days:
+        this_fri = d - dt.timedelta(days=(d.weekday() - 4) % 7)
+        pick = next((f for f in (this_fri, this_fri - dt.timedelta(days=7)) if f in by_week), None)
+        if pick is None:
+            assert d not in wide
+            continue
+        r = wide[d]
+        assert r["Date"] == pick
+        assert r["U.S."] == by_week[pick].get("U.S.") and r["PADD3"] == by_week[pick].get("PADD 3")
