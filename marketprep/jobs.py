@@ -26,6 +26,7 @@ from .plans.utilization import latest_week_wide, series_utilization
 from .rules import (PRODUCT_RULES, SETTLEMENT_SINK_TYPES, UTILIZATION_AREAS,
                     UTILIZATION_COLUMNS, UTILIZATION_SINK_TYPES)
 from .sources.envelope import read_envelopes, typed_series
+from .sources.facets import facet_top_n
 from .sources.jdbc import write_jdbc
 from .sources.literal import SETTLEMENT_ROW_SCHEMA, literal_table
 from .sources.reports import read_reports
@@ -77,11 +78,20 @@ def utilization_job(spark: SparkSession, landing_root: str, spine: DataFrame,
                     parity: bool = False, strict: bool = True,
                     jdbc_url: str | None = None, table: str | None = None,
                     write_mode: str = "overwrite",
-                    options: Mapping[str, str] | None = None) -> DataFrame:
+                    options: Mapping[str, str] | None = None,
+                    newest_rows: int | None = None) -> DataFrame:
     """``Date, U.S., PADD3``: the reported week of each as-of date (several
-    as-of dates reporting the same week give one row)."""
-    util = series_utilization(typed_series(read_envelopes(spark, landing_root), strict=strict),
-                              areas=UTILIZATION_AREAS)
+    as-of dates reporting the same week give one row).
+
+    ``newest_rows`` keeps only the newest N records of each series before the
+    join, as the source's faceted request did (it asked for 12); by default
+    the whole history is used."""
+    records = typed_series(read_envelopes(spark, landing_root), strict=strict)
+    if newest_rows:
+        records = facet_top_n(records, None, ["series_code"],
+                              [F.col("period").desc(), F.col("duoarea"), F.col("area_name")],
+                              n=newest_rows).drop("rn")
+    util = series_utilization(records, areas=UTILIZATION_AREAS)
     wide = latest_week_wide(util, spine, parity=parity)
     out = wide.select(*[F.col(f"`{c}`") for c in UTILIZATION_COLUMNS]).dropDuplicates(["Date"])
     _sink(out, UTILIZATION_SINK_TYPES, jdbc_url, table, write_mode, options)
@@ -112,6 +122,8 @@ def main(argv: Sequence[str] | None = None) -> int:
     ap.add_argument("--table")
     ap.add_argument("--append", action="store_true")
     ap.add_argument("--display-names", action="store_true")
+    ap.add_argument("--facet-rows", type=int, default=None,
+                    help="utilization: newest N records per series only (the source used 12)")
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
 
@@ -134,7 +146,8 @@ def main(argv: Sequence[str] | None = None) -> int:
             out = out.withColumnsRenamed({r[6]: r[3] for r in PRODUCT_RULES})
     else:
         out = utilization_job(spark, a.landing, spine, parity=a.parity,
-                              jdbc_url=a.jdbc_url, table=a.table, write_mode=mode)
+                              jdbc_url=a.jdbc_url, table=a.table, write_mode=mode,
+                              newest_rows=a.facet_rows)
     if not (a.jdbc_url and a.table):
         out.orderBy(out.columns[0]).show(truncate=False)
     return 0

@@ -109,3 +109,18 @@ def test_cli_utilization(spark, tmp_path, capsys):
                       "--end", "2024-12-08"]) == 0
     printed = capsys.readouterr().out
     assert "2024-12-06" in printed and "88.1" in printed
+
+
+def test_utilization_job_newest_rows(spark, tmp_path):
+    root = str(tmp_path)
+    weeks = ["2024-11-22", "2024-11-29", "2024-12-06"]
+    land(root, "YRL", [rec(w, c, a, "10000") for w in weeks for c, a in (("NUS", "U.S."),
+                                                                       ("R30", "PADD 3"))])
+    land(root, "EPXXX2", [rec(w, c, a, "9000") for w in weeks for c, a in (("NUS", "U.S."),
+                                                                         ("R30", "PADD 3"))])
+    spine = jobs.as_of_spine(spark, ["2024-11-23", "2024-12-07"])
+    full = {r["Date"] for r in jobs.utilization_job(spark, root, spine).collect()}
+    assert full == {dt.date(2024, 11, 22), dt.date(2024, 12, 6)}
+    # Newest 2 records per series = the Dec 6 week only; Nov 23 falls back to nothing.
+    newest = jobs.utilization_job(spark, root, spine, newest_rows=2).collect()
+    assert [(r["Date"], r["U.S."], r["PADD3"]) for r in newest] == [(dt.date(2024, 12, 6), 90.0, 90.0)]
