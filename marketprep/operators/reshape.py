@@ -91,6 +91,8 @@ def label_pivot(df: DataFrame, keys: Sequence[str], label_col: str, value_col: s
     Passing the labels keeps Spark from running a distinct job to find them
     and fixes the output schema; a label with no data is a NULL column.
     The group key is the single distinct value the source read (AGG-3).
+    Duplicate labels within a group keep the largest value (the source kept
+    the last one in row order, which a distributed table does not have).
     """
     return (df.groupBy(*keys).pivot(label_col, list(labels)).agg(F.max(value_col))
             .select(*keys, *[F.col(f"`{lab}`") for lab in labels]))

@@ -6,7 +6,7 @@ and unwrapped with ``inline``, a narrow generator: no shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,6 +58,28 @@ def read_envelopes(spark: SparkSession, root: str,
 
 
 def typed_series(records: DataFrame, strict: bool = True) -> DataFrame:
-    """Period as DATE and value as DOUBLE (CAST-2; strict raises on bad text)."""
-    value: Column = F.col("value").cast("double") if strict else F.col("value").try_cast("double")
-    return records.withColumn("period", F.to_date("period")).withColumn("value", value)
+    """Period as DATE and value as DOUBLE (CAST-2): ``strict`` raises on bad
+    text, otherwise bad text becomes NULL (see :func:`quarantine_values` to
+    keep the bad rows instead)."""
+    if strict:
+        period, value = F.to_date("period"), F.col("value").cast("double")
+    else:
+        period, value = F.col("period").try_cast("date"), F.col("value").try_cast("double")
+    return records.withColumn("period", period).withColumn("value", value)
+
+
+def quarantine_values(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """CAST-2 with quarantine: ``(good, bad)``.
+
+    ``good`` is :func:`typed_series` without failing; ``bad`` holds the
+    records whose ``value`` or ``period`` text is present but does not parse,
+    with the raw text kept for inspection.  Both come from one lazy plan
+    (Spark evaluates each when it is written).
+    """
+    value = F.col("value").try_cast("double")
+    period = F.col("period").try_cast("date")
+    bad_cond = ((F.col("value").isNotNull() & value.isNull())
+                | (F.col("period").isNotNull() & period.isNull()))
+    good = records.where(~bad_cond).withColumn("period", period).withColumn("value", value)
+    bad = records.where(bad_cond)
+    return good, bad

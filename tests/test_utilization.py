@@ -177,3 +177,16 @@ def test_generated_weeks_against_pandas(spark, tmp_path):
         r = wide[d]
         assert r["Date"] == pick
         assert r["U.S."] == by_week[pick].get("U.S.") and r["PADD3"] == by_week[pick].get("PADD 3")
+
+
+def test_quarantine_bad_values(spark, tmp_path):
+    from marketprep.sources.envelope import quarantine_values
+    root = str(tmp_path)
+    land(root, "YRL", [rec("2024-12-06", "NUS", "U.S.", "n/a"), rec("2024-12-06", "R30", "PADD 3", "10"),
+                       rec("not-a-date", "R10", "PADD 1", "5"), rec("2024-12-06", "R20", "PADD 2", None)])
+    good, bad = quarantine_values(read_envelopes(spark, root))
+    assert sorted(r["area_name"] for r in bad.collect()) == ["PADD 1", "U.S."]
+    g = {r["area_name"]: r for r in good.collect()}
+    assert set(g) == {"PADD 3", "PADD 2"}
+    assert g["PADD 3"]["value"] == 10.0 and g["PADD 2"]["value"] is None
+    assert dict(good.dtypes)["period"] == "date"
