@@ -48,17 +48,16 @@ def get_session(master: str | None = None, app: str = "marketprep",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins; only when it is unset (tests, a laptop)
-    do we pick a scratch folder of our own.
+    The cluster's setting always wins; only when none is configured (tests,
+    a laptop) do we pick a scratch folder of our own.  The context's
+    checkpoint directory is set once, not on every call.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir() if hasattr(
-            spark.sparkContext, "getCheckpointDir") else None
+    sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="marketprep-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(current)
     return current
 
 

@@ -85,3 +85,14 @@ def test_hot_key_plan_combines_before_shuffle(spark):
         plan = jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
         before_exchange = plan.split("Exchange hashpartitioning")[1]
         assert "partial_" in before_exchange
+
+
+def test_cut_lineage_checkpoints_to_shared_dir(spark):
+    from marketprep.session import checkpoint_dir, cut_lineage
+    d = checkpoint_dir(spark)
+    assert d and spark.sparkContext.getCheckpointDir() is not None
+    df = spark.range(1000).select((F.col("id") % 7).alias("k")).groupBy("k").count()
+    cut = cut_lineage(df)
+    plan = cut._jdf.queryExecution().logical().toString()
+    assert "LogicalRDD" in plan and "Aggregate" not in plan      # lineage cut
+    assert sorted(tuple(r) for r in cut.collect()) == sorted(tuple(r) for r in df.collect())
