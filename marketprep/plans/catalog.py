@@ -326,8 +326,10 @@ def asof_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = read_table(spark, sf_dir, "nation").where(F.col("n_regionkey") == ASOF_REGION) \
         .select("n_nationkey")
-    inv = (o.join(cust, o.o_custkey == cust.c_custkey, "inner")
-           .join(n, F.col("c_nationkey") == n.n_nationkey, "left_semi")
+    # Semi joins all the way: only the order dates are needed, so neither the
+    # customer nor the nation columns travel, and no row can be duplicated.
+    region_cust = cust.join(n, cust.c_nationkey == n.n_nationkey, "left_semi").select("c_custkey")
+    inv = (o.join(region_cust, o.o_custkey == region_cust.c_custkey, "left_semi")
            .select(_date("o_orderdate").alias("report_date")).distinct())
     spine = _order_day_spine(spark, sf_dir, "as_of")
     out = joins.asof_lookback(spine, "as_of", inv, "report_date",
