@@ -104,3 +104,22 @@ def test_partitioned_read_options(spark, monkeypatch):
     assert out == "loaded"
     assert (seen["partitionColumn"], seen["lowerBound"], seen["upperBound"], seen["numPartitions"]) \
         == ("id", "0", "1000", "8")
+
+
+def test_settlement_job_sink_types(spark, recorded_writer, tmp_path):
+    import os
+
+    from marketprep import jobs
+    from tests.conftest import write_text
+    from tests.test_settlement import GAS, gas_report
+    root = str(tmp_path)
+    write_text(os.path.join(root, "report_date=2024-11-20", f"source_id={GAS}", "r.txt"), gas_report())
+    spine = jobs.as_of_spine(spark, ["2024-11-21"])
+    jobs.settlement_job(spark, root, spine, jdbc_url="jdbc:db://h/x", table="stg.prices",
+                        write_mode="append", as_of_range=("2024-11-21", "2024-11-21"))
+    r = recorded_writer
+    assert r.mode == "append" and r.options["dbtable"] == "stg.prices"
+    assert r.options["createTableColumnTypes"] == "Date DATE, " + SETTLEMENT_SINK_TYPES
+    assert r.saved.columns[0] == "Date" and dict(r.saved.dtypes)["Date"] == "date"
+    rows = r.saved.collect()
+    assert len(rows) == 1 and rows[0]["nat_gas"] == 3.363
