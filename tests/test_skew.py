@@ -96,3 +96,21 @@ def test_cut_lineage_checkpoints_to_shared_dir(spark):
     plan = cut._jdf.queryExecution().logical().toString()
     assert "LogicalRDD" in plan and "Aggregate" not in plan      # lineage cut
     assert sorted(tuple(r) for r in cut.collect()) == sorted(tuple(r) for r in df.collect())
+
+
+def test_facet_offsets(spark):
+    from marketprep.sources.facets import facet_top_n
+    df = spark.range(100).select(F.col("id"), (F.col("id") % 2).alias("s"),
+                                 (F.col("id") % 3).cast("string").alias("f"))
+    order = [F.col("id").desc()]
+    per = facet_top_n(df, {"f": ["0", "1"]}, ["s"], order, n=3, offset=2).collect()
+    got = sorted((r["s"], r["id"], r["rn"]) for r in per)
+    pdf = df.toPandas()
+    pdf = pdf[pdf.f.isin(["0", "1"])]
+    exp = []
+    for s, g in pdf.groupby("s"):
+        ids = sorted(g.id, reverse=True)[2:5]
+        exp += [(s, i, k + 3) for k, i in enumerate(ids)]
+    assert got == sorted(exp)
+    single = [r["id"] for r in facet_top_n(df, {"f": ["2"]}, [], order, n=4, offset=3).collect()]
+    assert single == sorted(pdf_all := [i for i in range(100) if i % 3 == 2], reverse=True)[3:7]
