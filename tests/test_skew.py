@@ -113,4 +113,4 @@ def test_facet_offsets(spark):
         exp += [(s, i, k + 3) for k, i in enumerate(ids)]
     assert got == sorted(exp)
     single = [r["id"] for r in facet_top_n(df, {"f": ["2"]}, [], order, n=4, offset=3).collect()]
-    assert single == sorted(pdf_all := [i for i in range(100) if i % 3 == 2], reverse=True)[3:7]
+    assert single == sorted((i for i in range(100) if i % 3 == 2), reverse=True)[3:7]
