@@ -52,6 +52,9 @@ def first_data_rows(status: DataFrame, keys: Sequence[str], parity: bool = False
 
     Output: ``keys + [Data_Set, Month, Settlement_Price, Last_Price]`` plus
     the six raw kept cells; sections without a data line give no row.
+    Tokens are whitespace-delimited and kept whole: a comma or quote inside
+    a token does not split or shift cells (the source's CSV round trip
+    would have).
     """
     kept = list(REPORT_COLUMNS[:KEPT_COLUMN_COUNT])
     # Blank lines are not data rows (the CSV reader skipped them), so the
