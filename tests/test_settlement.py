@@ -218,3 +218,21 @@ def test_many_dates_generated(spark, tmp_path):
     for day, cols in expected.items():
         for col in (r[6] for r in PRODUCT_RULES):
             assert got[day][col] == cols.get(col), (day, col)
+
+
+def test_line_table_form_matches_whole_text(spark, landed):
+    """Reports too big for one row are landed as lines; the keyed line-table
+    scan (per-source product headers) must give the same sections."""
+    from marketprep.operators import sections
+    from marketprep.sources.literal import product_rules
+    reports = read_reports(spark, landed)
+    keys = ["report_date", "source_id", "file_name"]
+    whole = sections.sections_in_text(reports, product_rules(spark), keys=keys,
+                                      header_keys=["source_id"])
+    lines = sections.report_lines(reports, keys=keys)
+    table = sections.sections_in_lines(lines, product_rules(spark), keys=keys,
+                                       header_keys=["source_id"])
+    cols = keys + ["position", "data_set", "line_no", "line"]
+    a = sorted(tuple(r) for r in whole.select(*cols).collect())
+    b = sorted(tuple(r) for r in table.select(*cols).collect())
+    assert a == b and len(a) > 20
