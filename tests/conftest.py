@@ -19,6 +19,16 @@ def spark():
     s.stop()
 
 
+def plan_text(df, mode: str = "formatted") -> str:
+    """What ``df.explain(mode=...)`` prints, as a string (public API only)."""
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode=mode)
+    return buf.getvalue()
+
+
 def write_text(path: str, text: str, newline: str = "\n") -> None:
     os.makedirs(os.path.dirname(path), exist_ok=True)
     with open(path, "w", newline="") as f:

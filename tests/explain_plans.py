@@ -7,6 +7,8 @@ scans, exchanges (shuffles), broadcasts, sort-merge joins and aggregates.
 
 from __future__ import annotations
 
+import contextlib
+import io
 import os
 import re
 import sys
@@ -22,13 +24,15 @@ def main(argv):
     from __spark_entry__ import queries
     from marketprep.session import get_session
     spark = get_session("local[8]", shuffle_partitions=16)
-    jvm = spark.sparkContext._jvm
     os.makedirs(out, exist_ok=True)
     for name, fn in queries().items():
         if names and name not in names:
             continue
         df = fn(spark, sf_dir)
-        text = jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain(mode="formatted")
+        text = buf.getvalue()
         with open(os.path.join(out, f"{name}.txt"), "w") as f:
             f.write(text)
         count = lambda pat: len(re.findall(pat, text.split("\n\n")[0]))

@@ -6,7 +6,7 @@ import pytest
 
 from tests.oracle_check import compare, duck
 
-from .conftest import SF_SMALL
+from .conftest import SF_SMALL, plan_text
 
 import __spark_entry__ as entry_mod  # noqa: E402
 
@@ -39,8 +39,7 @@ def test_entry_smoke(spark):
 
 
 def _plan(df) -> str:
-    jvm = df.sparkSession.sparkContext._jvm
-    return jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return plan_text(df, "formatted")
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -64,7 +63,7 @@ def test_columns_are_pruned_at_the_scan(spark):
 
 
 def test_top_n_uses_group_limit(spark):
-    plan = QUERIES["facet_topn"](spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
+    plan = _plan(QUERIES["facet_topn"](spark, SF_SMALL))
     assert "WindowGroupLimit" in plan
 
 

@@ -7,7 +7,7 @@ import os
 
 from marketprep import jobs
 
-from .conftest import write_text
+from .conftest import plan_text, write_text
 from .test_settlement import (F1_EXPECTED, F1_ROWS, FX, GAS, NYMEX, fx_report, gas_report,
                               nymex_report)
 from .test_utilization import land, rec
@@ -69,8 +69,7 @@ def test_report_window_prunes_partitions(spark, tmp_path):
     root = str(tmp_path)
     _landing(root)
     pruned = settlement.report_window(read_reports(spark, root), "2024-11-22", "2024-11-22")
-    jvm = spark.sparkContext._jvm
-    plan = jvm.PythonSQLUtils.explainString(pruned._jdf.queryExecution(), "formatted")
+    plan = plan_text(pruned, "formatted")
     assert "PartitionFilters" in plan and "report_date" in plan.split("PartitionFilters")[1][:300]
     assert sorted(r["report_date"].isoformat() for r in pruned.select("report_date").collect()) \
         == ["2024-11-20", "2024-11-20", "2024-11-20", "2024-11-22"]

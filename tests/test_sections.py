@@ -12,6 +12,8 @@ from hypothesis import strategies as st
 from marketprep.operators import sections
 from marketprep.session import rule_frame
 
+from .conftest import plan_text
+
 HEADERS = ["NG Henry Hub", "Crude", "Crude Oil Last Day", "The "]
 
 
@@ -126,7 +128,7 @@ def test_broadcast_only_bounded(spark):
     data = spark.createDataFrame([(0, "x")], "position int, h string")
     assert row_bound(rules) == 1 and row_bound(data) is None
     big = spark.range(10).toDF("position")
-    plan = big.join(broadcast_if_bounded(data), "position")._jdf.queryExecution().logical().toString()
-    assert "broadcast" not in plan.lower()
-    plan = big.join(broadcast_if_bounded(rules), "position")._jdf.queryExecution().logical().toString()
-    assert "broadcast" in plan.lower()
+    plan = plan_text(big.join(broadcast_if_bounded(data), "position"), "extended")
+    assert "strategy=broadcast" not in plan
+    plan = plan_text(big.join(broadcast_if_bounded(rules), "position"), "extended")
+    assert "strategy=broadcast" in plan

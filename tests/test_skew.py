@@ -9,6 +9,8 @@ from marketprep.operators import joins, reshape
 from marketprep.rules import PivotRule
 from marketprep.session import spread
 
+from .conftest import plan_text
+
 N = 30_000
 
 
@@ -78,11 +80,10 @@ def test_spread_is_noop_with_enough_splits(spark):
 
 def test_hot_key_plan_combines_before_shuffle(spark):
     ev = skewed_events(spark)
-    jvm = spark.sparkContext._jvm
     for df in (reshape.first_per_group(ev, ["user_id"], ["ts", "event_id"]),
                reshape.rule_pivot(ev, ["user_id"], [PivotRule(0, "a", "va", "value", "none")],
                                   "kind", "value", "event_id")):
-        plan = jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+        plan = plan_text(df, "simple")
         before_exchange = plan.split("Exchange hashpartitioning")[1]
         assert "partial_" in before_exchange
 
@@ -93,7 +94,7 @@ def test_cut_lineage_checkpoints_to_shared_dir(spark):
     assert d and spark.sparkContext.getCheckpointDir() is not None
     df = spark.range(1000).select((F.col("id") % 7).alias("k")).groupBy("k").count()
     cut = cut_lineage(df)
-    plan = cut._jdf.queryExecution().logical().toString()
+    plan = plan_text(cut, "extended").split("== Physical Plan ==")[0]
     assert "LogicalRDD" in plan and "Aggregate" not in plan      # lineage cut
     assert sorted(tuple(r) for r in cut.collect()) == sorted(tuple(r) for r in df.collect())
 
