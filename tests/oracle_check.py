@@ -23,6 +23,10 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for t in TABLES:
@@ -69,6 +73,13 @@ def compare(spark, con, name, fn, sql, sf_dir):
     problems = []
     if sorted(s_cols) != sorted(d_cols):
         problems.append(f"columns spark={s_cols} duck={d_cols}")
+    else:
+        s_types = dict(sdf.dtypes)
+        d_types = {d[0]: str(d[1]) for d in res.description}
+        for c in s_cols:
+            want = SPARK_TO_DUCK.get(s_types[c], s_types[c])
+            if want != d_types[c].upper():
+                problems.append(f"type of {c}: spark={s_types[c]} duck={d_types[c]}")
     if len(s_rows) != len(d_rows):
         problems.append(f"rows spark={len(s_rows)} duck={len(d_rows)}")
     if not problems:
