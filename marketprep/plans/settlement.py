@@ -89,6 +89,32 @@ def first_rows(spark: SparkSession, reports: DataFrame, footer: str = SECTION_FO
     return first_data_rows(s, [*REPORT_KEYS, "position"], parity)
 
 
+def first_rows_from_lines(spark: SparkSession, lines: DataFrame, footer: str = SECTION_FOOTER,
+                          parity: bool = False) -> DataFrame:
+    """:func:`first_rows` for reports landed as a line table
+    ``(report_date, source_id, file_name, line_no, line)`` - reports too large
+    to be one row.
+
+    Sections come from the keyed line-table scan; the first non-blank line
+    of each section is a ``min_by`` over ``line_no`` (partial aggregation, so
+    a huge report does not land in one task); the cells and numbers are
+    then derived exactly as in the whole-text path.
+    """
+    keys = list(REPORT_KEYS)
+    sec = sections.sections_in_lines(lines, product_rules(spark), keys=keys,
+                                     header_keys=["source_id"], footer=footer)
+    firsts = reshape.first_per_group(sec.where(txt.trim_ws("line") != ""),
+                                     keys + ["position", "data_set"], ["line_no"], cols=["line"])
+    status = firsts.withColumn("section_lines", F.array("line"))
+    return first_data_rows(status, [*REPORT_KEYS, "position"], parity)
+
+
+def settlement_history_from_lines(spark: SparkSession, lines: DataFrame,
+                                  parity: bool = False) -> DataFrame:
+    """One wide row per report date from a line table."""
+    return settlement_wide(first_rows_from_lines(spark, lines, parity=parity))
+
+
 def priced(rows: DataFrame, rules: Sequence[PivotRule]) -> DataFrame:
     """Pick the settlement or last price per rule and apply its transform."""
     value = None

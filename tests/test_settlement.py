@@ -236,3 +236,15 @@ def test_line_table_form_matches_whole_text(spark, landed):
     a = sorted(tuple(r) for r in whole.select(*cols).collect())
     b = sorted(tuple(r) for r in table.select(*cols).collect())
     assert a == b and len(a) > 20
+
+
+def test_history_from_line_table_equals_whole_text(spark, landed):
+    from marketprep.operators import sections
+    reports = read_reports(spark, landed)
+    lines = sections.report_lines(reports, keys=["report_date", "source_id", "file_name"])
+    a = settlement.settlement_history_from_lines(spark, lines)
+    b = settlement.settlement_history(spark, reports)
+    assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.select(*a.columns).collect())
+    fa = settlement.first_rows_from_lines(spark, lines)
+    fb = settlement.first_rows(spark, reports)
+    assert sorted(tuple(r) for r in fa.collect()) == sorted(tuple(r) for r in fb.select(*fa.columns).collect())
