@@ -359,17 +359,13 @@ def weekly_utilization(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ----------------------------------------- job A shape: sections -> wide rows
-def report_settlement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Job A end to end on ``documents``: per document and header phrase the
-    first data line of the section, tokenised, padded, numbers cleaned, then
-    a rule pivot to one wide row per document."""
-    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    status = sections.sections_in_text(docs, [r[1] for r in DOCUMENT_RULES], keys=["doc_id"],
-                                       footer=SECTION_FOOTER_WORD, header_col="phrase",
-                                       keep_status=True)
-    rows = first_data_rows(status, ["doc_id", "position"], header_col="phrase")
-    rules = [PivotRule(p, phrase, col, price, tf) for p, phrase, col, price, tf in DOCUMENT_RULES]
-    # Pivot the month cell together with the price: one struct per rule.
+def _document_rules() -> list[PivotRule]:
+    return [PivotRule(p, phrase, col, price, tf) for p, phrase, col, price, tf in DOCUMENT_RULES]
+
+
+def _document_pivot(rows: DataFrame) -> DataFrame:
+    """Rule pivot of the first-row cells: month and price per phrase rule."""
+    rules = _document_rules()
     both = priced(rows, rules).withColumn(
         "cell", F.struct(F.col("Month").alias("month"), F.col("price_value").alias("price")))
     wide = reshape.rule_pivot(both, ["doc_id"], rules, name_col="Data_Set", value_col="cell",
@@ -381,6 +377,31 @@ def report_settlement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide.select(*out)
 
 
+def report_settlement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Job A end to end on ``documents``: per document and header phrase the
+    first data line of the section, tokenised, padded, numbers cleaned, then
+    a rule pivot to one wide row per document (whole-text form)."""
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    status = sections.sections_in_text(docs, [r[1] for r in DOCUMENT_RULES], keys=["doc_id"],
+                                       footer=SECTION_FOOTER_WORD, header_col="phrase",
+                                       keep_status=True)
+    return _document_pivot(first_data_rows(status, ["doc_id", "position"], header_col="phrase"))
+
+
+def report_settlement_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same result through the line-table form used for reports too large
+    for one row: keyed theta join, partial mins, ``min_by`` first line."""
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    lines = sections.report_lines(docs, keys=["doc_id"])
+    phrases = rule_frame(spark, [(r[0], r[1]) for r in DOCUMENT_RULES], "position int, phrase string")
+    sec = sections.sections_in_lines(lines, phrases, keys=["doc_id"], footer=SECTION_FOOTER_WORD,
+                                     header_col="phrase")
+    firsts = reshape.first_per_group(sec.where(txt.trim_ws("line") != ""),
+                                     ["doc_id", "position", "phrase"], ["line_no"], cols=["line"])
+    status = firsts.withColumn("section_lines", F.array("line"))
+    return _document_pivot(first_data_rows(status, ["doc_id", "position"], header_col="phrase"))
+
+
 # ------------------------------------------------------- TOP-2, single facet
 def facet_single(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One facet value, newest first, ``OFFSET .. LIMIT`` (the 12 is the feature)."""
@@ -422,5 +443,6 @@ QUERIES = {
     "report_key": report_key,
     "weekly_utilization": weekly_utilization,
     "report_settlement": report_settlement,
+    "report_settlement_lines": report_settlement_lines,
     "facet_single": facet_single,
 }

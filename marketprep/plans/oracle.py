@@ -408,5 +408,6 @@ ORACLE_SQL = {
     "report_key": REPORT_KEY,
     "weekly_utilization": WEEKLY_UTILIZATION,
     "report_settlement": REPORT_SETTLEMENT,
+    "report_settlement_lines": REPORT_SETTLEMENT,
     "facet_single": FACET_SINGLE,
 }
