@@ -317,6 +317,11 @@ def fallback_week(spark: SparkSession, sf_dir: str, parity: bool = False) -> Dat
     return out.select("day", "friday", "fallback_rank", "n_orders", "total_price")
 
 
+def fallback_week_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``fallback_week`` as the source behaved (Q1): only the previous Friday."""
+    return fallback_week(spark, sf_dir, parity=True)
+
+
 # ------------------------------------------------------ SRC-6, JOIN-4, DATE-3
 def asof_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per day, the nearest available 'report' date within a 7-day lookback,
@@ -439,6 +444,7 @@ QUERIES = {
     "ratio_join": ratio_join,
     "wide_two_areas": wide_two_areas,
     "fallback_week": fallback_week,
+    "fallback_week_parity": fallback_week_parity,
     "asof_lookback": asof_lookback,
     "report_key": report_key,
     "weekly_utilization": weekly_utilization,

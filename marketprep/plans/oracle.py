@@ -249,6 +249,19 @@ SELECT day, friday, CAST(fallback_rank AS INTEGER) AS fallback_rank, n_orders, t
 FROM hit WHERE pick = 1
 """
 
+FALLBACK_WEEK_PARITY = "WITH" + _SPINE.format(col="day") + f""",
+fri AS (
+  SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n_orders,
+         CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_price
+  FROM orders
+  WHERE o_orderstatus = {_q(FALLBACK_STATUS)} AND o_orderpriority = {_q(FALLBACK_PRIORITY)}
+    AND isodow(CAST(o_orderdate AS DATE)) = 5
+  GROUP BY 1)
+SELECT s.day, f.d AS friday, CAST(0 AS INTEGER) AS fallback_rank, f.n_orders, f.total_price
+FROM spine s
+JOIN fri f ON f.d = CAST(s.day - CAST((isodow(s.day) - 1 + 3) % 7 AS INTEGER) - 7 AS DATE)
+"""
+
 ASOF_LOOKBACK = "WITH" + _SPINE.format(col="as_of") + f""",
 inv AS (
   SELECT DISTINCT CAST(o.o_orderdate AS DATE) AS report_date
@@ -404,6 +417,7 @@ ORACLE_SQL = {
     "ratio_join": RATIO_JOIN,
     "wide_two_areas": WIDE_TWO_AREAS,
     "fallback_week": FALLBACK_WEEK,
+    "fallback_week_parity": FALLBACK_WEEK_PARITY,
     "asof_lookback": ASOF_LOOKBACK,
     "report_key": REPORT_KEY,
     "weekly_utilization": WEEKLY_UTILIZATION,
