@@ -30,6 +30,7 @@ from .sources.facets import facet_top_n
 from .sources.jdbc import write_jdbc
 from .sources.literal import SETTLEMENT_ROW_SCHEMA, literal_table
 from .sources.reports import read_reports
+from .session import literal_rows
 
 
 def as_of_spine(spark: SparkSession, dates: Sequence[str] | None = None,
@@ -39,7 +40,7 @@ def as_of_spine(spark: SparkSession, dates: Sequence[str] | None = None,
         return spark.range(1).select(
             F.explode(F.sequence(F.to_date(F.lit(start)), F.to_date(F.lit(end)))).alias("as_of"))
     if dates:
-        return spark.createDataFrame([(d,) for d in dates], "as_of string") \
+        return literal_rows(spark, [(d,) for d in dates], "as_of string") \
             .select(F.to_date("as_of").alias("as_of"))
     return spark.range(1).select(F.current_date().alias("as_of"))
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .rules import MAX_RULE_ROWS
 
@@ -91,6 +92,27 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 _BOUND_ATTR = "_marketprep_row_bound"
 
 
+# Up to this many rows a literal table is built from constant expressions.
+INLINE_LITERAL_ROWS = 1_000
+
+
+def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A small literal table built JVM-side from constant expressions.
+
+    ``createDataFrame`` over a Python list yields a Python RDD, which executors
+    must unpickle in Python workers and which carries no size statistics.
+    Up to ``INLINE_LITERAL_ROWS`` rows the table is instead one ``inline`` of a
+    constant array of structs: plain JVM expressions, sized by the planner.
+    Larger literal inputs fall back to ``createDataFrame``.
+    """
+    struct = T.StructType.fromDDL(schema)
+    if not rows or len(rows) > INLINE_LITERAL_ROWS:
+        return spark.createDataFrame(list(rows), struct)
+    consts = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, struct.fields)])
+              for row in rows]
+    return spark.range(1).select(F.inline(F.array(*consts)))
+
+
 def rule_frame(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
     """Literal rule table, broadcast to every task.
 
@@ -100,7 +122,7 @@ def rule_frame(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataF
     """
     if len(rows) > MAX_RULE_ROWS:
         raise ValueError(f"rule table of {len(rows)} rows exceeds {MAX_RULE_ROWS}")
-    df = F.broadcast(spark.createDataFrame(list(rows), schema))
+    df = F.broadcast(literal_rows(spark, rows, schema))
     setattr(df, _BOUND_ATTR, len(rows))
     return df
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from ..rules import PRODUCT_RULES
-from ..session import rule_frame
+from ..session import literal_rows, rule_frame
 
 PRODUCT_RULE_SCHEMA = ("position int, source_id string, data_set string, display_name string, "
                        "price string, transform string, sink_column string")
@@ -17,8 +17,9 @@ SETTLEMENT_ROW_SCHEMA = ("Data_Set string, Month string, Settlement_Price double
 
 
 def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A small literal table with an explicit schema (no inference, no NaN)."""
-    return spark.createDataFrame(list(rows), schema)
+    """A small literal table with an explicit schema (no inference, no NaN),
+    built from constant expressions (see ``session.literal_rows``)."""
+    return literal_rows(spark, rows, schema)
 
 
 def product_rules(spark: SparkSession) -> DataFrame:

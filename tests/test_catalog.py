@@ -46,7 +46,7 @@ def _plan(df) -> str:
 def test_plan_has_no_python_or_cartesian(spark, name):
     plan = _plan(QUERIES[name](spark, SF_SMALL))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "CartesianProduct",
-                "MapInPandas"):
+                "MapInPandas", "ExistingRDD"):
         assert bad not in plan, (name, bad)
 
 
