@@ -127,6 +127,8 @@ def main(argv: Sequence[str] | None = None) -> int:
                     help="utilization: newest N records per series only (the source used 12)")
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
+    if bool(a.start) != bool(a.end):
+        ap.error("--start and --end go together")
 
     from .session import get_session
     spark = get_session(a.master)

@@ -123,3 +123,9 @@ def test_utilization_job_newest_rows(spark, tmp_path):
     # Newest 2 records per series = the Dec 6 week only; Nov 23 falls back to nothing.
     newest = jobs.utilization_job(spark, root, spine, newest_rows=2).collect()
     assert [(r["Date"], r["U.S."], r["PADD3"]) for r in newest] == [(dt.date(2024, 12, 6), 90.0, 90.0)]
+
+
+def test_cli_rejects_half_range(tmp_path):
+    import pytest
+    with pytest.raises(SystemExit):
+        jobs.main(["settlement", "--landing", str(tmp_path), "--start", "2024-11-01"])
