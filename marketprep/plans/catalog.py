@@ -150,6 +150,27 @@ def clean_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(*cols)
 
 
+def clean_numeric_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same cleaning on customer text: zero-padded keys in names, signed
+    and dot-leading shapes built from integer columns."""
+    c = spread(read_table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", "c_nationkey", "c_mktsegment"))
+    key = F.col("c_custkey").cast("string")
+    nation = F.col("c_nationkey").cast("string")
+    shapes = {
+        "name": F.col("c_name"),                                      # 'Customer#000000042'
+        "segment": F.col("c_mktsegment"),                             # no digits
+        "dotkey": F.concat(F.lit("."), key),                          # '.42'
+        "negmix": F.concat(F.lit("-"), nation, F.lit("."), key),      # '-7.42'
+        "plus": F.concat(F.lit("+"), nation, F.lit("x"), key),        # '+7x42'
+    }
+    cols = [F.col("c_custkey")]
+    for name, s in shapes.items():
+        cols.append(txt.first_number(s).alias(f"{name}_default"))
+        cols.append(txt.first_number(s, parity=True).alias(f"{name}_parity"))
+    return c.select(*cols)
+
+
 # ------------------------------------------------------------------ SRC-2/CAST-2
 def json_unwrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event wrapped as a one-record envelope, then parsed back.
@@ -436,6 +457,7 @@ QUERIES = {
     "section_status": section_status,
     "ragged_pad": ragged_pad,
     "clean_numeric": clean_numeric,
+    "clean_numeric_customer": clean_numeric_customer,
     "json_unwrap": json_unwrap,
     "facet_topn": facet_topn,
     "first_per_group": first_per_group,

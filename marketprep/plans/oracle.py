@@ -137,6 +137,18 @@ CLEAN_NUMERIC = "SELECT p_partkey,\n  " + ",\n  ".join(
     f"{_num_default(e)} AS {n}_default, {_num_parity(e)} AS {n}_parity"
     for n, e in _SHAPES.items()) + "\nFROM part"
 
+_CUSTOMER_SHAPES = {
+    "name": "c_name",
+    "segment": "c_mktsegment",
+    "dotkey": "'.' || CAST(c_custkey AS VARCHAR)",
+    "negmix": "'-' || CAST(c_nationkey AS VARCHAR) || '.' || CAST(c_custkey AS VARCHAR)",
+    "plus": "'+' || CAST(c_nationkey AS VARCHAR) || 'x' || CAST(c_custkey AS VARCHAR)",
+}
+
+CLEAN_NUMERIC_CUSTOMER = "SELECT c_custkey,\n  " + ",\n  ".join(
+    f"{_num_default(e)} AS {n}_default, {_num_parity(e)} AS {n}_parity"
+    for n, e in _CUSTOMER_SHAPES.items()) + "\nFROM customer"
+
 JSON_UNWRAP = """
 SELECT event_id,
   CAST(ts AS DATE) AS period,
@@ -409,6 +421,7 @@ ORACLE_SQL = {
     "section_status": SECTION_STATUS,
     "ragged_pad": RAGGED_PAD,
     "clean_numeric": CLEAN_NUMERIC,
+    "clean_numeric_customer": CLEAN_NUMERIC_CUSTOMER,
     "json_unwrap": JSON_UNWRAP,
     "facet_topn": FACET_TOPN,
     "first_per_group": FIRST_PER_GROUP,
