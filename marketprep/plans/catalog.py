@@ -133,8 +133,8 @@ def ragged_pad(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clean_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First number of several text shapes, default and parity patterns."""
     p = spread(read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size"))
-    size = F.col("p_size").cast("string")
-    key = F.col("p_partkey").cast("string")
+    size = num.to_text("p_size")
+    key = num.to_text("p_partkey")
     shapes = {
         "brand": F.col("p_brand"),                                     # 'Brand#13'
         "name": F.col("p_name"),                                       # no digits
@@ -155,8 +155,8 @@ def clean_numeric_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     and dot-leading shapes built from integer columns."""
     c = spread(read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_mktsegment"))
-    key = F.col("c_custkey").cast("string")
-    nation = F.col("c_nationkey").cast("string")
+    key = num.to_text("c_custkey")
+    nation = num.to_text("c_nationkey")
     shapes = {
         "name": F.col("c_name"),                                      # 'Customer#000000042'
         "segment": F.col("c_mktsegment"),                             # no digits

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.numeric import to_double_or_null, to_double_strict
+
 # Record fields the utilization job requires.  ``value`` is text in the feed.
 SERIES_RECORD = T.StructType([
     T.StructField("period", T.StringType()),
@@ -62,9 +64,9 @@ def typed_series(records: DataFrame, strict: bool = True) -> DataFrame:
     text, otherwise bad text becomes NULL (see :func:`quarantine_values` to
     keep the bad rows instead)."""
     if strict:
-        period, value = F.to_date("period"), F.col("value").cast("double")
+        period, value = F.to_date("period"), to_double_strict("value")
     else:
-        period, value = F.col("period").try_cast("date"), F.col("value").try_cast("double")
+        period, value = F.col("period").try_cast("date"), to_double_or_null("value")
     return records.withColumn("period", period).withColumn("value", value)
 
 
@@ -76,7 +78,7 @@ def quarantine_values(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     with the raw text kept for inspection.  Both come from one lazy plan
     (Spark evaluates each when it is written).
     """
-    value = F.col("value").try_cast("double")
+    value = to_double_or_null("value")
     period = F.col("period").try_cast("date")
     bad_cond = ((F.col("value").isNotNull() & value.isNull())
                 | (F.col("period").isNotNull() & period.isNull()))
