@@ -21,6 +21,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions.calendar import as_of_date
 from .plans import settlement
 from .plans.utilization import latest_week_wide, series_utilization
 from .rules import (PRODUCT_RULES, SETTLEMENT_SINK_TYPES, UTILIZATION_AREAS,
@@ -42,7 +43,7 @@ def as_of_spine(spark: SparkSession, dates: Sequence[str] | None = None,
     if dates:
         return literal_rows(spark, [(d,) for d in dates], "as_of string") \
             .select(F.to_date("as_of").alias("as_of"))
-    return spark.range(1).select(F.current_date().alias("as_of"))
+    return spark.range(1).select(as_of_date().alias("as_of"))
 
 
 def _sink(df: DataFrame, column_types: str, jdbc_url: str | None, table: str | None,

@@ -186,4 +186,4 @@ def settlement_as_of(spark: SparkSession, reports: DataFrame, spine: DataFrame,
 
 def to_display(wide: DataFrame, date_col: str = "report_date") -> DataFrame:
     """Sink names -> display names (``Date``, ``WTI Crude Oil``, ...)."""
-    return wide.withColumnsRenamed({date_col: "Date", **DISPLAY_NAMES})
+    return reshape.rename(wide, {date_col: "Date", **DISPLAY_NAMES})
