@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import split_lines
+from ..functions.text import contains_text, split_lines
 from ..rules import SECTION_FOOTER
 from ..session import broadcast_if_bounded, row_bound
 
@@ -42,8 +42,8 @@ def section_bounds(lines: Column, header: Column, footer: Column) -> Column:
 
     def step(acc: Column, x: Column) -> Column:
         i, h, f = acc["i"], acc["h"], acc["f"]
-        new_h = F.when(h.isNull() & F.contains(x, header), i).otherwise(h)
-        new_f = F.when(h.isNotNull() & f.isNull() & F.contains(x, footer), i).otherwise(f)
+        new_h = F.when(h.isNull() & contains_text(x, header), i).otherwise(h)
+        new_f = F.when(h.isNotNull() & f.isNull() & contains_text(x, footer), i).otherwise(f)
         return F.struct((i + 1).alias("i"), new_h.alias("h"), new_f.alias("f"))
 
     return F.aggregate(lines, init, step)
@@ -120,7 +120,7 @@ def sections_in_lines(lines: DataFrame, headers: DataFrame, keys: Sequence[str],
     if row_bound(headers) is None:
         raise ValueError("headers must be a literal rule table (session.rule_frame)")
     rules = headers.select(*header_keys, position_col, header_col)
-    on = F.contains(F.col("line"), F.col(header_col))
+    on = contains_text("line", F.col(header_col))
     for k in header_keys:
         on = on & (lines[k] == rules[k])
     # JOIN-2: theta join against the broadcast header table (its size is
@@ -134,7 +134,7 @@ def sections_in_lines(lines: DataFrame, headers: DataFrame, keys: Sequence[str],
         F.min("line_no").alias("header_line"))
     # AGG-5 (second half): first footer line after it.  Footer candidates are
     # pre-filtered lines; join on the report keys with a range condition.
-    foots = lines.where(F.contains(F.col("line"), F.lit(footer))) \
+    foots = lines.where(contains_text("line", footer)) \
         .select(*keys, F.col("line_no").alias("footer_cand"))
     bounds = heads.join(foots, keys, "inner") \
         .where(F.col("footer_cand") > F.col("header_line")) \

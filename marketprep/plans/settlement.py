@@ -27,6 +27,7 @@ from ..operators import joins, reshape, sections
 from ..rules import (KEPT_COLUMN_COUNT, LOOKBACK_DAYS, PRODUCT_RULES, REPORT_COLUMNS,
                      SECTION_FOOTER, PivotRule, product_pivot_rules, products_by_source)
 from ..sources.literal import product_rules
+from ..sources.reports import report_inventory
 
 REPORT_KEYS = ("report_date", "source_id", "file_name")
 DISPLAY_NAMES = {r[6]: r[3] for r in PRODUCT_RULES}
@@ -173,7 +174,7 @@ def settlement_as_of(spark: SparkSession, reports: DataFrame, spine: DataFrame,
     is known, so only the partitions in reach are listed and read.
     """
     sources = list(products_by_source())
-    inv = reports.select("source_id", "report_date").distinct()
+    inv = report_inventory(reports)
     grid = spine.select(as_of_col, F.explode(F.array(*[F.lit(s) for s in sources])).alias("source_id"))
     picks = joins.asof_lookback(grid, as_of_col, inv, "report_date", keys=["source_id"],
                                 modes=(mode,))
