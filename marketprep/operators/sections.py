@@ -7,8 +7,10 @@ without a footer (or no header) yields no section.
 Two physical forms, same result:
 
 * :func:`sections_in_text` - one row per whole report text.  Header and footer
-  are found by one fold over the row's line array, so the scan is a narrow
-  map: no shuffle, no join.  Parallelism comes from the number of reports.
+  are found by one fold per header over the row's line array, all inside one
+  ``transform`` over the row's headers, so the scan is a narrow map: no
+  shuffle, no per-header copy of the report.  Parallelism comes from the
+  number of reports.
 * :func:`sections_in_lines` - a landed line table ``(keys.., line_no, line)``
   for reports too large for one row.  Header hits come from a broadcast theta
   join against the (small, literal) header table, bounds from two partial
@@ -74,28 +76,40 @@ def sections_in_text(reports: DataFrame, headers: DataFrame | Sequence[str],
     out_keys = list(keys) + [k for k in header_keys if k not in keys]
     base = reports.select(*out_keys, lines.alias("_lines"))
     if isinstance(headers, DataFrame):
-        # Literal, size-checked rule table: broadcast hash join on the shared
-        # keys - map side only.
         if not header_keys:
             raise ValueError("a header table needs header_keys; pass a list of texts instead")
-        rules = broadcast_if_bounded(headers.select(*header_keys, position_col, header_col),
-                                     row_bound(headers))
-        paired = base.join(rules, list(header_keys), "inner")
+        # The literal rule table as one header array per key (a bounded
+        # aggregate of a bounded table), attached by a broadcast hash join:
+        # map side only, one row per report.
+        grouped = headers.groupBy(*header_keys).agg(F.array_sort(F.collect_list(
+            F.struct(F.col(position_col).alias("p"), F.col(header_col).alias("t")))).alias("_hdrs"))
+        with_hdrs = base.join(broadcast_if_bounded(grouped, row_bound(headers)),
+                              list(header_keys), "inner")
     else:
-        # Same headers for every report: a literal array, exploded per row.
-        arr = F.array(*[F.struct(F.lit(i).alias(position_col), F.lit(h).alias(header_col))
-                        for i, h in enumerate(headers)])
-        paired = base.select("*", F.inline(arr))
-
-    bounded = paired.withColumn(
-        "_b", section_bounds(F.col("_lines"), F.col(header_col), F.lit(footer)))
-    h, f = F.col("_b.h"), F.col("_b.f")
-    body = F.when(f.isNotNull(), F.slice("_lines", h + 2, f - h - 1))
+        # Same headers for every report: one literal array.
+        with_hdrs = base.withColumn("_hdrs", F.array(*[
+            F.struct(F.lit(i).alias("p"), F.lit(h).alias("t")) for i, h in enumerate(headers)]))
+
+    # One fold per header over the row's own line array: the report row is not
+    # copied per header, and each section is sliced out before the rows are
+    # expanded, so an output row carries only its own section's lines.
+    foot = F.lit(footer)
+    folded = with_hdrs.select(*out_keys, "_lines", F.transform("_hdrs", lambda hd: F.struct(
+        hd["p"].alias("p"), hd["t"].alias("t"),
+        section_bounds(F.col("_lines"), hd["t"], foot).alias("b"))).alias("_secs"))
+
+    def section(sec: Column) -> Column:
+        h, f = sec["b"]["h"], sec["b"]["f"]
+        return F.struct(sec["p"].alias(position_col), sec["t"].alias(header_col),
+                        h.alias("header_line"), f.alias("footer_line"),
+                        F.when(f.isNotNull(), F.slice(F.col("_lines"), h + 2, f - h - 1))
+                        .alias("section_lines"))
+
+    per = folded.select(*out_keys, F.inline(F.transform("_secs", section)))
     if keep_status:
-        return bounded.select(*out_keys, position_col, header_col, h.alias("header_line"),
-                              f.alias("footer_line"), body.alias("section_lines"))
-    return (bounded.select(*out_keys, position_col, header_col, h.alias("header_line"),
-                           F.posexplode(body).alias("_pos", "line"))
+        return per
+    return (per.select(*out_keys, position_col, header_col, "header_line",
+                       F.posexplode("section_lines").alias("_pos", "line"))
             .select(*out_keys, position_col, header_col,
                     (F.col("header_line") + 1 + F.col("_pos")).cast("bigint").alias("line_no"),
                     "line"))
