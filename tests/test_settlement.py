@@ -248,3 +248,12 @@ def test_history_from_line_table_equals_whole_text(spark, landed):
     fa = settlement.first_rows_from_lines(spark, lines)
     fb = settlement.first_rows(spark, reports)
     assert sorted(tuple(r) for r in fa.collect()) == sorted(tuple(r) for r in fb.select(*fa.columns).collect())
+
+
+def test_unknown_source_is_ignored(spark, tmp_path):
+    root = str(tmp_path)
+    write_text(os.path.join(root, "report_date=2024-11-20", "source_id=SOMETHING_ELSE", "r.txt"),
+               NG + "\nJAN25 1 2 3 4 5\nTOTAL")
+    write_text(os.path.join(root, "report_date=2024-11-20", f"source_id={GAS}", "r.txt"), gas_report())
+    rows = settlement.first_rows(spark, read_reports(spark, root)).collect()
+    assert [(r["source_id"], r["Data_Set"]) for r in rows] == [(GAS, NG)]
