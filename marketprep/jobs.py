@@ -10,6 +10,7 @@ sink the CLI prints the rows.
 
     python -m marketprep.jobs settlement --landing /data/reports --as-of 2024-11-21
     python -m marketprep.jobs utilization --landing /data/series --start 2024-11-01 --end 2024-12-06
+    python -m marketprep.jobs ingest-reports --landing /data/reports --output /data/report_rows
 """
 
 from __future__ import annotations
@@ -114,7 +115,10 @@ def literal_settlement_job(spark: SparkSession, rows: Sequence[tuple],
 
 def main(argv: Sequence[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="marketprep.jobs")
-    ap.add_argument("job", choices=["settlement", "utilization"])
+    ap.add_argument("job", choices=["settlement", "utilization", "ingest-reports", "ingest-series"])
+    ap.add_argument("--output", help="ingest-*: folder of the appended long table")
+    ap.add_argument("--checkpoint", help="ingest-*: stream checkpoint (default: under "
+                                          "spark.checkpoint.dir)")
     ap.add_argument("--landing", required=True, help="landing root folder")
     ap.add_argument("--as-of", action="append", dest="as_of", help="as-of date (repeatable)")
     ap.add_argument("--start", help="first as-of date of a range")
@@ -133,6 +137,13 @@ def main(argv: Sequence[str] | None = None) -> int:
 
     from .session import get_session
     spark = get_session(a.master)
+    if a.job.startswith("ingest-"):
+        if not a.output:
+            ap.error("--output is required for ingest jobs")
+        from .streaming import landing
+        start = landing.ingest_reports if a.job == "ingest-reports" else landing.ingest_series
+        start(spark, a.landing, a.output, a.checkpoint).awaitTermination()
+        return 0
     spine = as_of_spine(spark, a.as_of, a.start, a.end)
     mode = "append" if a.append else "overwrite"
     if a.start and a.end:

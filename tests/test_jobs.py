@@ -129,3 +129,11 @@ def test_cli_rejects_half_range(tmp_path):
     import pytest
     with pytest.raises(SystemExit):
         jobs.main(["settlement", "--landing", str(tmp_path), "--start", "2024-11-01"])
+
+
+def test_cli_ingest_reports(spark, tmp_path):
+    land_dir, out, ck = str(tmp_path / "land"), str(tmp_path / "rows"), str(tmp_path / "ck")
+    _landing(land_dir)
+    assert jobs.main(["ingest-reports", "--landing", land_dir, "--output", out,
+                      "--checkpoint", ck]) == 0
+    assert spark.read.parquet(out).count() == 4 + 2 + 1 + 4
