@@ -79,7 +79,9 @@ def rule_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------- SRC-1/JOIN-2/AGG-5/FLT-*
 def section_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Section lines of every document, whole-text form (narrow, no shuffle)."""
+    """Section lines of every document, whole-text form: a narrow map (no join,
+    no aggregate); ``spread`` round-robins the scan only when it has fewer
+    splits than cores."""
     docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     out = sections.sections_in_text(docs, list(SECTION_PHRASES), keys=["doc_id"],
                                     footer=SECTION_FOOTER_WORD, header_col="phrase")
