@@ -141,17 +141,19 @@ def main(argv: Sequence[str] | None = None) -> int:
         if not a.output:
             ap.error("--output is required for ingest jobs")
         from .streaming import landing
-        start = landing.ingest_reports if a.job == "ingest-reports" else landing.ingest_series
-        start(spark, a.landing, a.output, a.checkpoint).awaitTermination()
+        if a.job == "ingest-reports":
+            q = landing.ingest_reports(spark, a.landing, a.output, a.checkpoint, parity=a.parity)
+        else:
+            q = landing.ingest_series(spark, a.landing, a.output, a.checkpoint)
+        q.awaitTermination()
         return 0
+    if not (a.as_of or a.start):
+        # Today in the session's time zone (one value), so the spine and the
+        # report window agree.
+        a.as_of = [spark.range(1).select(as_of_date().cast("string")).first()[0]]
     spine = as_of_spine(spark, a.as_of, a.start, a.end)
     mode = "append" if a.append else "overwrite"
-    if a.start and a.end:
-        window = (a.start, a.end)
-    elif a.as_of:
-        window = (min(a.as_of), max(a.as_of))
-    else:
-        window = None
+    window = (a.start, a.end) if a.start else (min(a.as_of), max(a.as_of))
     if a.job == "settlement":
         out = settlement_job(spark, a.landing, spine,
                              mode="reference" if a.parity else "corrected", parity=a.parity,

@@ -137,3 +137,11 @@ def test_cli_ingest_reports(spark, tmp_path):
     assert jobs.main(["ingest-reports", "--landing", land_dir, "--output", out,
                       "--checkpoint", ck]) == 0
     assert spark.read.parquet(out).count() == 4 + 2 + 1 + 4
+
+
+def test_cli_defaults_to_today(spark, tmp_path, capsys):
+    root = str(tmp_path)
+    _landing(root)
+    assert jobs.main(["settlement", "--landing", root]) == 0
+    today = spark.range(1).selectExpr("cast(current_date() as string)").first()[0]
+    assert today in capsys.readouterr().out
