@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import argparse
 import sys
+from datetime import datetime
+from zoneinfo import ZoneInfo
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -148,9 +150,10 @@ def main(argv: Sequence[str] | None = None) -> int:
         q.awaitTermination()
         return 0
     if not (a.as_of or a.start):
-        # Today in the session's time zone (one value), so the spine and the
-        # report window agree.
-        a.as_of = [spark.range(1).select(as_of_date().cast("string")).first()[0]]
+        # Today in the session's time zone, so the spine and the report
+        # window agree with current_date().
+        tz = ZoneInfo(spark.conf.get("spark.sql.session.timeZone"))
+        a.as_of = [datetime.now(tz).date().isoformat()]
     spine = as_of_spine(spark, a.as_of, a.start, a.end)
     mode = "append" if a.append else "overwrite"
     window = (a.start, a.end) if a.start else (min(a.as_of), max(a.as_of))
