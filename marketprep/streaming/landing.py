@@ -47,8 +47,8 @@ def report_stream(spark: SparkSession, landing_root: str,
     raw = r.load(landing_root)
     path = F.col("_metadata.file_path")
     return raw.select(
-        F.to_date(F.regexp_extract(path, r"report_date=([0-9-]+)", 1)).alias("report_date"),
-        F.regexp_extract(path, r"source_id=([^/]+)", 1).alias("source_id"),
+        F.to_date(F.regexp_extract(path, r".*/report_date=([0-9-]+)/", 1)).alias("report_date"),
+        F.regexp_extract(path, r".*/source_id=([^/]+)/", 1).alias("source_id"),
         F.col("_metadata.file_name").alias("file_name"),
         F.col("value").alias("text"))
 
@@ -88,7 +88,7 @@ def ingest_series(spark: SparkSession, landing_root: str, records_path: str,
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = r.json(landing_root)
     path = F.col("_metadata.file_path")
-    recs = (raw.select(F.regexp_extract(path, r"series_code=([^/]+)", 1).alias("series_code"),
+    recs = (raw.select(F.regexp_extract(path, r".*/series_code=([^/]+)/", 1).alias("series_code"),
                        F.inline(F.col("response.data")))
             .withColumnsRenamed(SNAKE))
     w = (recs.writeStream.format("parquet").outputMode("append")
