@@ -145,3 +145,28 @@ def test_cli_defaults_to_today(spark, tmp_path, capsys):
     assert jobs.main(["settlement", "--landing", root]) == 0
     today = spark.range(1).selectExpr("cast(current_date() as string)").first()[0]
     assert today in capsys.readouterr().out
+
+
+def test_window_never_changes_results(spark, tmp_path):
+    """Across every weekday and both trial orders, pruning the landing folder
+    to the lookback window gives the same rows as reading all of it."""
+    import random
+
+    from tests.test_settlement import FX, GAS, NYMEX, fx_report, gas_report, nymex_report
+    rng = random.Random(3)
+    root = str(tmp_path)
+    start = dt.date(2024, 10, 1)
+    for d in range(40):
+        day = (start + dt.timedelta(days=d)).isoformat()
+        for src, make in ((NYMEX, lambda: nymex_report(f"{rng.uniform(60, 80):.2f}")),
+                          (FX, lambda: fx_report(f".{rng.randint(7000, 7400)}")),
+                          (GAS, gas_report)):
+            if rng.random() < 0.6:
+                write_text(os.path.join(root, f"report_date={day}", f"source_id={src}", "r.txt"), make())
+    first, last = "2024-10-08", "2024-11-08"
+    spine = jobs.as_of_spine(spark, start=first, end=last)
+    for mode in ("corrected", "reference"):
+        full = sorted(tuple(r) for r in jobs.settlement_job(spark, root, spine, mode=mode).collect())
+        win = sorted(tuple(r) for r in jobs.settlement_job(
+            spark, root, spine, mode=mode, as_of_range=(first, last)).collect())
+        assert full == win and len(full) == 32
