@@ -18,6 +18,9 @@ def read_reports(spark: SparkSession, root: str) -> DataFrame:
     df = (spark.read.format("text").option("wholetext", True)
           .option("recursiveFileLookup", False)
           .load(root))
+    if not {"report_date", "source_id"} <= set(df.columns):
+        raise ValueError(f"no landed reports under {root}: expected "
+                         "report_date=YYYY-MM-DD/source_id=<id>/ folders")
     return df.select(
         F.col("report_date").cast("date").alias("report_date"),
         F.col("source_id").cast("string").alias("source_id"),

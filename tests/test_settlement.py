@@ -257,3 +257,8 @@ def test_unknown_source_is_ignored(spark, tmp_path):
     write_text(os.path.join(root, "report_date=2024-11-20", f"source_id={GAS}", "r.txt"), gas_report())
     rows = settlement.first_rows(spark, read_reports(spark, root)).collect()
     assert [(r["source_id"], r["Data_Set"]) for r in rows] == [(GAS, NG)]
+
+
+def test_empty_landing_is_a_clear_error(spark, tmp_path):
+    with pytest.raises(ValueError, match="no landed reports"):
+        read_reports(spark, str(tmp_path))
