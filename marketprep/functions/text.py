@@ -107,14 +107,16 @@ def first_number(c: Column | str, parity: bool = False) -> Column:
     ``\\d+\\.?\\d*`` (so ``-0.5`` -> 0.5 and ``-.5`` -> 5.0).
     """
     s = _col(c).cast("string")
+    # regexp_substr is NULL when nothing matches (regexp_extract would give
+    # ''), so the match is used once and needs no emptiness test.
     if parity:
         s = F.regexp_replace(s, r"^\.", "0.")
-        m = F.regexp_extract(s, PARITY_NUMBER_PATTERN, 1)
+        m = F.regexp_substr(s, F.lit(PARITY_NUMBER_PATTERN))
     else:
-        m = F.regexp_extract(s, NUMBER_PATTERN, 0)
+        m = F.regexp_substr(s, F.lit(NUMBER_PATTERN))
         # "-.5" / ".5" -> "-0.5" / "0.5" so every engine parses it alike
         m = F.regexp_replace(m, r"^([-+]?)\.", "$10.")
-    return F.when(m == "", F.lit(None).cast("double")).otherwise(m.try_cast("double"))
+    return m.try_cast("double")
 
 
 def strip_spaces(c: Column | str) -> Column:

@@ -69,11 +69,15 @@ def rule_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
         _date("ts").alias("day"), "event_type", "event_id", "value", "props")
     rules = rule_frame(spark, EVENT_RULES, EVENT_RULE_SCHEMA)
     long = joins.lookup_rules(ev, rules, "event_type")
-    raw = F.when(F.col("source") == "value", F.col("value")).otherwise(
-        F.get_json_object("props", "$.k").cast("double"))
-    v = F.when(F.col("transform") == "reciprocal", num.reciprocal_or_self(raw)).otherwise(raw)
+    # The raw value (a JSON parse for some rules) is its own column, computed
+    # once per row; inlined into the CASE branches below it would be
+    # re-evaluated per branch.
+    raw = long.withColumn("raw", F.when(F.col("source") == "value", F.col("value")).otherwise(
+        F.get_json_object("props", "$.k").cast("double")))
+    v = F.when(F.col("transform") == "reciprocal",
+               num.reciprocal_or_self("raw")).otherwise(F.col("raw"))
     pivot_rules = [PivotRule(p, col, col, src, tf) for p, _, col, src, tf in EVENT_RULES]
-    return reshape.rule_pivot(long.withColumn("v", v), ["day"], pivot_rules,
+    return reshape.rule_pivot(raw.withColumn("v", v), ["day"], pivot_rules,
                               name_col="column", value_col="v", order_col="event_id")
 
 
