@@ -44,13 +44,13 @@ def trim_ws(c: Column | str, unicode_ws: bool = False) -> Column:
 def tokens(line: Column | str, unicode_ws: bool = False) -> Column:
     """STR-1: split on runs of whitespace, ends trimmed; a blank line -> [].
 
-    ``split('')`` in Spark gives ``['']``, so blanks are mapped to an empty
-    array explicitly to keep token counts right.  ``unicode_ws=True`` also
+    ``split('')`` in Spark gives ``['']``; removing empty strings keeps token
+    counts right (a trimmed line has no other empty token), and the trimmed
+    line is used once, so its regex runs once.  ``unicode_ws=True`` also
     splits on non-ASCII spaces.
     """
     t = trim_ws(line, unicode_ws)
-    return F.when(t == "", F.array().cast("array<string>")).otherwise(
-        F.split(t, _ws_flag(unicode_ws) + r"\s+"))
+    return F.array_remove(F.split(t, _ws_flag(unicode_ws) + r"\s+"), "")
 
 
 def _pad_for_count(t: Column, n: int, inserts: Sequence[tuple[int, int]]) -> Column:
