@@ -65,7 +65,9 @@ def first_data_rows(status: DataFrame, keys: Sequence[str], parity: bool = False
     # optimizer would push below the projection and evaluate twice.
     with_first = status.withColumn(
         "_first", F.get(F.filter("section_lines", lambda x: txt.trim_ws(x) != ""), 0))
-    with_tokens = with_first.withColumn("_tokens", txt.pad_ragged(txt.tokens("_first")))
+    # Tokens are their own column: pad_ragged reads them in every branch.
+    with_tokens = (with_first.withColumn("_raw_tokens", txt.tokens("_first"))
+                   .withColumn("_tokens", txt.pad_ragged("_raw_tokens")))
     cells = with_tokens.select(
         *keys, F.col(header_col).alias("Data_Set"),
         F.inline(F.when(F.col("_first").isNotNull(),
