@@ -89,3 +89,15 @@ def test_results_do_not_depend_on_session_settings(spark, con, name):
         for k, v in old.items():
             spark.conf.set(k, v)
     assert not problems, problems
+
+
+@pytest.mark.parametrize("name,func,count", [
+    ("rule_pivot", "get_json_object(", 1),       # JSON parsed once per row
+    ("report_settlement", "split(", 2),          # lines once, tokens once
+    ("report_settlement", "aggregate(", 1),      # one section fold
+    ("section_extract", "aggregate(", 1),
+    ("clean_numeric", "regexp_extract(", 12),    # one extraction per output column
+])
+def test_expensive_expressions_evaluated_once(spark, name, func, count):
+    plan = plan_text(QUERIES[name](spark, SF_SMALL), "simple").split("== Physical Plan ==")[-1]
+    assert plan.count(func) == count, (name, func, plan.count(func))
