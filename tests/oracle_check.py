@@ -1,8 +1,9 @@
 """Run each registered query in Spark and its oracle SQL in DuckDB, compare.
 
 Usage: python tests/oracle_check.py [sf_dir] [name ...]
-Comparison: column names, row count, and the multiset of rows after
-normalising types (dates, timestamps, decimals, floats compared exactly).
+Comparison: column names, column types (Spark type vs the DuckDB type it
+should map to), row count, and the multiset of rows after normalising value
+representations (dates, timestamps, decimals; floats compared exactly).
 """
 
 from __future__ import annotations
