@@ -67,6 +67,10 @@ FACET_ROWS = 12
 # Report lookback window in days.
 LOOKBACK_DAYS = 7
 
+# --------------------------------------------------------------------------
+# Settings of this package (not taken from the source jobs)
+# --------------------------------------------------------------------------
+
 # Sink column types (declared DOUBLE, not FLOAT: FLOAT round-trips 32-bit).
 SETTLEMENT_SINK_TYPES = ", ".join(f"{r[6]} DOUBLE" for r in PRODUCT_RULES)
 UTILIZATION_SINK_TYPES = "Date DATE, `U.S.` DOUBLE, PADD3 DOUBLE"
