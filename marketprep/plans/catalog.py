@@ -23,7 +23,8 @@ from .settlement import first_data_rows, priced
 from .utilization import latest_week_wide, utilization
 
 # --------------------------------------------------------------------------
-# FIXED VALUES for the driver-table queries
+# Parameters of the driver-table queries (chosen here; the oracle SQL uses
+# the same values)
 # --------------------------------------------------------------------------
 # rule_pivot: event_type -> (position, output column, value source, transform)
 EVENT_RULES = (
