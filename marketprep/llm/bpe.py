@@ -72,6 +72,15 @@ def _step(symbol: int, state: int) -> tuple[int, bool]:
     return IN_BLANKS, state != IN_BLANKS
 
 
+def _byte_table(values: list) -> bytes:
+    return bytes(int(v) for v in values) + bytes(256 - len(values))
+
+
+def _look(table: bytes, at: np.ndarray) -> np.ndarray:
+    """``table[at]`` for bytes."""
+    return np.frombuffer(at.tobytes().translate(table), np.uint8)
+
+
 class _Monoid:
     """All compositions of the transition functions, and how they multiply."""
 
@@ -88,17 +97,17 @@ class _Monoid:
                         elems[h] = len(elems)
                         todo.append(h)
         fs = list(elems)
-        n = self.n = len(fs)
-        assert n <= 255
-        self.product = np.zeros(n * n, np.uint8)   # [first * n + second]
+        assert len(fs) <= 16        # two functions fit in a byte: tables are byte to byte
+        product = np.zeros((16, 16), np.uint8)
         for i, f in enumerate(fs):
             for j, g in enumerate(fs):
-                self.product[i * n + j] = elems[tuple(g[x] for x in f)]
-        self.of_symbol = np.array([elems[g] for g in gens], np.uint8)
-        self.reset = elems[reset]
-        self.constant = np.array([len(set(f)) == 1 for f in fs])
-        self.state = np.array([f[0] for f in fs], np.uint8)
-        self.begins = np.array([[_step(y, s)[1] for s in range(8)] for y in range(8)]).ravel()
+                product[i, j] = elems[tuple(g[x] for x in f)]
+        self.product = product.tobytes()
+        self.of_symbol = _byte_table([elems[g] for g in gens])
+        self.reset = np.uint8(elems[reset])
+        self.constant = _byte_table([len(set(f)) == 1 for f in fs])
+        self.state = _byte_table([f[0] for f in fs])
+        self.begins = _byte_table([_step(y, s)[1] for y in range(8) for s in range(8)])
 
 
 @lru_cache(1)
@@ -145,17 +154,22 @@ def token_starts(cp: np.ndarray, first: np.ndarray) -> np.ndarray:
     if not len(cp):
         return np.zeros(0, bool)
     sym = _symbols(cp, first)
-    f = m.of_symbol[sym]
-    f[first] = m.product[m.reset * m.n + f[first].astype(np.int64)]
-    step, open_ = 1, np.flatnonzero(~m.constant[f])
+    f = _look(m.of_symbol, sym).copy()
+    f[first] = _look(m.product, (m.reset << 4) | f[first])
+    # Doubling: f[i] becomes the composition of the last 2, 4, ... functions.
+    # A constant one stays what it is, and each text begins with one.
+    for step in (1, 2):
+        if len(f) > step:
+            f[step:] = _look(m.product, (f[:-step] << 4) | f[step:])
+    open_, step = np.flatnonzero(_look(m.constant, f) == 0), 4
     while len(open_):
-        f[open_] = m.product[f[open_ - step].astype(np.int64) * m.n + f[open_]]
-        open_ = open_[~m.constant[f[open_]]]
+        f[open_] = _look(m.product, (f[open_ - step] << 4) | f[open_])
+        open_ = open_[_look(m.constant, f[open_]) == 0]
         step *= 2
     before = np.empty(len(cp), np.uint8)
-    before[1:] = m.state[f[:-1]]
+    before[1:] = _look(m.state, f[:-1])
     before[first] = FRESH
-    return m.begins[(sym.astype(np.int64) << 3) | before]
+    return _look(m.begins, (sym << 3) | before) != 0
 
 
 def pieces(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

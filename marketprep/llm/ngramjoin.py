@@ -30,21 +30,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import components, union
+from .components import components
+from .leaves import POINTS, point_rows, verified_links
 from .shared import ship, write_table
 from .textarrays import BLANK_SPLIT, LOWER, hash_strings, mix, raw, slices, split_words
 
 WORDS = 3
 PERCENT = 90
 
-DIMS = 64              # coordinates of a point
-LEAF_ROWS = 192        # classes in an R-tree leaf
-LEAF_SHINGLES = 1 << 18
-SMALL_GROUP = 2        # groups with fewer shingles are no block where others suffice
+# Groups with fewer shingles are no block where others suffice.
+SMALL_GROUP = 2
 
 _K1, _K2, _K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
@@ -134,120 +132,9 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["doc_id", "n_shingles", "h1", "h2", "keys"])
 
 
-def point(s: np.ndarray) -> np.ndarray:
-    """Counts of the set's shingles per hash group."""
-    return np.bincount((mix(s ^ _K3) >> np.uint64(58)).astype(np.int64), minlength=DIMS)
-
-
 def _points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in slices(batches):
-        sets = list(shingle_sets(*raw(b.column(3))))
-        pts = [point(s) for s in sets]
-        yield pa.RecordBatch.from_arrays(
-            [b.column(0), b.column(1), b.column(2), pa.array([len(s) for s in sets], pa.int64()),
-             pa.array([int(p[:DIMS // 2].sum()) for p in pts], pa.int64()),
-             pa.array([int(p[::2].sum()) for p in pts], pa.int64()),
-             pa.array([p.astype(np.int32).tobytes() for p in pts], pa.binary()),
-             pa.array([s.tobytes() for s in sets], pa.binary())],
-            ["cluster", "node", "weight", "n", "c0", "c1", "pt", "body"])
-
-
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cut the sorted points into leaves: runs of one cluster of bounded size."""
-    part, seq = TaskContext.get().partitionId(), 0
-    rows: list[dict] = []
-    held = 0
-
-    def leaf() -> pa.RecordBatch:
-        p = np.stack([np.frombuffer(r["pt"], np.int32) for r in rows])
-        n = [r["n"] for r in rows]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([rows[0]["cluster"]], pa.int64()), pa.array([(part << 32) | seq], pa.int64()),
-             pa.array([min(n)], pa.int64()), pa.array([max(n)], pa.int64()),
-             pa.array([p.max(0).tolist()], pa.list_(pa.int32())),
-             pa.array([[r["node"] for r in rows]], pa.list_(pa.int64())),
-             pa.array([[r["weight"] for r in rows]], pa.list_(pa.int64())),
-             pa.array([n], pa.list_(pa.int64())),
-             pa.array([p.tobytes()], pa.binary()), pa.array([b"".join(r["body"] for r in rows)], pa.binary())],
-            ["cluster", "leaf", "n_min", "n_max", "high", "nodes", "weights", "sizes", "pts", "bodies"])
-
-    for b in batches:
-        for r in b.to_pylist():
-            if rows and (r["cluster"] != rows[0]["cluster"] or len(rows) >= LEAF_ROWS
-                         or held + r["n"] > LEAF_SHINGLES):
-                yield leaf()
-                rows, held, seq = [], 0, seq + 1
-            rows.append(r)
-            held += r["n"]
-    if rows:
-        yield leaf()
-
-
-def _needed(a: np.ndarray | int, b: np.ndarray | int):
-    """Twice-scaled test value: the overlap o links when
-    ``(100 + PERCENT) * o >= PERCENT * (a + b)``."""
-    return PERCENT * (a + b)
-
-
-def links_between(left: dict, right: dict, same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of two leaves that link, verified on the whole sets."""
-    whole = np.concatenate([left["body"], right["body"]])
-    _, code = np.unique(whole, return_inverse=True)
-    n_left = len(left["body"])
-    code_l, code_r = code[:n_left], code[n_left:]
-    off_l, off_r = np.append(0, np.cumsum(left["n"])), np.append(0, np.cumsum(right["n"]))
-    mark = np.zeros(int(code.max()) + 1 if len(code) else 1, bool)
-    got_a, got_b = [], []
-    for i, n in enumerate(left["n"]):
-        lo = i + 1 if same else 0
-        cand = np.arange(lo, len(right["n"]))
-        size = right["n"][lo:]
-        need = _needed(n, size)
-        bound = np.minimum(right["pts"][lo:], left["pts"][i]).sum(1)     # summed coordinate minima
-        cand = cand[((100 + PERCENT) * bound >= need)
-                    & (100 * np.minimum(size, n) >= PERCENT * np.maximum(size, n))]
-        if not len(cand):
-            continue
-        mine = code_l[off_l[i]:off_l[i + 1]]
-        mark[mine] = True
-        seen = np.zeros(len(code_r) + 1, np.int64)
-        np.cumsum(mark[code_r], out=seen[1:])
-        both = seen[off_r[cand + 1]] - seen[off_r[cand]]
-        mark[mine] = False
-        cand = cand[(100 + PERCENT) * both >= _needed(n, right["n"][cand])]
-        got_a.append(np.full(len(cand), i))
-        got_b.append(cand)
-    if not got_a:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(got_a), np.concatenate(got_b)
-
-
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows with two leaves -> per class: forest edge and what its links weigh."""
-    def leaf(r: dict, k: str) -> dict:
-        n = np.array(r["sizes" + k], np.int64)
-        return {"n": n, "nodes": np.array(r["nodes" + k], np.int64), "w": np.array(r["weights" + k], np.int64),
-                "pts": np.frombuffer(r["pts" + k], np.int32).reshape(len(n), DIMS),
-                "body": np.frombuffer(r["bodies" + k], np.uint64)}
-
-    for b in batches:
-        for k in range(b.num_rows):
-            r = b.slice(k, 1).to_pylist()[0]
-            same = r["leaf1"] == r["leaf2"]
-            x, y = leaf(r, "1"), leaf(r, "2")
-            i, j = links_between(x, y, same)
-            if not len(i):
-                continue
-            weight: dict[int, int] = {}
-            for own, other, w in ((x["nodes"][i], y["nodes"][j], y["w"][j]), (y["nodes"][j], x["nodes"][i], x["w"][i])):
-                u, inv = np.unique(own, return_inverse=True)
-                for node, total in zip(u.tolist(), np.bincount(inv, w).astype(np.int64).tolist()):
-                    weight[node] = weight.get(node, 0) + total
-            root = union(x["nodes"][i].tolist(), y["nodes"][j].tolist())
-            nodes = list(root)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes, pa.int64()), pa.array([root[v] for v in nodes], pa.int64()),
-                 pa.array([weight[v] for v in nodes], pa.int64())], ["src", "dst", "links"])
+        yield point_rows(b.column(0), b.column(1), b.column(2), list(shingle_sets(*raw(b.column(3)))))
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -275,34 +162,12 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     stars = keys.join(shared, "key").where("node <> src").select("src", F.col("node").alias("dst")).distinct()
     cand = write_table(components(stars), "candidates")
 
-    # Points of the candidates, sorted and packed into leaves.
-    size = member.where("node = doc_id").select("node", "weight").distinct()
+    # Points of the candidates, and their links over R-tree leaves.
+    size = member.where("node = doc_id").groupBy("node").agg(F.max("weight").alias("weight"))
     wanted = cand.join(size, "node").select(F.col("component").alias("cluster"), "node", "weight")
     points = (src.where("doc_id is not null").join(wanted, src.doc_id == wanted.node)
-              .select("cluster", "node", "weight", "text")
-              .mapInArrow(_points, "cluster long, node long, weight long, n long, c0 long, c1 long, "
-                                   "pt binary, body binary"))
-    points = write_table(points, "points").dropDuplicates(["node"])
-    leaves = (points.repartitionByRange("cluster", "n", "c0", "c1", "node")
-              .sortWithinPartitions("cluster", "n", "c0", "c1", "node")
-              .mapInArrow(_pack, "cluster long, leaf long, n_min long, n_max long, high array<int>, "
-                                 "nodes array<long>, weights array<long>, sizes array<long>, "
-                                 "pts binary, bodies binary"))
-    leaves = write_table(leaves, "leaves")
-
-    # Leaf pairs that can hold a link: size ranges and bounding boxes overlap enough.
-    box = leaves.select("cluster", "leaf", "n_min", "n_max", "high")
-    a = box.select("cluster", *(F.col(c).alias(c + "1") for c in box.columns[1:]))
-    b = box.select("cluster", *(F.col(c).alias(c + "2") for c in box.columns[1:]))
-    reach = F.aggregate(F.zip_with("high1", "high2", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda s, v: s + v)
-    pairs = (a.join(b, "cluster").where("leaf1 <= leaf2")
-             .where(f"100 * n_max1 >= {PERCENT} * n_min2 and 100 * n_max2 >= {PERCENT} * n_min1")
-             .where(F.lit(100 + PERCENT) * reach >= F.lit(PERCENT) * (F.col("n_min1") + F.col("n_min2")))
-             .select("leaf1", "leaf2"))
-    body = leaves.select("leaf", "nodes", "weights", "sizes", "pts", "bodies")
-    for k in ("1", "2"):
-        pairs = pairs.join(body.select(*(F.col(c).alias(c + k) for c in body.columns)), "leaf" + k)
-    links = write_table(pairs.mapInArrow(_verify, "src long, dst long, links long"), "links")
+              .select("cluster", "node", "weight", "text").mapInArrow(_points, POINTS))
+    links = verified_links(write_table(points, "points").dropDuplicates(["node", "body"]), PERCENT)
 
     comp = components(links)
     per_class = links.groupBy(F.col("src").alias("node")).agg(F.sum("links").alias("links"))
