@@ -1,11 +1,12 @@
 """Connected components of an edge table: distributed union-find.
 
-Each partition first unions its own edges and keeps a spanning forest; then
-rounds of hooking to the smallest neighbour shrink every component to a star.
-The minimum per node is an aggregate with a map-side part, and joining it back
-is a plain join that AQE can split, so a hub with a large share of all edges
-is never gathered in one place.  Every round is written to the shared folder,
-which cuts the lineage and lets a lost executor's work be redone from files.
+Each task unions a bounded number of edges and keeps a spanning forest; the
+number of tasks follows the number of edges.  Rounds of hooking to the smallest
+neighbour then shrink every component to a star.  The minimum per node is an
+aggregate with a map-side part, and joining it back is a plain join that AQE
+can split, so a hub with a large share of all edges is never gathered in one
+place.  Every round is written to the shared folder, which cuts the lineage and
+lets a lost executor's work be redone from files.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from .shared import ship, write_table
 
 # Edges that one task unions at a time: bounds its memory.
-LOCAL_EDGES = 1 << 19
+LOCAL_EDGES = 1 << 18
 
 
 def union(a: list[int], b: list[int]) -> dict[int, int]:
@@ -58,9 +59,16 @@ def _local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield forest(a, b)
 
 
-def _state(e: DataFrame) -> tuple:
-    r = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)")).alias("h")).first()
-    return (r["n"], r["h"])
+def _forest(e: DataFrame, n: int) -> DataFrame:
+    """Spanning forests of the (about ``n``) edges, by tasks of bounded size."""
+    return e.coalesce(max(1, -(-n // LOCAL_EDGES))).mapInArrow(_local, "src long, dst long")
+
+
+def _is_star(e: DataFrame) -> bool:
+    """Whether each node has one smaller neighbour that has none itself."""
+    twice = e.groupBy("src").agg(F.min("dst").alias("lo"), F.max("dst").alias("hi")).where("lo < hi").select("src")
+    deep = e.select("src").join(e.select(F.col("dst").alias("src")).distinct(), "src", "left_semi")
+    return twice.unionByName(deep).isEmpty()
 
 
 def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -69,12 +77,12 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
     with a null end are no edges; no edges give an empty table."""
     ship(edges.sparkSession)
     e = (edges.select(F.col(src).cast("long").alias("src"), F.col(dst).cast("long").alias("dst"))
-         .where("src is not null and dst is not null and src <> dst")
-         .mapInArrow(_local, "src long, dst long").distinct())
+         .where("src is not null and dst is not null and src <> dst"))
     e = write_table(e, "edges")
-    last = None
-    while (now := _state(e)) != last and now[0]:
-        last = now
+    n = e.count()
+    e = write_table(_forest(e, n), "edges")
+    # Forests of one task are stars; those of several meet in common nodes.
+    while n > LOCAL_EDGES and not _is_star(e):
         # Larger neighbours of every node hook to the smallest node around it ...
         both = e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
         low = both.groupBy("src").agg(F.min("dst").alias("m")).select("src", F.least("src", "m").alias("m"))

@@ -150,7 +150,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     ids = sketch.select("doc_id", "n_shingles", "h1", "h2")
     full = ids.where("n_shingles > 0 and doc_id is not null")
     by = ["n_shingles", "h1", "h2"]
-    classes = full.groupBy(*by).agg(F.min("doc_id").alias("node"), F.count("*").alias("weight"))
+    # written first: a join of two tables can be split where one set has many copies
+    classes = write_table(full.groupBy(*by).agg(F.min("doc_id").alias("node"), F.count("*").alias("weight")), "classes")
     member = write_table(ids.join(classes, by, "left").select("doc_id", "n_shingles", "node", "weight"), "member")
 
     # Blocks: group contents shared by several classes, as stars.

@@ -2,7 +2,9 @@ import random
 import re
 
 import numpy as np
+import pytest
 
+from marketprep.llm import components as components_module
 from marketprep.llm import ngramjoin
 from marketprep.llm.components import components as spark_components
 
@@ -90,7 +92,11 @@ def test_drop_copies(spark):
     assert sorted(r.doc_id for r in got.collect()) == sorted(d for d, _ in rows if d in keep)
 
 
-def test_components(spark):
+@pytest.mark.parametrize("local", [None, 40])
+def test_components(spark, monkeypatch, local):
+    """In one task, and in many that leave rounds to do."""
+    if local:
+        monkeypatch.setattr(components_module, "LOCAL_EDGES", local)
     rng = random.Random(6)
     edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(350)]
     edges += [(1000 + i, 1001 + i) for i in range(120)] + [(2000, 2000 + i) for i in range(200)] + [(7, 7), (-5, 3)]
