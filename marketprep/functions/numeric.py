@@ -40,14 +40,19 @@ def to_text(c: Column | str) -> Column:
     return _col(c).cast("string")
 
 
+def no_nan(c: Column | str) -> Column:
+    """NaN to NULL: a NaN would rank above every number in ``max``."""
+    return F.nanvl(_col(c), F.lit(None).cast("double"))
+
+
 def to_double_strict(c: Column | str) -> Column:
-    """CAST-2: to DOUBLE, raising on bad text (ANSI cast)."""
-    return _col(c).cast("double")
+    """CAST-2: to DOUBLE, raising on bad text (ANSI cast); NaN text is NULL."""
+    return no_nan(_col(c).cast("double"))
 
 
 def to_double_or_null(c: Column | str) -> Column:
-    """CAST-2 variant for quarantine: bad text -> NULL."""
-    return _col(c).try_cast("double")
+    """CAST-2 variant for quarantine: bad text and NaN text -> NULL."""
+    return no_nan(_col(c).try_cast("double"))
 
 
 def exact_money(c: Column | str, precision: int = 18, scale: int = 2) -> Column:

@@ -11,14 +11,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..rules import PADDING_RULES
+from ..rules import (FULL_COLUMN_COUNT, PADDING_RULES, PARITY_LEADING_DOT,
+                     PARITY_NUMBER_PATTERN)
 
 # A report line ends at CRLF, CR or LF (universal newlines).
 LINE_BREAK = r"\r\n|\r|\n"
 # Default number pattern keeps the sign and a bare leading dot ("-.5").
 NUMBER_PATTERN = r"[-+]?(\d+\.?\d*|\.\d+)"
-# Pattern of the source jobs: unsigned, after "^\." -> "0." (parity mode).
-PARITY_NUMBER_PATTERN = r"(\d+\.?\d*)"
 
 
 def _col(c: Column | str) -> Column:
@@ -82,7 +81,7 @@ def pad_ragged(t: Column | str,
 
 def is_irregular(t: Column | str,
                  rules: Mapping[int, Sequence[tuple[int, int]]] = PADDING_RULES,
-                 full_count: int = 11) -> Column:
+                 full_count: int = FULL_COLUMN_COUNT) -> Column:
     """True when a line's token count is neither full nor covered by a padding rule."""
     ok = sorted(set(rules) | {full_count})
     return ~F.size(_col(t)).isin(ok)
@@ -110,7 +109,7 @@ def first_number(c: Column | str, parity: bool = False) -> Column:
     # regexp_substr is NULL when nothing matches (regexp_extract would give
     # ''), so the match is used once and needs no emptiness test.
     if parity:
-        s = F.regexp_replace(s, r"^\.", "0.")
+        s = F.regexp_replace(s, *PARITY_LEADING_DOT)
         m = F.regexp_substr(s, F.lit(PARITY_NUMBER_PATTERN))
     else:
         m = F.regexp_substr(s, F.lit(NUMBER_PATTERN))

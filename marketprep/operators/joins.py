@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import lookback_offsets
-from ..session import broadcast_if_bounded
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
@@ -37,13 +36,13 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
 def lookup_rules(df: DataFrame, rules: DataFrame, on: Sequence[str] | str,
                  how: str = "inner") -> DataFrame:
-    """JOIN-3: attach rule columns from a literal, size-checked rule table.
+    """JOIN-3: attach rule columns from a rule table.
 
-    A rule table from ``session.rule_frame`` never grows with the data, so it
-    is broadcast and the big side is never shuffled; any other frame is left
-    to the planner's size check.
+    How is left to the planner's size check: a literal rule table
+    (``session.literal_rows``) measures tiny and is broadcast, so the big side
+    is not shuffled; a large one is joined by shuffle.
     """
-    return df.join(broadcast_if_bounded(rules), on, how)
+    return df.join(rules, on, how)
 
 
 def asof_lookback(spine: DataFrame, as_of_col: str, inventory: DataFrame,

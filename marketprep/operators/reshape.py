@@ -85,17 +85,23 @@ def rule_pivot(long: DataFrame, keys: Sequence[str], rules: Sequence[PivotRule],
 
 
 def label_pivot(df: DataFrame, keys: Sequence[str], label_col: str, value_col: str,
-                labels: Sequence[str]) -> DataFrame:
-    """AGG-2/AGG-3: plain pivot label -> column with a fixed label list.
-
-    Passing the labels keeps Spark from running a distinct job to find them
-    and fixes the output schema; a label with no data is a NULL column.
-    The group key is the single distinct value the source read (AGG-3).
-    Duplicate labels within a group keep the largest value (the source kept
-    the last one in row order, which a distributed table does not have).
+                labels: Sequence[str], order_col: Column | str | None = None) -> DataFrame:
+    """AGG-2/AGG-3: label -> column with a fixed label list.
+
+    One conditional aggregate per label; the list fixes the output schema, and
+    a label with no data is a NULL column.  The group key is the single
+    distinct value the source read (AGG-3).  Duplicate labels within a group:
+    the row of highest ``order_col`` counts, whatever its value; without an
+    order (labels unique by construction) any non-NULL value is the one.
     """
-    return (df.groupBy(*keys).pivot(label_col, list(labels)).agg(F.max(value_col))
-            .select(*keys, *[F.col(f"`{lab}`") for lab in labels]))
+    order = F.col(order_col) if isinstance(order_col, str) else order_col
+
+    def cell(lab: str) -> Column:
+        hit = F.col(label_col) == F.lit(lab)
+        value = F.when(hit, F.col(value_col))
+        return F.max(value) if order is None else F.max_by(F.col(value_col), F.when(hit, order))
+
+    return df.groupBy(*keys).agg(*[cell(lab).alias(lab) for lab in labels])
 
 
 def concat_tagged(frames: Mapping[str, DataFrame], tag_col: str = "tag") -> DataFrame:

@@ -7,48 +7,73 @@ without a footer (or no header) yields no section.
 Two physical forms, same result:
 
 * :func:`sections_in_text` - one row per whole report text.  Header and footer
-  are found by one fold per header over the row's line array, all inside one
-  ``transform`` over the row's headers, so the scan is a narrow map: no
-  shuffle, no per-header copy of the report.  Parallelism comes from the
-  number of reports.
+  are found by string search on the text itself and only the section between
+  them is split into lines: a narrow map, no shuffle, no line array of the
+  report.  Parallelism comes from the number of reports.
 * :func:`sections_in_lines` - a landed line table ``(keys.., line_no, line)``
-  for reports too large for one row.  Header hits come from a broadcast theta
-  join against the (small, literal) header table, bounds from two partial
-  ``min`` aggregates, and the section lines from a key + range join that AQE
-  can broadcast or skew-split.
+  for reports too large for one row.  Lines are dealt out once, by report and
+  block of consecutive lines; header hits and footer lines are aggregated per
+  block, and the section lines come from a join on (report, block), so a
+  report with most of all lines is spread over its blocks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import contains_text, split_lines
+from ..functions.text import LINE_BREAK, contains_text, split_lines
 from ..rules import SECTION_FOOTER
-from ..session import broadcast_if_bounded, row_bound
 
+# Lines of a block, the unit in which a report of the line table is dealt out.
+BLOCK_LINES = 4096
 
-def section_bounds(lines: Column, header: Column, footer: Column) -> Column:
-    """AGG-5 on one row: ``struct(h, f)``, the 0-based index of the first line
-    containing ``header`` and of the first later line containing ``footer``
-    (NULL when missing).
 
-    One left-to-right fold over the lines (``aggregate``), so the cost is
-    linear in the report length.  The footer test only looks at lines after
-    the header line, exactly like a reader that continues from there.
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def section_cut(text: Column, header: Column, footer: Column) -> Column:
+    """AGG-5 on one row: ``struct(h, f, lines)``, the 0-based index of the first
+    line containing ``header``, that of the first later line containing
+    ``footer`` (NULL when missing), and the lines between them.
+
+    ``text`` has ``\n`` line breaks.  Each step is a string search from where
+    the last one ended, and only the section is split into lines.
     """
-    init = F.struct(F.lit(0).alias("i"), F.lit(None).cast("int").alias("h"),
-                    F.lit(None).cast("int").alias("f"))
+    brk = F.lit("\n")
+
+    def cut(at: Column, end: Column, foot: Column) -> Column:
+        before = F.substr(text, F.lit(1), at - 1)
+        h = F.when(at > 0, F.length(before) - F.length(F.replace(before, brk, F.lit(""))))
+        # from the line after the header's up to the footer text; the last
+        # piece is the begin of the footer's own line
+        pieces = F.split(F.substr(text, end + 1, foot - end - 1), "\n", -1)
+        return _let(F.when(foot > 0, pieces), lambda p: F.struct(
+            h.alias("h"), (h + F.size(p)).alias("f"), F.slice(p, 1, F.size(p) - 1).alias("lines")))
+
+    def search(at: Column) -> Column:
+        return _let(F.when(at > 0, F.position(brk, text, at)).otherwise(0), lambda end: _let(
+            F.when(end > 0, F.position(footer, text, end + 1)).otherwise(0), lambda foot: cut(at, end, foot)))
+
+    return _let(F.coalesce(F.position(header, text), F.lit(0)), search)
+
 
-    def step(acc: Column, x: Column) -> Column:
-        i, h, f = acc["i"], acc["h"], acc["f"]
-        new_h = F.when(h.isNull() & contains_text(x, header), i).otherwise(h)
-        new_f = F.when(h.isNotNull() & f.isNull() & contains_text(x, footer), i).otherwise(f)
-        return F.struct((i + 1).alias("i"), new_h.alias("h"), new_f.alias("f"))
+def _header_arrays(headers: DataFrame, header_keys: Sequence[str], header_col: str,
+                   position_col: str) -> DataFrame:
+    """A header table as one array per key: few rows, which the planner's size
+    check lets a join broadcast."""
+    if not header_keys:
+        raise ValueError("a header table needs header_keys; pass a list of texts instead")
+    return headers.groupBy(*header_keys).agg(F.array_sort(F.collect_list(
+        F.struct(F.col(position_col).alias("p"), F.col(header_col).alias("t")))).alias("_hdrs"))
 
-    return F.aggregate(lines, init, step)
+
+def _header_list(headers: Sequence[str]) -> Column:
+    return F.array(*[F.struct(F.lit(i).alias("p"), F.lit(h).alias("t")) for i, h in enumerate(headers)])
 
 
 def sections_in_text(reports: DataFrame, headers: DataFrame | Sequence[str],
@@ -70,42 +95,24 @@ def sections_in_text(reports: DataFrame, headers: DataFrame | Sequence[str],
     array (NULL when the section is incomplete).
 
     No filter is placed on the derived bounds: a pushed-down filter would
-    re-evaluate the fold, so missing sections simply explode to no rows.
+    search again, so missing sections simply explode to no rows.
     """
-    lines = split_lines(text_col)
     out_keys = list(keys) + [k for k in header_keys if k not in keys]
-    base = reports.select(*out_keys, lines.alias("_lines"))
+    # One kind of line break, so that positions in the text are all there is.
+    base = reports.select(*out_keys, F.regexp_replace(text_col, LINE_BREAK, "\n").alias("_text"))
     if isinstance(headers, DataFrame):
-        if not header_keys:
-            raise ValueError("a header table needs header_keys; pass a list of texts instead")
-        # The literal rule table as one header array per key (a bounded
-        # aggregate of a bounded table), attached by a broadcast hash join:
-        # map side only, one row per report.
-        grouped = headers.groupBy(*header_keys).agg(F.array_sort(F.collect_list(
-            F.struct(F.col(position_col).alias("p"), F.col(header_col).alias("t")))).alias("_hdrs"))
-        with_hdrs = base.join(broadcast_if_bounded(grouped, row_bound(headers)),
+        with_hdrs = base.join(_header_arrays(headers, header_keys, header_col, position_col),
                               list(header_keys), "inner")
     else:
-        # Same headers for every report: one literal array.
-        with_hdrs = base.withColumn("_hdrs", F.array(*[
-            F.struct(F.lit(i).alias("p"), F.lit(h).alias("t")) for i, h in enumerate(headers)]))
-
-    # One fold per header over the row's own line array: the report row is not
-    # copied per header, and each section is sliced out before the rows are
-    # expanded, so an output row carries only its own section's lines.
+        with_hdrs = base.withColumn("_hdrs", _header_list(headers))
     foot = F.lit(footer)
-    folded = with_hdrs.select(*out_keys, "_lines", F.transform("_hdrs", lambda hd: F.struct(
-        hd["p"].alias("p"), hd["t"].alias("t"),
-        section_bounds(F.col("_lines"), hd["t"], foot).alias("b"))).alias("_secs"))
-
-    def section(sec: Column) -> Column:
-        h, f = sec["b"]["h"], sec["b"]["f"]
-        return F.struct(sec["p"].alias(position_col), sec["t"].alias(header_col),
-                        h.alias("header_line"), f.alias("footer_line"),
-                        F.when(f.isNotNull(), F.slice(F.col("_lines"), h + 2, f - h - 1))
-                        .alias("section_lines"))
-
-    per = folded.select(*out_keys, F.inline(F.transform("_secs", section)))
+
+    def section(hd: Column) -> Column:
+        return _let(section_cut(F.col("_text"), hd["t"], foot), lambda c: F.struct(
+            hd["p"].alias(position_col), hd["t"].alias(header_col),
+            c["h"].alias("header_line"), c["f"].alias("footer_line"), c["lines"].alias("section_lines")))
+
+    per = with_hdrs.select(*out_keys, F.inline(F.transform("_hdrs", section)))
     if keep_status:
         return per
     return (per.select(*out_keys, position_col, header_col, "header_line",
@@ -122,40 +129,59 @@ def report_lines(reports: DataFrame, text_col: str = "text",
         .withColumn("line_no", F.col("line_no").cast("bigint"))
 
 
-def sections_in_lines(lines: DataFrame, headers: DataFrame, keys: Sequence[str],
+def sections_in_lines(lines: DataFrame, headers: DataFrame | Sequence[str], keys: Sequence[str],
                       header_keys: Sequence[str] = (), footer: str = SECTION_FOOTER,
-                      header_col: str = "data_set", position_col: str = "position") -> DataFrame:
+                      header_col: str = "data_set", position_col: str = "position",
+                      block_lines: int = BLOCK_LINES) -> DataFrame:
     """Same result as :func:`sections_in_text` over a line table.
 
-    ``lines``: ``keys + [line_no, line]`` (``header_keys`` among ``keys``).
-    ``headers``: literal rule table with ``header_keys + [position, header_col]``.
+    ``lines``: ``keys + [line_no, line]`` (``header_keys`` among ``keys``);
+    ``headers`` as there.  Lines without a key or number are in no section.
+
+    The lines are shuffled once, by report and block of ``block_lines`` lines,
+    and everything that touches a line works on that: a report with most of
+    all lines is as many groups as it has blocks.
     """
     keys = list(keys)
-    if row_bound(headers) is None:
-        raise ValueError("headers must be a literal rule table (session.rule_frame)")
-    rules = headers.select(*header_keys, position_col, header_col)
-    on = contains_text("line", F.col(header_col))
-    for k in header_keys:
-        on = on & (lines[k] == rules[k])
-    # JOIN-2: theta join against the broadcast header table (its size is
-    # bounded at construction); with shared keys it is a broadcast hash join
-    # plus a substring condition, without them a broadcast nested loop.
-    hits = lines.join(F.broadcast(rules), on, "inner")
-    for k in header_keys:
-        hits = hits.drop(rules[k])
-    # AGG-5 (first half): first header line per report and header (partial agg).
-    heads = hits.groupBy(*keys, position_col, header_col).agg(
-        F.min("line_no").alias("header_line"))
-    # AGG-5 (second half): first footer line after it.  Footer candidates are
-    # pre-filtered lines; join on the report keys with a range condition.
-    foots = lines.where(contains_text("line", footer)) \
-        .select(*keys, F.col("line_no").alias("footer_cand"))
-    bounds = heads.join(foots, keys, "inner") \
-        .where(F.col("footer_cand") > F.col("header_line")) \
-        .groupBy(*keys, position_col, header_col, "header_line") \
-        .agg(F.min("footer_cand").alias("footer_line"))
-    # FLT-2: half-open position range over the line table.
-    body = lines.join(bounds, keys, "inner").where(
-        (F.col("line_no") > F.col("header_line")) & (F.col("line_no") < F.col("footer_line")))
-    return body.select(*keys, position_col, header_col,
-                       F.col("line_no").cast("bigint").alias("line_no"), "line")
+    spot = [*keys, "_block"]
+    block = F.floor(F.col("line_no") / block_lines)
+    present = [F.col(c).isNotNull() for c in [*spot, "line_no"]]
+    dealt = lines.select(*keys, F.col("line_no").cast("bigint").alias("line_no"), "line", block.alias("_block"))
+    for p in present:
+        dealt = dealt.where(p)
+    dealt = dealt.repartition(*spot)
+
+    # JOIN-2: which headers each line contains, a narrow filter of a short array.
+    if isinstance(headers, DataFrame):
+        with_hdrs = dealt.join(_header_arrays(headers, header_keys, header_col, position_col),
+                               list(header_keys), "inner")
+    else:
+        with_hdrs = dealt.withColumn("_hdrs", _header_list(headers))
+    hits = with_hdrs.select(*spot, "line_no", F.inline(F.filter("_hdrs", lambda h: contains_text("line", h["t"]))))
+    heads = hits.groupBy(*spot, "p", "t").agg(F.min("line_no").alias("_h"))
+    # Footer lines of each block, at most one number per line.
+    foots = dealt.groupBy(*spot).agg(F.sort_array(F.collect_list(
+        F.when(contains_text("line", footer), F.col("line_no")))).alias("_f"))
+
+    # AGG-5: the first header line, and the first footer line after it: in the
+    # same block, else the first one of a later block.
+    after = F.get(F.filter("_f", lambda x: x > F.col("_h")), 0)
+    first = (heads.join(foots, spot).groupBy(*keys, "p", "t")
+             .agg(F.min(F.struct("_h", "_block", after.alias("_after"))).alias("_m"))
+             .select(*keys, "p", "t", "_m.*"))
+    ends = foots.select(*keys, F.col("_block").alias("_b"), F.get("_f", 0).alias("_first")).where("_first is not null")
+    ends = ends.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    on = F.col("_b") > F.col("_block")
+    for k in keys:
+        on = on & (F.col(k) == F.col(f"_k_{k}"))
+    bounds = (first.join(ends, on, "left").groupBy(*keys, "p", "t", "_h", "_after")
+              .agg(F.min("_first").alias("_later"))
+              .select(*keys, "p", "t", "_h", F.coalesce("_after", "_later").alias("_end")))
+
+    # FLT-2: the lines in between, joined block by block.
+    spans = bounds.where(F.col("_end") - F.col("_h") > 1).select(
+        *keys, "p", "t", "_h", "_end",
+        F.explode(F.sequence(F.floor((F.col("_h") + 1) / block_lines),
+                             F.floor((F.col("_end") - 1) / block_lines))).alias("_block"))
+    body = dealt.join(spans, spot).where((F.col("line_no") > F.col("_h")) & (F.col("line_no") < F.col("_end")))
+    return body.select(*keys, F.col("p").alias(position_col), F.col("t").alias(header_col), "line_no", "line")

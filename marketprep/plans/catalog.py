@@ -15,12 +15,13 @@ from ..functions import calendar as cal
 from ..functions import numeric as num
 from ..functions import text as txt
 from ..operators import joins, reshape, sections
-from ..rules import KEPT_COLUMN_COUNT, REPORT_COLUMNS, PivotRule
-from ..session import rule_frame, spread
+from ..rules import (KEPT_COLUMN_COUNT, REPORT_COLUMNS, SERIES_CAPACITY, SERIES_GROSS_INPUT,
+                     PivotRule)
+from ..session import literal_rows
 from ..sources.tables import read_table
 from ..sources import envelope, facets
 from .settlement import first_data_rows, priced
-from .utilization import latest_week_wide, utilization
+from .utilization import latest_week_wide, percent_utilization, series_utilization
 
 # --------------------------------------------------------------------------
 # Parameters of the driver-table queries (chosen here; the oracle SQL uses
@@ -38,14 +39,43 @@ EVENT_RULE_SCHEMA = "position int, event_type string, column string, source stri
 # section_extract: header phrases searched in each document, and the footer.
 SECTION_PHRASES = ("The ", "Es ", "Licensed", "Ort ", "rights")
 SECTION_FOOTER_WORD = "the"
-# report_settlement: header phrase -> (output column, price cell, transform).
-DOCUMENT_RULES = (
-    (0, "The ", "the_sett", "settlement", "none"),
-    (1, "Es ", "es_last", "last", "none"),
-    (2, "Licensed", "licensed_sett_inverse", "settlement", "reciprocal"),
-    (3, "Ort ", "ort_sett", "settlement", "none"),
-    (4, "rights", "rights_last", "last", "reciprocal"),
+# report_settlement: (position, header text, output column, price cell, transform)
+# of the sections in the report that is made of each part.
+PART_RULES = (
+    (0, "A1 Alpha Futures", "alpha", "settlement", "none"),
+    (1, "B2 Bravo Futures", "bravo", "last", "none"),
+    (2, "C3 Charlie Futures", "charlie_inverse", "settlement", "reciprocal"),
+    (3, "D4 Delta Futures", "delta", "settlement", "none"),
+    (4, "E5 Echo Futures", "echo_inverse", "last", "reciprocal"),
 )
+PART_FOOTER = "TOTAL"
+
+
+def part_report_sql() -> str:
+    """SQL (of either engine) that writes a report text from a row of ``part``:
+    five sections, some without header or footer, with blank lines, and data
+    lines of 7 to 12 tokens whose cells have letter suffixes, leading dots,
+    signs, zeros and no number at all."""
+    size, key = "CAST(p_size AS STRING)", "CAST(p_partkey % 1000 AS STRING)"
+
+    def cell(i: int, j: int) -> str:
+        return (f"CASE (p_partkey + p_size + {7 * i + j}) % 8 WHEN 0 THEN {size} || '.' || {key} || 'A' "
+                f"WHEN 1 THEN '.' || {key} WHEN 2 THEN '0' WHEN 3 THEN 'UNCH' WHEN 4 THEN '-' || {size} || '.' || {key} "
+                f"WHEN 5 THEN '----' WHEN 6 THEN {key} ELSE {size} || '.' || {key} END")
+
+    def data(i: int, month: str) -> str:
+        n = f"7 + (p_partkey + {5 * i}) % 6"
+        cells = ", ".join(f"CASE WHEN {n} > {j} THEN {cell(i, j)} END" for j in range(1, 12))
+        return f"concat_ws(' ', '{month}' || {size}, {cells})"
+
+    parts = [f"'REPORT ' || {key}"]
+    for i, header, *_ in PART_RULES:
+        parts += [f"CASE WHEN p_size % 11 <> {i} THEN '{header} ' || p_brand END",
+                  f"CASE WHEN (p_size + {i}) % 3 = 0 THEN '' END", data(i, "JAN"), data(i + 1, "FEB"),
+                  f"CASE WHEN p_size % 7 <> {i} THEN '{PART_FOOTER} ' || {key} END"]
+    return "concat_ws(chr(10), " + ", ".join(parts) + ")"
+
+
 # facet_single: one facet value, newest first, offset and row count.
 SINGLE_FACET_STATUS, SINGLE_FACET_OFFSET, SINGLE_FACET_ROWS = "F", 0, 12
 # wide_two_areas: the two labels kept, as they appear in the data.
@@ -68,7 +98,7 @@ def rule_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     ev = read_table(spark, sf_dir, "events").select(
         _date("ts").alias("day"), "event_type", "event_id", "value", "props")
-    rules = rule_frame(spark, EVENT_RULES, EVENT_RULE_SCHEMA)
+    rules = literal_rows(spark, EVENT_RULES, EVENT_RULE_SCHEMA)
     long = joins.lookup_rules(ev, rules, "event_type")
     # The raw value (a JSON parse for some rules) is its own column, computed
     # once per row; inlined into the CASE branches below it would be
@@ -85,9 +115,8 @@ def rule_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------- SRC-1/JOIN-2/AGG-5/FLT-*
 def section_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Section lines of every document, whole-text form: a narrow map (no join,
-    no aggregate); ``spread`` round-robins the scan only when it has fewer
-    splits than cores."""
-    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    no aggregate, no shuffle)."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     out = sections.sections_in_text(docs, list(SECTION_PHRASES), keys=["doc_id"],
                                     footer=SECTION_FOOTER_WORD, header_col="phrase")
     return out.select("doc_id", "phrase", "line_no", "line")
@@ -96,7 +125,7 @@ def section_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 def section_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document and phrase: header line, footer line (NULL when missing)
     and whether a complete section exists - the report instead of a crash."""
-    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     st = sections.sections_in_text(docs, list(SECTION_PHRASES), keys=["doc_id"],
                                    footer=SECTION_FOOTER_WORD, header_col="phrase",
                                    keep_status=True)
@@ -106,11 +135,11 @@ def section_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def section_extract_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Same result through the line-table form (broadcast theta join + mins)."""
-    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """Same result through the line-table form (lines dealt out once by report
+    and block)."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     lines = sections.report_lines(docs, keys=["doc_id"])
-    phrases = rule_frame(spark, list(enumerate(SECTION_PHRASES)), "position int, phrase string")
-    out = sections.sections_in_lines(lines, phrases, keys=["doc_id"],
+    out = sections.sections_in_lines(lines, list(SECTION_PHRASES), keys=["doc_id"],
                                      footer=SECTION_FOOTER_WORD, header_col="phrase")
     return out.select("doc_id", "phrase", "line_no", "line")
 
@@ -118,8 +147,7 @@ def section_extract_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ----------------------------------------------------------- STR-1/2/3, SRC-3
 def ragged_pad(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ragged lines (7-12 tokens) built from ``part``; tokenise, pad, name."""
-    p = spread(read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type",
-                                                        "p_size"))
+    p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     line = F.concat_ws(" ", "p_name", "p_brand", "p_type",
                        F.repeat(F.concat("p_brand", F.lit(" ")), F.lit(3) + F.col("p_size") % 6))
     t = p.select("p_partkey", txt.tokens(line).alias("t"))
@@ -139,7 +167,7 @@ def ragged_pad(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------- STR-4/5, CAST-1, PRJ-1
 def clean_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First number of several text shapes, default and parity patterns."""
-    p = spread(read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size"))
+    p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
     size = num.to_text("p_size")
     key = num.to_text("p_partkey")
     shapes = {
@@ -160,8 +188,8 @@ def clean_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clean_numeric_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same cleaning on customer text: zero-padded keys in names, signed
     and dot-leading shapes built from integer columns."""
-    c = spread(read_table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_name", "c_nationkey", "c_mktsegment"))
+    c = read_table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     key = num.to_text("c_custkey")
     nation = num.to_text("c_nationkey")
     shapes = {
@@ -185,8 +213,8 @@ def json_unwrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``to_json`` -> ``from_json`` with an explicit schema -> ``inline`` ->
     strict cast; all narrow, per row.
     """
-    ev = spread(read_table(spark, sf_dir, "events").select(
-        "event_id", "ts", "user_id", "event_type", "value", "props"))
+    ev = read_table(spark, sf_dir, "events").select(
+        "event_id", "ts", "user_id", "event_type", "value", "props")
     record = F.struct(
         cal.format_iso(F.col("ts")).alias("period"),
         F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("duoarea"),
@@ -254,20 +282,19 @@ def _nation_region(spark: SparkSession, sf_dir: str, regions=None) -> DataFrame:
 
 
 def _period_values(spark: SparkSession, sf_dir: str, regions=None, grain=("nationkey", "regionkey"),
-                    period=lambda d: F.trunc(d, "month"), period_name: str = "month"):
+                   period=lambda d: F.trunc(d, "month"), period_name: str = "month"):
     """Ordered value (by order period) and shipped value (by ship period) per
-    (period, <grain>), exact decimal sums; the period is a month by default.
-
-    Join order is written smallest-first (cost-based reordering is off by
-    default): orders meet customer/nation first, so the customer-key join
-    runs on orders, not on the four times larger lineitem x orders rows;
-    lineitem then joins that result once on the order key.  Both sides are
-    aggregated straight into (period, grain) groups, so the partial
-    aggregate leaves one row per group per task and the final shuffle is
-    tiny.  Spark broadcasts a side only when its measured size is under the
-    threshold; AQE splits a hot customer's partition (skew join) instead of
-    sending a third of all orders to one task.  The region filter sits on the
-    small side and prunes before the fact joins.
+    (period, <grain>), exact decimal sums, for the periods that have both; the
+    period is a month by default.
+
+    Customers give each order key its place once.  What was ordered and what
+    was shipped are then rows of one table keyed by the order, joined to that
+    once and summed into (period, grain) groups side by side, so the partial
+    aggregate leaves one row per group per task and the final shuffle is tiny;
+    no second join brings the two sums together.  Spark broadcasts a side only
+    when its measured size is under the threshold; AQE splits a hot customer's
+    partition (skew join) instead of sending a third of all orders to one task.
+    The region filter sits on the small side and prunes before the fact joins.
     """
     orders = read_table(spark, sf_dir, "orders")
     li = read_table(spark, sf_dir, "lineitem")
@@ -278,39 +305,32 @@ def _period_values(spark: SparkSession, sf_dir: str, regions=None, grain=("natio
             "region": F.col("r_name").alias("region")}
     cust_geo = cust.join(geo, cust.c_nationkey == geo.n_nationkey, "inner").select(
         "c_custkey", *[keep[g] for g in grain])
-    orders_geo = orders.join(cust_geo, orders.o_custkey == cust_geo.c_custkey, "inner").select(
-        "o_orderkey", "o_orderdate", "o_totalprice", *grain)
-    keys = [period_name, *grain]
-
-    ordered = (orders_geo.groupBy(period(_date("o_orderdate")).alias(period_name), *grain)
-               .agg(F.sum(num.exact_money("o_totalprice")).cast("double").alias("value")))
+    places = orders.join(cust_geo, orders.o_custkey == cust_geo.c_custkey, "inner").select("o_orderkey", *grain)
     amount = num.exact_money("l_extendedprice") * (1 - num.exact_money("l_discount", 4, 2))
-    shipped = (li.join(orders_geo.select("o_orderkey", *grain), li.l_orderkey == orders_geo.o_orderkey)
-               .groupBy(period(_date("l_shipdate")).alias(period_name), *grain)
-               .agg(F.sum(amount).cast("double").alias("value")))
-    return ordered.select(*keys, "value"), shipped.select(*keys, "value")
+    moves = orders.select(F.col("o_orderkey").alias("k"), period(_date("o_orderdate")).alias(period_name),
+                          num.exact_money("o_totalprice").alias("ordered")).unionByName(
+        li.select(F.col("l_orderkey").alias("k"), period(_date("l_shipdate")).alias(period_name),
+                  amount.alias("shipped")), allowMissingColumns=True)
+    keys = [period_name, *grain]
+    both = places.join(moves, places.o_orderkey == moves.k).groupBy(*keys).agg(
+        F.sum("ordered").cast("double").alias("output_value"), F.sum("shipped").cast("double").alias("input_value"))
+    return both.where("output_value is not null and input_value is not null").select(
+        *keys, "output_value", "input_value", percent_utilization().alias("percent_utilization"))
 
 
 def ratio_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shipped over ordered value per (month, nation, region), in percent."""
-    ordered, shipped = _period_values(spark, sf_dir)
-    keys = ["month", "nationkey", "regionkey"]
-    return utilization(ordered.withColumnRenamed("value", "output_value"),
-                       shipped.withColumnRenamed("value", "input_value"), keys) \
-        .select(*keys, "output_value", "input_value", "percent_utilization")
+    return _period_values(spark, sf_dir)
 
 
 # ------------------------------------------------- AGG-2/3, PRJ-6, FLT-4, STR-6
 def wide_two_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Region-level utilization for two regions, one wide row per month."""
-    ordered, shipped = _period_values(spark, sf_dir, regions=TWO_REGIONS, grain=("region",))
-    keys = ["month", "region"]
-    util = utilization(ordered.withColumnRenamed("value", "output_value"),
-                       shipped.withColumnRenamed("value", "input_value"), keys)
+    util = _period_values(spark, sf_dir, regions=TWO_REGIONS, grain=("region",))
     labelled = util.withColumn("label", txt.strip_spaces("region"))
     labels = [r.replace(" ", "") for r in TWO_REGIONS]
     wide = reshape.label_pivot(labelled, ["month"], "label", "percent_utilization", labels)
-    return reshape.select_in_order(wide.withColumnRenamed("month", "Date"), ["Date", *labels])
+    return reshape.select_in_order(reshape.rename(wide, {"month": "Date"}), ["Date", *labels])
 
 
 # ------------------------------------------------ FLT-3/5, DATE-1/2/6
@@ -377,62 +397,93 @@ def weekly_utilization(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Job B end to end on the driver tables.
 
     Weekly (week ending Friday) shipped over ordered value for two regions,
-    null-safe joined, half-even percent; then for every calendar day the
+    half-even percent; then for every calendar day the
     latest week with data (this Friday, else the previous one) pivoted into
     one row ``as_of, Date, AMERICA, MIDDLEEAST``.
     """
-    ordered, shipped = _period_values(spark, sf_dir, regions=TWO_REGIONS, grain=("region",),
-                                       period=cal.week_ending_friday, period_name="period")
-    keys = ["period", "region"]
-    util = utilization(ordered.withColumnRenamed("value", "output_value"),
-                       shipped.withColumnRenamed("value", "input_value"), keys) \
+    util = _period_values(spark, sf_dir, regions=TWO_REGIONS, grain=("region",),
+                          period=cal.week_ending_friday, period_name="period") \
         .withColumnRenamed("region", "area_name")
     spine = _order_day_spine(spark, sf_dir, "as_of")
     return latest_week_wide(util, spine, areas=TWO_REGIONS)
 
 
 # ----------------------------------------- job A shape: sections -> wide rows
-def _document_rules() -> list[PivotRule]:
-    return [PivotRule(p, phrase, col, price, tf) for p, phrase, col, price, tf in DOCUMENT_RULES]
-
-
-def _document_pivot(rows: DataFrame) -> DataFrame:
-    """Rule pivot of the first-row cells: month and price per phrase rule."""
-    rules = _document_rules()
-    both = priced(rows, rules).withColumn(
-        "cell", F.struct(F.col("Month").alias("month"), F.col("price_value").alias("price")))
-    wide = reshape.rule_pivot(both, ["doc_id"], rules, name_col="Data_Set", value_col="cell",
+def _part_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = read_table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_brand")
+    return p.select("p_partkey", F.expr(part_report_sql()).alias("text"))
+
+
+def _part_pivot(status: DataFrame) -> DataFrame:
+    """Rule pivot of the first-row cells: month, price and irregularity per rule."""
+    rows = first_data_rows(status, ["p_partkey", "position"], header_col="header")
+    rules = [PivotRule(p, header, col, price, tf) for p, header, col, price, tf in PART_RULES]
+    cells = priced(rows, rules).withColumn("cell", F.struct(
+        F.col("Month").alias("month"), F.col("price_value").alias("price"), "is_irregular"))
+    wide = reshape.rule_pivot(cells, ["p_partkey"], rules, name_col="Data_Set", value_col="cell",
                               order_col="position")
-    out = [F.col("doc_id")]
+    out = [F.col("p_partkey")]
     for r in rules:
         out += [F.col(f"{r.column}.month").alias(f"{r.column}_month"),
-                F.col(f"{r.column}.price").alias(r.column)]
+                F.col(f"{r.column}.price").alias(r.column),
+                F.col(f"{r.column}.is_irregular").alias(f"{r.column}_irregular")]
     return wide.select(*out)
 
 
 def report_settlement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Job A end to end on ``documents``: per document and header phrase the
-    first data line of the section, tokenised, padded, numbers cleaned, then
-    a rule pivot to one wide row per document (whole-text form)."""
-    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    status = sections.sections_in_text(docs, [r[1] for r in DOCUMENT_RULES], keys=["doc_id"],
-                                       footer=SECTION_FOOTER_WORD, header_col="phrase",
+    """Job A end to end on a report text per part: per header the first data
+    line of the section, tokenised, padded, numbers cleaned, then a rule pivot
+    to one wide row per report (whole-text form)."""
+    status = sections.sections_in_text(_part_reports(spark, sf_dir), [r[1] for r in PART_RULES],
+                                       keys=["p_partkey"], footer=PART_FOOTER, header_col="header",
                                        keep_status=True)
-    return _document_pivot(first_data_rows(status, ["doc_id", "position"], header_col="phrase"))
+    return _part_pivot(status)
 
 
 def report_settlement_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same result through the line-table form used for reports too large
-    for one row: keyed theta join, partial mins, ``min_by`` first line."""
-    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    lines = sections.report_lines(docs, keys=["doc_id"])
-    phrases = rule_frame(spark, [(r[0], r[1]) for r in DOCUMENT_RULES], "position int, phrase string")
-    sec = sections.sections_in_lines(lines, phrases, keys=["doc_id"], footer=SECTION_FOOTER_WORD,
-                                     header_col="phrase")
+    for one row: lines dealt out by report and block, ``min_by`` first line."""
+    lines = sections.report_lines(_part_reports(spark, sf_dir), keys=["p_partkey"])
+    sec = sections.sections_in_lines(lines, [r[1] for r in PART_RULES], keys=["p_partkey"],
+                                     footer=PART_FOOTER, header_col="header")
     firsts = reshape.first_per_group(sec.where(txt.trim_ws("line") != ""),
-                                     ["doc_id", "position", "phrase"], ["line_no"], cols=["line"])
-    status = firsts.withColumn("section_lines", F.array("line"))
-    return _document_pivot(first_data_rows(status, ["doc_id", "position"], header_col="phrase"))
+                                     ["p_partkey", "position", "header"], ["line_no"], cols=["line"])
+    return _part_pivot(firsts.withColumn("section_lines", F.array("line")))
+
+
+# --------------------------------------- job B inputs: latest pull, bad values
+def latest_pull_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order is a pulled record of a series (odd keys capacity, even keys
+    gross input) for its month, customer nation (NULL for some) and segment, so
+    each record is pulled many times; the latest pull counts, and the two
+    series join where NULL keys match (AGG-4 before JOIN-1)."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    pulls = o.join(c, o.o_custkey == c.c_custkey).select(
+        F.when(F.col("o_orderkey") % 2 == 1, SERIES_CAPACITY).otherwise(SERIES_GROSS_INPUT).alias("series_code"),
+        F.trunc(_date("o_orderdate"), "month").alias("period"),
+        F.when(F.col("c_nationkey") % 6 != 0, F.concat(F.lit("N"), num.to_text("c_nationkey"))).alias("duoarea"),
+        F.col("c_mktsegment").alias("area_name"), F.lit("pulled").alias("series_description"),
+        F.col("o_totalprice").alias("value"), F.lit("USD").alias("units"), F.lit("p").alias("product_name"),
+        _date("o_orderdate").alias("pull_date"),
+        F.lpad(num.to_text("o_orderkey"), 12, "0").alias("file_name"), F.lit(0).alias("record_no"))
+    out = series_utilization(envelope.latest_records(pulls))
+    return out.select("period", "duoarea", "area_name", "output_value", "input_value", "percent_utilization")
+
+
+def series_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CAST-2 over events as text records: numbers, NaN text (NULL), missing
+    values and bad text or dates, which are set aside with their raw text."""
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "value")
+    k = F.col("event_id") % 10
+    recs = ev.select(
+        "event_id",
+        F.when(k == 9, "not-a-date").otherwise(cal.format_iso("ts")).alias("period"),
+        F.when(k == 0, "NaN").when(k == 1, "n/a").when(k != 2, num.to_text("value")).alias("value"))
+    good, bad = envelope.quarantine_values(recs)
+    return good.select("event_id", "period", "value", F.lit(None).cast("string").alias("bad_text")).unionByName(
+        bad.select("event_id", F.lit(None).cast("date").alias("period"), F.lit(None).cast("double").alias("value"),
+                   F.concat_ws("|", "period", "value").alias("bad_text")))
 
 
 # ------------------------------------------------------- TOP-2, single facet
@@ -480,4 +531,6 @@ QUERIES = {
     "report_settlement": report_settlement,
     "report_settlement_lines": report_settlement_lines,
     "facet_single": facet_single,
+    "latest_pull_ratio": latest_pull_ratio,
+    "series_quarantine": series_quarantine,
 }

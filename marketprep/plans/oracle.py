@@ -7,9 +7,10 @@ decimals so neither engine depends on addition order.
 
 from __future__ import annotations
 
-from .catalog import (ASOF_PRIORITY, ASOF_REGION, ASOF_STATUS, DOCUMENT_RULES, EVENT_RULES,
-                      FALLBACK_PRIORITY, FALLBACK_STATUS, SECTION_FOOTER_WORD, SECTION_PHRASES,
-                      SINGLE_FACET_OFFSET, SINGLE_FACET_ROWS, SINGLE_FACET_STATUS, TWO_REGIONS)
+from .catalog import (ASOF_PRIORITY, ASOF_REGION, ASOF_STATUS, EVENT_RULES, FALLBACK_PRIORITY,
+                      FALLBACK_STATUS, PART_FOOTER, PART_RULES, SECTION_FOOTER_WORD, SECTION_PHRASES,
+                      SINGLE_FACET_OFFSET, SINGLE_FACET_ROWS, SINGLE_FACET_STATUS, TWO_REGIONS,
+                      part_report_sql)
 
 
 def _q(s: str) -> str:
@@ -357,16 +358,17 @@ FROM pick p JOIN util u ON u.period = p.d AND u.region IN ({_TWO})
 GROUP BY p.as_of, p.d
 """
 
-_DOC_RULE_VALUES = ", ".join(
-    f"({p}, {_q(ph)}, {_q(c)}, {_q(pr)}, {_q(tf)})" for p, ph, c, pr, tf in DOCUMENT_RULES)
-_DOC_COLS = ",\n  ".join(
-    f"max(month) FILTER (WHERE col = {_q(c)}) AS {c}_month, max(v) FILTER (WHERE col = {_q(c)}) AS {c}"
-    for _, _, c, _, _ in DOCUMENT_RULES)
+_PART_RULE_VALUES = ", ".join(
+    f"({p}, {_q(ph)}, {_q(c)}, {_q(pr)}, {_q(tf)})" for p, ph, c, pr, tf in PART_RULES)
+_PART_COLS = ",\n  ".join(
+    f"max(month) FILTER (WHERE col = {_q(c)}) AS {c}_month, max(v) FILTER (WHERE col = {_q(c)}) AS {c}, "
+    f"bool_or(irr) FILTER (WHERE col = {_q(c)}) AS {c}_irregular"
+    for _, _, c, _, _ in PART_RULES)
 _TRIM = "regexp_replace(l.line, '^\\s+|\\s+$', '', 'g')"
 
 REPORT_SETTLEMENT = f"""
-WITH rules(position, phrase, col, price, tf) AS (VALUES {_DOC_RULE_VALUES}),
-split AS (SELECT doc_id, string_split_regex(text, '\\r\\n|\\r|\\n') AS parts FROM documents),
+WITH rules(position, phrase, col, price, tf) AS (VALUES {_PART_RULE_VALUES}),
+split AS (SELECT p_partkey AS doc_id, string_split({part_report_sql()}, chr(10)) AS parts FROM part),
 lines AS (
   SELECT doc_id, CAST(generate_subscripts(parts, 1) - 1 AS BIGINT) AS line_no,
          unnest(parts) AS line
@@ -379,7 +381,7 @@ bounds AS (
   SELECT h.doc_id, h.phrase, h.header_line, min(l.line_no) AS footer_line
   FROM heads h JOIN lines l
     ON l.doc_id = h.doc_id AND l.line_no > h.header_line
-   AND contains(l.line, {_q(SECTION_FOOTER_WORD)})
+   AND contains(l.line, {_q(PART_FOOTER)})
   GROUP BY h.doc_id, h.phrase, h.header_line),
 firsts AS (
   SELECT b.doc_id, b.phrase, min(l.line_no) AS first_line
@@ -392,21 +394,46 @@ tok AS (
   FROM firsts f JOIN lines l ON l.doc_id = f.doc_id AND l.line_no = f.first_line),
 nums AS (
   SELECT doc_id, phrase, t[1] AS month,
-         {_num_default("t[6]")} AS sett, {_num_default("t[5]")} AS last FROM tok),
+         {_num_default("t[6]")} AS sett, {_num_default("t[5]")} AS last,
+         len(t) NOT IN (8, 9, 10, 11) AS irr FROM tok),
 val AS (
-  SELECT n.doc_id, r.col, r.tf, n.month,
+  SELECT n.doc_id, r.col, r.tf, n.month, n.irr,
          CASE WHEN r.price = 'settlement' THEN n.sett ELSE n.last END AS raw
   FROM nums n JOIN rules r ON r.phrase = n.phrase),
 v AS (
-  SELECT doc_id, col, month,
+  SELECT doc_id, col, month, irr,
          CASE WHEN tf = 'reciprocal' THEN (CASE WHEN raw <> 0 THEN 1.0 / raw ELSE raw END)
               ELSE raw END AS v
   FROM val)
-SELECT doc_id,
-  {_DOC_COLS}
+SELECT doc_id AS p_partkey,
+  {_PART_COLS}
 FROM v GROUP BY doc_id
 """
 
+LATEST_PULL_RATIO = f"""
+WITH pulls AS (
+  SELECT o_orderkey, o_orderkey % 2 AS odd, date_trunc('month', CAST(o_orderdate AS DATE))::DATE AS period,
+         CASE WHEN c_nationkey % 6 <> 0 THEN 'N' || c_nationkey END AS duoarea, c_mktsegment AS area_name,
+         o_totalprice AS value, CAST(o_orderdate AS DATE) AS pull_date
+  FROM orders JOIN customer ON o_custkey = c_custkey),
+last AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY odd, period, duoarea, area_name
+                                              ORDER BY pull_date DESC, o_orderkey DESC) AS rn FROM pulls)
+  WHERE rn = 1)
+SELECT a.period, a.duoarea, a.area_name, a.value AS output_value, b.value AS input_value,
+       CASE WHEN a.value <> 0 THEN round_even(b.value / a.value * 100 * 100, 0) / 100 END AS percent_utilization
+FROM last a JOIN last b ON a.odd = 1 AND b.odd = 0 AND a.period IS NOT DISTINCT FROM b.period
+  AND a.duoarea IS NOT DISTINCT FROM b.duoarea AND a.area_name IS NOT DISTINCT FROM b.area_name
+"""
+
+SERIES_QUARANTINE = """
+SELECT event_id, CASE WHEN event_id % 10 NOT IN (1, 9) THEN CAST(ts AS DATE) END AS period,
+  CASE WHEN event_id % 10 NOT IN (0, 1, 2, 9) THEN value END AS value,
+  CASE event_id % 10 WHEN 1 THEN strftime(ts, '%Y-%m-%d') || '|n/a'
+       WHEN 9 THEN 'not-a-date' || CASE WHEN value IS NULL THEN '' ELSE '|' || CAST(value AS VARCHAR) END END AS bad_text
+FROM events
+"""
+
 FACET_SINGLE = f"""
 SELECT o_orderstatus, o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate, o_totalprice
 FROM orders WHERE o_orderstatus = {_q(SINGLE_FACET_STATUS)}
@@ -437,4 +464,6 @@ ORACLE_SQL = {
     "report_settlement": REPORT_SETTLEMENT,
     "report_settlement_lines": REPORT_SETTLEMENT,
     "facet_single": FACET_SINGLE,
+    "latest_pull_ratio": LATEST_PULL_RATIO,
+    "series_quarantine": SERIES_QUARANTINE,
 }

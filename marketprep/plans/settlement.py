@@ -17,6 +17,7 @@ chosen (as-of, source, report date) triples.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,8 +52,10 @@ def first_data_rows(status: DataFrame, keys: Sequence[str], parity: bool = False
     first data line of each section, tokenised, padded, the first six report
     cells named, numbers cleaned.
 
-    Output: ``keys + [Data_Set, Month, Settlement_Price, Last_Price]`` plus
-    the six raw kept cells; sections without a data line give no row.
+    Output: ``keys + [Data_Set, Month, Settlement_Price, Last_Price,
+    is_irregular]`` plus the six raw kept cells; sections without a data line
+    give no row.  ``is_irregular`` marks a token count that no padding rule
+    covers, where cells may be misplaced.
     Tokens are whitespace-delimited and kept whole: a comma or quote inside
     a token does not split or shift cells (the source's CSV round trip
     would have).
@@ -69,7 +72,7 @@ def first_data_rows(status: DataFrame, keys: Sequence[str], parity: bool = False
     with_tokens = (with_first.withColumn("_raw_tokens", txt.tokens("_first"))
                    .withColumn("_tokens", txt.pad_ragged("_raw_tokens")))
     cells = with_tokens.select(
-        *keys, F.col(header_col).alias("Data_Set"),
+        *keys, F.col(header_col).alias("Data_Set"), txt.is_irregular("_raw_tokens").alias("is_irregular"),
         F.inline(F.when(F.col("_first").isNotNull(),
                         F.array(F.struct(*txt.token_columns("_tokens", kept))))))
     return cells.select(
@@ -77,7 +80,7 @@ def first_data_rows(status: DataFrame, keys: Sequence[str], parity: bool = False
         F.col("MTH_STRIKE").alias("Month"),
         txt.first_number("SETT", parity).alias("Settlement_Price"),
         txt.first_number("DAILY_LAST", parity).alias("Last_Price"),
-        *kept)
+        "is_irregular", *kept)
 
 
 def first_rows(spark: SparkSession, reports: DataFrame, footer: str = SECTION_FOOTER,
@@ -85,7 +88,7 @@ def first_rows(spark: SparkSession, reports: DataFrame, footer: str = SECTION_FO
     """One cleaned row per (report, product): the section's first data line.
 
     Output: ``report_date, source_id, file_name, position, Data_Set, Month,
-    Settlement_Price, Last_Price`` plus the six raw kept cells.
+    Settlement_Price, Last_Price, is_irregular`` plus the six raw kept cells.
     """
     s = sections.sections_in_text(reports, product_rules(spark), keys=list(REPORT_KEYS),
                                   header_keys=["source_id"], footer=footer, keep_status=True)
@@ -149,34 +152,40 @@ def settlement_history(spark: SparkSession, reports: DataFrame, parity: bool = F
     return settlement_wide(first_rows(spark, reports, parity=parity))
 
 
-def report_window(reports: DataFrame, first_as_of: str, last_as_of: str,
-                  days: int = LOOKBACK_DAYS, mode: str = "corrected") -> DataFrame:
-    """Only the reports a lookback over ``[first_as_of, last_as_of]`` can pick.
+def window_dates(first_as_of: str, last_as_of: str, days: int = LOOKBACK_DAYS,
+                 mode: str = "corrected") -> list[str]:
+    """The report dates a lookback over ``[first_as_of, last_as_of]`` can pick.
 
-    A filter on the ``report_date=`` partition column: Spark prunes whole
-    directories (``PartitionFilters``), so a daily run opens a week of files,
-    not the whole history.  The source's trial order reaches further back
-    (its weekend shift adds up to 4 days), so that mode gets a wider window.
-    """
+    The source's trial order reaches further back (its weekend shift adds up
+    to 4 days), so that mode gets a wider window."""
     reach = days - 1 + (4 if mode == "reference" else 0)
-    lo = F.date_sub(F.to_date(F.lit(first_as_of)), reach)
-    hi = F.to_date(F.lit(last_as_of))
-    return reports.where(F.col("report_date").between(lo, hi))
+    lo = date.fromisoformat(first_as_of) - timedelta(days=reach)
+    hi = date.fromisoformat(last_as_of)
+    return [(lo + timedelta(days=k)).isoformat() for k in range((hi - lo).days + 1)]
+
+
+def report_window(reports: DataFrame, first_as_of: str, last_as_of: str,
+                  days: int = LOOKBACK_DAYS, mode: str = "corrected") -> DataFrame:
+    """Only the reports of :func:`window_dates`, from a table of reports: a
+    filter on the partition column, which prunes what is read (the listing of
+    the folders is whole; give ``read_reports`` the dates to limit that too)."""
+    dates = window_dates(first_as_of, last_as_of, days, mode)
+    return reports.where(F.col("report_date").between(F.to_date(F.lit(dates[0])), F.to_date(F.lit(dates[-1]))))
 
 
 def settlement_as_of(spark: SparkSession, reports: DataFrame, spine: DataFrame,
                      as_of_col: str = "as_of", mode: str = "corrected",
-                     parity: bool = False) -> DataFrame:
+                     parity: bool = False, inventory: DataFrame | None = None) -> DataFrame:
     """One wide row per as-of date, each report kind taken from its latest
     available date within the 7-day lookback (SRC-6).
 
     Each (as-of, source) picks its report date from the inventory of landed
     reports, then the parsed rows of exactly those reports are pivoted.
-    Narrow ``reports`` with :func:`report_window` first when the as-of range
-    is known, so only the partitions in reach are listed and read.
+    ``inventory`` (``sources.reports.read_inventory``) comes from the file
+    listing; without it the reports are read once more to find their dates.
     """
     sources = list(products_by_source())
-    inv = report_inventory(reports)
+    inv = inventory if inventory is not None else report_inventory(reports)
     grid = spine.select(as_of_col, F.explode(F.array(*[F.lit(s) for s in sources])).alias("source_id"))
     picks = joins.asof_lookback(grid, as_of_col, inv, "report_date", keys=["source_id"],
                                 modes=(mode,))

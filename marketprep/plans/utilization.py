@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
@@ -27,6 +27,11 @@ INPUT_NAMES = {"series_description": "input_description", "value": "input_value"
                "units": "input_units"}
 
 
+def percent_utilization(digits: int = 2) -> Column:
+    """MATH-2/3: gross input over capacity in percent, half-even."""
+    return num.round_half_even(num.percent_ratio("input_value", "output_value"), digits)
+
+
 def utilization(capacity: DataFrame, gross_input: DataFrame, keys: Sequence[str],
                 digits: int = 2) -> DataFrame:
     """JOIN-1 + MATH-2/3: inner null-safe join on ``keys``, then
@@ -36,8 +41,7 @@ def utilization(capacity: DataFrame, gross_input: DataFrame, keys: Sequence[str]
     Division by zero gives NULL, not inf.
     """
     j = joins.null_safe_join(capacity, gross_input, keys, suffix="_input")
-    pct = num.percent_ratio("input_value", "output_value")
-    return j.withColumn("percent_utilization", num.round_half_even(pct, digits))
+    return j.withColumn("percent_utilization", percent_utilization(digits))
 
 
 def series_utilization(records: DataFrame, keys: Sequence[str] = SERIES_JOIN_KEYS,
@@ -61,6 +65,22 @@ def series_utilization(records: DataFrame, keys: Sequence[str] = SERIES_JOIN_KEY
     return utilization(cap, inp, keys)
 
 
+def candidate_weeks(as_of: Column, parity: bool = False) -> list[Column]:
+    """The Fridays whose week an as-of date may report, in order: this one,
+    else the previous one (``parity``: only the previous one)."""
+    this_fri = cal.last_friday(as_of)
+    before = cal.days_before(this_fri, 7)
+    return [before] if parity else [this_fri, before]
+
+
+def in_reach(records: DataFrame, spine: DataFrame, parity: bool = False, as_of_col: str = "as_of",
+             period_col: str = "period") -> DataFrame:
+    """Only the records of weeks that an as-of date can report.  Done before
+    the null-safe join, across which no filter is inferred."""
+    weeks = spine.select(F.explode(F.array(*candidate_weeks(F.col(as_of_col), parity))).alias(period_col)).distinct()
+    return records.join(weeks, period_col, "left_semi").select(*records.columns)
+
+
 def latest_week_wide(util: DataFrame, spine: DataFrame, as_of_col: str = "as_of",
                      areas: Sequence[str] = UTILIZATION_AREAS, parity: bool = False) -> DataFrame:
     """FLT-5 + AGG-2: for each as-of date choose the week to report (this
@@ -78,9 +98,7 @@ def latest_week_wide(util: DataFrame, spine: DataFrame, as_of_col: str = "as_of"
     rows = (util.where(F.col("area_name").isin(list(areas)))
             .select(F.col("period").alias("Date"), txt.strip_spaces("area_name").alias("label"),
                     "percent_utilization"))
-    this_fri = cal.last_friday(F.col(as_of_col))
-    cands = ([cal.days_before(this_fri, 7)] if parity
-             else [this_fri, cal.days_before(this_fri, 7)])
+    cands = candidate_weeks(F.col(as_of_col), parity)
     arr = F.array(*[F.struct(F.lit(i).alias("_rank"), c.alias("Date")) for i, c in enumerate(cands)])
     hits = spine.select(as_of_col, F.inline(arr)).join(rows, "Date", "inner")
     per_rank = reshape.label_pivot(hits, [as_of_col, "_rank", "Date"], "label",

@@ -52,11 +52,15 @@ PADDING_RULES: dict[int, tuple[tuple[int, int], ...]] = {
 # Line that closes a product section.
 SECTION_FOOTER = "TOTAL"
 
+# How the source jobs read a number: a leading dot becomes "0.", then the
+# first unsigned number counts.
+PARITY_LEADING_DOT = (r"^\.", "0.")
+PARITY_NUMBER_PATTERN = r"(\d+\.?\d*)"
+
 # Refinery series codes: capacity ("output" side) and gross input.
 SERIES_UTILIZATION = "YUP"
 SERIES_CAPACITY = "YRL"
 SERIES_GROSS_INPUT = "EPXXX2"
-SERIES_CODES: tuple[str, ...] = (SERIES_UTILIZATION, SERIES_CAPACITY, SERIES_GROSS_INPUT)
 SERIES_JOIN_KEYS: tuple[str, ...] = ("period", "duoarea", "area_name")
 UTILIZATION_AREAS: tuple[str, ...] = ("U.S.", "PADD 3")
 # Wide utilization row: display column order.
@@ -75,9 +79,6 @@ LOOKBACK_DAYS = 7
 SETTLEMENT_SINK_TYPES = ", ".join(f"{r[6]} DOUBLE" for r in PRODUCT_RULES)
 UTILIZATION_SINK_TYPES = "Date DATE, `U.S.` DOUBLE, PADD3 DOUBLE"
 
-# Largest literal rule table we allow to be broadcast.
-MAX_RULE_ROWS = 10_000
-
 
 @dataclass(frozen=True)
 class PivotRule:

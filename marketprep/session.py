@@ -1,7 +1,8 @@
-"""Session helpers: building a session, literal rule tables, lineage cuts."""
+"""Session helpers: building a session, literal tables, the shared folder."""
 
 from __future__ import annotations
 
+import math
 import tempfile
 from collections.abc import Sequence
 
@@ -9,8 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .rules import MAX_RULE_ROWS
-
 # Settings every plan in this package assumes. AQE re-plans joins from real
 # shuffle sizes (broadcast only when a side measured small, skew splitting),
 # and coalesces small post-shuffle partitions.
@@ -62,80 +61,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
-
-    Used where one derived table feeds several outputs, so a lost executor
-    re-reads the checkpoint instead of replaying the whole plan.
-    """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition, but only when the input has fewer splits than
-    the session has cores.
-
-    For CPU-heavy narrow work (text folds, regexes, JSON) over a source with
-    few large files or row groups.  On a cluster reading thousands of files
-    the split count already exceeds the cores and this is a no-op, so no
-    shuffle is added there.  Only the plan is inspected, no job runs.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. a remote session without RDD access
-        return df
-    return df if splits >= target else df.repartition(target)
-
-
-_BOUND_ATTR = "_marketprep_row_bound"
-
-
-# Up to this many rows a literal table is built from constant expressions.
-INLINE_LITERAL_ROWS = 1_000
-
-
 def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A small literal table built JVM-side from constant expressions.
+    """A literal table built JVM-side from constant expressions.
 
     ``createDataFrame`` over a Python list yields a Python RDD, which executors
-    must unpickle in Python workers and which carries no size statistics.
-    Up to ``INLINE_LITERAL_ROWS`` rows the table is instead one ``inline`` of a
-    constant array of structs: plain JVM expressions, sized by the planner.
-    Larger literal inputs fall back to ``createDataFrame``.
+    must unpickle in Python workers and which carries no size statistics.  This
+    is one ``inline`` of a constant array of structs: plain JVM expressions,
+    sized by the planner, whose own size check decides how it is joined.  A NaN
+    among the values becomes NULL.
     """
     struct = T.StructType.fromDDL(schema)
-    if not rows or len(rows) > INLINE_LITERAL_ROWS:
-        return spark.createDataFrame(list(rows), struct)
-    consts = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, struct.fields)])
-              for row in rows]
-    return spark.range(1).select(F.inline(F.array(*consts)))
-
-
-def rule_frame(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """Literal rule table, broadcast to every task.
-
-    The row count is checked here, at construction, which is what makes the
-    broadcast hint safe: rule tables never grow with the data.  The returned
-    frame carries its bound so operators can tell it from a data table.
-    """
-    if len(rows) > MAX_RULE_ROWS:
-        raise ValueError(f"rule table of {len(rows)} rows exceeds {MAX_RULE_ROWS}")
-    df = F.broadcast(literal_rows(spark, rows, schema))
-    setattr(df, _BOUND_ATTR, len(rows))
-    return df
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in struct.fields])
 
+    def const(v, f: T.StructField):
+        return F.lit(None if isinstance(v, float) and math.isnan(v) else v).cast(f.dataType).alias(f.name)
 
-def row_bound(df: DataFrame) -> int | None:
-    """The proven row bound of a rule table, or None for any other frame."""
-    return getattr(df, _BOUND_ATTR, None)
-
-
-def broadcast_if_bounded(df: DataFrame, bound: int | None = None) -> DataFrame:
-    """Broadcast hint only for a frame with a proven row bound.
-
-    Anything else is left to the planner (size-checked broadcast threshold)
-    and to AQE, which fall back to a shuffle join when the side is large.
-    """
-    return F.broadcast(df) if (bound if bound is not None else row_bound(df)) is not None else df
+    consts = [F.struct(*[const(v, f) for v, f in zip(row, struct.fields)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*consts)))

@@ -6,11 +6,14 @@ and unwrapped with ``inline``, a narrow generator: no shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numeric import to_double_or_null, to_double_strict
+from ..operators.reshape import last_per_group
 
 # Record fields the utilization job requires.  ``value`` is text in the feed.
 SERIES_RECORD = T.StructType([
@@ -46,17 +49,42 @@ def unwrap_envelope(df: DataFrame, text_col: str, record: T.StructType = SERIES_
             .withColumnsRenamed(SNAKE))
 
 
+def unwrap_pulls(raw: DataFrame) -> DataFrame:
+    """One row per record of parsed envelopes, with where it came from:
+    ``series_code, <record>, pull_date, file_name, record_no``."""
+    return (raw.select("series_code", "pull_date", "file_name",
+                       F.posexplode("response.data").alias("record_no", "_r"))
+            .select("series_code", "_r.*", "pull_date", "file_name", "record_no")
+            .withColumnsRenamed(SNAKE))
+
+
 def read_envelopes(spark: SparkSession, root: str,
                    record: T.StructType = SERIES_RECORD) -> DataFrame:
-    """Landed envelopes under ``<root>/series_code=<code>/*.json``.
+    """Landed envelopes under ``<root>/series_code=<code>/*.json`` or
+    ``<root>/series_code=<code>/pull_date=<date>/*.json``.
 
-    Each file is one multi-line JSON document; ``series_code`` comes from the
-    directory (partition column).
+    Each file is one multi-line JSON document, the answer to one pull;
+    ``series_code`` and ``pull_date`` come from the directories (a landing
+    without the latter has NULL there).
     """
-    schema = envelope_schema(record).add("series_code", T.StringType())
+    schema = (envelope_schema(record).add("series_code", T.StringType())
+              .add("pull_date", T.DateType()))
     raw = spark.read.schema(schema).option("multiLine", True).json(root)
-    return (raw.select("series_code", F.inline(F.col("response.data")))
-            .withColumnsRenamed(SNAKE))
+    return unwrap_pulls(raw.select("series_code", "pull_date", "response",
+                                   F.col("_metadata.file_name").alias("file_name")))
+
+
+# What identifies a record of a series, and which pull of it counts.
+RECORD_KEYS = ("series_code", "period", "duoarea", "area_name")
+PULL_ORDER = ("pull_date", "file_name", "record_no")
+
+
+def latest_records(records: DataFrame, keys: Sequence[str] = RECORD_KEYS,
+                   order: Sequence[str] = PULL_ORDER) -> DataFrame:
+    """AGG-4: of each record the latest pull (then the last file name, then the
+    last place in the file).  Pulls overlap by design (each asks for the newest
+    rows), so this comes before any top-n or join."""
+    return last_per_group(records, list(keys), list(order)).select(*records.columns)
 
 
 def typed_series(records: DataFrame, strict: bool = True) -> DataFrame:
@@ -80,7 +108,8 @@ def quarantine_values(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     value = to_double_or_null("value")
     period = F.col("period").try_cast("date")
-    bad_cond = ((F.col("value").isNotNull() & value.isNull())
+    # NaN text is a value (read as NULL), not bad text
+    bad_cond = ((F.col("value").isNotNull() & F.col("value").try_cast("double").isNull())
                 | (F.col("period").isNotNull() & period.isNull()))
     good = records.where(~bad_cond).withColumn("period", period).withColumn("value", value)
     bad = records.where(bad_cond)

@@ -5,40 +5,34 @@ Credentials and URLs are the caller's: nothing here reads the environment.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-def _parse_ddl(ddl: str) -> list[tuple[str, str]]:
-    """``"a DOUBLE, `U.S.` DOUBLE"`` -> ``[("a", "DOUBLE"), ("U.S.", "DOUBLE")]``."""
-    out = []
-    for part in [p.strip() for p in ddl.split(",") if p.strip()]:
-        m = re.match(r"^(`[^`]+`|\S+)\s+(.+)$", part)
-        if not m:
-            raise ValueError(f"bad column type entry {part!r}")
-        out.append((m.group(1).strip("`"), m.group(2).strip()))
-    return out
-
-
-_SPARK_TYPE = {"FLOAT": "float", "REAL": "float", "DOUBLE": "double", "DATE": "date",
-               "INT": "int", "INTEGER": "int", "BIGINT": "bigint", "TIMESTAMP": "timestamp"}
+def declared_types(ddl: str) -> list[tuple[str, T.DataType]]:
+    """``"a DOUBLE, `U.S.` DECIMAL(10,2)"`` as Spark reads it (the same parser
+    reads the writer's ``createTableColumnTypes``)."""
+    return [(f.name, f.dataType) for f in T.StructType.fromDDL(ddl).fields]
 
 
 def cast_to_declared(df: DataFrame, column_types: str) -> DataFrame:
     """Cast columns to the types declared for the sink, before writing.
 
-    A text ``Date`` column would otherwise create a text column.
+    A text ``Date`` column would otherwise create a text column.  Texts of
+    bounded length are texts to Spark; the database checks the length.
     """
-    declared = dict(_parse_ddl(column_types))
-    cols = []
-    for c in df.columns:
-        t = declared.get(c)
-        spark_t = _SPARK_TYPE.get(t.upper().split("(")[0]) if t else None
-        cols.append(F.col(f"`{c}`").cast(spark_t).alias(c) if spark_t else F.col(f"`{c}`"))
-    return df.select(*cols)
+    declared = dict(declared_types(column_types))
+
+    def cast(c: str) -> Column:
+        kind = declared.get(c)
+        if isinstance(kind, (T.VarcharType, T.CharType)):
+            kind = T.StringType()
+        return F.col(f"`{c}`").cast(kind).alias(c) if kind else F.col(f"`{c}`")
+
+    return df.select(*[cast(c) for c in df.columns])
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "overwrite",

@@ -2,22 +2,40 @@
 
 Landing layout: ``<root>/report_date=YYYY-MM-DD/source_id=<id>/<file>.txt``.
 Each file is read whole (``wholetext``), so a report is one row and line order
-is the array order; partition columns give ``report_date`` (DATE) and
-``source_id`` without parsing file names, and a filter on them prunes
-directories before any file is opened.
+is the array order; ``report_date`` (DATE) and ``source_id`` come from the
+folders.  Given the dates a run can need, only their folders are listed and
+read: the root is listed once, nothing below the other dates is.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+REPORT_SCHEMA = "report_date date, source_id string, file_name string, text string"
+
+
+def _load(spark: SparkSession, fmt: str, root: str, dates: Sequence[str] | None, **options) -> DataFrame | None:
+    """The landing in a format, limited to some dates; None if none landed."""
+    base = root.rstrip("/")
+    path = base if dates is None else f"{base}/report_date={{{','.join(dates)}}}"
+    try:
+        return spark.read.format(fmt).options(basePath=base, recursiveFileLookup=False, **options).load(path)
+    except AnalysisException as e:
+        if dates is not None and e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
-def read_reports(spark: SparkSession, root: str) -> DataFrame:
-    """``(report_date, source_id, file_name, text)``, one row per report file."""
-    df = (spark.read.format("text").option("wholetext", True)
-          .option("recursiveFileLookup", False)
-          .load(root))
+
+def read_reports(spark: SparkSession, root: str, dates: Sequence[str] | None = None) -> DataFrame:
+    """``(report_date, source_id, file_name, text)``, one row per report file
+    (of the given dates only)."""
+    df = _load(spark, "text", root, dates, wholetext=True)
+    if df is None:
+        return spark.createDataFrame([], REPORT_SCHEMA)
     if not {"report_date", "source_id"} <= set(df.columns):
         raise ValueError(f"no landed reports under {root}: expected "
                          "report_date=YYYY-MM-DD/source_id=<id>/ folders")
@@ -28,6 +46,16 @@ def read_reports(spark: SparkSession, root: str) -> DataFrame:
         F.col("value").alias("text"))
 
 
+def read_inventory(spark: SparkSession, root: str, dates: Sequence[str] | None = None) -> DataFrame:
+    """Distinct ``(source_id, report_date)`` landed, from the file listing: the
+    binary-file source opens no file whose content is not selected."""
+    df = _load(spark, "binaryFile", root, dates)
+    if df is None or not {"report_date", "source_id"} <= set(df.columns):
+        return spark.createDataFrame([], REPORT_SCHEMA).select("source_id", "report_date")
+    return df.select(F.col("source_id").cast("string").alias("source_id"),
+                     F.col("report_date").cast("date").alias("report_date")).distinct()
+
+
 def report_inventory(reports: DataFrame) -> DataFrame:
-    """Distinct ``(source_id, report_date)`` available; reads no file contents."""
+    """The same from an already read table of reports (reads it)."""
     return reports.select("source_id", "report_date").distinct()

@@ -4,8 +4,8 @@ New report files and JSON record sets are picked up as they land and turned
 into long, per-report rows appended to a table in a shared folder.  Every
 step of that parse is stateless (broadcast rule join, per-row fold,
 generators), so the file source + file sink pair is exactly-once through the
-checkpoint, and a lost executor or a restarted job resumes from the last
-committed batch.  The wide outputs (one row per date) are then cheap batch
+checkpoint, which by default lies inside the output: a lost executor or a
+restarted job resumes from the last committed batch.  The wide outputs (one row per date) are then cheap batch
 queries over the appended tables: a report date whose three sources land in
 different batches still pivots correctly.
 
@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans import settlement
-from ..session import checkpoint_dir
-from ..sources.envelope import SERIES_RECORD, SNAKE, envelope_schema
+from ..plans.utilization import in_reach, latest_week_wide, series_utilization
+from ..rules import UTILIZATION_AREAS
+from ..sources.envelope import (SERIES_RECORD, envelope_schema, latest_records, typed_series,
+                                unwrap_pulls)
 
 
 def _trigger(writer, trigger: str):
@@ -32,8 +34,11 @@ def _trigger(writer, trigger: str):
     return writer.trigger(processingTime=trigger)
 
 
-def _checkpoint(spark: SparkSession, name: str, location: str | None) -> str:
-    return location or os.path.join(checkpoint_dir(spark), "streams", name)
+def _checkpoint(output: str, location: str | None) -> str:
+    """The stream's state belongs to its output: by default it lies inside it
+    (readers skip names that begin with ``_``), so a restart resumes and a
+    second output over the same landing starts from the beginning."""
+    return location or os.path.join(output, "_checkpoint")
 
 
 def report_stream(spark: SparkSession, landing_root: str,
@@ -66,7 +71,7 @@ def ingest_reports(spark: SparkSession, landing_root: str, rows_path: str,
                                  parity=parity)
     w = (rows.writeStream.format("parquet").outputMode("append")
          .option("path", rows_path)
-         .option("checkpointLocation", _checkpoint(spark, "report_rows", checkpoint_location))
+         .option("checkpointLocation", _checkpoint(rows_path, checkpoint_location))
          .partitionBy("report_date"))
     return _trigger(w, trigger).start()
 
@@ -81,21 +86,33 @@ def ingest_series(spark: SparkSession, landing_root: str, records_path: str,
                   trigger: str = "available_now",
                   max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Append the records of every newly landed JSON envelope
-    (``series_code=<code>/*.json``) to ``records_path``."""
+    (``series_code=<code>/[pull_date=<date>/]*.json``) to ``records_path``."""
     schema = envelope_schema(SERIES_RECORD)
     r = spark.readStream.schema(schema).option("multiLine", True)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = r.json(landing_root)
     path = F.col("_metadata.file_path")
-    recs = (raw.select(F.regexp_extract(path, r".*/series_code=([^/]+)/", 1).alias("series_code"),
-                       F.inline(F.col("response.data")))
-            .withColumnsRenamed(SNAKE))
+    recs = unwrap_pulls(raw.select(
+        F.regexp_extract(path, r".*/series_code=([^/]+)/", 1).alias("series_code"),
+        F.regexp_extract(path, r".*/pull_date=([0-9-]+)/", 1).try_cast("date").alias("pull_date"),
+        F.col("_metadata.file_name").alias("file_name"), "response"))
     w = (recs.writeStream.format("parquet").outputMode("append")
          .option("path", records_path)
-         .option("checkpointLocation", _checkpoint(spark, "series_records", checkpoint_location))
+         .option("checkpointLocation", _checkpoint(records_path, checkpoint_location))
          .partitionBy("series_code"))
     return _trigger(w, trigger).start()
 
 
-__all__ = ["ingest_reports", "ingest_series", "report_stream", "settlement_from_rows"]
+def utilization_from_records(spark: SparkSession, records_path: str, spine: DataFrame,
+                             parity: bool = False, strict: bool = True) -> DataFrame:
+    """Batch: the wide utilization rows from the appended records, the latest
+    pull of each record counting."""
+    records = latest_records(spark.read.parquet(records_path))
+    util = series_utilization(in_reach(typed_series(records, strict=strict), spine, parity),
+                              areas=UTILIZATION_AREAS)
+    return latest_week_wide(util, spine, parity=parity)
+
+
+__all__ = ["ingest_reports", "ingest_series", "report_stream", "settlement_from_rows",
+           "utilization_from_records"]

@@ -11,13 +11,21 @@ from marketprep.rules import SETTLEMENT_SINK_TYPES, UTILIZATION_SINK_TYPES
 from marketprep.sources import jdbc
 
 
-def test_parse_ddl_with_backticks():
-    assert jdbc._parse_ddl(UTILIZATION_SINK_TYPES) == [("Date", "DATE"), ("U.S.", "DOUBLE"),
-                                                       ("PADD3", "DOUBLE")]
-    assert [c for c, _ in jdbc._parse_ddl(SETTLEMENT_SINK_TYPES)] == [
+def test_declared_types(spark):
+    assert [(c, t.simpleString()) for c, t in jdbc.declared_types(UTILIZATION_SINK_TYPES)] == [
+        ("Date", "date"), ("U.S.", "double"), ("PADD3", "double")]
+    assert [c for c, _ in jdbc.declared_types(SETTLEMENT_SINK_TYPES)] == [
         "wti_crude_oil", "propane", "brent_crude_oil", "ethane", "usd2cad", "euro2usd", "nat_gas"]
 
 
+def test_types_with_parameters(spark):
+    df = spark.createDataFrame([(1, "10.256", "abc", "true", "7")],
+                               "id int, p string, s string, ok string, x string")
+    out = jdbc.cast_to_declared(df, "id BIGINT, p DECIMAL(10,2), s VARCHAR(20), ok BOOLEAN")
+    assert out.dtypes == [("id", "bigint"), ("p", "decimal(10,2)"), ("s", "string"), ("ok", "boolean"), ("x", "string")]
+    assert str(out.first()["p"]) == "10.26"
+
+
 def test_cast_to_declared(spark):
     df = spark.createDataFrame([("2024-12-06", "88.1", 93.51)], "Date string, `U.S.` string, PADD3 double")
     out = jdbc.cast_to_declared(df, UTILIZATION_SINK_TYPES)

@@ -170,3 +170,60 @@ def test_window_never_changes_results(spark, tmp_path):
         win = sorted(tuple(r) for r in jobs.settlement_job(
             spark, root, spine, mode=mode, as_of_range=(first, last)).collect())
         assert full == win and len(full) == 32
+
+
+def test_one_day_run_reads_its_window_once(spark, tmp_path):
+    """Folders outside the window are not even listed, and finding the report
+    dates opens no file."""
+    from marketprep.plans import settlement
+    from marketprep.sources.reports import read_inventory, read_reports
+    root = str(tmp_path)
+    _landing(root)
+    write_text(os.path.join(root, "report_date=2024-01-02", "source_id=X", "bad", "deeper", "r.txt"), "x")
+    dates = settlement.window_dates("2024-11-23", "2024-11-23")
+    assert dates[0] == "2024-11-17" and dates[-1] == "2024-11-23"
+    assert len(read_reports(spark, root, dates).inputFiles()) == 4
+    inv = read_inventory(spark, root, dates)
+    assert sorted((r["source_id"], r["report_date"].isoformat()) for r in inv.collect()) == sorted(
+        [(NYMEX, "2024-11-20"), (FX, "2024-11-20"), (GAS, "2024-11-20"), (NYMEX, "2024-11-22")])
+    assert "content" not in plan_text(inv, "formatted").split("ReadSchema")[-1]
+    out = jobs.settlement_job(spark, root, jobs.as_of_spine(spark, ["2024-11-23"]),
+                              as_of_range=("2024-11-23", "2024-11-23"))
+    assert plan_text(out, "simple").count("Scan text") == 1 and out.first()["wti_crude_oil"] == 70.50
+    # nothing landed in reach
+    empty = jobs.settlement_job(spark, root, jobs.as_of_spine(spark, ["2023-01-05"]), as_of_range=("2023-01-05", "2023-01-05"))
+    assert [r["wti_crude_oil"] for r in empty.collect()] == [None]
+
+
+def test_irregular_first_rows_are_marked(spark, tmp_path):
+    from marketprep.plans import settlement
+    from marketprep.sources.reports import read_reports
+    root = str(tmp_path)
+    text = "NG Henry Hub Natural Gas Futures\nJAN25 1 2 3 4 5 6\nTOTAL"
+    write_text(os.path.join(root, "report_date=2024-11-20", f"source_id={GAS}", "r.txt"), text)
+    write_text(os.path.join(root, "report_date=2024-11-21", f"source_id={GAS}", "r.txt"), gas_report())
+    rows = settlement.first_rows(spark, read_reports(spark, root)).collect()
+    assert {r["report_date"].isoformat(): r["is_irregular"] for r in rows} == {"2024-11-20": True, "2024-11-21": False}
+
+
+def test_cli_literal(spark, tmp_path, capsys):
+    path = str(tmp_path / "rows.csv")
+    write_text(path, "Data_Set,Month,Settlement_Price,Last_Price\n" + "".join(
+        f'"{d}",{m},{"" if s is None else s},{"NaN" if x is None else x}\n' for d, m, s, x in F1_ROWS))
+    assert jobs.main(["literal", "--landing", path]) == 0
+    printed = capsys.readouterr().out
+    assert "68.72" in printed and "1.3991884706870015" in printed and "NaN" not in printed
+
+
+def test_cli_options_and_quarantine(spark, tmp_path, capsys, monkeypatch):
+    root, bad = str(tmp_path / "land"), str(tmp_path / "bad")
+    land(root, "YRL", [rec("2024-12-06", "NUS", "U.S.", "18400"), rec("2024-12-06", "R30", "PADD 3", "n/a")])
+    land(root, "EPXXX2", [rec("2024-12-06", "NUS", "U.S.", "16210.5")])
+    assert jobs.main(["utilization", "--landing", root, "--as-of", "2024-12-07", "--quarantine", bad]) == 0
+    assert "88.1" in capsys.readouterr().out
+    assert [r["value"] for r in spark.read.parquet(bad).collect()] == ["n/a"]
+    seen = {}
+    monkeypatch.setattr(jobs, "write_jdbc", lambda df, url, table, **kw: seen.update(kw))
+    assert jobs.main(["utilization", "--landing", root, "--as-of", "2024-12-07", "--quarantine", bad, "--jdbc-url",
+                      "jdbc:x", "--table", "t", "--jdbc-option", "accessToken=a=b", "--jdbc-option", "encrypt=true"]) == 0
+    assert seen["options"] == {"accessToken": "a=b", "encrypt": "true"}

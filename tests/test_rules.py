@@ -26,6 +26,5 @@ def test_padding_never_touches_kept_cells():
 
 
 def test_series_codes():
-    assert rules.SERIES_CODES == (rules.SERIES_UTILIZATION, rules.SERIES_CAPACITY,
-                                  rules.SERIES_GROSS_INPUT)
+    assert len({rules.SERIES_UTILIZATION, rules.SERIES_CAPACITY, rules.SERIES_GROSS_INPUT}) == 3
     assert [a.replace(" ", "") for a in rules.UTILIZATION_AREAS] == list(rules.UTILIZATION_COLUMNS[1:])

@@ -10,7 +10,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from marketprep.operators import sections
-from marketprep.session import rule_frame
+from marketprep.session import literal_rows
 
 from .conftest import plan_text
 
@@ -43,8 +43,9 @@ def run_both(spark, docs, headers, footer="TOTAL"):
     df = spark.createDataFrame(docs, "doc_id long, text string")
     a = sections.sections_in_text(df, headers, keys=["doc_id"], footer=footer, header_col="h")
     lines = sections.report_lines(df, keys=["doc_id"])
-    rules = rule_frame(spark, list(enumerate(headers)), "position int, h string")
-    b = sections.sections_in_lines(lines, rules, keys=["doc_id"], footer=footer, header_col="h")
+    # small blocks, so that sections begin, run and end in different ones
+    b = sections.sections_in_lines(lines, list(headers), keys=["doc_id"], footer=footer, header_col="h",
+                                   block_lines=3)
     rows_a = sorted(tuple(r) for r in a.select("doc_id", "h", "line_no", "line").collect())
     rows_b = sorted(tuple(r) for r in b.select("doc_id", "h", "line_no", "line").collect())
     return rows_a, rows_b
@@ -115,20 +116,18 @@ def test_keep_status_reports_missing(spark):
     assert rows[2]["section_lines"] == ["JAN25 1 2", "FEB25 3 4"]
 
 
-def test_line_form_requires_bounded_headers(spark):
+def test_header_table_needs_keys(spark):
     lines = spark.createDataFrame([(1, 0, "x")], "doc_id long, line_no long, line string")
     headers = spark.createDataFrame([(0, "x")], "position int, h string")
     with pytest.raises(ValueError):
         sections.sections_in_lines(lines, headers, keys=["doc_id"], header_col="h")
 
 
-def test_broadcast_only_bounded(spark):
-    from marketprep.session import broadcast_if_bounded, row_bound
-    rules = rule_frame(spark, [(0, "x")], "position int, h string")
-    data = spark.createDataFrame([(0, "x")], "position int, h string")
-    assert row_bound(rules) == 1 and row_bound(data) is None
-    big = spark.range(10).toDF("position")
-    plan = plan_text(big.join(broadcast_if_bounded(data), "position"), "extended")
-    assert "strategy=broadcast" not in plan
-    plan = plan_text(big.join(broadcast_if_bounded(rules), "position"), "extended")
-    assert "strategy=broadcast" in plan
+def test_literal_tables_have_one_path(spark):
+    """Any number of rows is a constant JVM table, and the planner sizes it."""
+    for n in (0, 1, 3_000):
+        t = literal_rows(spark, [(i, float("nan"), "x") for i in range(n)], "a int, b double, c string")
+        assert "ExistingRDD" not in plan_text(t) and t.count() == n
+        assert t.where("b is not null").count() == 0
+    big = spark.range(10).toDF("a")
+    assert "BroadcastHashJoin" in plan_text(big.join(literal_rows(spark, [(1,)], "a long"), "a"))

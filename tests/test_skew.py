@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from marketprep.operators import joins, reshape
 from marketprep.rules import PivotRule
-from marketprep.session import spread
 
 from .conftest import plan_text
 
@@ -71,13 +70,6 @@ def test_null_safe_join_hot_key(spark):
     assert out.where(F.col("k").isNull()).count() == 3_000
 
 
-def test_spread_is_noop_with_enough_splits(spark):
-    many = spark.range(100, numPartitions=spark.sparkContext.defaultParallelism)
-    assert spread(many) is many
-    one = spark.range(100, numPartitions=1)
-    assert spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-
-
 def test_hot_key_plan_combines_before_shuffle(spark):
     ev = skewed_events(spark)
     for df in (reshape.first_per_group(ev, ["user_id"], ["ts", "event_id"]),
@@ -88,17 +80,6 @@ def test_hot_key_plan_combines_before_shuffle(spark):
         assert "partial_" in before_exchange
 
 
-def test_cut_lineage_checkpoints_to_shared_dir(spark):
-    from marketprep.session import checkpoint_dir, cut_lineage
-    d = checkpoint_dir(spark)
-    assert d and spark.sparkContext.getCheckpointDir() is not None
-    df = spark.range(1000).select((F.col("id") % 7).alias("k")).groupBy("k").count()
-    cut = cut_lineage(df)
-    plan = plan_text(cut, "extended").split("== Physical Plan ==")[0]
-    assert "LogicalRDD" in plan and "Aggregate" not in plan      # lineage cut
-    assert sorted(tuple(r) for r in cut.collect()) == sorted(tuple(r) for r in df.collect())
-
-
 def test_facet_offsets(spark):
     from marketprep.sources.facets import facet_top_n
     df = spark.range(100).select(F.col("id"), (F.col("id") % 2).alias("s"),
@@ -115,3 +96,32 @@ def test_facet_offsets(spark):
     assert got == sorted(exp)
     single = [r["id"] for r in facet_top_n(df, {"f": ["2"]}, [], order, n=4, offset=3).collect()]
     assert single == sorted((i for i in range(100) if i % 3 == 2), reverse=True)[3:7]
+
+
+def test_hot_report_is_dealt_out_by_blocks(spark):
+    """One report with three quarters of all lines: its lines are joined by
+    (report, block), no group is larger than a block, and the result is whole."""
+    from marketprep.operators import sections
+    text = "\n".join(["x", "HEAD one"] + [f"row {i}" for i in range(6_000)] + ["END", "HEAD two", "y", "END"])
+    small = "\n".join(["HEAD one", "a", "b", "END"] + ["z"] * 60)
+    docs = spark.createDataFrame([(0, text)] + [(i, small) for i in range(1, 31)], "k long, text string")
+    lines = sections.report_lines(docs, keys=["k"])
+    block = 256
+    old = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = sections.sections_in_lines(lines, ["HEAD one", "HEAD two"], keys=["k"], footer="END",
+                                         header_col="h", block_lines=block)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        plan = plan_text(out, "simple")
+        assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+        assert plan.count("posexplode") == 1 and "ReusedExchange" in plan
+        assert "SortMergeJoin [k" in plan and "_block" in plan
+        got = out.collect()
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+    want = sorted((r.k, r.h, r.line_no, r.line) for r in sections.sections_in_text(
+        docs, ["HEAD one", "HEAD two"], keys=["k"], footer="END", header_col="h").collect())
+    assert sorted((r.k, r.h, r.line_no, r.line) for r in got) == want
+    assert sum(r.k == 0 for r in got) == 6_001

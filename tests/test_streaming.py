@@ -60,3 +60,49 @@ def test_series_stream(spark, tmp_path):
     q.awaitTermination(120)
     util = series_utilization(typed_series(spark.read.parquet(out)))
     assert [r["percent_utilization"] for r in util.collect()] == [88.1]
+
+
+def _run_cli(*args):
+    """A run of its own process, as a scheduler starts it; no shared folder set."""
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {**os.environ, "PYTHONPATH": root, "PYSPARK_SUBMIT_ARGS": "--conf spark.checkpoint.dir= pyspark-shell"}
+    env["PYSPARK_SUBMIT_ARGS"] = "pyspark-shell"
+    got = subprocess.run([sys.executable, "-m", "marketprep", *args, "--master", "local[1]"], env=env,
+                         capture_output=True, text=True, timeout=240)
+    assert got.returncode == 0, got.stderr[-2000:]
+
+
+def test_restart_resumes_and_outputs_are_apart(spark, tmp_path):
+    """A second process picks up what landed since; another output over the
+    same landing gets everything."""
+    land, one, two = (str(tmp_path / n) for n in ("land", "one", "two"))
+
+    def put(day):
+        write_text(os.path.join(land, f"report_date={day}", f"source_id={NYMEX}", "r.txt"), nymex_report("68.72"))
+
+    put("2024-11-20")
+    _run_cli("ingest-reports", "--landing", land, "--output", one)
+    put("2024-11-21")
+    _run_cli("ingest-reports", "--landing", land, "--output", one)
+    _run_cli("ingest-reports", "--landing", land, "--output", two)
+    for out in (one, two):
+        days = [r["report_date"].isoformat() for r in spark.read.parquet(out).collect()]
+        assert sorted(days) == ["2024-11-20"] * 4 + ["2024-11-21"] * 4
+
+
+def test_wide_utilization_from_ingested_records(spark, tmp_path):
+    import datetime as dt
+    from marketprep import jobs
+    from .test_utilization import land as put, rec
+    land, out = str(tmp_path / "land"), str(tmp_path / "recs")
+    put(land, "YRL/pull_date=2024-12-07", [rec("2024-12-06", "NUS", "U.S.", "1000")])
+    put(land, "EPXXX2/pull_date=2024-12-07", [rec("2024-12-06", "NUS", "U.S.", "950")])
+    landing.ingest_series(spark, land, out).awaitTermination(120)
+    put(land, "EPXXX2/pull_date=2024-12-14", [rec("2024-12-06", "NUS", "U.S.", "900")])
+    landing.ingest_series(spark, land, out).awaitTermination(120)
+    spine = spark.createDataFrame([(dt.date(2024, 12, 9),)], "as_of date")
+    streamed = landing.utilization_from_records(spark, out, spine).select("Date", "`U.S.`").collect()
+    batch = jobs.utilization_job(spark, land, spine).select("Date", "`U.S.`").collect()
+    assert streamed == batch and streamed[0]["U.S."] == 90.0

@@ -76,10 +76,48 @@ def test_utilization_join(spark, series_root):
     assert "product_name" not in util.columns
 
 
-def test_duplicate_keys_multiply(spark):
-    cap = spark.createDataFrame([("k", 10.0), ("k", 20.0)], "key string, output_value double")
-    inp = spark.createDataFrame([("k", 5.0), ("k", 5.0)], "key string, input_value double")
-    assert utilization(cap, inp, ["key"]).count() == 4
+def test_latest_pull_wins(spark, tmp_path):
+    """Two weekly pulls of one week, the input revised from 950 to 900: one row
+    per key, the later value, whatever its size."""
+    from marketprep import jobs
+    from marketprep.sources.envelope import latest_records
+    root = str(tmp_path)
+    for code, first, second in (("YRL", "1000", "1000"), ("EPXXX2", "950", "900")):
+        land(root, f"{code}/pull_date=2024-12-07", [rec("2024-12-06", "NUS", "U.S.", first),
+                                                    rec("2024-12-06", None, None, first)])
+        land(root, f"{code}/pull_date=2024-12-14", [rec("2024-12-06", "NUS", "U.S.", "1"),
+                                                    rec("2024-12-06", "NUS", "U.S.", second),
+                                                    rec("2024-12-06", None, None, second)])
+    recs = read_envelopes(spark, root)
+    assert recs.count() == 10
+    assert {r["pull_date"].isoformat() for r in recs.collect()} == {"2024-12-07", "2024-12-14"}
+    util = series_utilization(typed_series(latest_records(recs)))
+    assert [r["percent_utilization"] for r in util.collect()] == [90.0, 90.0]
+    spine = spark.createDataFrame([(dt.date(2024, 12, 7),)], "as_of date")
+    assert [r["U.S."] for r in jobs.utilization_job(spark, root, spine, newest_rows=2).collect()] == [90.0]
+
+
+def test_file_name_decides_without_pull_dates(spark, tmp_path):
+    from marketprep.sources.envelope import latest_records
+    root = str(tmp_path)
+    land(root, "YRL", [rec("2024-12-06", "NUS", "U.S.", "5")], "pull-2.json")
+    land(root, "YRL", [rec("2024-12-06", "NUS", "U.S.", "7")], "pull-1.json")
+    assert [r["value"] for r in latest_records(read_envelopes(spark, root)).collect()] == ["5"]
+
+
+def test_nan_is_null(spark, tmp_path):
+    root = str(tmp_path)
+    land(root, "YRL", [rec("2024-12-06", "NUS", "U.S.", "NaN")])
+    assert typed_series(read_envelopes(spark, root)).first()["value"] is None
+    assert typed_series(read_envelopes(spark, root), strict=False).first()["value"] is None
+
+
+def test_only_weeks_in_reach_are_joined(spark, series_root):
+    from marketprep.plans.utilization import in_reach
+    recs = typed_series(read_envelopes(spark, series_root))
+    spine = spark.createDataFrame([(dt.date(2024, 12, 5),)], "as_of date")
+    assert {r["period"].isoformat() for r in in_reach(recs, spine).collect()} == {"2024-11-29", "2024-11-22"}
+    assert {r["period"].isoformat() for r in in_reach(recs, spine, parity=True).collect()} == {"2024-11-22"}
 
 
 def test_strict_cast_fails_on_bad_text(spark, tmp_path):
