@@ -152,7 +152,10 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     by = ["n_shingles", "h1", "h2"]
     # written first: a join of two tables can be split where one set has many copies
     classes = write_table(full.groupBy(*by).agg(F.min("doc_id").alias("node"), F.count("*").alias("weight")), "classes")
-    member = write_table(ids.join(classes, by, "left").select("doc_id", "n_shingles", "node", "weight"), "member")
+    known = F.col("doc_id").isNotNull()
+    member = write_table(ids.join(classes, by, "left").select(
+        "doc_id", "n_shingles", F.when(known, F.col("node")).alias("node"),
+        F.when(known, F.col("weight")).alias("weight")), "member")
 
     # Blocks: group contents shared by several classes, as stars.
     copies = member.where("node <> doc_id").select("doc_id")

@@ -40,7 +40,7 @@ HEX_LENGTH = 32
 # Runs shorter than this are too short to tell.
 RUN_LENGTH = 20
 # Mean log-likelihood ratio a character (natural logarithm) from which a run is random.
-THRESHOLD = 0.6
+THRESHOLD = 0.0
 # Labelled strings of each kind the models are trained from, at most.
 TRAIN_STRINGS = 4_000
 # One of so many documents (by hash of its id) lends its ordinary strings.

@@ -30,8 +30,8 @@ def base_of(text):
 
 LICENSE_ROWS = [
     (700, "x MIT License, MIT-license\nmit\nlicense mit xlicense"), (701, "Cc-by cc by cc  BY"),
-    (702, "Licensed under the Apche License, Version 2.0"), (703, "all rigths reserved"), (704, "gnu general public"),
-    (705, "license by cc"), (706, "Realeased under teh MIT Licence"), (707, "redistribution and use in source or binary "
+    (702, "Licensed under the Apche License, Version 2.0"), (703, "all right reserved"), (704, "gnu general public"),
+    (705, "license by cc"), (706, "Realeased under the MIT Licence"), (707, "redistribution and use in source or binary "
                                                                           "forms, with or without modifications")]
 
 
