@@ -9,8 +9,9 @@ copies at a Jaccard similarity of 0.8 or more.
    filled by optimal densification; 14 bands of 5 values give each line 14
    bucket keys (0.996 of the pairs at exactly 0.8 share one, more above).
 3. A bucket is sorted, streamed and chained from line to line; its pairs are
-   never listed.  The chained pairs are verified exactly; buckets in which one
-   fails are verified in full over bounded leaves.
+   never listed.  The chained pairs are verified exactly; a bucket in which one
+   fails and whose lines are not in one component by other buckets is verified
+   in full over bounded leaves.
 4. Union-find over the verified links; of each component the first line (by
    ``doc_id``, then line number) stays.
 
@@ -41,7 +42,7 @@ ROWS = 5
 BINS = BANDS * ROWS
 
 _EMPTY = np.uint32(0xFFFFFFFF)
-_K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+_K1, _K2, _K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 _TRIES = 400
 
 
@@ -54,15 +55,12 @@ def split_lines(data: np.ndarray, off: np.ndarray) -> tuple[pa.Array, np.ndarray
     begin = np.unique(np.concatenate([off[:-1][np.diff(off) > 0], np.flatnonzero(brk) + 1]))
     begin = begin[begin < len(data)]
     # a text that ends in a line break may leave its empty last line out: it has no word
-    ends = np.append(begin[1:], len(data))
-    word = np.zeros(len(data) + 1, np.int64)
-    np.cumsum(BLANK_SPLIT[data], out=word[1:])
-    breaks = np.zeros(len(data) + 1, np.int64)
-    np.cumsum(brk, out=breaks[1:])
+    full = np.logical_or.reduceat(BLANK_SPLIT[data], begin)
+    at = np.flatnonzero(brk)
+    before = np.searchsorted(at, begin)
     owner = np.searchsorted(off, begin, "right") - 1
-    number = breaks[begin] - breaks[off[owner]]
-    lines = byte_strings(data[~brk], np.append(begin - breaks[begin], len(data) - breaks[-1]))
-    full = word[ends] > word[begin]
+    number = before - np.searchsorted(at, off[owner])
+    lines = byte_strings(data[~brk], np.append(begin - before, len(data) - len(at)))
     return lines.filter(pa.array(full)), owner[full], number[full]
 
 
@@ -70,14 +68,12 @@ def line_shingles(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all shingles of the lines, and which line each is of (sorted)."""
     data, off = raw(lines)
     cp = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32).astype(np.uint64)
-    lead = np.zeros(len(data) + 1, np.int64)
-    np.cumsum((data & 0xC0) != 0x80, out=lead[1:])
-    at = lead[off]
+    at = off - np.searchsorted(np.flatnonzero((data & 0xC0) == 0x80), off)   # in characters
     n = np.diff(at)
     if len(cp) >= SHINGLE:
-        h = mix(cp[:-1] * _K1 + cp[1:])                      # 2 characters
-        h = mix(h[:-2] * _K1 + h[2:])                        # 4
-        h = mix(h[:-3] * _K2 + h[3:])                        # 7, the middle one twice
+        h = cp[:-1] * _K1 + cp[1:]                           # 2 characters
+        h = h[:-2] * _K2 + h[2:]                             # 4
+        h = mix(h[:-3] * _K3 + h[3:])                        # 7, the middle one twice
         owner = np.repeat(np.arange(len(n)), n)
         inside = np.flatnonzero(owner[:len(h)] == owner[SHINGLE - 1:SHINGLE - 1 + len(h)])
         h, owner = h[inside], owner[inside]
@@ -228,22 +224,32 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     checked = write_table(pairs.join(one, "a").join(two, "b").select("a", "b", "body_a", "body_b")
                           .mapInArrow(_compare, "a long, b long, ok boolean"), "checked")
 
-    # Buckets where the chain broke: all their lines against each other.
-    broken = (chain.join(checked.where("not ok").select("a", "b"), ["a", "b"]).select("key").distinct())
-    open_ = chain.join(broken, "key").select("key", F.explode(F.array("a", "b")).alias("h")).distinct()
-    # Two lines that fail need no second look; a third may link to either.
-    many = open_.groupBy("key").agg(F.count("*").alias("n")).where("n > 2").select("key")
-    inside = open_.join(many, "key").join(bodies, "h").select(F.col("key").alias("cluster"), "h", "body")
-    more = verified_links(inside.mapInArrow(_points, POINTS), PERCENT)
-
-    comp = components(checked.where("ok").select(F.col("a").alias("src"), F.col("b").alias("dst"))
+    # What the chains verified, as components of their own.
+    ok = checked.where("ok").select(F.col("a").alias("src"), F.col("b").alias("dst"))
+    label = write_table(components(ok).select(F.col("node").alias("h"), "component"), "labels")
+
+    # Buckets where a chain broke and whose lines are still in several
+    # components: all their lines against each other.  Two lines that failed
+    # need no second look, and buckets of the same lines need one.
+    broken = chain.join(checked.where("not ok").select("a", "b"), ["a", "b"]).select("key").distinct()
+    open_ = (chain.join(broken, "key").select("key", F.explode(F.array("a", "b")).alias("h")).distinct()
+             .join(label, "h", "left").select("key", "h", F.coalesce("component", "h").alias("component")))
+    open_ = write_table(open_, "open")
+    once = (open_.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                     F.sum(F.xxhash64("h").cast("decimal(38,0)")).alias("lines"))
+            .where("n > 2 and lo < hi").groupBy("n", "lines").agg(F.min("key").alias("key")).select("key"))
+    inside = open_.join(once, "key").join(bodies, "h").select(F.col("key").alias("cluster"), "h", "body")
+    more = verified_links(write_table(inside.mapInArrow(_points, POINTS), "points"), PERCENT)
+
+    comp = components(label.select(F.col("h").alias("src"), F.col("component").alias("dst"))
                       .unionByName(more.select("src", "dst")))
     group = places.select("doc_id", "line", F.col("h")).join(
         comp.select(F.col("node").alias("h"), "component"), "h", "left") \
         .select("doc_id", "line", F.coalesce("component", "h").alias("g"))
     # One line of each group stays: its smallest place.
-    first = group.groupBy("g").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n")) \
-        .where("n > 1").select("g", "first")
+    group = write_table(group, "group")
+    first = write_table(group.groupBy("g").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n"))
+                        .where("n > 1").select("g", "first"), "first")
     removed = (group.join(first, "g").where(~F.struct("doc_id", "line").eqNullSafe(F.col("first")))
                .select("doc_id", "line").distinct())
     return places, write_table(removed, "removed")

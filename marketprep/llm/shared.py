@@ -18,15 +18,26 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/marketprep-llm/{name}-{uuid.uuid4().hex}"
 
 
+# Spark removes the shuffle files of a query when it ends, not when the driver
+# happens to collect its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def write_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
     This cuts the lineage: after a lost executor Spark rereads the files
-    instead of running everything before them again.
+    instead of running everything before them again.  The shuffle files behind
+    the table are not needed any more and go at once.
     """
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

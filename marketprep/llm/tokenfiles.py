@@ -259,7 +259,9 @@ def read_files(manifest: DataFrame) -> DataFrame:
     # one row a file: small beside the data whatever the corpus
     before = F.coalesce(F.sum("n_tokens").over(Window.orderBy("file_no").rowsBetween(
         Window.unboundedPreceding, -1)), F.lit(0))
-    files = manifest.select("file_no", "path", before.alias("base")).repartition("file_no")
+    # a partition per file: the rows are tiny, what they name is not, so the
+    # number is given (else Spark would gather them all in one task)
+    files = manifest.select("file_no", "path", before.alias("base")).repartition(max(1, manifest.count()), "file_no")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
