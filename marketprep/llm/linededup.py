@@ -9,9 +9,9 @@ copies at a Jaccard similarity of 0.8 or more.
    filled by optimal densification; 14 bands of 5 values give each line 14
    bucket keys (0.996 of the pairs at exactly 0.8 share one, more above).
 3. A bucket is sorted, streamed and chained from line to line; its pairs are
-   never listed.  The chained pairs are verified exactly; a bucket in which one
-   fails and whose lines are not in one component by other buckets is verified
-   in full over bounded leaves.
+   never listed.  The chained pairs are verified exactly; the lines of buckets
+   in which one fails, and which other buckets don't bring into one component,
+   are verified in full over bounded leaves.
 4. Union-find over the verified links; of each component the first line (by
    ``doc_id``, then line number) stays.
 
@@ -229,16 +229,16 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     label = write_table(components(ok).select(F.col("node").alias("h"), "component"), "labels")
 
     # Buckets where a chain broke and whose lines are still in several
-    # components: all their lines against each other.  Two lines that failed
-    # need no second look, and buckets of the same lines need one.
+    # components: their lines, as far as buckets connect them, against each
+    # other, each line in one cluster.  Two lines that failed need no second look.
     broken = chain.join(checked.where("not ok").select("a", "b"), ["a", "b"]).select("key").distinct()
-    open_ = (chain.join(broken, "key").select("key", F.explode(F.array("a", "b")).alias("h")).distinct()
-             .join(label, "h", "left").select("key", "h", F.coalesce("component", "h").alias("component")))
-    open_ = write_table(open_, "open")
-    once = (open_.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                     F.sum(F.xxhash64("h").cast("decimal(38,0)")).alias("lines"))
-            .where("n > 2 and lo < hi").groupBy("n", "lines").agg(F.min("key").alias("key")).select("key"))
-    inside = open_.join(once, "key").join(bodies, "h").select(F.col("key").alias("cluster"), "h", "body")
+    still = write_table(chain.join(broken, "key"), "open")
+    several = (still.select("key", F.explode(F.array("a", "b")).alias("h")).distinct().join(label, "h", "left")
+               .groupBy("key").agg(F.count("*").alias("n"), F.min(F.coalesce("component", "h")).alias("lo"),
+                                   F.max(F.coalesce("component", "h")).alias("hi"))
+               .where("n > 2 and lo < hi").select("key"))
+    cluster = components(still.join(several, "key").select("a", "b").distinct(), "a", "b")
+    inside = cluster.join(bodies, F.col("node") == F.col("h")).select(F.col("component").alias("cluster"), "h", "body")
     more = verified_links(write_table(inside.mapInArrow(_points, POINTS), "points"), PERCENT)
 
     comp = components(label.select(F.col("h").alias("src"), F.col("component").alias("dst"))
