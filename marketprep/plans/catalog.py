@@ -51,17 +51,23 @@ PART_RULES = (
 PART_FOOTER = "TOTAL"
 
 
+def part_cells_sql() -> str:
+    """The kinds of cells a part's report draws from: a letter suffix, a leading
+    dot, zero, no number, a sign, dashes, a whole and a decimal number."""
+    size, key = "CAST(p_size AS STRING)", "CAST(p_partkey % 1000 AS STRING)"
+    return (f"concat_ws(' ', {size} || '.' || {key} || 'A', '.' || {key}, '0', 'UNCH', '-' || {size} || '.' || {key}, "
+            f"'----', {key}, {size} || '.' || {key})")
+
+
 def part_report_sql() -> str:
     """SQL (of either engine) that writes a report text from a row of ``part``:
     five sections, some without header or footer, with blank lines, and data
-    lines of 7 to 12 tokens whose cells have letter suffixes, leading dots,
-    signs, zeros and no number at all."""
+    lines of 7 to 12 tokens.  ``cells`` holds the eight kinds of cells
+    (:func:`part_cells_sql`)."""
     size, key = "CAST(p_size AS STRING)", "CAST(p_partkey % 1000 AS STRING)"
 
     def cell(i: int, j: int) -> str:
-        return (f"CASE (p_partkey + p_size + {7 * i + j}) % 8 WHEN 0 THEN {size} || '.' || {key} || 'A' "
-                f"WHEN 1 THEN '.' || {key} WHEN 2 THEN '0' WHEN 3 THEN 'UNCH' WHEN 4 THEN '-' || {size} || '.' || {key} "
-                f"WHEN 5 THEN '----' WHEN 6 THEN {key} ELSE {size} || '.' || {key} END")
+        return f"split_part(cells, ' ', CAST(1 + (p_partkey + p_size + {7 * i + j}) % 8 AS INT))"
 
     def data(i: int, month: str) -> str:
         n = f"7 + (p_partkey + {5 * i}) % 6"
@@ -411,7 +417,8 @@ def weekly_utilization(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ----------------------------------------- job A shape: sections -> wide rows
 def _part_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_brand")
-    return p.select("p_partkey", F.expr(part_report_sql()).alias("text"))
+    return p.withColumn("cells", F.expr(part_cells_sql())).select(
+        "p_partkey", F.expr(part_report_sql()).alias("text"))
 
 
 def _part_pivot(status: DataFrame) -> DataFrame:

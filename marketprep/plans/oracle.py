@@ -10,7 +10,7 @@ from __future__ import annotations
 from .catalog import (ASOF_PRIORITY, ASOF_REGION, ASOF_STATUS, EVENT_RULES, FALLBACK_PRIORITY,
                       FALLBACK_STATUS, PART_FOOTER, PART_RULES, SECTION_FOOTER_WORD, SECTION_PHRASES,
                       SINGLE_FACET_OFFSET, SINGLE_FACET_ROWS, SINGLE_FACET_STATUS, TWO_REGIONS,
-                      part_report_sql)
+                      part_cells_sql, part_report_sql)
 
 
 def _q(s: str) -> str:
@@ -368,7 +368,8 @@ _TRIM = "regexp_replace(l.line, '^\\s+|\\s+$', '', 'g')"
 
 REPORT_SETTLEMENT = f"""
 WITH rules(position, phrase, col, price, tf) AS (VALUES {_PART_RULE_VALUES}),
-split AS (SELECT p_partkey AS doc_id, string_split({part_report_sql()}, chr(10)) AS parts FROM part),
+split AS (SELECT p_partkey AS doc_id, string_split({part_report_sql()}, chr(10)) AS parts
+          FROM (SELECT *, {part_cells_sql()} AS cells FROM part)),
 lines AS (
   SELECT doc_id, CAST(generate_subscripts(parts, 1) - 1 AS BIGINT) AS line_no,
          unnest(parts) AS line
