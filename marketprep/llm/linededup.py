@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -141,7 +142,8 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = lines.dictionary_encode()
         h = hash_strings(d.dictionary)[d.indices.to_numpy(zero_copy_only=False)] if len(lines) else np.zeros(0)
         yield pa.RecordBatch.from_arrays(
-            [_long(h), b.column(0).take(pa.array(owner)), pa.array(number, pa.int64())], ["h", "doc_id", "line"])
+            [_long(h), b.column(0).take(pa.array(owner)), pa.array(number, pa.int64()), b.column(2).take(pa.array(owner))],
+            ["h", "doc_id", "line", "t"])
 
 
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,7 +172,7 @@ def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, array of line numbers, array of hashes) -> (h, line)."""
+    """(text, wanted lines by hash and number) -> (h, line)."""
     for b in slices(batches):
         h, line = [], []
         for r in b.to_pylist():
@@ -185,11 +187,12 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for big in batches:
         for lo in range(0, big.num_rows, 2000):
             b = big.slice(lo, 2000)
-            x, y = shingle_sets(b.column(2)), shingle_sets(b.column(3))
+            both = pc.and_(b.column(2).is_valid(), b.column(3).is_valid()).to_pylist()
+            x, y = (shingle_sets(b.column(k).fill_null("")) for k in (2, 3))
             ok = []
-            for s, t in zip(x, y):
+            for s, t, seen in zip(x, y, both):
                 whole = len(np.union1d(s, t))
-                ok.append(100 * (len(s) + len(t) - whole) >= PERCENT * whole)
+                ok.append(seen and 100 * (len(s) + len(t) - whole) >= PERCENT * whole)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ok, pa.bool_())], ["a", "b", "ok"])
 
 
@@ -203,25 +206,32 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     those of them that go, ``(doc_id, line)``."""
     ship(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    places = write_table(src.mapInArrow(_places, "h long, doc_id long, line long"), "places")
+    # A row is named by its id and the hash of its text, without an id by the hash alone.
+    rows = src.withColumn("t", F.xxhash64("text"))
+    places = write_table(rows.mapInArrow(_places, "h long, doc_id long, line long, t long"), "places")
     chain = write_table(src.select("text").mapInArrow(_buckets, "key long, h long")
                         .repartition("key").sortWithinPartitions("key", "h")
                         .mapInArrow(_chain, "key long, a long, b long"), "chain")
 
-    # Texts of the chained lines, from where each stands first.
+    # Texts of the chained lines, each from one row it stands in.
     pairs = chain.select("a", "b").distinct()
     lines = chain.select(F.explode(F.array("a", "b")).alias("h")).distinct()
-    known = places.where("doc_id is not null").join(lines, "h").groupBy("h").agg(
-        F.min(F.struct("doc_id", "line")).alias("at"))
-    want = known.groupBy(F.col("at.doc_id").alias("_id")).agg(
+    row = F.coalesce("doc_id", "t").alias("row")
+    known = places.select("h", row, "t", "line").join(lines, "h").groupBy("h").agg(
+        F.min(F.struct("row", "t", "line")).alias("at"))
+    want = known.groupBy(F.col("at.row").alias("row"), F.col("at.t").alias("t")).agg(
         F.collect_list(F.struct("h", F.col("at.line").alias("line"))).alias("want"))
-    bodies = write_table(src.join(want, src.doc_id == want["_id"]).dropDuplicates(["doc_id"])
+    # copies of a text without an id are one row before they meet in a task
+    named = rows.where("doc_id is not null").select(row, "t", "text").unionByName(
+        rows.where("doc_id is null").groupBy("t").agg(F.first("text").alias("text")).select(
+            F.col("t").alias("row"), "t", "text"))
+    bodies = write_table(named.join(want, ["row", "t"]).dropDuplicates(["row", "t"])
                          .select("text", "want").mapInArrow(_texts, "h long, body string"), "bodies")
 
-    # Exact check of the chained pairs.
+    # Exact check of the chained pairs; one without a verdict is a broken one.
     one = bodies.select(F.col("h").alias("a"), F.col("body").alias("body_a"))
     two = bodies.select(F.col("h").alias("b"), F.col("body").alias("body_b"))
-    checked = write_table(pairs.join(one, "a").join(two, "b").select("a", "b", "body_a", "body_b")
+    checked = write_table(pairs.join(one, "a", "left").join(two, "b", "left").select("a", "b", "body_a", "body_b")
                           .mapInArrow(_compare, "a long, b long, ok boolean"), "checked")
 
     # What the chains verified, as components of their own.
@@ -252,7 +262,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                         .where("n > 1").select("g", "first"), "first")
     removed = (group.join(first, "g").where(~F.struct("doc_id", "line").eqNullSafe(F.col("first")))
                .select("doc_id", "line").distinct())
-    return places, write_table(removed, "removed")
+    return places.select("h", "doc_id", "line"), write_table(removed, "removed")
 
 
 def _per_doc(removed: DataFrame) -> DataFrame:

@@ -106,3 +106,24 @@ def test_empty_table(spark):
     docs = docs_of(spark, cases()).where("false")
     assert linededup.report(docs).collect() == []
     assert linededup.drop_lines(docs).collect() == []
+
+
+def test_null_ids_hide_no_link(spark):
+    """A bucket whose chain runs through a line that only null-id rows have."""
+    rng = random.Random(5)
+    rows = []
+    for f in range(40):
+        base = " ".join(f"{rng.randrange(10 ** 6)}" for _ in range(12))
+        for k in range(6):
+            rows.append((None if k % 3 else len(rows), near(rng, base, 2)))
+    assert sorted(((r.doc_id, r.line) for r in linededup.near_copies(docs_of(spark, rows))[1].collect()), key=str) \
+        == brute(rows)[0]
+
+
+def test_two_texts_under_one_id(spark):
+    rng = random.Random(6)
+    base = [" ".join(f"{rng.randrange(10 ** 6)}" for _ in range(12)) for _ in range(8)]
+    rows = [(1, "short"), (1, "\n".join(base)), (1, "\n".join(near(rng, x, 2) for x in base[:3])), (1, "short"),
+            (2, "\n".join(near(rng, x, 2) for x in reversed(base))), (None, base[0]), (None, "a\n\n" + base[1])]
+    assert sorted(((r.doc_id, r.line) for r in linededup.near_copies(docs_of(spark, rows))[1].collect()), key=str) \
+        == brute(rows)[0]
