@@ -1,13 +1,13 @@
 """N-gram Jaccard self-join with a count-vector R-tree.
 
-A document is the set of its distinct three-word shingles; two link when
-``100 * |A and B| >= 90 * |A or B|``.  Shingles are hashed into groups; how
+A document is the set of its distinct shingles of ``words`` words (three); two
+link when ``100 * |A and B| >= percent * |A or B|`` (90).  Shingles are hashed into groups; how
 many fall into each group is the document's point, and the overlap of two
 documents is at most the sum of the coordinate minima of their points.
 
 1. Equal sets become one class (a hot text is one row from here on).
-2. A linking pair differs in at most ``(|A| + |B|) / 19`` shingles, so with
-   one group more than that some group has the same content in both.  Classes
+2. A linking pair differs in at most ``(|A| + |B|) / 19`` shingles (at 90), so
+   with one group more than that some group has the same content in both.  Classes
    that share the content of a group are candidates; a star to the smallest
    class of each such block (never its pairs) keeps them connected, and the
    connected sets of candidates hold every link.  Small and large documents
@@ -20,13 +20,13 @@ documents is at most the sum of the coordinate minima of their points.
    per class, not the links; union-find over the forests gives components.
 
 Defined cases: a null or blank text has no shingles and links with nothing;
-one or two words are one shingle; repeated rows are classes of their own size;
+fewer words than a shingle has are one shingle; repeated rows are classes of their own size;
 rows with a null ``doc_id`` link with nothing.  Other columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,9 +41,6 @@ from .textarrays import BLANK_SPLIT, LOWER, hash_strings, mix, raw, slices, spli
 WORDS = 3
 PERCENT = 90
 
-# Groups with fewer shingles are no block where others suffice.
-SMALL_GROUP = 2
-
 _K1, _K2, _K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
@@ -58,26 +55,30 @@ def _size_classes() -> list[int]:
 SIZE_ENDS = np.array(_size_classes())
 
 
-def groups_of(size_class: int) -> tuple[int, int]:
+def groups_of(size_class: int, percent: int = PERCENT) -> tuple[int, int]:
     """Groups used for pairs whose smaller set is in this class, and how many
     of them the differing shingles of a linking pair can touch."""
-    touched = int(SIZE_ENDS[size_class]) * (100 - PERCENT) // PERCENT
+    touched = int(SIZE_ENDS[size_class]) * (100 - percent) // percent
     return touched + 1 + (touched + 1) // 8, touched
 
 
-def shingle_sets(data: np.ndarray, off: np.ndarray) -> Iterator[np.ndarray]:
+def shingle_sets(data: np.ndarray, off: np.ndarray, words: int = WORDS) -> Iterator[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
     w = split_words(data, off, BLANK_SPLIT, LOWER)
     code, distinct = w.coded()
     h = hash_strings(distinct)[code] if len(code) else np.zeros(0, np.uint64)
-    three = mix(mix(mix(h[:-2]) + h[1:-1] * _K1) + h[2:] * _K2) if len(h) > 2 else np.zeros(0, np.uint64)
+    n = max(0, len(h) - words + 1)
+    run = mix(h[:n])
+    for k in range(1, words):
+        run = mix(run + h[k:k + n] * (_K2 if k % 2 == 0 else _K1))
     for a, b in zip(w.first[:-1], w.first[1:]):
-        if b - a >= WORDS:
-            yield np.unique(three[a:b - 2])
-        elif b - a == 2:
-            yield mix(mix(h[a:a + 1] * _K3) + h[a + 1:b] + np.uint64(2))
-        elif b - a == 1:
-            yield mix(h[a:b] * _K2 + np.uint64(1))
+        if b - a >= words:
+            yield np.unique(run[a:b - words + 1])
+        elif b > a:
+            one = mix(h[a:a + 1] * _K3)
+            for x in h[a + 1:b]:
+                one = mix(one + x)
+            yield mix(one * _K2 + np.uint64(b - a))
         else:
             yield np.zeros(0, np.uint64)
 
@@ -89,25 +90,24 @@ def _sums(values: np.ndarray, group: np.ndarray, n: int) -> np.ndarray:
     return lo + (hi << np.uint64(32))
 
 
-def block_keys(s: np.ndarray) -> np.ndarray:
+def block_keys(s: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Keys of the groups by which a set with a link must meet its partner."""
     n = len(s)
     own = int(np.searchsorted(SIZE_ENDS, n))
-    least = int(np.searchsorted(SIZE_ENDS, -(-n * PERCENT // 100)))
+    least = int(np.searchsorted(SIZE_ENDS, -(-n * percent // 100)))
     out = []
     for c in range(least, own + 1):
-        n_groups, touched = groups_of(c)
+        n_groups, touched = groups_of(c, percent)
         m = mix(s + np.uint64((c * int(_K3)) & 0xFFFFFFFFFFFFFFFF))
         group = ((m >> np.uint64(32)) % np.uint64(n_groups)).astype(np.int64)
         count = np.bincount(group, minlength=n_groups)
         content = _sums(mix(m ^ _K1), group, n_groups)
         key = mix(content + mix(np.arange(n_groups, dtype=np.uint64) * _K2 + np.uint64(c)))
-        full = count >= SMALL_GROUP
-        # Equal contents have equal counts, so both sides leave out the same
-        # groups; enough others must remain.
-        if n_groups - int(full.sum()) <= n_groups - touched - 1:
-            key = key[full]
-        out.append(key)
+        # A pair touches no more of this set's groups than this, so of one more
+        # the fullest some group is equal in both.  Equal contents have equal
+        # counts: the set that leaves out more groups keeps none the other lacks.
+        most = min(touched, n * (100 - percent) // percent)
+        out.append(key[count >= np.sort(count)[n_groups - 1 - most]])
     return np.concatenate(out)
 
 
@@ -115,29 +115,36 @@ def _long(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64) if x.dtype == np.uint64 else x, pa.int64())
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in slices(batches):
-        size, one, two, keys = [], [], [], []
-        for s in shingle_sets(*raw(b.column(1))):
-            size.append(len(s))
-            one.append(int(mix(s).sum(dtype=np.uint64)))
-            two.append(int(mix(s ^ _K2).sum(dtype=np.uint64)))
-            keys.append(block_keys(s) if len(s) else s)
-        at = np.zeros(len(keys) + 1, np.int32)
-        np.cumsum([len(k) for k in keys], out=at[1:])
-        flat = _long(np.concatenate(keys))
-        yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array(size, pa.int64()), _long(np.array(one, np.uint64)),
-             _long(np.array(two, np.uint64)), pa.ListArray.from_arrays(pa.array(at), flat)],
-            ["doc_id", "n_shingles", "h1", "h2", "keys"])
+def _sketch(words: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            size, one, two, keys = [], [], [], []
+            for s in shingle_sets(*raw(b.column(1)), words):
+                size.append(len(s))
+                one.append(int(mix(s).sum(dtype=np.uint64)))
+                two.append(int(mix(s ^ _K2).sum(dtype=np.uint64)))
+                keys.append(block_keys(s, percent) if len(s) else s)
+            at = np.zeros(len(keys) + 1, np.int32)
+            np.cumsum([len(k) for k in keys], out=at[1:])
+            flat = _long(np.concatenate(keys))
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(size, pa.int64()), _long(np.array(one, np.uint64)),
+                 _long(np.array(two, np.uint64)), pa.ListArray.from_arrays(pa.array(at), flat)],
+                ["doc_id", "n_shingles", "h1", "h2", "keys"])
+
+    return run
+
 
+def _points(words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            yield point_rows(b.column(0), b.column(1), b.column(2), list(shingle_sets(*raw(b.column(3)), words)))
 
-def _points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in slices(batches):
-        yield point_rows(b.column(0), b.column(1), b.column(2), list(shingle_sets(*raw(b.column(3)))))
+    return run
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
+         percent: int = PERCENT) -> DataFrame:
     """``(doc_id, n_shingles, component_id, n_links)``, a row per document.
 
     ``component_id`` is the smallest id reachable by links, ``n_links`` the
@@ -146,7 +153,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     ship(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sketch = write_table(src.mapInArrow(
-        _sketch, "doc_id long, n_shingles long, h1 long, h2 long, keys array<long>"), "sketch")
+        _sketch(words, percent), "doc_id long, n_shingles long, h1 long, h2 long, keys array<long>"), "sketch")
     ids = sketch.select("doc_id", "n_shingles", "h1", "h2")
     full = ids.where("n_shingles > 0 and doc_id is not null")
     by = ["n_shingles", "h1", "h2"]
@@ -170,8 +177,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     size = member.where("node = doc_id").groupBy("node").agg(F.max("weight").alias("weight"))
     wanted = cand.join(size, "node").select(F.col("component").alias("cluster"), "node", "weight")
     points = (src.where("doc_id is not null").join(wanted, src.doc_id == wanted.node)
-              .select("cluster", "node", "weight", "text").mapInArrow(_points, POINTS))
-    links = verified_links(write_table(points, "points").dropDuplicates(["node", "body"]), PERCENT)
+              .select("cluster", "node", "weight", "text").mapInArrow(_points(words), POINTS))
+    links = verified_links(write_table(points, "points").dropDuplicates(["node", "body"]), percent)
 
     comp = components(links)
     per_class = links.groupBy(F.col("src").alias("node")).agg(F.sum("links").alias("links"))
@@ -180,10 +187,11 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                     (F.coalesce("weight", F.lit(1)) - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
 
 
-def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
+                percent: int = PERCENT) -> DataFrame:
     """``docs`` without the documents that are not the smallest id of their
     component.  Rows that share an id stay or go together; rows with a null id
     stay."""
-    gone = (join(docs, id_col, text_col).where("doc_id <> component_id")
+    gone = (join(docs, id_col, text_col, words, percent).where("doc_id <> component_id")
             .select(F.col("doc_id").alias("_gone_id")).distinct())
     return docs.join(gone, docs[id_col] == gone["_gone_id"], "left_anti")

@@ -105,3 +105,45 @@ def test_components(spark, monkeypatch, local):
     real = [(a, b) for a, b in edges if a != b]
     assert got == components({x for e in real for x in e}, real)
     assert spark_components(df.where("false")).collect() == []
+
+
+def test_five_words_and_80(spark):
+    """The pipeline's stage links what only five words and 0.8 link, and equals brute force."""
+    import corpus_pipeline
+
+    def five(t):
+        w = re.findall(BLANK, low(t))
+        return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) > 4 else ({tuple(w)} if w else set())
+
+    base = [f"w{i}" for i in range(100)]
+    edit = base[:30] + ["x"] + base[31:70] + ["y"] + base[71:]
+    rows = [(1, " ".join(base)), (2, "\n".join(" ".join(edit[i:i + 7]) for i in range(0, 100, 7)))]
+    assert len(brute(rows)) == 2 and all(eval(x)[3] == 0 for x in brute(rows))
+    rows += [(3, "a"), (4, "a b"), (5, "b a"), (6, "a b c d"), (7, "A b c d"), (8, "")]
+    for seed, (n, size, edits) in enumerate([(40, 150, 8), (25, 30, 2), (20, 12, 1), (25, 400, 20), (15, 9, 1)]):
+        rows += [(100 * (seed + 1) + i, t) for i, t in enumerate(family(50 + seed, n, size, edits))]
+    s = [five(t) for _, t in rows]
+    links = [(i, j) for i in range(len(rows)) for j in range(i + 1, len(rows))
+             if s[i] and s[j] and 100 * len(s[i] & s[j]) >= 80 * len(s[i] | s[j])]
+    comp = components([d for d, _ in rows], [(rows[i][0], rows[j][0]) for i, j in links])
+    assert comp[2] == 1 and comp[7] == 6 and len(links) > 50
+    got = corpus_pipeline.ngram_join(spark, docs_of(spark, rows), "")
+    assert sorted(r.doc_id for r in got.collect()) == sorted(d for d, c in comp.items() if d == c)
+    deep = ngramjoin.join(docs_of(spark, rows), words=5, percent=80)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in deep.collect()) == sorted(
+        (d, len(s[i]), comp[d], sum(i in x for x in links)) for i, (d, _) in enumerate(rows))
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_linking_sets_share_a_block_at(percent):
+    rng = np.random.default_rng(7)
+    for n in [*range(1, 60), 75, 100, 155, 230, 500, 1200]:
+        for _ in range(6):
+            a = rng.integers(0, 1 << 63, n).astype(np.uint64)
+            for d in {n * (100 - percent) // percent, n * (100 - percent) // 100}:
+                for b in (np.append(a, a[:d] + np.uint64(1)), a[d:],
+                          np.append(a[d // 2:], a[:d // 2] + np.uint64(1))):
+                    o, u = len(np.intersect1d(a, b)), len(np.union1d(a, b))
+                    if o and 100 * o >= percent * u:
+                        x, y = (ngramjoin.block_keys(np.unique(v), percent) for v in (a, b))
+                        assert len(np.intersect1d(x, y)), (n, d)
