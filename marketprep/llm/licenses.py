@@ -88,7 +88,7 @@ class Scanner:
         self.notices = []
         for text, label in notices:
             k = edits_of(text)
-            # the best match first, then the rest of the window
+            # the best match first, then what is left of the window before and behind it
             find = regex.compile(b"(?b)(?:" + regex.escape(text.encode()) + b"){e<=%d}" % k)
             self.notices.append((text, label, k, seeds_of(text, k), find))
 
@@ -123,18 +123,27 @@ class Scanner:
             for lo, hi in _merged(spans):
                 lo = max(lo, 0)
                 for line_at, line in _lines(flat, lo, hi):
-                    pos = 0
-                    while m := find.search(line, pos):
+                    for m in _matches(find, line, len(text) - k):
                         a, b = line_at + m.start(), line_at + m.end()
                         first = int(np.searchsorted(begin, a, "right")) - 1
                         last = int(np.searchsorted(begin, max(a, b - 1), "right")) - 1
                         t = text_of(first)
                         found.append(Match(t, label, first - int(w.first[t]), last - int(w.first[t]),
                                            sum(m.fuzzy_counts), len(text)))
-                        pos = max(m.end(), m.start() + 1)
         return words, base, found
 
 
+def _matches(find: regex.Pattern, line: bytes, least: int) -> Iterator[regex.Match]:
+    """Best matches that do not overlap: the best of a stretch, then those of
+    the stretches before and behind it, down to ``least`` bytes."""
+    todo = [(0, len(line))]
+    while todo:
+        lo, hi = todo.pop()
+        if hi - lo >= least and (m := find.search(line, lo, hi)):
+            yield m
+            todo += [(lo, m.start()), (max(m.end(), m.start() + 1), hi)]
+
+
 def _merged(spans: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
     """Overlapping candidate windows as one."""
     now: tuple[int, int] | None = None

@@ -76,6 +76,47 @@ def test_license_seeds_lose_nothing():
             assert {m.text for m in found} <= {0, 2}
 
 
+def whole_scan(find, line, lo, hi):
+    """Spans and edits of the best match of a text, and of what is left on both sides."""
+    m = find.search(line, lo, hi) if lo < hi else None
+    if not m:
+        return []
+    return (whole_scan(find, line, lo, m.start()) + [(m.start(), m.end(), sum(m.fuzzy_counts))]
+            + whole_scan(find, line, m.end(), hi))
+
+
+def test_license_spans_close_together():
+    """Matches before the best one of a window are found: all spans equal those of a scan of the whole text."""
+    rng = random.Random(8)
+    scanner = licenses.Scanner()
+    texts = ["all rights reservd all rights reserved al rights reserved",
+             "permission is hereby grantd free of charge to any person obtaining a copy "
+             "permission is hereby granted free of charge to any person obtaining a copy"]
+    for notice, _ in licenses.NOTICES:
+        for _ in range(25):
+            parts = []
+            for _ in range(rng.randrange(2, 6)):
+                c = list(notice)
+                for _ in range(rng.randrange(3)):
+                    c[rng.randrange(len(c))] = rng.choice("abcdz")
+                parts += ["".join(c)] + [rng.choice(["x", "foo bar"])] * rng.randrange(2)
+            texts.append(" ".join(parts))
+    found = scanner.scan(*raw(pa.array(texts)))[2]
+    n = 0
+    for t, text in enumerate(texts):
+        line = text.encode()
+        for notice, label, k, _, find in scanner.notices:
+            spans = whole_scan(find, line, 0, len(line))
+            begin = np.append(0, np.flatnonzero(np.frombuffer(line, np.uint8) == 0x20) + 1)
+            word = lambda at: int(np.searchsorted(begin, at, "right")) - 1
+            want = sorted((word(a), word(max(a, b - 1)), e) for a, b, e in spans)
+            got = sorted((m.first, m.last, m.edits) for m in found
+                         if m.text == t and m.label == label and m.length == len(notice))
+            assert got == want, (text, notice)
+            n += len(got)
+    assert sum(m.text == 0 for m in found) == 3 and sum(m.text == 1 for m in found) == 2 and n > 500
+
+
 def test_license_query(spark):
     from marketprep.llm.queries import QUERIES
     got = {r.doc_id: r for r in QUERIES["op8_license_scan"](spark, SF).collect()}
