@@ -60,7 +60,8 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    manifest = tokenfiles.write_files(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), END_ID)
+    manifest = tokenfiles.write_files(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), END_ID,
+                                      special=True)
     return tokenfiles.read_files(manifest)
 
 

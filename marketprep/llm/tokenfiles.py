@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import xxhash
 import zstandard
@@ -204,11 +205,35 @@ def _piece_encoder(spec: str):
     return ids
 
 
+def _whole_encoder(spec: str, names: Sequence[str], special: bool):
+    """Ids of the texts that hold one of the added tokens ``names``, by row, and
+    the column without them.  Such a token may stand across pre-tokens, so
+    these texts go to the library whole."""
+    made: list = []
+
+    def split(texts: pa.Array) -> tuple[dict[int, np.ndarray], pa.Array]:
+        has = np.zeros(len(texts), bool)
+        for name in names:
+            has |= pc.match_substring(texts, name).fill_null(False).to_numpy(zero_copy_only=False)
+        if not has.any():
+            return {}, texts
+        if not made:
+            from tokenizers import Tokenizer
+            made.append(Tokenizer.from_str(spec))
+            made[0].encode_special_tokens = not special
+        whole = {int(i): np.array(made[0].encode(texts[int(i)].as_py(), add_special_tokens=False).ids, np.uint32)
+                 for i in np.flatnonzero(has)}
+        return whole, pc.if_else(pa.array(has), pa.scalar("", texts.type), texts)
+
+    return split
+
+
 def write_files(docs: DataFrame, tokenizer_json: str, end_id: int, id_col: str = "doc_id",
-                text_col: str = "text", folder: str | None = None) -> DataFrame:
+                text_col: str = "text", folder: str | None = None, special: bool = False) -> DataFrame:
     """Encode all documents, append ``end_id`` to each, and write the files.
 
-    Returns the manifest ``(file_no, path, n_docs, n_tokens)``, itself a table
+    With ``special``, the name of a special token in a text is that token, as
+    is the library's default; without, it is text like any other.  Returns the manifest ``(file_no, path, n_docs, n_tokens)``, itself a table
     in the shared folder; ``file_no`` order is ascending ``doc_id`` order.
     """
     spark = docs.sparkSession
@@ -220,9 +245,11 @@ def write_files(docs: DataFrame, tokenizer_json: str, end_id: int, id_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import json
         spec = bc.value
-        vocab = json.loads(spec)["model"]["vocab"]
-        width = 2 if max(max(vocab.values()), end_id) < 1 << 16 else 4
+        told = json.loads(spec)
+        added = told.get("added_tokens") or []
+        width = 2 if max([*told["model"]["vocab"].values(), *(t["id"] for t in added), end_id]) < 1 << 16 else 4
         encoder = _piece_encoder(spec)
+        split = _whole_encoder(spec, [t["content"] for t in added if special or not t["special"]], special)
         ctx = TaskContext.get()
         writer, n_docs, n_ids = None, 0, 0
         for b in slices(batches, "text", SLICE_BYTES):
@@ -232,10 +259,11 @@ def write_files(docs: DataFrame, tokenizer_json: str, end_id: int, id_col: str =
                 name = f"part-{ctx.partitionId():05d}-{ctx.taskAttemptId()}.zst"
                 stream = fs.open_output_stream(f"{top}/{name}", compression=None)
                 writer = FileWriter(stream, width)
-            ids, off = encode_texts(*raw(b.column(1)), encoder)
+            whole, rest = split(b.column(1))
+            ids, off = encode_texts(*raw(rest), encoder)
             for i, doc in enumerate(b.column(0).to_pylist()):
-                writer.put(doc, np.append(ids[off[i]:off[i + 1]], np.uint32(end_id)))
-            n_docs, n_ids = n_docs + b.num_rows, n_ids + len(ids) + b.num_rows
+                writer.put(doc, np.append(whole.get(i, ids[off[i]:off[i + 1]]), np.uint32(end_id)))
+            n_docs, n_ids = n_docs + b.num_rows, n_ids + len(ids) + sum(map(len, whole.values())) + b.num_rows
         if writer is not None:
             writer.close()
             stream.close()

@@ -102,3 +102,19 @@ def test_damage_is_found():
         list(tf.FileReader(Counting(bytes(bad))).documents())
     with pytest.raises(tf.Corrupt):
         tf.FileReader(Counting(body[:-1] + b"x"))
+
+
+def test_special_tokens_as_the_library_does(spark, tmp_path):
+    """The query's ids are those of an unmodified tokenizer over whole texts."""
+    from marketprep.llm.queries import QUERIES
+    rows = awkward() + [(800, "a <|endoftext|> b"), (801, "<|endoftext|>"), (802, "x<|endoftext|><|endoftext|>\n\n y"),
+                        (803, "<|endoftext| >"), (None, "n <|endoftext|>")]
+    docs_of(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    tok = Tokenizer.from_file(PATH)
+    assert tok.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    want, start = [], 0
+    for d, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")):
+        ids = np.array([*tok.encode(t or "", add_special_tokens=False).ids, 2], "<u4")
+        want.append((d, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    assert show(QUERIES["op6_token_files"](spark, str(tmp_path))) == want
