@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (bpe, decontam, licenses, linededup, linkgraph, ngramjoin, quality, secrets, tokenfiles, warc)
+from . import (bpe, convrepair, decontam, licenses, linededup, linkgraph, ngramjoin, quality, secrets, tokenfiles, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -85,6 +85,11 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramjoin.join(read(spark, sf_dir, "documents"))
 
 
+@_query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return convrepair.report(convrepair.damage(read(spark, sf_dir, "conversations")))
+
+
 # ---------------------------------------------------------------------- SQL
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
