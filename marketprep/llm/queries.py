@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (bpe, convrepair, decontam, licenses, linededup, linkgraph, ngramjoin, quality, secrets, tokenfiles, warc)
+from . import (bpe, convrepair, decontam, licenses, linededup, linkgraph, ngramjoin, quality, secrets,
+               spelling, tokenfiles, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -90,6 +91,11 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return convrepair.report(convrepair.damage(read(spark, sf_dir, "conversations")))
 
 
+@_query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read(spark, sf_dir, "documents"))
+
+
 # ---------------------------------------------------------------------- SQL
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
