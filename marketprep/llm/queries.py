@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (bpe, convrepair, decontam, licenses, linededup, linkgraph, ngramjoin, quality, secrets,
-               spelling, tokenfiles, warc)
+from . import (bpe, convrepair, decontam, licenses, linededup, linkgraph, ngramjoin, packing, quality,
+               secrets, spelling, tokenfiles, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -96,6 +96,12 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(read(spark, sf_dir, "documents"))
 
 
+@_query
+def op13_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary("byte_bpe_50k.json")
+    return packing.digests(packing.pack(packing.encoded(read(spark, sf_dir, "documents"), path), packing.vocabulary_size(path)))
+
+
 # ---------------------------------------------------------------------- SQL
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
