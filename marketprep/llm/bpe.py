@@ -240,6 +240,10 @@ class PairTable:
                     pairs[(a << 32) | b] = rank
         if (self.single == _NONE).any():
             raise ValueError("the vocabulary lacks a byte")
+        self.fill(pairs)
+
+    def fill(self, pairs: dict[int, int]) -> None:
+        """Enter ``(left << 32) | right -> rank`` into the arrays."""
         self.bits = max(4, (4 * len(pairs)).bit_length())
         self.keys = np.full(1 << self.bits, 0xFFFFFFFFFFFFFFFF, np.uint64)
         self.vals = np.full(1 << self.bits, _NONE, np.uint32)
@@ -275,6 +279,9 @@ class PairTable:
             open_ = open_[~hit & (self.vals[at] != _NONE)]
         return out
 
+    def long(self, piece: bytes) -> list[int]:
+        return merge_long(piece, self.ranks)
+
     def merge(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the pieces ``data[off[i]:off[i+1]]`` and their offsets: in
         each piece join the adjacent pair of lowest rank, the leftmost among
@@ -282,7 +289,7 @@ class PairTable:
         size = np.diff(off)
         done_ids, done_piece = [], []
         for i in np.flatnonzero(size >= LONG_PIECE):
-            got = merge_long(data[off[i]:off[i + 1]].tobytes(), self.ranks)
+            got = self.long(data[off[i]:off[i + 1]].tobytes())
             done_ids.append(np.array(got, np.uint32))
             done_piece.append(np.full(len(got), i))
         short = np.flatnonzero((size < LONG_PIECE) & (size > 0))

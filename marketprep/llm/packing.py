@@ -34,10 +34,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import encode_texts
+from .jsonbpe import encoder
 from .shared import ship, write_table
 from .textarrays import gather, raw, slices
-from .tokenfiles import _piece_encoder, _whole_encoder
 
 WINDOW = 1024
 SHARD_RESTS = 2048
@@ -48,30 +47,13 @@ _TASK_BITS = 33            # numbers within a task; above them the task's own
 _RESTS = 1 << 62           # sequence ids of packed rests are above this
 
 
-def _plain(told: dict) -> bool:
-    """Whether pre-tokens can be encoded one by one (see ``bpe``): byte-level
-    pre-tokenisation by the public pattern and nothing before it."""
-    pre = told.get("pre_tokenizer") or {}
-    return (told.get("normalizer") is None and pre.get("type") == "ByteLevel"
-            and not pre.get("add_prefix_space", True) and pre.get("use_regex", True) and told["model"].get("type", "BPE") == "BPE"
-            and not told["model"].get("dropout"))
-
-
-def _with_end(ids: np.ndarray, off: np.ndarray, whole: dict[int, np.ndarray], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+def _with_end(ids: np.ndarray, off: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all documents with the end id behind each, and their offsets."""
-    parts, done = [], 0
-    size = np.diff(off) + 1
-    for i in sorted(whole):
-        parts += [ids[done:off[i]], whole[i]]
-        done = off[i]
-        size[i] += len(whole[i])
-    flat = np.concatenate([*parts, ids[done:]]) if parts else ids
-    at = np.zeros(len(size) + 1, np.int64)
-    np.cumsum(size, out=at[1:])
+    at = off + np.arange(len(off))
     out = np.empty(at[-1], np.uint32)
     ends = np.zeros(at[-1], bool)
     ends[at[1:] - 1] = True
-    out[ends], out[~ends] = end_id, flat
+    out[ends], out[~ends] = end_id, ids
     return out, at
 
 
@@ -88,17 +70,11 @@ def encoded(docs: DataFrame, tokenizer_json: str, end_id: int = 0, window: int =
     kind = src.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spec = bc.value
-        told = json.loads(spec)
-        encoder = _piece_encoder(spec)
-        names = [t["content"] for t in told.get("added_tokens") or []] if _plain(told) else [""]
-        split = _whole_encoder(spec, names, True)
+        encode = encoder(bc.value)
         base = TaskContext.get().partitionId() << _TASK_BITS
         row = first = base
         for b in slices(batches, "text", SLICE_BYTES):
-            whole, rest = split(b.column(1).fill_null(""))
-            ids, off = encode_texts(*raw(rest), encoder)
-            ids, at = _with_end(ids, off, whole, end_id)
+            ids, at = _with_end(*encode(b.column(1)), end_id)
             windows = np.diff(at) // window
             cut = at[:-1] + windows * window
             begin = first + np.cumsum(windows) - windows

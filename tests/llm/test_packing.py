@@ -4,10 +4,12 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from marketprep.llm import packing as pk
+from marketprep.llm.jsonbpe import Encoder, encoder
 
 from .helpers import SF, awkward, docs_of
 
@@ -72,6 +74,34 @@ def test_text_ids_and_other_tokenizers(spark, tmp_path):
     held_by_contract(rows, packed(spark.createDataFrame(rows, "doc_id string, text string"), own).collect(), own)
 
 
+def odd_texts(n=400):
+    rng = np.random.default_rng(9)
+    signs = list("aábcdeß中🙂 \t\n'..,-_09²ⅷ\u00a0\u2028\x00\x1f") + ["'s", "'ll", "  ", "aaaa", "====", "<|endoftext|>"]
+    texts = ["".join(rng.choice(signs, int(rng.integers(0, 60)))) for _ in range(n)]
+    return texts + ["a" * 5000, "=-" * 900, "é" * 700, "zq" * 333 + "中" * 200, "", None]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_are_those_of_the_library(name):
+    spec = open(P.path(name)).read()
+    texts = odd_texts()
+    enc = Encoder(spec)
+    assert (enc.table is None) == (name != "byte_bpe_50k.json")
+    ids, off = enc(pa.array(texts))
+    tok = Tokenizer.from_str(spec)
+    for k, t in enumerate(texts):
+        assert ids[off[k]:off[k + 1]].tolist() == tok.encode(t or "", add_special_tokens=False).ids
+
+
+def test_vocabularies_do_not_mix():
+    """Two files that differ in one merge keep their own ids."""
+    told = json.load(open(PATH))
+    first = encoder(json.dumps(told))(pa.array(["the thing"]))[0].tolist()
+    told["model"]["merges"] = told["model"]["merges"][:100]
+    other = json.dumps(told)
+    assert encoder(other)(pa.array(["the thing"]))[0].tolist() == Tokenizer.from_str(other).encode("the thing").ids != first
+
+
 def test_empty_table(spark):
     got = packed(docs_of(spark, awkward()).where("false"))
     assert got.collect() == [] and got.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
