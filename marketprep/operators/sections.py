@@ -6,10 +6,10 @@ without a footer (or no header) yields no section.
 
 Two physical forms, same result:
 
-* :func:`sections_in_text` - one row per whole report text.  Header and footer
-  are found by string search on the text itself and only the section between
-  them is split into lines: a narrow map, no shuffle, no line array of the
-  report.  Parallelism comes from the number of reports.
+* :func:`sections_in_text` - one row per whole report text.  One pass over its
+  lines finds those that contain any header or the footer; each header's section
+  is then a fold over these few lines: a narrow map, no shuffle.  Parallelism
+  comes from the number of reports.
 * :func:`sections_in_lines` - a landed line table ``(keys.., line_no, line)``
   for reports too large for one row.  Lines are dealt out once, by report and
   block of consecutive lines; header hits and footer lines are aggregated per
@@ -24,7 +24,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import LINE_BREAK, contains_text, split_lines
+from ..functions.text import contains_text, split_lines
 from ..rules import SECTION_FOOTER
 
 # Lines of a block, the unit in which a report of the line table is dealt out.
@@ -36,30 +36,34 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def section_cut(text: Column, header: Column, footer: Column) -> Column:
-    """AGG-5 on one row: ``struct(h, f, lines)``, the 0-based index of the first
-    line containing ``header``, that of the first later line containing
-    ``footer`` (NULL when missing), and the lines between them.
+def header_hits(lines: Column, headers: Column | Sequence[str], footer: str) -> Column:
+    """JOIN-2 / FLT-1 in one pass: the lines that contain any of the headers
+    (texts, or a column of ``struct(p, t)`` arrays) or the footer, as
+    ``struct(i, x)`` of line number and line, in order."""
+    def hit(x: Column) -> Column:
+        if isinstance(headers, Column):
+            return contains_text(x, footer) | F.exists(headers, lambda h: contains_text(x, h["t"]))
+        out = contains_text(x, footer)
+        for h in headers:
+            out = out | contains_text(x, h)
+        return out
 
-    ``text`` has ``\n`` line breaks.  Each step is a string search from where
-    the last one ended, and only the section is split into lines.
-    """
-    brk = F.lit("\n")
+    found = F.transform(lines, lambda x, i: F.when(hit(x), F.struct(i.alias("i"), x.alias("x"))))
+    return F.filter(found, lambda s: s.isNotNull())
 
-    def cut(at: Column, end: Column, foot: Column) -> Column:
-        before = F.substr(text, F.lit(1), at - 1)
-        h = F.when(at > 0, F.length(before) - F.length(F.replace(before, brk, F.lit(""))))
-        # from the line after the header's up to the footer text; the last
-        # piece is the begin of the footer's own line
-        pieces = F.split(F.substr(text, end + 1, foot - end - 1), "\n", -1)
-        return _let(F.when(foot > 0, pieces), lambda p: F.struct(
-            h.alias("h"), (h + F.size(p)).alias("f"), F.slice(p, 1, F.size(p) - 1).alias("lines")))
 
-    def search(at: Column) -> Column:
-        return _let(F.when(at > 0, F.position(brk, text, at)).otherwise(0), lambda end: _let(
-            F.when(end > 0, F.position(footer, text, end + 1)).otherwise(0), lambda foot: cut(at, end, foot)))
+def section_bounds(hits: Column, header: Column, footer: str) -> Column:
+    """AGG-5 as a fold over the hits: ``struct(h, f)``, the number of the first
+    line with the header and of the first later line with the footer (NULL when
+    missing)."""
+    def step(b: Column, s: Column) -> Column:
+        h, f = b["h"], b["f"]
+        return F.struct(
+            F.when(h.isNull() & contains_text(s["x"], header), s["i"]).otherwise(h).alias("h"),
+            F.when(h.isNotNull() & f.isNull() & contains_text(s["x"], footer), s["i"]).otherwise(f).alias("f"))
 
-    return _let(F.coalesce(F.position(header, text), F.lit(0)), search)
+    none = F.lit(None).cast("int")
+    return F.aggregate(hits, F.struct(none.alias("h"), none.alias("f")), step)
 
 
 def _header_arrays(headers: DataFrame, header_keys: Sequence[str], header_col: str,
@@ -98,21 +102,21 @@ def sections_in_text(reports: DataFrame, headers: DataFrame | Sequence[str],
     search again, so missing sections simply explode to no rows.
     """
     out_keys = list(keys) + [k for k in header_keys if k not in keys]
-    # One kind of line break, so that positions in the text are all there is.
-    base = reports.select(*out_keys, F.regexp_replace(text_col, LINE_BREAK, "\n").alias("_text"))
+    base = reports.select(*out_keys, split_lines(text_col).alias("_lines"))
     if isinstance(headers, DataFrame):
-        with_hdrs = base.join(_header_arrays(headers, header_keys, header_col, position_col),
-                              list(header_keys), "inner")
+        base = base.join(_header_arrays(headers, header_keys, header_col, position_col), list(header_keys), "inner")
+        hits = header_hits(F.col("_lines"), F.col("_hdrs"), footer)
     else:
-        with_hdrs = base.withColumn("_hdrs", _header_list(headers))
-    foot = F.lit(footer)
+        base = base.withColumn("_hdrs", _header_list(headers))
+        hits = header_hits(F.col("_lines"), list(headers), footer)
 
     def section(hd: Column) -> Column:
-        return _let(section_cut(F.col("_text"), hd["t"], foot), lambda c: F.struct(
+        return _let(section_bounds(F.col("_hits"), hd["t"], footer), lambda b: F.struct(
             hd["p"].alias(position_col), hd["t"].alias(header_col),
-            c["h"].alias("header_line"), c["f"].alias("footer_line"), c["lines"].alias("section_lines")))
+            b["h"].alias("header_line"), b["f"].alias("footer_line"),
+            F.when(b["f"].isNotNull(), F.slice("_lines", b["h"] + 2, b["f"] - b["h"] - 1)).alias("section_lines")))
 
-    per = with_hdrs.select(*out_keys, F.inline(F.transform("_hdrs", section)))
+    per = base.withColumn("_hits", hits).select(*out_keys, F.inline(F.transform("_hdrs", section)))
     if keep_status:
         return per
     return (per.select(*out_keys, position_col, header_col, "header_line",

@@ -17,9 +17,9 @@ from ..functions import text as txt
 from ..operators import joins, reshape, sections
 from ..rules import (KEPT_COLUMN_COUNT, REPORT_COLUMNS, SERIES_CAPACITY, SERIES_GROSS_INPUT,
                      PivotRule)
-from ..session import literal_rows
+from ..session import literal_rows, shared_path
 from ..sources.tables import read_table
-from ..sources import envelope, facets
+from ..sources import envelope, facets, reports
 from .settlement import first_data_rows, priced
 from .utilization import latest_week_wide, percent_utilization, series_utilization
 
@@ -39,6 +39,10 @@ EVENT_RULE_SCHEMA = "position int, event_type string, column string, source stri
 # section_extract: header phrases searched in each document, and the footer.
 SECTION_PHRASES = ("The ", "Es ", "Licensed", "Ort ", "rights")
 SECTION_FOOTER_WORD = "the"
+# section_extract_split: documents in a report file, and how much of one is read
+# by a task (a small part of what a cluster takes, so that files are split here too).
+DOCS_PER_REPORT = 250
+SPLIT_BYTES = 1 << 17
 # report_settlement: (position, header text, output column, price cell, transform)
 # of the sections in the report that is made of each part.
 PART_RULES = (
@@ -150,6 +154,22 @@ def section_extract_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "phrase", "line_no", "line")
 
 
+def section_extract_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same scan over reports read in splits: documents are landed as report
+    files of many documents each, in order of their ids, and read back in parts
+    of ``SPLIT_BYTES``, whose lines are numbered over the whole file."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    report = F.floor(F.col("doc_id") / DOCS_PER_REPORT).alias("report")
+    root = shared_path(spark, "report-files")
+    (docs.where("doc_id is not null").select(report, "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+     .repartition("report").sortWithinPartitions("report", "doc_id", "text")
+     .select("text", "report").write.partitionBy("report").text(root))
+    lines = reports.read_lines(spark, root, split_bytes=SPLIT_BYTES).withColumn("report", F.col("report").cast("bigint"))
+    out = sections.sections_in_lines(lines.select("report", "line_no", "line"), list(SECTION_PHRASES), keys=["report"],
+                                     footer=SECTION_FOOTER_WORD, header_col="phrase")
+    return out.select("report", "phrase", "line_no", "line")
+
+
 # ----------------------------------------------------------- STR-1/2/3, SRC-3
 def ragged_pad(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ragged lines (7-12 tokens) built from ``part``; tokenise, pad, name."""
@@ -453,7 +473,7 @@ def report_settlement_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = sections.report_lines(_part_reports(spark, sf_dir), keys=["p_partkey"])
     sec = sections.sections_in_lines(lines, [r[1] for r in PART_RULES], keys=["p_partkey"],
                                      footer=PART_FOOTER, header_col="header")
-    firsts = reshape.first_per_group(sec.where(txt.trim_ws("line") != ""),
+    firsts = reshape.first_per_group(sec.where(txt.has_text("line")),
                                      ["p_partkey", "position", "header"], ["line_no"], cols=["line"])
     return _part_pivot(firsts.withColumn("section_lines", F.array("line")))
 
@@ -519,6 +539,7 @@ QUERIES = {
     "rule_pivot": rule_pivot,
     "section_extract": section_extract,
     "section_extract_lines": section_extract_lines,
+    "section_extract_split": section_extract_split,
     "section_status": section_status,
     "ragged_pad": ragged_pad,
     "clean_numeric": clean_numeric,

@@ -7,7 +7,7 @@ decimals so neither engine depends on addition order.
 
 from __future__ import annotations
 
-from .catalog import (ASOF_PRIORITY, ASOF_REGION, ASOF_STATUS, EVENT_RULES, FALLBACK_PRIORITY,
+from .catalog import (ASOF_PRIORITY, ASOF_REGION, ASOF_STATUS, DOCS_PER_REPORT, EVENT_RULES, FALLBACK_PRIORITY,
                       FALLBACK_STATUS, PART_FOOTER, PART_RULES, SECTION_FOOTER_WORD, SECTION_PHRASES,
                       SINGLE_FACET_OFFSET, SINGLE_FACET_ROWS, SINGLE_FACET_STATUS, TWO_REGIONS,
                       part_cells_sql, part_report_sql)
@@ -66,6 +66,12 @@ FROM bounds b JOIN lines l
   ON l.doc_id = b.doc_id AND l.line_no > b.header_line AND l.line_no < b.footer_line
 """
 
+SECTION_EXTRACT_SPLIT = SECTION_EXTRACT.replace(
+    "FROM documents", f"""FROM (
+  SELECT CAST(floor(doc_id / {DOCS_PER_REPORT}) AS BIGINT) AS doc_id,
+         string_agg(coalesce(text, ''), chr(10) ORDER BY doc_id, text) || chr(10) AS text
+  FROM documents WHERE doc_id IS NOT NULL GROUP BY 1)""").replace("SELECT b.doc_id,", "SELECT b.doc_id AS report,")
+
 SECTION_STATUS = f"""
 WITH phrases(position, phrase) AS (VALUES {_PHRASE_VALUES}),
 split AS (SELECT doc_id, string_split_regex(text, '\\r\\n|\\r|\\n') AS parts FROM documents),
@@ -446,6 +452,7 @@ ORACLE_SQL = {
     "rule_pivot": RULE_PIVOT,
     "section_extract": SECTION_EXTRACT,
     "section_extract_lines": SECTION_EXTRACT,
+    "section_extract_split": SECTION_EXTRACT_SPLIT,
     "section_status": SECTION_STATUS,
     "ragged_pad": RAGGED_PAD,
     "clean_numeric": CLEAN_NUMERIC,

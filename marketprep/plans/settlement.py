@@ -67,7 +67,7 @@ def first_data_rows(status: DataFrame, keys: Sequence[str], parity: bool = False
     # conditional one-element array rather than by a filter, which the
     # optimizer would push below the projection and evaluate twice.
     with_first = status.withColumn(
-        "_first", F.get(F.filter("section_lines", lambda x: txt.trim_ws(x) != ""), 0))
+        "_first", F.get(F.filter("section_lines", lambda x: txt.has_text(x)), 0))
     # Tokens are their own column: pad_ragged reads them in every branch.
     with_tokens = (with_first.withColumn("_raw_tokens", txt.tokens("_first"))
                    .withColumn("_tokens", txt.pad_ragged("_raw_tokens")))
@@ -109,7 +109,7 @@ def first_rows_from_lines(spark: SparkSession, lines: DataFrame, footer: str = S
     keys = list(REPORT_KEYS)
     sec = sections.sections_in_lines(lines, product_rules(spark), keys=keys,
                                      header_keys=["source_id"], footer=footer)
-    firsts = reshape.first_per_group(sec.where(txt.trim_ws("line") != ""),
+    firsts = reshape.first_per_group(sec.where(txt.has_text("line")),
                                      keys + ["position", "data_set"], ["line_no"], cols=["line"])
     status = firsts.withColumn("section_lines", F.array("line"))
     return first_data_rows(status, [*REPORT_KEYS, "position"], parity)

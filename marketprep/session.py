@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,19 +49,35 @@ def get_session(master: str | None = None, app: str = "marketprep",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins; only when none is configured (tests,
-    a laptop) do we pick a scratch folder of our own.  The context's
-    checkpoint directory is set once, not on every call.
+    The cluster's setting always wins; only when none is configured and the
+    master is local (tests, a laptop) do we pick a scratch folder of our own.
+    On a cluster no machine-local folder would do, so that raises.  The
+    context's checkpoint directory is set once, not on every call.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
+        if not (sc.master or "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="marketprep-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
     return current
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path under the shared folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/marketprep/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: what it holds is fixed
+    then, and a lost executor rereads it."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
     """A literal table built JVM-side from constant expressions.
 
