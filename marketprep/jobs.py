@@ -27,10 +27,10 @@ from pyspark.sql import functions as F
 from .functions.calendar import as_of_date
 from .plans import settlement
 from .functions.numeric import no_nan
-from .plans.utilization import in_reach, latest_week_wide, series_utilization
+from .plans.utilization import in_reach, latest_week_wide, raw_in_reach, series_utilization
 from .rules import (SETTLEMENT_SINK_TYPES, UTILIZATION_AREAS, UTILIZATION_COLUMNS,
                     UTILIZATION_SINK_TYPES)
-from .sources.envelope import latest_records, quarantine_values, read_envelopes, typed_series
+from .sources.envelope import audit_files, latest_records, read_envelopes, split_quarantine, typed_series
 from .sources.facets import facet_top_n
 from .sources.jdbc import write_jdbc
 from .sources.literal import SETTLEMENT_ROW_SCHEMA, literal_table
@@ -67,7 +67,9 @@ def settlement_job(spark: SparkSession, landing_root: str, spine: DataFrame,
                    write_mode: str = "overwrite",
                    options: Mapping[str, str] | None = None,
                    as_of_range: tuple[str, str] | None = None) -> DataFrame:
-    """``Date`` (the as-of date) + the seven sink price columns, one row per
+    """``Date`` (the as-of date), the seven sink price columns and ``irregular``
+    (names of those whose report row has an unusual number of cells, where a
+    price may come from a misplaced one; not written to the sink), one row per
     as-of date; each report kind from its latest report within 7 days.
 
     ``as_of_range`` (first, last) limits the run to the folders of the report
@@ -76,7 +78,7 @@ def settlement_job(spark: SparkSession, landing_root: str, spine: DataFrame,
     wide = settlement.settlement_as_of(spark, read_reports(spark, landing_root, dates), spine, mode=mode,
                                        parity=parity, inventory=read_inventory(spark, landing_root, dates))
     out = wide.withColumnRenamed("as_of", "Date")
-    _sink(out, "Date DATE, " + SETTLEMENT_SINK_TYPES, jdbc_url, table, write_mode, options)
+    _sink(out.drop(settlement.IRREGULAR_COLUMNS), "Date DATE, " + SETTLEMENT_SINK_TYPES, jdbc_url, table, write_mode, options)
     return out
 
 
@@ -91,14 +93,20 @@ def utilization_job(spark: SparkSession, landing_root: str, spine: DataFrame,
 
     Of each record the latest pull counts.  ``newest_rows`` then keeps only the
     newest N records of each series, as the source's faceted request did (it
-    asked for 12); by default the whole history is used.  Only records of weeks
-    the as-of dates can report are joined.  With ``quarantine`` (a folder)
-    records with bad text are written there and left out; else ``strict``
-    raises on them, and without it they count as NULL."""
-    raw = latest_records(read_envelopes(spark, landing_root))
+    asked for 12); by default the whole history is used, but only records of
+    weeks that the as-of dates can report are compared and typed.
+
+    With ``quarantine`` (a folder) records with bad text are written there and
+    left out, and so are landed files that can't be read (their list goes to the
+    folder's ``_files``); else ``strict`` raises on either, and without it bad
+    text counts as NULL and such files as missing."""
+    raw = read_envelopes(spark, landing_root, strict=strict and not quarantine)
+    if not newest_rows:
+        raw = raw_in_reach(raw, spine, parity)
+    raw = latest_records(raw)
     if quarantine:
-        records, bad = quarantine_values(raw)
-        bad.write.mode("overwrite").parquet(quarantine)
+        records, _ = split_quarantine(raw, quarantine)
+        audit_files(spark, landing_root).where("status <> 'ok'").write.mode("overwrite").json(f"{quarantine.rstrip('/')}/_files")
     else:
         records = typed_series(raw, strict=strict)
     if newest_rows:

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import lookback_offsets
@@ -90,6 +90,62 @@ def asof_lookback(spine: DataFrame, as_of_col: str, inventory: DataFrame,
     return out.select(*keys, as_of_col, *cols)
 
 
+# Days of a block, the unit in which the history of a key is dealt out.
+ASOF_BLOCK_DAYS = 64
+
+
+def asof_merge(spine: DataFrame, as_of_col: str, inventory: DataFrame, inv_date_col: str,
+               keys: Sequence[str] = (), days: int = 7, weekdays_only: bool = True,
+               block_days: int = ASOF_BLOCK_DAYS) -> DataFrame:
+    """SRC-6/JOIN-4 for windows of any length: for each ``as_of`` the nearest
+    available date on or before it, at most ``days - 1`` days back, as
+    :func:`asof_lookback` finds it in the corrected order (which tries weekdays
+    only, nearest first), without a row per candidate date.
+
+    Output: the spine's columns plus ``found_date`` and ``offset`` (NULL when
+    the window has nothing).  A NULL key or date has nothing available.
+
+    Two levels: spine and inventory are merged by date within blocks of
+    ``block_days`` days of a key (last available date so far), and the latest
+    date of all earlier blocks comes from a running maximum over one row per key
+    and block.  So a key with most of all rows is as many groups as it has
+    blocks, and the rows of a key are shuffled once however long the window is.
+    """
+    keys = list(keys)
+    if clash := {"found_date", "offset"} & set(spine.columns):
+        raise ValueError(f"the spine has columns named {sorted(clash)}")
+    own = [c for c in spine.columns if c not in keys]
+    inv = inventory.select(*keys, F.col(inv_date_col).cast("date").alias("_date")).where("_date is not null")
+    if weekdays_only:
+        inv = inv.where(F.weekday("_date") < 5)
+    inv = inv.distinct()
+    left = spine.select(*keys, F.col(as_of_col).cast("date").alias("_date"), F.struct(*own).alias("_row"))
+    block = F.floor(F.datediff(F.col("_date"), F.lit("1970-01-01").cast("date")) / block_days)
+    both = (left.unionByName(inv.withColumn("_found", F.col("_date")), allowMissingColumns=True)
+            .withColumn("_block", block).repartition(*keys, "_block"))
+
+    # Level 1: the last available date within the block; of equal dates all of
+    # the inventory comes first, as a frame by date holds its peers.
+    so_far = Window.partitionBy(*keys, "_block").orderBy("_date").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    here = both.withColumn("_here", F.max("_found").over(so_far)).where("_row is not null")
+    # Level 2: the latest one of all earlier blocks.
+    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (both.groupBy(*keys, "_block").agg(F.max("_found").alias("_last"))
+              .withColumn("_before", F.max("_last").over(earlier)).where("_before is not null")
+              .select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_block").alias("_b"), "_before"))
+    on = F.col("_block") == F.col("_b")
+    for k in keys:
+        on = on & (F.col(k) == F.col(f"_k_{k}"))
+    found = F.coalesce("_here", "_before")
+    for k in keys:                       # a NULL key is a group to a window, but nothing is available for it
+        found = F.when(F.col(k).isNotNull(), found)
+    away = F.datediff("_date", found)
+    out = here.join(blocks, on, "left").withColumn("_away", F.when(away < days, away))
+    return out.select(*keys, *[F.col("_row")[c].alias(c) for c in own],
+                      F.date_sub("_date", F.col("_away")).alias("found_date"), F.col("_away").alias("offset")).select(
+        *spine.columns, "found_date", "offset")
+
+
 def first_nonempty_candidate(spine: DataFrame, key_cols: Sequence[str],
                              candidates: Sequence[Column], data: DataFrame,
                              data_key: str, cand_name: str = "candidate",

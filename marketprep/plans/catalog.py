@@ -21,7 +21,8 @@ from ..session import literal_rows, shared_path
 from ..sources.tables import read_table
 from ..sources import envelope, facets, reports
 from .settlement import first_data_rows, priced
-from .utilization import latest_week_wide, percent_utilization, series_utilization
+from .utilization import (latest_week_wide, percent_utilization, series_utilization, store_series,
+                          stored_utilization)
 
 # --------------------------------------------------------------------------
 # Parameters of the driver-table queries (chosen here; the oracle SQL uses
@@ -86,6 +87,8 @@ def part_report_sql() -> str:
     return "concat_ws(chr(10), " + ", ".join(parts) + ")"
 
 
+# envelope_audit, envelope_records: events in an envelope.
+RECORDS_PER_ENVELOPE = 8
 # facet_single: one facet value, newest first, offset and row count.
 SINGLE_FACET_STATUS, SINGLE_FACET_OFFSET, SINGLE_FACET_ROWS = "F", 0, 12
 # wide_two_areas: the two labels kept, as they appear in the data.
@@ -93,6 +96,11 @@ TWO_REGIONS = ("AMERICA", "MIDDLE EAST")
 # fallback_week / asof_lookback filters.
 FALLBACK_STATUS, FALLBACK_PRIORITY = "P", "1-URGENT"
 ASOF_STATUS, ASOF_PRIORITY, ASOF_REGION = "F", "1-URGENT", 0
+ASOF_YEAR_DAYS = 365
+# stamped_pivot: the run date that is given.
+RUN_DATE = "2024-01-20"
+# stored_pull_ratio: buckets of the stored series table.
+STORED_BUCKETS = 16
 
 
 def _date(c: str):
@@ -122,6 +130,16 @@ def rule_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
                               name_col="column", value_col="v", order_col="event_id")
 
 
+def stamped_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DATE-5: the pivot's rows of days before a given run date, stamped with
+    that date (never the clock) and keyed by it."""
+    as_of = cal.as_of_date(RUN_DATE)
+    wide = rule_pivot(spark, sf_dir)
+    out = wide.where(F.col("day") < as_of).withColumn("as_of", as_of)
+    return out.select("as_of", txt.compose_key("_", cal.format_compact("as_of"), cal.format_compact("day")).alias("run_key"),
+                      F.date_diff("as_of", "day").alias("age_days"), *wide.columns)
+
+
 # ---------------------------------------------------- SRC-1/JOIN-2/AGG-5/FLT-*
 def section_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Section lines of every document, whole-text form: a narrow map (no join,
@@ -258,6 +276,33 @@ def json_unwrap(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.from_json("product_name", "k bigint").getField("k").alias("k"))
 
 
+def _event_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(envelope, body)``: the events in envelopes of a few records each, some
+    of them cut off, without data, or empty."""
+    ev = read_table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    record = F.struct(F.lpad(num.to_text("event_id"), 12, "0").alias("period"), F.col("event_type").alias("area-name"),
+                      num.to_text("value").alias("value"))
+    env = F.floor(F.col("event_id") / RECORDS_PER_ENVELOPE).alias("envelope")
+    whole = ev.groupBy(env).agg(F.to_json(F.struct(F.struct(F.sort_array(F.collect_list(record)).alias("data"))
+                                                   .alias("response"))).alias("body"))
+    e = F.col("envelope")
+    half = F.substring("body", F.lit(1), F.floor(F.length("body") * 2 / 3).cast("int"))
+    return whole.select("envelope", F.when(e % 13 == 1, "").when(e % 7 == 3, half)
+                        .when(e % 11 == 5, '{"response":{}}').otherwise(F.col("body")).alias("body"))
+
+
+def envelope_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status and number of records of each envelope, readable or not."""
+    return envelope.audit_envelopes(_event_envelopes(spark, sf_dir), "body", keep=("envelope",))
+
+
+def envelope_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of the readable envelopes (several each)."""
+    recs = envelope.unwrap_envelope(_event_envelopes(spark, sf_dir), "body", keep=("envelope",))
+    return recs.select("envelope", F.col("period").cast("bigint").alias("event_id"), "area_name",
+                       num.to_double_strict("value").alias("value"))
+
+
 # ----------------------------------------------------------------- SRC-7/TOP-2
 def facet_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest 12 orders per status (the 12 is the feature)."""
@@ -418,6 +463,16 @@ def asof_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
         "reference_found_date", "reference_offset")
 
 
+def asof_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per order, the customer's latest urgent order placed on a weekday within a
+    year up to it (a window of 365 days, no row per candidate day)."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", _date("o_orderdate").alias("o_date"))
+    urgent = o.where(F.col("o_orderpriority") == ASOF_PRIORITY).select("o_custkey", F.col("o_date").alias("urgent_date"))
+    out = joins.asof_merge(o.select("o_orderkey", "o_custkey", "o_date"), "o_date", urgent, "urgent_date",
+                           keys=["o_custkey"], days=ASOF_YEAR_DAYS)
+    return out.select("o_orderkey", "o_custkey", "o_date", "found_date", "offset")
+
+
 # ------------------------------------- job B shape: weekly, fallback week, wide
 def weekly_utilization(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Job B end to end on the driver tables.
@@ -479,14 +534,13 @@ def report_settlement_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --------------------------------------- job B inputs: latest pull, bad values
-def latest_pull_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _order_pulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order is a pulled record of a series (odd keys capacity, even keys
     gross input) for its month, customer nation (NULL for some) and segment, so
-    each record is pulled many times; the latest pull counts, and the two
-    series join where NULL keys match (AGG-4 before JOIN-1)."""
+    each record is pulled many times."""
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    pulls = o.join(c, o.o_custkey == c.c_custkey).select(
+    return o.join(c, o.o_custkey == c.c_custkey).select(
         F.when(F.col("o_orderkey") % 2 == 1, SERIES_CAPACITY).otherwise(SERIES_GROSS_INPUT).alias("series_code"),
         F.trunc(_date("o_orderdate"), "month").alias("period"),
         F.when(F.col("c_nationkey") % 6 != 0, F.concat(F.lit("N"), num.to_text("c_nationkey"))).alias("duoarea"),
@@ -494,10 +548,25 @@ def latest_pull_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_totalprice").alias("value"), F.lit("USD").alias("units"), F.lit("p").alias("product_name"),
         _date("o_orderdate").alias("pull_date"),
         F.lpad(num.to_text("o_orderkey"), 12, "0").alias("file_name"), F.lit(0).alias("record_no"))
-    out = series_utilization(envelope.latest_records(pulls))
+
+
+def latest_pull_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest pull of each record counts, and the two series join where NULL
+    keys match (AGG-4 before JOIN-1)."""
+    out = series_utilization(envelope.latest_records(_order_pulls(spark, sf_dir)))
     return out.select("period", "duoarea", "area_name", "output_value", "input_value", "percent_utilization")
 
 
+def stored_pull_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through a stored table, bucketed by the join keys, whose series
+    join without an exchange."""
+    path = shared_path(spark, "series")
+    latest = envelope.latest_records(_order_pulls(spark, sf_dir))
+    stored = store_series(latest, "series_" + path.rpartition("-")[2], STORED_BUCKETS, path=path)
+    return stored_utilization(stored).select(
+        "period", "duoarea", "area_name", "output_value", "input_value", "percent_utilization")
+
+
 def series_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CAST-2 over events as text records: numbers, NaN text (NULL), missing
     values and bad text or dates, which are set aside with their raw text."""
@@ -537,6 +606,7 @@ def report_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "rule_pivot": rule_pivot,
+    "stamped_pivot": stamped_pivot,
     "section_extract": section_extract,
     "section_extract_lines": section_extract_lines,
     "section_extract_split": section_extract_split,
@@ -545,6 +615,8 @@ QUERIES = {
     "clean_numeric": clean_numeric,
     "clean_numeric_customer": clean_numeric_customer,
     "json_unwrap": json_unwrap,
+    "envelope_audit": envelope_audit,
+    "envelope_records": envelope_records,
     "facet_topn": facet_topn,
     "first_per_group": first_per_group,
     "dedup_last": dedup_last,
@@ -554,11 +626,13 @@ QUERIES = {
     "fallback_week": fallback_week,
     "fallback_week_parity": fallback_week_parity,
     "asof_lookback": asof_lookback,
+    "asof_year": asof_year,
     "report_key": report_key,
     "weekly_utilization": weekly_utilization,
     "report_settlement": report_settlement,
     "report_settlement_lines": report_settlement_lines,
     "facet_single": facet_single,
     "latest_pull_ratio": latest_pull_ratio,
+    "stored_pull_ratio": stored_pull_ratio,
     "series_quarantine": series_quarantine,
 }

@@ -7,8 +7,8 @@ decimals so neither engine depends on addition order.
 
 from __future__ import annotations
 
-from .catalog import (ASOF_PRIORITY, ASOF_REGION, ASOF_STATUS, DOCS_PER_REPORT, EVENT_RULES, FALLBACK_PRIORITY,
-                      FALLBACK_STATUS, PART_FOOTER, PART_RULES, SECTION_FOOTER_WORD, SECTION_PHRASES,
+from .catalog import (ASOF_PRIORITY, ASOF_REGION, ASOF_STATUS, ASOF_YEAR_DAYS, DOCS_PER_REPORT, EVENT_RULES, FALLBACK_PRIORITY,
+                      FALLBACK_STATUS, PART_FOOTER, PART_RULES, RECORDS_PER_ENVELOPE, RUN_DATE, SECTION_FOOTER_WORD, SECTION_PHRASES,
                       SINGLE_FACET_OFFSET, SINGLE_FACET_ROWS, SINGLE_FACET_STATUS, TWO_REGIONS,
                       part_cells_sql, part_report_sql)
 
@@ -42,6 +42,22 @@ SELECT day,
 FROM last GROUP BY day
 """
 
+STAMPED_PIVOT = f"""
+SELECT DATE '{RUN_DATE}' AS as_of, '{RUN_DATE.replace("-", "")}_' || strftime(day, '%Y%m%d') AS run_key,
+       CAST(DATE '{RUN_DATE}' - day AS INTEGER) AS age_days, p.*
+FROM ({RULE_PIVOT}) p WHERE day < DATE '{RUN_DATE}'
+"""
+
+ASOF_YEAR = f"""
+WITH o AS (SELECT o_orderkey, o_custkey, o_orderpriority, CAST(o_orderdate AS DATE) AS o_date FROM orders),
+u AS (SELECT DISTINCT o_custkey, o_date FROM o WHERE o_orderpriority = {_q(ASOF_PRIORITY)} AND isodow(o_date) <= 5),
+f AS (SELECT o.o_orderkey, max(u.o_date) AS found_date
+      FROM o JOIN u ON u.o_custkey = o.o_custkey AND u.o_date <= o.o_date AND o.o_date - u.o_date < {ASOF_YEAR_DAYS}
+      GROUP BY 1)
+SELECT o.o_orderkey, o.o_custkey, o.o_date, found_date, CAST(o.o_date - found_date AS INTEGER) AS "offset"
+FROM o LEFT JOIN f USING (o_orderkey)
+"""
+
 _PHRASE_VALUES = ", ".join(f"({i}, {_q(p)})" for i, p in enumerate(SECTION_PHRASES))
 
 SECTION_EXTRACT = f"""
@@ -166,6 +182,21 @@ SELECT event_id,
 FROM events
 """
 
+_ENVELOPE_STATUS = """CASE WHEN envelope % 13 = 1 THEN 'empty' WHEN envelope % 7 = 3 THEN 'unreadable'
+       WHEN envelope % 11 = 5 THEN 'no_data' ELSE 'ok' END"""
+_ENVELOPE = f"CAST(floor(event_id / {RECORDS_PER_ENVELOPE}) AS BIGINT)"
+
+ENVELOPE_AUDIT = f"""
+SELECT envelope, {_ENVELOPE_STATUS} AS status,
+       CAST(CASE WHEN {_ENVELOPE_STATUS} = 'ok' THEN n ELSE 0 END AS BIGINT) AS n_records
+FROM (SELECT {_ENVELOPE} AS envelope, count(*) AS n FROM events GROUP BY 1)
+"""
+
+ENVELOPE_RECORDS = f"""
+SELECT envelope, event_id, event_type AS area_name, value
+FROM (SELECT {_ENVELOPE} AS envelope, * FROM events) WHERE {_ENVELOPE_STATUS} = 'ok'
+"""
+
 FACET_TOPN = """
 SELECT o_orderstatus, o_orderkey, o_orderdate, o_totalprice, rn FROM (
   SELECT o_orderstatus, o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate, o_totalprice,
@@ -449,6 +480,8 @@ LIMIT {SINGLE_FACET_ROWS} OFFSET {SINGLE_FACET_OFFSET}
 """
 
 ORACLE_SQL = {
+    "asof_year": ASOF_YEAR,
+    "stamped_pivot": STAMPED_PIVOT,
     "rule_pivot": RULE_PIVOT,
     "section_extract": SECTION_EXTRACT,
     "section_extract_lines": SECTION_EXTRACT,
@@ -458,6 +491,8 @@ ORACLE_SQL = {
     "clean_numeric": CLEAN_NUMERIC,
     "clean_numeric_customer": CLEAN_NUMERIC_CUSTOMER,
     "json_unwrap": JSON_UNWRAP,
+    "envelope_audit": ENVELOPE_AUDIT,
+    "envelope_records": ENVELOPE_RECORDS,
     "facet_topn": FACET_TOPN,
     "first_per_group": FIRST_PER_GROUP,
     "dedup_last": DEDUP_LAST,
@@ -473,5 +508,6 @@ ORACLE_SQL = {
     "report_settlement_lines": REPORT_SETTLEMENT,
     "facet_single": FACET_SINGLE,
     "latest_pull_ratio": LATEST_PULL_RATIO,
+    "stored_pull_ratio": LATEST_PULL_RATIO,
     "series_quarantine": SERIES_QUARANTINE,
 }

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions import numeric as num
 from ..functions import text as txt
+from ..functions.calendar import lookback_offsets
 from ..operators import joins, reshape, sections
 from ..rules import (KEPT_COLUMN_COUNT, LOOKBACK_DAYS, PRODUCT_RULES, REPORT_COLUMNS,
                      SECTION_FOOTER, PivotRule, product_pivot_rules, products_by_source)
@@ -31,6 +32,9 @@ from ..sources.literal import product_rules
 from ..sources.reports import report_inventory
 
 REPORT_KEYS = ("report_date", "source_id", "file_name")
+# A row whose number of cells no padding rule covers; and, of a wide row, the
+# price columns that come from such rows.
+IRREGULAR, IRREGULAR_COLUMNS = "is_irregular", "irregular"
 DISPLAY_NAMES = {r[6]: r[3] for r in PRODUCT_RULES}
 
 
@@ -139,12 +143,20 @@ def settlement_wide(rows: DataFrame, keys: Sequence[str] = ("report_date",),
     wide row per key, sink column names; ``keys=[]`` gives one global row.
 
     Several rows for the same key and product: the highest ``order_col``
-    wins (default: the latest report date, then the last file name).
+    wins (default: the latest report date, then the last file name).  Where rows
+    say whether their cells may be misplaced (``is_irregular``), the last column
+    ``irregular`` names the price columns that come from such rows.
     """
     rules = list(rules) if rules is not None else product_pivot_rules()
     order = order_col if order_col is not None else F.struct("report_date", "file_name")
-    return reshape.rule_pivot(priced(rows, rules), list(keys), rules,
-                              name_col="Data_Set", value_col="price_value", order_col=order)
+    cells = priced(rows, rules)
+    if IRREGULAR not in rows.columns:
+        return reshape.rule_pivot(cells, list(keys), rules, name_col="Data_Set", value_col="price_value", order_col=order)
+    wide = reshape.rule_pivot(cells.withColumn("_cell", F.struct("price_value", IRREGULAR)), list(keys), rules,
+                              name_col="Data_Set", value_col="_cell", order_col=order)
+    marks = F.concat_ws(",", *[F.when(F.col(r.column)[IRREGULAR], F.lit(r.column)) for r in rules])
+    return wide.select(*keys, *[F.col(r.column)["price_value"].alias(r.column) for r in rules],
+                       F.nullif(marks, F.lit("")).alias(IRREGULAR_COLUMNS))
 
 
 def settlement_history(spark: SparkSession, reports: DataFrame, parity: bool = False) -> DataFrame:
@@ -184,18 +196,37 @@ def settlement_as_of(spark: SparkSession, reports: DataFrame, spine: DataFrame,
     ``inventory`` (``sources.reports.read_inventory``) comes from the file
     listing; without it the reports are read once more to find their dates.
     """
-    sources = list(products_by_source())
     inv = inventory if inventory is not None else report_inventory(reports)
+    return _as_of(first_rows(spark, reports, parity=parity), inv, spine, as_of_col, mode)
+
+
+def _as_of(rows: DataFrame, inv: DataFrame, spine: DataFrame, as_of_col: str, mode: str) -> DataFrame:
+    sources = list(products_by_source())
     grid = spine.select(as_of_col, F.explode(F.array(*[F.lit(s) for s in sources])).alias("source_id"))
     picks = joins.asof_lookback(grid, as_of_col, inv, "report_date", keys=["source_id"],
                                 modes=(mode,))
-    chosen = picks.where(F.col(f"{mode}_found_date").isNotNull()).select(
+    # The comparison tells the planner that few dates are picked, so that it
+    # prunes the partitions of a table of rows by them.
+    chosen = picks.where(F.col(f"{mode}_offset") >= 0).select(
         as_of_col, "source_id", F.col(f"{mode}_found_date").alias("report_date"))
-    rows = first_rows(spark, reports, parity=parity).join(chosen, ["source_id", "report_date"])
-    wide = settlement_wide(rows, keys=[as_of_col])
+    wide = settlement_wide(rows.join(chosen, ["source_id", "report_date"]), keys=[as_of_col])
     return spine.select(as_of_col).join(wide, as_of_col, "left")
 
 
+def settlement_as_of_rows(rows: DataFrame, spine: DataFrame, as_of_col: str = "as_of",
+                          mode: str = "corrected") -> DataFrame:
+    """:func:`settlement_as_of` over already parsed first rows (a table that is
+    appended to as reports land, partitioned by ``report_date``).
+
+    Both reads of the table, of the dates it has and of the picked rows, are
+    joined on its partition column with what the spine asks for, so only the
+    partitions within the lookback are read."""
+    asked = (spine.select(as_of_col, F.explode(lookback_offsets(F.col(as_of_col), mode)).alias("_o"))
+             .where(F.col("_o") >= 0).select(F.date_sub(as_of_col, F.col("_o")).alias("report_date")).distinct())
+    inv = rows.select("source_id", "report_date").join(asked, "report_date", "left_semi").distinct()
+    return _as_of(rows, inv, spine, as_of_col, mode)
+
+
 def to_display(wide: DataFrame, date_col: str = "report_date") -> DataFrame:
     """Sink names -> display names (``Date``, ``WTI Crude Oil``, ...)."""
     return reshape.rename(wide, {date_col: "Date", **DISPLAY_NAMES})

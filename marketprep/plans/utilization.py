@@ -65,6 +65,39 @@ def series_utilization(records: DataFrame, keys: Sequence[str] = SERIES_JOIN_KEY
     return utilization(cap, inp, keys)
 
 
+# Column of a stored series table: all join keys of a record as one text that is
+# never NULL (a NULL key has its own form), so that NULL keys match in a plain
+# equality, by which the table is bucketed.
+STORED_KEY = "_key"
+
+
+def store_series(records: DataFrame, table: str, buckets: int, keys: Sequence[str] = SERIES_JOIN_KEYS,
+                 path: str | None = None) -> DataFrame:
+    """JOIN-1 on a stored layout: write typed records as a table bucketed and
+    sorted by their join keys, and read it back.  :func:`stored_utilization`
+    then joins series of it without moving a row; ``buckets`` should leave some
+    hundred MB in each.  ``path`` makes it an external table there."""
+    key = F.to_json(F.struct(*[F.col(k).cast("string").alias(k) for k in keys]), {"ignoreNullFields": "false"})
+    out = records.withColumn(STORED_KEY, key).repartition(buckets, STORED_KEY)
+    w = out.write.format("parquet").bucketBy(buckets, STORED_KEY).sortBy(STORED_KEY).mode("overwrite")
+    (w.option("path", path) if path else w).saveAsTable(table)
+    return records.sparkSession.table(table)
+
+
+def stored_utilization(stored: DataFrame, keys: Sequence[str] = SERIES_JOIN_KEYS,
+                       areas: Sequence[str] | None = None) -> DataFrame:
+    """:func:`series_utilization` over a stored series table: the same rows by an
+    equality of the stored key, within buckets."""
+    base = stored if areas is None else stored.where(F.col("area_name").isin(list(areas)))
+    cols = ["series_description", "value", "units"]
+    cap = (base.where(F.col("series_code") == SERIES_CAPACITY)
+           .select(STORED_KEY, *keys, *cols).withColumnsRenamed(OUTPUT_NAMES))
+    inp = (base.where(F.col("series_code") == SERIES_GROSS_INPUT)
+           .select(F.col(STORED_KEY).alias("_other"), *cols).withColumnsRenamed(INPUT_NAMES))
+    both = cap.join(inp, F.col(STORED_KEY) == F.col("_other")).drop(STORED_KEY, "_other")
+    return both.withColumn("percent_utilization", percent_utilization())
+
+
 def candidate_weeks(as_of: Column, parity: bool = False) -> list[Column]:
     """The Fridays whose week an as-of date may report, in order: this one,
     else the previous one (``parity``: only the previous one)."""
@@ -77,10 +110,31 @@ def in_reach(records: DataFrame, spine: DataFrame, parity: bool = False, as_of_c
              period_col: str = "period") -> DataFrame:
     """Only the records of weeks that an as-of date can report.  Done before
     the null-safe join, across which no filter is inferred."""
-    weeks = spine.select(F.explode(F.array(*candidate_weeks(F.col(as_of_col), parity))).alias(period_col)).distinct()
+    weeks = _weeks(spine, parity, as_of_col).withColumnRenamed("_week", period_col)
     return records.join(weeks, period_col, "left_semi").select(*records.columns)
 
 
+def _weeks(spine: DataFrame, parity: bool, as_of_col: str) -> DataFrame:
+    return spine.select(F.explode(F.array(*candidate_weeks(F.col(as_of_col), parity))).alias("_week")).distinct()
+
+
+def asked_years(spine: DataFrame, parity: bool = False, as_of_col: str = "as_of") -> DataFrame:
+    """``(year)`` as text of the weeks that the as-of dates can report."""
+    weeks = _weeks(spine, parity, as_of_col).where(F.col("_week") > F.lit("0001-01-01").cast("date"))
+    return weeks.select(F.date_format("_week", "yyyy").alias("year")).distinct()
+
+
+def raw_in_reach(records: DataFrame, spine: DataFrame, parity: bool = False, as_of_col: str = "as_of") -> DataFrame:
+    """The same for records whose ``period`` is still text, so that only weeks
+    that can be reported are shuffled, compared by pull and typed.  A text that
+    is no date stays, to be refused or set aside like any bad text."""
+    week = F.col("period").try_cast("date")
+    weeks = _weeks(spine, parity, as_of_col).withColumn("_asked", F.lit(True))
+    return (records.withColumn("_week", week).join(weeks, "_week", "left")
+            .where(F.col("_asked") | (F.col("period").isNotNull() & F.col("_week").isNull()))
+            .select(*records.columns))
+
+
 def latest_week_wide(util: DataFrame, spine: DataFrame, as_of_col: str = "as_of",
                      areas: Sequence[str] = UTILIZATION_AREAS, parity: bool = False) -> DataFrame:
     """FLT-5 + AGG-2: for each as-of date choose the week to report (this

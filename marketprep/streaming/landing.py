@@ -17,14 +17,15 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans import settlement
-from ..plans.utilization import in_reach, latest_week_wide, series_utilization
+from ..plans.utilization import asked_years, in_reach, latest_week_wide, raw_in_reach, series_utilization
 from ..rules import UTILIZATION_AREAS
-from ..sources.envelope import (SERIES_RECORD, envelope_schema, latest_records, typed_series,
+from ..sources.envelope import (CORRUPT, SERIES_RECORD, envelope_schema, latest_records, typed_series,
                                 unwrap_pulls)
 
 
@@ -81,22 +82,36 @@ def settlement_from_rows(spark: SparkSession, rows_path: str) -> DataFrame:
     return settlement.settlement_wide(spark.read.parquet(rows_path))
 
 
-def ingest_series(spark: SparkSession, landing_root: str, records_path: str,
-                  checkpoint_location: str | None = None,
-                  trigger: str = "available_now",
-                  max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Append the records of every newly landed JSON envelope
-    (``series_code=<code>/[pull_date=<date>/]*.json``) to ``records_path``."""
-    schema = envelope_schema(SERIES_RECORD)
-    r = spark.readStream.schema(schema).option("multiLine", True)
+def settlement_as_of_from_rows(spark: SparkSession, rows_path: str, spine: DataFrame,
+                               mode: str = "corrected") -> DataFrame:
+    """Batch: one wide settlement row per as-of date from the appended rows, each
+    report kind from its latest date within the lookback (SRC-6); only the
+    partitions of dates that the lookback can reach are read."""
+    return settlement.settlement_as_of_rows(spark.read.parquet(rows_path), spine, mode=mode)
+
+
+def _series_stream(spark: SparkSession, landing_root: str, max_files_per_trigger: int | None) -> DataFrame:
+    """Records of newly landed envelopes (``series_code=<code>/[pull_date=<date>/]*.json``)."""
+    schema = envelope_schema(SERIES_RECORD).add(CORRUPT, "string")
+    r = spark.readStream.schema(schema).option("multiLine", True).option("columnNameOfCorruptRecord", CORRUPT)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = r.json(landing_root)
     path = F.col("_metadata.file_path")
-    recs = unwrap_pulls(raw.select(
+    whole = F.struct(F.when(F.col(CORRUPT).isNull(), F.col("response.data")).alias("data")).alias("response")
+    return unwrap_pulls(raw.select(
         F.regexp_extract(path, r".*/series_code=([^/]+)/", 1).alias("series_code"),
         F.regexp_extract(path, r".*/pull_date=([0-9-]+)/", 1).try_cast("date").alias("pull_date"),
-        F.col("_metadata.file_name").alias("file_name"), "response"))
+        F.col("_metadata.file_name").alias("file_name"), whole))
+
+
+def ingest_series(spark: SparkSession, landing_root: str, records_path: str,
+                  checkpoint_location: str | None = None,
+                  trigger: str = "available_now",
+                  max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Append the records of every newly landed JSON envelope
+    (``series_code=<code>/[pull_date=<date>/]*.json``) to ``records_path``."""
+    recs = _series_stream(spark, landing_root, max_files_per_trigger)
     w = (recs.writeStream.format("parquet").outputMode("append")
          .option("path", records_path)
          .option("checkpointLocation", _checkpoint(records_path, checkpoint_location))
@@ -104,15 +119,97 @@ def ingest_series(spark: SparkSession, landing_root: str, records_path: str,
     return _trigger(w, trigger).start()
 
 
+# Partition columns of the latest-record table.
+LATEST_PARTITIONS = ("series_code", "year")
+
+
+def merge_latest(batch: DataFrame, batch_id: int, table_path: str) -> None:
+    """AGG-4 as a merge: bring the records of a batch into the table of latest
+    records, rewriting only the (series, year) partitions that it touches.
+
+    The touched partitions, merged, are first written under the batch's id; the
+    table's partitions are then replaced by them (dynamic partition overwrite).
+    A repeated batch takes what it wrote the first time, so a crash between the
+    two steps, or within the second one, loses and changes nothing.  Only one
+    stream may write to a table.
+    """
+    spark = batch.sparkSession
+    root = table_path.rstrip("/")
+    staged = f"{root}/_merge/batch={batch_id}"
+    done = _table(spark, staged) if _exists(spark, f"{staged}/_SUCCESS") else None
+    if done is None:
+        new = batch.withColumn("year", F.coalesce(F.substring("period", 1, 4), F.lit("none")))
+        old = _table(spark, root)
+        if old is not None:
+            touched = new.select(*LATEST_PARTITIONS).distinct()
+            new = old.join(touched, list(LATEST_PARTITIONS), "left_semi").select(*new.columns).unionByName(new)
+        merged = latest_records(new)
+        merged.repartition(*LATEST_PARTITIONS, "period").write.mode("overwrite").parquet(staged)
+        done = _table(spark, staged)
+    if done is None:                                             # a batch without records
+        return
+    (done.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*LATEST_PARTITIONS).parquet(root))
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop_path(spark, path)
+    return fs.exists(p)
+
+
+def _table(spark: SparkSession, path: str) -> DataFrame | None:
+    """A Parquet table, or None where there is none yet."""
+    try:
+        # partition values stay the text they are written as
+        return spark.read.schema(LATEST_SCHEMA).parquet(path) if _exists(spark, path) else None
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+LATEST_SCHEMA = ("series_code string, period string, duoarea string, area_name string, series_description string, "
+                 "value string, units string, product_name string, pull_date date, file_name string, record_no int, year string")
+
+
+def ingest_latest(spark: SparkSession, landing_root: str, table_path: str,
+                  checkpoint_location: str | None = None, trigger: str = "available_now",
+                  max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Keep a table of the latest pull of each record up to date with the landed
+    envelopes, batch by batch (:func:`merge_latest`), so that a run reads one row
+    per record instead of every pull ever made."""
+    recs = _series_stream(spark, landing_root, max_files_per_trigger)
+    w = (recs.writeStream.foreachBatch(lambda df, i: merge_latest(df, i, table_path))
+         .option("checkpointLocation", _checkpoint(table_path, checkpoint_location)))
+    return _trigger(w, trigger).start()
+
+
+def utilization_from_latest(spark: SparkSession, table_path: str, spine: DataFrame,
+                            parity: bool = False, strict: bool = True) -> DataFrame:
+    """Batch: the wide utilization rows from the table of latest records; only
+    its partitions of years that the as-of dates can report are read."""
+    table = spark.read.schema(LATEST_SCHEMA).parquet(table_path)
+    years = asked_years(spine, parity)
+    records = raw_in_reach(table.join(years, "year", "left_semi").select(*table.columns), spine, parity)
+    util = series_utilization(in_reach(typed_series(records, strict=strict), spine, parity),
+                              areas=UTILIZATION_AREAS)
+    return latest_week_wide(util, spine, parity=parity)
+
+
 def utilization_from_records(spark: SparkSession, records_path: str, spine: DataFrame,
                              parity: bool = False, strict: bool = True) -> DataFrame:
     """Batch: the wide utilization rows from the appended records, the latest
     pull of each record counting."""
-    records = latest_records(spark.read.parquet(records_path))
+    records = latest_records(raw_in_reach(spark.read.parquet(records_path), spine, parity))
     util = series_utilization(in_reach(typed_series(records, strict=strict), spine, parity),
                               areas=UTILIZATION_AREAS)
     return latest_week_wide(util, spine, parity=parity)
 
 
-__all__ = ["ingest_reports", "ingest_series", "report_stream", "settlement_from_rows",
-           "utilization_from_records"]
+__all__ = ["ingest_latest", "ingest_reports", "ingest_series", "merge_latest", "report_stream",
+           "settlement_as_of_from_rows", "settlement_from_rows", "utilization_from_latest", "utilization_from_records"]

@@ -1,0 +1,198 @@
+"""Unreadable envelopes, one-scan quarantine, the latest-record table, as-of
+dates over ingested rows, long as-of windows and stored series."""
+
+from __future__ import annotations
+
+import datetime as dt
+import glob
+import json
+import os
+import random
+import shutil
+
+import pytest
+from pyspark.sql import functions as F
+
+from marketprep import jobs
+from marketprep.operators import joins
+from marketprep.plans import settlement, utilization
+from marketprep.sources import envelope
+from marketprep.sources.reports import read_reports
+from marketprep.streaming import landing
+
+from .conftest import plan_text, write_text
+from .test_settlement import FX, GAS, NYMEX, fx_report, gas_report, nymex_report
+from .test_utilization import land, rec
+
+
+def landing_with_faults(root: str) -> None:
+    land(root, "YRL", [rec("2024-12-06", "NUS", "U.S.", "100"), rec("2024-12-06", "R30", "PADD 3", "50")], "good.json")
+    land(root, "EPXXX2", [rec("2024-12-06", "NUS", "U.S.", "90"), rec("2024-12-06", "R30", "PADD 3", "45")], "good.json")
+    body = json.dumps({"response": {"data": [rec("2024-12-06", "NUS", "U.S.", "1"), rec("2024-12-06", "R30", "PADD 3", "2")]}}, indent=1)
+    for name, text in (("cut.json", body[:-60]), ("empty.json", ""), ("none.json", '{"response": {}}'), ("page.json", "<html>busy</html>")):
+        write_text(os.path.join(root, "series_code=YRL", name), text)
+
+
+def test_files_that_do_not_parse_are_named(spark, tmp_path):
+    root = str(tmp_path)
+    landing_with_faults(root)
+    got = {(r.series_code, r.file_name): (r.status, r.n_records) for r in envelope.audit_files(spark, root).collect()}
+    assert got == {("YRL", "good.json"): ("ok", 2), ("EPXXX2", "good.json"): ("ok", 2), ("YRL", "cut.json"): ("unreadable", 0),
+                   ("YRL", "empty.json"): ("empty", 0), ("YRL", "none.json"): ("no_data", 0), ("YRL", "page.json"): ("unreadable", 0)}
+    assert envelope.read_envelopes(spark, root).count() == 4          # nothing from before the cut
+    with pytest.raises(ValueError, match="empty.json"):
+        envelope.read_envelopes(spark, root, strict=True)
+    os.remove(os.path.join(root, "series_code=YRL", "empty.json"))
+    with pytest.raises(Exception, match="(cut|page).json"):
+        envelope.read_envelopes(spark, root, strict=True).collect()
+
+
+def test_envelope_texts(spark):
+    rows = [(1, '{"response":{"data":[{"value":"1"},{"value":"2"}]}}'), (2, '{"response":{"data":[{"value":"1"},{"val'), (3, None), (4, " "),
+            (5, "{}"), (6, '{"response":{"data":[]}}'), (7, "no json")]
+    df = spark.createDataFrame(rows, "id int, body string")
+    got = {r.id: (r.status, r.n_records) for r in envelope.audit_envelopes(df, "body", keep=("id",)).collect()}
+    assert got == {1: ("ok", 2), 2: ("unreadable", 0), 3: ("empty", 0), 4: ("empty", 0), 5: ("no_data", 0), 6: ("ok", 0), 7: ("unreadable", 0)}
+    assert [(r.id, r.value) for r in envelope.unwrap_envelope(df, "body", keep=("id",)).collect()] == [(1, "1"), (1, "2")]
+
+
+def test_quarantine_reads_once(spark, tmp_path):
+    """After the one write the source may be gone."""
+    root, out = str(tmp_path / "in"), str(tmp_path / "bad")
+    land(root, "YRL", [rec("2024-12-06", "NUS", "U.S.", "n/a"), rec("bad", "NUS", "U.S.", "1"), rec("2024-12-06", "R30", "PADD 3", "5"),
+                       rec("2024-12-06", "R20", "PADD 2", "NaN")])
+    good, counts = envelope.split_quarantine(envelope.read_envelopes(spark, root), out)
+    shutil.rmtree(root)
+    assert counts == {"records": 4, "bad": 2}
+    assert {(str(r.period), r.value) for r in good.collect()} == {("2024-12-06", None), ("2024-12-06", 5.0)}
+    assert sorted((r.period, r.value) for r in spark.read.parquet(out).collect()) == [("2024-12-06", "n/a"), ("bad", "1")]
+
+
+def test_job_with_unreadable_files(spark, tmp_path):
+    root, out = str(tmp_path / "in"), str(tmp_path / "bad")
+    landing_with_faults(root)
+    # bad text of a week that is not asked for stops nothing
+    land(root, "YRL", [rec("2020-01-03", "NUS", "U.S.", "n/a")], "old.json")
+    spine = jobs.as_of_spine(spark, ["2024-12-07"])
+    with pytest.raises(Exception, match="empty.json"):
+        jobs.utilization_job(spark, root, spine).collect()
+    got = jobs.utilization_job(spark, root, spine, quarantine=out).collect()
+    assert [(str(r[0]), r[1], r[2]) for r in got] == [("2024-12-06", 90.0, 90.0)]
+    files = {
+        json.loads(line)["file_name"] for f in glob.glob(out + "/_files/*.json") for line in open(f)}
+    assert files == {"cut.json", "empty.json", "none.json", "page.json"}
+    for f in ("empty.json", "cut.json", "page.json"):
+        os.remove(os.path.join(root, "series_code=YRL", f))
+    assert [(str(r[0]), r[1]) for r in jobs.utilization_job(spark, root, spine).collect()] == [("2024-12-06", 90.0)]
+
+
+def rows_of(spark, path):
+    return sorted(map(str, landing._table(spark, path).collect()))
+
+
+def stamps(path):
+    return {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/series_code=*/year=*/*.parquet")}
+
+
+def test_latest_table_is_merged_by_partition(spark, tmp_path):
+    root, table = str(tmp_path / "in"), str(tmp_path / "latest")
+    land(os.path.join(root), "YRL", [rec("2023-12-01", "NUS", "U.S.", "1"), rec("2024-12-06", "NUS", "U.S.", "2")], "p1.json")
+    land(os.path.join(root), "EPXXX2", [rec("2024-12-06", "NUS", "U.S.", "1")], "p1.json")
+    landing.ingest_latest(spark, root, table).awaitTermination()
+    before = stamps(table)
+    land(os.path.join(root), "YRL", [rec("2024-12-06", "NUS", "U.S.", "4"), rec("2024-12-13", "NUS", "U.S.", "5")], "p2.json")
+    landing.ingest_latest(spark, root, table).awaitTermination()
+    after = stamps(table)
+    same = {f for f in before if after.get(f) == before[f]}
+    assert {f.split("series_code=")[1].rpartition("/")[0] for f in same} == {"YRL/year=2023", "EPXXX2/year=2024"}
+    pulls = envelope.read_envelopes(spark, root)
+    want = envelope.latest_records(pulls)
+    key = ["series_code", "period", "duoarea", "area_name", "value", "file_name", "record_no"]
+    assert sorted(map(str, landing._table(spark, table).select(key).collect())) == sorted(map(str, want.select(key).collect()))
+    # a replayed batch, and one that was cut off before the table was replaced
+    had = rows_of(spark, table)
+    again = spark.read.schema(landing.LATEST_SCHEMA).parquet(table).drop("year").limit(0)
+    landing.merge_latest(again, 1, table)
+    assert rows_of(spark, table) == had
+    shutil.rmtree(os.path.join(table, "series_code=YRL", "year=2024"))
+    landing.merge_latest(again, 1, table)
+    assert rows_of(spark, table) == had
+    spine = jobs.as_of_spine(spark, ["2024-12-08"])
+    a = landing.utilization_from_latest(spark, table, spine)
+    util = utilization.series_utilization(envelope.typed_series(want), areas=utilization.UTILIZATION_AREAS)
+    assert a.collect() == utilization.latest_week_wide(util, spine).collect() != []
+    assert "dynamicpruning" in plan_text(a).lower()
+
+
+def test_as_of_over_ingested_rows(spark, tmp_path):
+    root, rows = str(tmp_path / "in"), str(tmp_path / "rows")
+    for day, price in (("2024-11-14", "67.00"), ("2024-11-20", "68.72"), ("2024-11-21", "69.10"), ("2024-10-01", "60.00")):
+        for source, text in ((NYMEX, nymex_report(price)), (FX, fx_report(".7147")), (GAS, gas_report())):
+            if (day, source) != ("2024-11-21", GAS):
+                write_text(os.path.join(root, f"report_date={day}", f"source_id={source}", "r.txt"), text)
+    landing.ingest_reports(spark, root, rows).awaitTermination()
+    spine = jobs.as_of_spine(spark, ["2024-11-21", "2024-11-23", "2024-11-13", "2024-11-18"])
+    for mode in ("corrected", "reference"):
+        got = landing.settlement_as_of_from_rows(spark, rows, spine, mode=mode)
+        want = settlement.settlement_as_of(spark, read_reports(spark, root), spine, mode=mode)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert "dynamicpruning" in plan_text(got).lower()
+
+
+def test_misplaced_cells_are_marked(spark, tmp_path):
+    """The wide row says which prices come from a row with an unusual number of cells."""
+    text = gas_report().replace("+.05  10  3.313  1  2", "+.05")
+    write_text(os.path.join(str(tmp_path), "report_date=2024-11-21", f"source_id={GAS}", "r.txt"), text)
+    write_text(os.path.join(str(tmp_path), "report_date=2024-11-21", f"source_id={NYMEX}", "r.txt"), nymex_report("68.72"))
+    out = jobs.settlement_job(spark, str(tmp_path), jobs.as_of_spine(spark, ["2024-11-21"])).first()
+    assert out["irregular"] == "nat_gas" and out["nat_gas"] is not None and out["wti_crude_oil"] == 68.72
+    write_text(os.path.join(str(tmp_path), "report_date=2024-11-21", f"source_id={GAS}", "r.txt"), gas_report())
+    assert jobs.settlement_job(spark, str(tmp_path), jobs.as_of_spine(spark, ["2024-11-21"])).first()["irregular"] is None
+
+
+@pytest.mark.parametrize("days", [1, 7, 365])
+def test_merge_as_of_against_a_loop(spark, days):
+    rng = random.Random(days)
+    day0 = dt.date(2023, 1, 1)
+    spine = [(i, rng.choice([0, 0, 0, 1, 2, None]), day0 + dt.timedelta(rng.randint(0, 900)) if i % 17 else None) for i in range(400)]
+    inv = [(rng.choice([0, 1, None]), day0 + dt.timedelta(rng.randint(-400, 900))) for _ in range(60)] + [(0, None), (0, day0)]
+    got = joins.asof_merge(spark.createDataFrame(spine, "i int, k int, d date"), "d", spark.createDataFrame(inv, "k int, v date"), "v",
+                           keys=["k"], days=days, block_days=30)
+
+    def near(k, d):
+        ok = [v for c, v in inv if k is not None and c == k and v is not None and d is not None and v <= d and v.weekday() < 5
+              and (d - v).days < days]
+        return max(ok, default=None)
+
+    assert {(r.i, r.k, r.d, r.found_date, r.offset) for r in got.collect()} == {
+        (i, k, d, near(k, d), (d - near(k, d)).days if near(k, d) else None) for i, k, d in spine}
+
+
+def test_merge_as_of_equals_the_lookback(spark):
+    spine = spark.sql("select explode(sequence(date'2024-01-01', date'2024-03-01')) as as_of")
+    inv = spark.createDataFrame([(dt.date(2024, 1, d),) for d in (3, 6, 9, 10, 20, 27)], "v date")
+    a = joins.asof_lookback(spine, "as_of", inv, "v")
+    b = joins.asof_merge(spine, "as_of", inv, "v")
+    assert sorted((r[0], r[1], r[2]) for r in a.select("as_of", "corrected_found_date", "corrected_offset").collect()
+                  if r[1]) == sorted((r[0], r[1], r[2]) for r in b.collect() if r[1])
+
+
+def test_stored_series_join_without_an_exchange(spark, tmp_path):
+    rng = random.Random(1)
+    rows = [(rng.choice(["YRL", "EPXXX2"]), dt.date(2024, 1, 5) + dt.timedelta(7 * rng.randint(0, 9)) if rng.random() < 0.9 else None,
+             rng.choice(["N1", "N2", None, "null"]), rng.choice(["U.S.", None, ""]), "d", float(rng.randint(0, 9)), "u", "p") for _ in range(300)]
+    df = spark.createDataFrame(rows, "series_code string, period date, duoarea string, area_name string, series_description string, "
+                                     "value double, units string, product_name string")
+    stored = utilization.store_series(df, "stored_series_test", 4, path=str(tmp_path / "t"))
+    got = utilization.stored_utilization(stored)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")          # as for series of some size
+    try:
+        plan = plan_text(utilization.stored_utilization(stored))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "Exchange" not in plan and "SortMergeJoin" in plan
+    cols = ["period", "duoarea", "area_name", "output_value", "input_value", "percent_utilization"]
+    want = utilization.series_utilization(df).select(cols)
+    assert sorted(map(str, got.select(cols).collect())) == sorted(map(str, want.collect()))
+    spark.sql("drop table stored_series_test")
