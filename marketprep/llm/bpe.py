@@ -356,7 +356,7 @@ _TABLES: dict[bytes, PairTable] = {}
 
 def pair_table(ranks: dict[bytes, int]) -> PairTable:
     """The table of these ranks, built once per worker process."""
-    key = hashlib.sha256(repr((len(ranks), list(ranks.items())[-64:])).encode()).digest()
+    key = hashlib.sha256(b"".join(b"%d:%d:%b" % (rank, len(token), token) for token, rank in ranks.items())).digest()
     if key not in _TABLES:
         _TABLES[key] = PairTable(ranks)
     return _TABLES[key]

@@ -80,3 +80,12 @@ def test_query_on_table(spark):
 def test_missing_byte_is_an_error():
     with pytest.raises(ValueError):
         bpe.PairTable({b"a": 0})
+
+
+def test_vocabularies_do_not_mix():
+    """Two vocabularies alike in size and in their last entries keep their own ids."""
+    ranks = bpe.load_ranks(PATH)
+    swap = {tok: ranks[tok] for tok in (b" the", b" a")}
+    other = {**ranks, b" the": swap[b" a"], b" a": swap[b" the"]}
+    a, b = bpe.pair_table(ranks), bpe.pair_table(other)
+    assert a is not b and bpe.pair_table(dict(ranks)) is a
