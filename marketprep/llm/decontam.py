@@ -36,6 +36,9 @@ WINDOW = 10
 SEGMENT_BYTES = 6 << 20
 # Items whose phrases are searched together: bounds what a task is sent.
 BLOCK_ITEMS = 2_000
+# Stands for the id of items that have none: they count as one item and their
+# passages as hits, but they add nothing to the list of ids.
+NO_ID = -(1 << 63)
 # Up to so many asked terms are sent to every task; more are joined by shuffle.
 SENT_TERMS = 200_000
 # Candidate positions a task holds at once.
@@ -234,10 +237,10 @@ def find(seg: Segment, words: np.ndarray, slop: int | None = None) -> tuple[np.n
 
 def _blocks(items: DataFrame, id_col: str, text_col: str, block_items: int) -> Iterator[list[tuple[int, str]]]:
     """The items in blocks of bounded number, each from a query of its own."""
-    src = items.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t")) \
-        .where("i is not null and t is not null")
+    src = items.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("i"), F.col(text_col).cast("string").alias("t")) \
+        .where("t is not null")
     n = -(-src.count() // block_items)
-    share = F.pmod(F.xxhash64("i"), F.lit(max(1, n)))
+    share = F.pmod(F.xxhash64("i", "t"), F.lit(max(1, n)))
     for k in range(n):
         yield [(r["i"], r["t"]) for r in src.where(share == k).collect()]
 
@@ -306,7 +309,8 @@ def search(index: DataFrame, items: DataFrame, item_id: str = "item_id", text_co
     Exact phrases by default, with the span of words; with ``slop`` proximity
     matches: the position of the phrase's rarest term, for which all other
     terms stand within ``slop`` words in the same document.  The same item can
-    match a place by several of its windows, each gives a row.
+    match a place by several of its windows, each gives a row.  An item without
+    an id gives rows without one.
     """
     ship(index.sparkSession)
     schema = "doc_id long, item_id long, first_word long, last_word long"
@@ -319,7 +323,7 @@ def search(index: DataFrame, items: DataFrame, item_id: str = "item_id", text_co
     out = parts[0]
     for x in parts[1:]:
         out = out.unionByName(x)
-    return out
+    return out.withColumn("item_id", F.nullif("item_id", F.lit(NO_ID)))
 
 
 def _counter(q: Phrases) -> Callable[[pa.Table], pa.Table]:
@@ -374,7 +378,7 @@ def contamination(index: DataFrame, items: DataFrame, item_id: str = "item_id",
             F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
             F.array_distinct(F.flatten(F.collect_list("hits"))).alias("hits"),
             F.array_distinct(F.flatten(F.collect_list("items"))).alias("items")))
-    names = F.array_sort(F.col("items").cast("array<string>"))
+    names = F.array_sort(F.filter("items", lambda i: i != NO_ID).cast("array<string>"))
     return out.select("doc_id", "n_words", F.size("hits").cast("long").alias("n_hit"),
                       F.size("items").cast("long").alias("n_items"),
                       F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
@@ -382,11 +386,13 @@ def contamination(index: DataFrame, items: DataFrame, item_id: str = "item_id",
 
 
 def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
-    """``docs`` without the contaminated ones.  Rows that share an id go
-    together if one is contaminated; rows with a null id are compared as one."""
-    found = contamination(build_index(docs, id_col, text_col), items, **params)
-    bad = found.where("contaminated").select(F.col("doc_id").alias("_bad_id")).distinct()
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["_bad_id"]), "left_anti")
+    """``docs`` without the contaminated ones.  A row is named by a 64-bit hash
+    of its id and text, so rows that share an id, or have none, are judged each
+    by its own text."""
+    key = F.xxhash64(docs[id_col], docs[text_col])
+    found = contamination(build_index(docs.select(key.alias("row"), docs[text_col].alias("text")), "row", "text"), items, **params)
+    bad = found.where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
+    return docs.join(bad, key == bad["_bad"], "left_anti")
 
 
 def digest(item_ids: list) -> str:

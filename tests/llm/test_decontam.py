@@ -17,7 +17,7 @@ def brute(rows, items, window=10):
     grams = []
     for i, t in items:
         w = words(t)
-        if i is not None and w:
+        if w:
             n = min(window, len(w))
             grams += [(i, w[k:k + n]) for k in range(len(w) - n + 1)]
     for d, t in rows:
@@ -27,7 +27,7 @@ def brute(rows, items, window=10):
                 if w[k:k + len(g)] == g:
                     hit.update(range(k, k + len(g)))
                     found.add(i)
-        out.append((d, len(w), len(hit), len(found), decontam.digest(list(found)), bool(hit)))
+        out.append((d, len(w), len(hit), len(found), decontam.digest([i for i in found if i is not None]), bool(hit)))
     return sorted(map(str, out))
 
 
@@ -93,5 +93,21 @@ def test_clean(spark):
     docs = docs_of(spark, rows)
     got = decontam.clean(docs, table(spark, items))
     assert got.columns == docs.columns
-    bad = {eval(x)[0] for x in brute(rows, items) if eval(x)[5]}
-    assert sorted(str(r.doc_id) for r in got.collect()) == sorted(str(d) for d, _ in rows if d not in bad)
+    want = [r for r in rows if not eval(brute([r], items)[0])[5]]
+    assert sorted(str((r.doc_id, r.text)) for r in got.collect()) == sorted(map(str, want)) and len(want) < len(rows)
+
+
+def test_rows_and_items_without_ids(spark):
+    """Clean rows stay whatever id they share with a contaminated one, and items
+    without an id count."""
+    passage = " ".join(f"p{k}" for k in range(14))
+    rows = [(None, f"a {passage} b"), (None, "clean one"), (None, "clean two"), (5, passage), (5, "clean three"), (6, None)]
+    docs = docs_of(spark, rows)
+    items = spark.createDataFrame([(None, passage), (3, "nothing of this"), (None, "other words")], "item_id long, text string")
+    got = sorted(((r.doc_id, r.text) for r in decontam.clean(docs, items).collect()), key=str)
+    assert got == sorted([r for r in rows if passage not in (r[1] or "")], key=str)
+    both = spark.createDataFrame([(None, passage), (3, passage)], "item_id long, text string")
+    index = decontam.build_index(docs)
+    hits = {(r.n_words, r.n_hit, r.n_items, r.items_sha256) for r in decontam.contamination(index, both).collect()}
+    assert hits == {(16, 14, 2, decontam.digest([3])), (14, 14, 2, decontam.digest([3])), (2, 0, 0, decontam.digest([])), (0, 0, 0, decontam.digest([]))}
+    assert {r.item_id for r in decontam.search(index, both).collect()} == {None, 3}
