@@ -13,12 +13,14 @@ copies at a Jaccard similarity of 0.8 or more.
    in which one fails, and which other buckets don't bring into one component,
    are verified in full over bounded leaves.
 4. Union-find over the verified links; of each component the first line (by
-   ``doc_id``, then line number) stays.
+   ``doc_id``, then line number, then text) stays.
 
 Defined cases: lines without a word always stay; a line of fewer than seven
-characters is its own only shingle; a null text has no lines; rows that share
-an id are one document, a null id counts as an id (the smallest).  Other
-columns of the input stay as they are.
+characters is its own only shingle; a null text has no lines; a document is
+named by its id and the hash of its text, so rows that share an id (or have
+none) but not the text are documents of their own, and rows alike in both are
+one; a null id comes first.  Other columns of the input stay as they are,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
@@ -183,17 +185,43 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(line, pa.string())], ["h", "body"])
 
 
+def _distinct(h: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (owner, hash) pairs, sorted."""
+    order = np.lexsort((h, owner))
+    h, owner = h[order], owner[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
+    return h[new], owner[new]
+
+
+def similar(x: pa.Array, y: pa.Array) -> np.ndarray:
+    """Whether each line of ``x`` and the same one of ``y`` are near copies,
+    by their exact sets, all pairs together."""
+    (hx, ox), (hy, oy) = _distinct(*line_shingles(x)), _distinct(*line_shingles(y))
+    h, owner = np.concatenate([hx, hy]), np.concatenate([ox, oy])
+    order = np.lexsort((h, owner))
+    h, owner = h[order], owner[order]
+    both = np.bincount(owner[1:][(h[1:] == h[:-1]) & (owner[1:] == owner[:-1])], minlength=len(x))
+    whole = np.bincount(owner, minlength=len(x)) - both
+    return 100 * both >= PERCENT * whole
+
+
+# Bytes of line pairs that are compared at a time (or one pair).
+COMPARE_BYTES = 1 << 20
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for big in batches:
-        for lo in range(0, big.num_rows, 2000):
-            b = big.slice(lo, 2000)
-            both = pc.and_(b.column(2).is_valid(), b.column(3).is_valid()).to_pylist()
-            x, y = (shingle_sets(b.column(k).fill_null("")) for k in (2, 3))
-            ok = []
-            for s, t, seen in zip(x, y, both):
-                whole = len(np.union1d(s, t))
-                ok.append(seen and 100 * (len(s) + len(t) - whole) >= PERCENT * whole)
+        seen = pc.and_(big.column(2).is_valid(), big.column(3).is_valid()).to_numpy(zero_copy_only=False)
+        size = np.cumsum(sum(pc.fill_null(pc.binary_length(big.column(k)), 0).to_numpy(zero_copy_only=False) for k in (2, 3)))
+        lo = 0
+        while lo < big.num_rows:
+            done = size[lo - 1] if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(size, done + COMPARE_BYTES, "right")))
+            b = big.slice(lo, hi - lo)
+            ok = similar(b.column(2).fill_null(""), b.column(3).fill_null("")) & seen[lo:hi]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ok, pa.bool_())], ["a", "b", "ok"])
+            lo = hi
 
 
 def _points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,8 +230,8 @@ def _points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """``(places, removed)``: the lines with a word ``(h, doc_id, line)`` and
-    those of them that go, ``(doc_id, line)``."""
+    """``(places, removed)``: the lines with a word ``(h, doc_id, t, line)`` and
+    those of them that go, ``(doc_id, t, line)``; ``t`` is ``xxhash64`` of the text."""
     ship(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     # A row is named by its id and the hash of its text, without an id by the hash alone.
@@ -253,34 +281,43 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     comp = components(label.select(F.col("h").alias("src"), F.col("component").alias("dst"))
                       .unionByName(more.select("src", "dst")))
-    group = places.select("doc_id", "line", F.col("h")).join(
+    place = F.struct("doc_id", "line", "t")
+    group = places.select("doc_id", "line", "t", F.col("h")).join(
         comp.select(F.col("node").alias("h"), "component"), "h", "left") \
-        .select("doc_id", "line", F.coalesce("component", "h").alias("g"))
+        .select("doc_id", "line", "t", F.coalesce("component", "h").alias("g"))
     # One line of each group stays: its smallest place.
     group = write_table(group, "group")
-    first = write_table(group.groupBy("g").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n"))
+    first = write_table(group.groupBy("g").agg(F.min(place).alias("first"), F.count("*").alias("n"))
                         .where("n > 1").select("g", "first"), "first")
-    removed = (group.join(first, "g").where(~F.struct("doc_id", "line").eqNullSafe(F.col("first")))
-               .select("doc_id", "line").distinct())
-    return places.select("h", "doc_id", "line"), write_table(removed, "removed")
+    removed = (group.join(first, "g").where(~place.eqNullSafe(F.col("first")))
+               .select("doc_id", "t", "line").distinct())
+    return places.select("h", "doc_id", "t", "line"), write_table(removed, "removed")
+
+
+def _per_doc(removed: DataFrame, name: str) -> DataFrame:
+    """Removed line numbers of each document in a column ``name``."""
+    return removed.groupBy(F.col("doc_id").alias("_id"), F.col("t").alias("_t")).agg(
+        F.sort_array(F.collect_list("line")).alias(name))
 
 
-def _per_doc(removed: DataFrame) -> DataFrame:
-    return removed.groupBy(F.col("doc_id").alias("_id")).agg(F.sort_array(F.collect_list("line")).alias("_gone"))
+def _of(left_id: Column, left_text: Column, right: DataFrame) -> Column:
+    """Rows of the same document."""
+    return left_id.cast("long").eqNullSafe(right["_id"]) & (F.xxhash64(left_text.cast("string")) == right["_t"])
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``n_lines`` (with a word), ``n_removed``, and
     ``removed_lines`` (their numbers from 0, comma-joined)."""
     places, removed = near_copies(docs, id_col, text_col)
-    gone = _per_doc(removed)
-    count = places.distinct().groupBy(F.col("doc_id").alias("_id2")).agg(F.count("*").alias("n_lines"))
-    ids = docs.select(F.col(id_col).cast("long").alias("doc_id"))
-    out = ids.join(count, ids.doc_id.eqNullSafe(count["_id2"]), "left")
-    out = out.join(gone, out.doc_id.eqNullSafe(gone["_id"]), "left")
+    gone = _per_doc(removed, "gone")
+    count = places.distinct().groupBy(F.col("doc_id").alias("_id"), F.col("t").alias("_t")).agg(F.count("*").alias("n_lines"))
+    per = count.join(gone, count["_id"].eqNullSafe(gone["_id"]) & (count["_t"] == gone["_t"]), "left").select(
+        count["_id"], count["_t"], "n_lines", "gone")
+    ids = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("t"))
+    out = ids.join(per, ids["doc_id"].eqNullSafe(per["_id"]) & (ids["t"] == per["_t"]), "left")
     return out.select("doc_id", F.coalesce("n_lines", F.lit(0)).alias("n_lines"),
-                      F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
-                      F.coalesce(F.array_join(F.col("_gone").cast("array<string>"), ","), F.lit("")).alias("removed_lines"))
+                      F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
+                      F.coalesce(F.array_join(F.col("gone").cast("array<string>"), ","), F.lit("")).alias("removed_lines"))
 
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -288,9 +325,12 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     columns as they were.  A document that loses its last line with a word
     goes; one that never had such a line stays."""
     _, removed = near_copies(docs, id_col, text_col)
-    gone = _per_doc(removed)
-    kept = F.filter(F.split(F.col(text_col), "\n", -1), lambda x, i: ~F.array_contains(F.col("_gone"), i.cast("long")))
-    cut = docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["_id"]), "left")
-    new = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
-    cut = cut.withColumn("_text", new).where(F.col("_gone").isNull() | F.col("_text").rlike(r"[^\x20\x09-\x0D]"))
-    return cut.select(*(F.col("_text").alias(c) if c == text_col else docs[c] for c in docs.columns))
+    name = "gone"
+    while name in docs.columns:
+        name += "_"
+    gone = _per_doc(removed, name)
+    kept = F.filter(F.split(docs[text_col], "\n", -1), lambda x, i: ~F.array_contains(gone[name], i.cast("long")))
+    cut = docs.join(gone, _of(docs[id_col], docs[text_col], gone), "left")
+    new = F.when(gone[name].isNull(), docs[text_col]).otherwise(F.array_join(kept, "\n"))
+    left = cut.select(*(new.alias(c) if c == text_col else docs[c] for c in docs.columns), gone[name].isNotNull().alias(name))
+    return left.where(~F.col(name) | F.col(text_col).rlike(r"[^\x20\x09-\x0D]")).select(*docs.columns)
