@@ -168,8 +168,9 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     copies = member.where("node <> doc_id").select("doc_id")
     keys = (sketch.where("n_shingles > 0 and doc_id is not null").join(copies, "doc_id", "left_anti")
             .select(F.explode("keys").alias("key"), F.col("doc_id").alias("node")))
-    shared = (keys.groupBy("key").agg(F.min("node").alias("src"), F.max("node").alias("top"))
-              .where("src < top").select("key", "src"))
+    # The shared keys are few; written, they free the shuffle that found them.
+    shared = write_table(keys.groupBy("key").agg(F.min("node").alias("src"), F.max("node").alias("top"))
+                         .where("src < top").select("key", "src"), "shared-keys")
     stars = keys.join(shared, "key").where("node <> src").select("src", F.col("node").alias("dst")).distinct()
     cand = write_table(components(stars), "candidates")
 
