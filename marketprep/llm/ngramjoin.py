@@ -171,7 +171,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     # The shared keys are few; written, they free the shuffle that found them.
     shared = write_table(keys.groupBy("key").agg(F.min("node").alias("src"), F.max("node").alias("top"))
                          .where("src < top").select("key", "src"), "shared-keys")
-    stars = keys.join(shared, "key").where("node <> src").select("src", F.col("node").alias("dst")).distinct()
+    # merged at every size: a broadcast that only small inputs get would hide what it costs
+    stars = keys.join(shared.hint("merge"), "key").where("node <> src").select("src", F.col("node").alias("dst")).distinct()
     cand = write_table(components(stars), "candidates")
 
     # Points of the candidates, and their links over R-tree leaves.
