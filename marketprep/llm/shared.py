@@ -41,12 +41,20 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Bytes of an Arrow batch, which the JVM and a Python worker both hold; Spark's
+# own default is eight times as much.
+_BATCH_BYTES, _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20)
+
+
 def ship(spark: SparkSession) -> None:
-    """Make this package importable in Python workers.
+    """Make this package importable in Python workers, and bound the Arrow
+    batches they get, unless the session sets its own bound.
 
     Does nothing where the launcher already put it on PYTHONPATH; else the
     package is sent once per session as a Python file, as ``--py-files`` does.
     """
+    if spark.conf.get(_BATCH_BYTES, None) is None:
+        spark.conf.set(_BATCH_BYTES, _BATCH)
     if _ROOT in os.environ.get("PYTHONPATH", "").split(os.pathsep) or os.getcwd() == _ROOT:
         return
     if spark.conf.get(_SHIPPED, "") == spark.sparkContext.applicationId:
