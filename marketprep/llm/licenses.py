@@ -3,18 +3,21 @@
 Texts are reduced to their words, one blank between two.  A notice of length n
 may be found with up to k edits; cut into k + 1 pieces, at least one piece
 stands unchanged in any such place, so exact search of the pieces finds every
-candidate.  Around a candidate the regex library's bounded-error matching
+candidate; of twice as many pieces half stand there unchanged, which few other
+places have.  Around a candidate the regex library's bounded-error matching
 verifies the edits and reports the span.  Plain phrases of license names are
 found beside that, by words.
 
 Defined cases: a null text has no words; repeated rows each give a row; a null
-``doc_id`` stays null.  Other columns are ignored.
+``doc_id`` stays null; the time of a text grows with its length, however often a
+notice stands in it.  Other columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -54,9 +57,9 @@ def edits_of(notice: str) -> int:
     return max(1, len(notice) // CHARS_PER_EDIT)
 
 
-def seeds_of(notice: str, edits: int) -> list[tuple[int, bytes]]:
-    """The ``edits + 1`` pieces of a notice and where each begins."""
-    cut = np.linspace(0, len(notice), edits + 2).astype(int)
+def seeds_of(notice: str, pieces: int) -> list[tuple[int, bytes]]:
+    """The pieces of a notice and where each begins."""
+    cut = np.linspace(0, len(notice), pieces + 1).astype(int)
     return [(int(a), notice[a:b].encode()) for a, b in zip(cut[:-1], cut[1:])]
 
 
@@ -90,7 +93,7 @@ class Scanner:
             k = edits_of(text)
             # the best match first, then what is left of the window before and behind it
             find = regex.compile(b"(?b)(?:" + regex.escape(text.encode()) + b"){e<=%d}" % k)
-            self.notices.append((text, label, k, seeds_of(text, k), find))
+            self.notices.append((text, label, k, seeds_of(text, k + 1), seeds_of(text, 2 * k + 2), find))
 
     def scan(self, data: np.ndarray, off: np.ndarray):
         """``(words per text, base places [(text, word, label)], [Match])``."""
@@ -118,12 +121,11 @@ class Scanner:
                     base.append((t, word - int(w.first[t]), label))
 
         found: list[Match] = []
-        for text, label, k, seeds, find in self.notices:
+        for text, label, k, seeds, halves, find in self.notices:
             spans = sorted((at - o - k, at - o + len(text) + k) for o, s in seeds for at in _all(flat, s))
             for lo, hi in _merged(spans):
-                lo = max(lo, 0)
-                for line_at, line in _lines(flat, lo, hi):
-                    for m in _matches(find, line, len(text) - k):
+                for line_at, line in _places(flat, max(lo, 0), hi, halves, len(text), k):
+                    for m in _matches(find, line, len(text) - k, len(text) + k):
                         a, b = line_at + m.start(), line_at + m.end()
                         first = int(np.searchsorted(begin, a, "right")) - 1
                         last = int(np.searchsorted(begin, max(a, b - 1), "right")) - 1
@@ -133,15 +135,44 @@ class Scanner:
         return words, base, found
 
 
-def _matches(find: regex.Pattern, line: bytes, least: int) -> Iterator[regex.Match]:
+def _matches(find: regex.Pattern, line: bytes, least: int, most: int) -> Iterator[regex.Match]:
     """Best matches that do not overlap: the best of a stretch, then those of
-    the stretches before and behind it, down to ``least`` bytes."""
-    todo = [(0, len(line))]
-    while todo:
-        lo, hi = todo.pop()
-        if hi - lo >= least and (m := find.search(line, lo, hi)):
+    the stretches before and behind it, down to ``least`` bytes.
+
+    The stretch is searched in windows of twice ``most`` bytes, the longest a
+    match can be, that overlap by half, so each match lies in one.  The best
+    of all windows is the best of the stretch; taking it opens again only the
+    windows that held a part of it, so time grows with the text, not its square.
+    """
+    taken = bytearray(len(line))
+    heap: list[tuple] = []
+    seen: set[tuple[int, int]] = set()
+
+    def push(lo: int, hi: int) -> None:
+        if hi - lo >= least and (lo, hi) not in seen:
+            seen.add((lo, hi))
+            if m := find.search(line, lo, hi):
+                heappush(heap, (sum(m.fuzzy_counts), m.start(), -hi, lo, m))
+
+    for lo in range(0, max(1, len(line) - most), most):
+        push(lo, min(lo + 2 * most, len(line)))
+    while heap:
+        _, _, hi, lo, m = heappop(heap)
+        hi = -hi
+        if taken.find(1, lo, hi) < 0:
             yield m
-            todo += [(lo, m.start()), (max(m.end(), m.start() + 1), hi)]
+            # a match of no bytes could be found again and again
+            end = max(m.end(), m.start() + 1)
+            taken[m.start():end] = b"\x01" * (end - m.start())
+        # what is free of the window; only the best of the others may be stale
+        while lo < hi:
+            lo = taken.find(0, lo, hi)
+            if lo < 0:
+                break
+            end = taken.find(1, lo, hi)
+            end = hi if end < 0 else end
+            push(lo, end)
+            lo = end
 
 
 def _merged(spans: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
@@ -158,6 +189,29 @@ def _merged(spans: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
         yield now
 
 
+def _places(flat: bytes, lo: int, hi: int, halves: list[tuple[int, bytes]], n: int, k: int) -> Iterator[tuple[int, bytes]]:
+    """The parts of a window where a notice of ``n`` bytes can stand.  Of twice
+    as many pieces all but ``k`` are unchanged, moved by ``k`` at most: parts
+    without so many different pieces near one another need no matching."""
+    for line_at, line in _lines(flat, lo, hi):
+        hits = sorted((at - o, i) for i, (o, s) in enumerate(halves) for at in _all(line, s))
+        count = [0] * len(halves)
+        kinds = first = 0
+        spans = []
+        for x, i in hits:
+            kinds += not count[i]
+            count[i] += 1
+            while hits[first][0] < x - 2 * k:
+                count[hits[first][1]] -= 1
+                kinds -= not count[hits[first][1]]
+                first += 1
+            if kinds >= len(halves) - k:
+                spans.append((hits[first][0] - k, x + n + k))
+        for a, b in _merged(spans):
+            a = max(a, 0)
+            yield line_at + a, line[a:b]
+
+
 def _lines(flat: bytes, lo: int, hi: int) -> Iterator[tuple[int, bytes]]:
     """The parts of a window by text."""
     at = lo

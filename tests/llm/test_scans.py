@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -105,7 +106,7 @@ def test_license_spans_close_together():
     n = 0
     for t, text in enumerate(texts):
         line = text.encode()
-        for notice, label, k, _, find in scanner.notices:
+        for notice, label, k, *_, find in scanner.notices:
             spans = whole_scan(find, line, 0, len(line))
             begin = np.append(0, np.flatnonzero(np.frombuffer(line, np.uint8) == 0x20) + 1)
             word = lambda at: int(np.searchsorted(begin, at, "right")) - 1
@@ -117,6 +118,17 @@ def test_license_spans_close_together():
     assert sum(m.text == 0 for m in found) == 3 and sum(m.text == 1 for m in found) == 2 and n > 500
 
 
+def test_license_many_repeats_in_one_text():
+    """Inexact repeats, side by side: as many spans, in time that grows with the text."""
+    notice = licenses.NOTICES[0][0]
+    text = " ".join([notice[:10] + notice[11:30] + "z" + notice[30:]] * 10_000)
+    start = time.perf_counter()
+    found = [m for m in licenses.Scanner().scan(*raw(pa.array([text])))[2] if m.length == len(notice)]
+    assert time.perf_counter() - start < 20       # some 2 s on an idle core
+    assert len(found) == 10_000 and {m.edits for m in found} == {2}
+    assert sorted(m.first for m in found) == list(range(0, 70_000, 7))
+
+
 def test_license_query(spark):
     from marketprep.llm.queries import QUERIES
     got = {r.doc_id: r for r in QUERIES["op8_license_scan"](spark, SF).collect()}
