@@ -12,8 +12,12 @@ Defined cases: ``no_key`` for a null url or time, ``no_response`` without an
 earlier full response, ``mismatch`` when validators differ (headers stay
 empty), ``unchecked`` when there is no validator to compare, else
 ``resolved``.  Responses of the same moment: the largest record id is the
-latest; a response at the revisit's own moment is not earlier.  Repeated
-records each give a row.  Other columns are ignored.
+latest; a response at the revisit's own moment is not earlier.  A response
+with a null id cannot be referred to and hides no other; a revisit with a null
+id resolves like any other.  Each revisit row gives one row, whatever id and
+moment it shares with others; of responses that share id, URL and moment the
+one with the largest digest, then headers, counts.  Dot segments and the case
+of percent codes are left as they are.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,16 +32,19 @@ PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "va
 
 BUCKET = 86_400     # time units of a bucket
 
+DEFAULT_PORTS = (r"(?s)^([Hh][Tt][Tt][Pp]://[^/?]*):80([/?].*)?$", r"(?s)^([Hh][Tt][Tt][Pp][Ss]://[^/?]*):443([/?].*)?$")
+
 UPPER, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def canonical(url: Column) -> Column:
-    """Host, path and query without scheme, default port, fragment, case of
-    the host and ``utm_`` parameters; an empty path is ``/``."""
+    """Host, path and query without scheme, the scheme's default port,
+    fragment, case of the host and ``utm_`` parameters; an empty path is ``/``."""
     u = F.regexp_replace(url, r"#.*$", "")
+    for pattern in DEFAULT_PORTS:
+        u = F.regexp_replace(u, pattern, "$1$2")
     u = F.regexp_replace(u, r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
     host = F.translate(F.regexp_extract(u, r"^([^/?]*)", 1), UPPER, SMALL)
-    host = F.regexp_replace(host, r":(80|443)$", "")
     path = F.regexp_extract(u, r"^[^/?]*([^?]*)", 1)
     query = F.regexp_extract(u, r"^[^?]*\?(.*)$", 1)
     query = F.regexp_replace(query, r"(^|&)utm_[^&]*", "")
@@ -58,8 +65,9 @@ def resolve(records: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """
     rec = records.select("record_id", "kind", F.col("at").cast("long").alias("at"), canonical(F.col("url")).alias("url_key"),
                          "headers", "digest").withColumn("bucket", F.floor(F.col("at") / bucket))
-    slim = rec.where("url_key is not null and at is not null and (kind = 'revisit' or kind = 'response')") \
-        .select("record_id", "kind", "at", "url_key", "bucket")
+    slim = (rec.where("url_key is not null and at is not null "
+                      "and (kind = 'revisit' or kind = 'response' and record_id is not null)")
+            .select("record_id", "kind", "at", "url_key", "bucket"))
     full = F.when(F.col("kind") == "response", F.struct("at", "record_id"))
     near = Window.partitionBy("url_key", "bucket").orderBy("at").rangeBetween(Window.unboundedPreceding, -1)
     inner = slim.withColumn("near", F.max(full).over(near)).where("kind = 'revisit'")
@@ -68,16 +76,15 @@ def resolve(records: DataFrame, bucket: int = BUCKET) -> DataFrame:
     marks = slim.select("url_key", "bucket").distinct().join(ends, ["url_key", "bucket"], "left")
     before = Window.partitionBy("url_key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     far = marks.select("url_key", "bucket", F.max("last").over(before).alias("far"))
-    ref = inner.join(far, ["url_key", "bucket"], "left").select(
-        F.col("record_id").alias("_rev"), F.col("at").alias("_at"), F.coalesce("near", "far")["record_id"].alias("ref"))
-
-    # a record is named by its id and moment, so repeated ids do no harm
-    visits = rec.where("kind = 'revisit'").join(
-        ref.distinct(), (F.col("record_id") == F.col("_rev")) & (F.col("at") == F.col("_at")), "left")
-    resp = (rec.where("kind = 'response' and record_id is not null").groupBy(F.col("record_id").alias("ref_id"))
-            .agg(F.max_by(F.struct(F.map_entries("headers").alias("h"), F.col("digest").alias("d")), "at").alias("r"))
-            .select("ref_id", F.map_from_entries("r.h").alias("old"), F.col("r.d").alias("old_digest")))
-    both = visits.join(resp, F.col("ref") == F.col("ref_id"), "left")
+    # what a revisit refers to follows from its URL and moment, so no id names it
+    ref = inner.join(far, ["url_key", "bucket"], "left").select("url_key", "at", F.coalesce("near", "far").alias("ref")).distinct()
+    visits = rec.where("kind = 'revisit'").join(ref, ["url_key", "at"], "left")
+    resp = (rec.where("kind = 'response' and record_id is not null")
+            .groupBy(F.col("url_key").alias("_url"), F.col("at").alias("_at"), F.col("record_id").alias("_id"))
+            .agg(F.max(F.struct("digest", F.array_sort(F.map_entries("headers")).alias("h"))).alias("r"))
+            .select("_url", "_at", "_id", F.map_from_entries("r.h").alias("old"), F.col("r.digest").alias("old_digest")))
+    both = visits.join(resp, (F.col("url_key") == F.col("_url")) & (F.col("ref.at") == F.col("_at"))
+                       & (F.col("ref.record_id") == F.col("_id")), "left")
     tag, old_tag = F.col("headers")["etag"], F.col("old")["etag"]
     when, old_when = F.col("headers")["last-modified"], F.col("old")["last-modified"]
     outcome = (F.when(F.col("url_key").isNull() | F.col("at").isNull(), "no_key")
@@ -91,7 +98,7 @@ def resolve(records: DataFrame, bucket: int = BUCKET) -> DataFrame:
     news = F.map_filter(F.coalesce("headers", F.create_map().cast("map<string,string>")), lambda k, v: k.isin(*PERMITTED))
     merged = F.map_concat(F.map_filter("old", lambda k, v: ~F.coalesce(F.map_contains_key(news, k), F.lit(False))), news)
     good = F.col("outcome").isin("resolved", "unchecked")
-    return both.select("record_id", "url_key", "outcome", F.col("ref").alias("refers_to"),
+    return both.select("record_id", "url_key", "outcome", F.col("ref.record_id").alias("refers_to"),
                        F.when(good, F.col("old_digest")).alias("digest"), F.when(good, merged).alias("headers"))
 
 
@@ -130,8 +137,11 @@ def captures(pages: DataFrame) -> DataFrame:
 
 
 def _canonical_sql(u: str) -> str:
-    u = f"regexp_replace(regexp_replace({u}, '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '')"
-    host = f"regexp_replace(translate(regexp_extract({u}, '^([^/?]*)', 1), '{UPPER}', '{SMALL}'), ':(80|443)$', '')"
+    u = f"regexp_replace({u}, '#.*$', '')"
+    for pattern in DEFAULT_PORTS:
+        u = f"regexp_replace({u}, '{pattern}', '\\1\\2')"
+    u = f"regexp_replace({u}, '^[A-Za-z][A-Za-z0-9+.-]*://', '')"
+    host = f"translate(regexp_extract({u}, '^([^/?]*)', 1), '{UPPER}', '{SMALL}')"
     path = f"regexp_extract({u}, '^[^/?]*([^?]*)', 1)"
     query = f"regexp_extract({u}, '^[^?]*\\?(.*)$', 1)"
     query = f"regexp_replace(regexp_replace({query}, '(^|&)utm_[^&]*', '', 'g'), '^&', '')"

@@ -104,3 +104,22 @@ def test_revisits(spark):
         again = sorted((r.record_id, r.outcome, r.refers_to, r.digest, r.headers)
                        for r in warc.resolve(df, bucket).collect() if r.record_id != 6)
         assert again == got
+
+
+def test_revisits_by_row(spark):
+    """Rows, not ids: shared and null ids, and ports of another scheme."""
+    rows = [
+        record(1, "response", "http://x.org/a", 10, {"etag": '"1"'}, "x"), record(2, "response", "http://y.org/a", 10, {"etag": '"2"'}, "y"),
+        record(5, "revisit", "http://x.org/a", 100, {"etag": '"1"'}), record(5, "revisit", "http://y.org/a", 100, {"etag": '"2"'}),
+        record(None, "response", "http://x.org/a", 50, {"etag": '"0"'}, "null"),
+        record(None, "revisit", "http://x.org/a", 120, {"etag": '"1"'}),
+        # one id for two responses, and one response twice
+        record(1, "response", "http://z.org/", 20, {"etag": '"3"'}, "z"), record(1, "response", "http://z.org/", 20, {"etag": '"3"'}, "z"),
+        record(6, "revisit", "http://z.org:80", 200, {}), record(7, "revisit", "https://z.org:443?", 200, {}),
+        record(8, "revisit", "http://z.org:443/", 200, {}), record(9, "revisit", "https://z.org:80/", 200, {})]
+    df = spark.createDataFrame(rows, "record_id long, url string, at long, kind string, headers map<string,string>, digest string")
+    want = [(-1, "resolved", 1, "x"), (5, "resolved", 1, "x"), (5, "resolved", 2, "y"), (6, "unchecked", 1, "z"),
+            (7, "unchecked", 1, "z"), (8, "no_response", None, None), (9, "no_response", None, None)]
+    for bucket in (1, 60, 10 ** 6):
+        got = [(-1 if r.record_id is None else r.record_id, r.outcome, r.refers_to, r.digest) for r in warc.resolve(df, bucket).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
