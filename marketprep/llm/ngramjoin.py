@@ -20,8 +20,10 @@ documents is at most the sum of the coordinate minima of their points.
    per class, not the links; union-find over the forests gives components.
 
 Defined cases: a null or blank text has no shingles and links with nothing;
-fewer words than a shingle has are one shingle; repeated rows are classes of their own size;
-rows with a null ``doc_id`` link with nothing.  Other columns are ignored.
+fewer words than a shingle has are one shingle; rows with a null ``doc_id``
+link with nothing.  A row is a document: rows that share an id but not a text
+link each by its own text, and are in one component only if links join them;
+rows that share both are copies of one another.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
@@ -128,9 +130,9 @@ def _sketch(words: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], It
             np.cumsum([len(k) for k in keys], out=at[1:])
             flat = _long(np.concatenate(keys))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(size, pa.int64()), _long(np.array(one, np.uint64)),
+                [b.column(0), b.column(2), pa.array(size, pa.int64()), _long(np.array(one, np.uint64)),
                  _long(np.array(two, np.uint64)), pa.ListArray.from_arrays(pa.array(at), flat)],
-                ["doc_id", "n_shingles", "h1", "h2", "keys"])
+                ["doc_id", "t", "n_shingles", "h1", "h2", "keys"])
 
     return run
 
@@ -143,31 +145,38 @@ def _points(words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
     return run
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
-         percent: int = PERCENT) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, n_links)``, a row per document.
-
-    ``component_id`` is the smallest id reachable by links, ``n_links`` the
-    number of other rows the document links to (rows with the same set too).
-    """
+def _linked(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
+    """``(doc_id, t, n_shingles, component_id, n_links, first)``, a row per row
+    of ``docs``: ``t`` is the hash of its text, ``first`` tells whether it is
+    the smallest (id, ``t``) of its component."""
     ship(docs.sparkSession)
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), _text_hash(text).alias("t"))
     sketch = write_table(src.mapInArrow(
-        _sketch(words, percent), "doc_id long, n_shingles long, h1 long, h2 long, keys array<long>"), "sketch")
-    ids = sketch.select("doc_id", "n_shingles", "h1", "h2")
+        _sketch(words, percent), "doc_id long, t long, n_shingles long, h1 long, h2 long, keys array<long>"), "sketch")
+    ids = sketch.select("doc_id", "t", "n_shingles", "h1", "h2")
     full = ids.where("n_shingles > 0 and doc_id is not null")
     by = ["n_shingles", "h1", "h2"]
     # written first: a join of two tables can be split where one set has many copies
-    classes = write_table(full.groupBy(*by).agg(F.min("doc_id").alias("node"), F.count("*").alias("weight")), "classes")
+    classes = write_table(full.groupBy(*by).agg(F.min(F.struct("doc_id", "t")).alias("low"), F.count("*").alias("weight"))
+                          .select(*by, F.col("low.doc_id").alias("doc_id"), F.col("low.t").alias("t"), "weight"), "classes")
+    # A class goes by its smallest id; where an id stands for several, all but one need another name.
+    twice = write_table(classes.groupBy("doc_id").agg(F.min("t").alias("one"), F.max("t").alias("other"))
+                        .where("one < other").select("doc_id", "one"), "shared-ids")
+
+    def named(df: DataFrame) -> DataFrame:
+        return df.join(twice, "doc_id", "left").withColumn(
+            "node", F.when(F.col("t") > F.col("one"), F.xxhash64("doc_id", "t")).otherwise(F.col("doc_id"))).drop("one")
+
     known = F.col("doc_id").isNotNull()
-    member = write_table(ids.join(classes, by, "left").select(
-        "doc_id", "n_shingles", F.when(known, F.col("node")).alias("node"),
-        F.when(known, F.col("weight")).alias("weight")), "member")
+    low = named(classes).select(*by, "node", "weight", F.col("doc_id").alias("low"), F.col("t").alias("low_t"))
+    member = write_table(ids.join(low, by, "left").select(
+        "doc_id", "t", "n_shingles", *[F.when(known, F.col(c)).alias(c) for c in ("node", "weight", "low", "low_t")]), "member")
 
     # Blocks: group contents shared by several classes, as stars.
-    copies = member.where("node <> doc_id").select("doc_id")
-    keys = (sketch.where("n_shingles > 0 and doc_id is not null").join(copies, "doc_id", "left_anti")
-            .select(F.explode("keys").alias("key"), F.col("doc_id").alias("node")))
+    copies = member.where("doc_id <> low or t <> low_t").select("doc_id", "t")
+    keys = (named(sketch.where("n_shingles > 0 and doc_id is not null").join(copies, ["doc_id", "t"], "left_anti"))
+            .select(F.explode("keys").alias("key"), "node"))
     # The shared keys are few; written, they free the shuffle that found them.
     shared = write_table(keys.groupBy("key").agg(F.min("node").alias("src"), F.max("node").alias("top"))
                          .where("src < top").select("key", "src"), "shared-keys")
@@ -176,24 +185,43 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     cand = write_table(components(stars), "candidates")
 
     # Points of the candidates, and their links over R-tree leaves.
-    size = member.where("node = doc_id").groupBy("node").agg(F.max("weight").alias("weight"))
-    wanted = cand.join(size, "node").select(F.col("component").alias("cluster"), "node", "weight")
-    points = (src.where("doc_id is not null").join(wanted, src.doc_id == wanted.node)
+    named_classes = named(classes).select("node", "weight", F.col("doc_id").alias("low"), F.col("t").alias("low_t"))
+    wanted = cand.join(named_classes, "node").select(F.col("component").alias("cluster"), "node", "weight", "low", "low_t")
+    points = (src.where("doc_id is not null").join(wanted, (src.doc_id == wanted.low) & (src.t == wanted.low_t))
               .select("cluster", "node", "weight", "text").mapInArrow(_points(words), POINTS))
     links = verified_links(write_table(points, "points").dropDuplicates(["node", "body"]), percent)
 
-    comp = components(links)
+    comp = write_table(components(links).join(named_classes.drop("weight"), "node"), "components")
+    least = comp.groupBy("component").agg(F.min(F.struct("low", "low_t")).alias("least"))
+    comp = comp.join(least, "component").select("node", "least")
     per_class = links.groupBy(F.col("src").alias("node")).agg(F.sum("links").alias("links"))
+    least = F.coalesce(F.col("least"), F.struct("low", "low_t"))
     return (member.join(comp, "node", "left").join(per_class, "node", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component", "node", "doc_id").alias("component_id"),
-                    (F.coalesce("weight", F.lit(1)) - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
+            .select("doc_id", "t", "n_shingles", F.coalesce(least["low"], "doc_id").alias("component_id"),
+                    (F.coalesce("weight", F.lit(1)) - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
+                    F.coalesce((least["low"] == F.col("doc_id")) & (least["low_t"] == F.col("t")), F.lit(True)).alias("first")))
+
+
+def _text_hash(text: Column) -> Column:
+    return F.xxhash64(text)
+
+
+def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
+         percent: int = PERCENT) -> DataFrame:
+    """``(doc_id, n_shingles, component_id, n_links)``, a row per document.
+
+    ``component_id`` is the smallest id reachable by links, ``n_links`` the
+    number of other rows the document links to (rows with the same set too).
+    """
+    return _linked(docs, id_col, text_col, words, percent).drop("t", "first")
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
                 percent: int = PERCENT) -> DataFrame:
-    """``docs`` without the documents that are not the smallest id of their
-    component.  Rows that share an id stay or go together; rows with a null id
-    stay."""
-    gone = (join(docs, id_col, text_col, words, percent).where("doc_id <> component_id")
-            .select(F.col("doc_id").alias("_gone_id")).distinct())
-    return docs.join(gone, docs[id_col] == gone["_gone_id"], "left_anti")
+    """``docs`` with the row of smallest id of each component, by text hash
+    where rows share that id.  Rows that share id and text stay or go together;
+    rows with a null id or no words stay."""
+    gone = (_linked(docs, id_col, text_col, words, percent).where(~F.col("first"))
+            .select(F.col("doc_id").alias("_gone_id"), F.col("t").alias("_gone_t")).distinct())
+    same = (docs[id_col] == gone["_gone_id"]) & (_text_hash(docs[text_col].cast("string")) == gone["_gone_t"])
+    return docs.join(gone, same, "left_anti")

@@ -137,15 +137,16 @@ ORACLE_SQL["op3_warc_revisits"] = warc.ORACLE_SQL
 ORACLE_SQL["op4_link_graph"] = linkgraph.oracle_sql()
 
 ORACLE_SQL["op10_ngram_join"] = f"""
-WITH RECURSIVE d AS (SELECT doc_id, {_BLANK} AS w FROM documents),
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, {_BLANK} AS w FROM documents),
 g AS (
-  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s
-  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
-n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
-o AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o FROM g x JOIN g y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2),
-l AS (SELECT a, b FROM o JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * o >= 90 * (p.n + q.n - o)),
-reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a),
-c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+  SELECT DISTINCT rid, doc_id, array_to_string(w[i:i + 2], ' ') AS s
+  FROM (SELECT rid, doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT rid, count(*) AS n FROM g GROUP BY rid),
+o AS (SELECT x.rid AS a, y.rid AS b, count(*) AS o FROM g x JOIN g y ON x.s = y.s AND x.rid <> y.rid
+      WHERE x.doc_id IS NOT NULL AND y.doc_id IS NOT NULL GROUP BY 1, 2),
+l AS (SELECT a, b FROM o JOIN n p ON p.rid = a JOIN n q ON q.rid = b WHERE 100 * o >= 90 * (p.n + q.n - o)),
+reach AS (SELECT rid AS a, rid AS b FROM d UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a),
+c AS (SELECT a, min(doc_id) AS component_id FROM reach JOIN d ON d.rid = b GROUP BY a),
 k AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, coalesce(n_links, 0)::BIGINT AS n_links
-FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.a = d.doc_id LEFT JOIN k ON k.a = d.doc_id"""
+FROM d LEFT JOIN n ON n.rid = d.rid LEFT JOIN c ON c.a = d.rid LEFT JOIN k ON k.a = d.rid"""

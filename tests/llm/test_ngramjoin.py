@@ -92,6 +92,36 @@ def test_drop_copies(spark):
     assert sorted(r.doc_id for r in got.collect()) == sorted(d for d, _ in rows if d in keep)
 
 
+def test_rows_that_share_an_id(spark):
+    """Each row links by its own text; a row of an id goes without the others; the SQL says the same."""
+    import duckdb
+    import pyarrow as pa
+
+    from marketprep.llm.queries import ORACLE_SQL
+
+    a, b, c, e = (" ".join(f"{x}{i}" for i in range(80)) for x in "abce")
+    near = lambda t, k: t.replace(f"{t[0]}{k} ", "new ")
+    rows = [(1, a), (2, a), (2, b), (3, near(b, 40)), (4, c), (4, e), (5, near(c, 9)), (6, near(e, 30)), (4, c), (0, near(a, 50)),
+            (7, None), (7, "one"), (None, b), (7, a + " " + b), (8, b.upper()), (8, b)]
+    s = [shingles(t) for _, t in rows]
+    live = [i for i, (d, _) in enumerate(rows) if d is not None and s[i]]
+    links = [(i, j) for i in live for j in live if i < j and 100 * len(s[i] & s[j]) >= 90 * len(s[i] | s[j])]
+    comp = components(range(len(rows)), links)
+    want = sorted(str((d, len(s[i]), min((rows[j][0] for j in comp if comp[j] == comp[i]), default=None) if d is not None else None,
+                       sum(i in x for x in links))) for i, (d, _) in enumerate(rows))
+    docs = docs_of(spark, rows)
+    assert show(ngramjoin.join(docs)) == want
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": [d for d, _ in rows], "text": [t for _, t in rows]}))
+    assert sorted(str(r) for r in con.sql("SELECT doc_id, n_shingles, component_id, n_links FROM (" + ORACLE_SQL["op10_ngram_join"]
+                                          + ")").fetchall()) == want
+
+    kept = [(r.doc_id, r.text) for r in ngramjoin.drop_copies(docs).collect()]
+    # one text of each component, rows without words or id, and both equal rows
+    assert sorted(kept, key=str) == sorted(
+        [(0, near(a, 50)), (2, b), (4, c), (4, c), (4, e), (7, None), (7, "one"), (None, b), (7, a + " " + b)], key=str)
+
+
 @pytest.mark.parametrize("local", [None, 40])
 def test_components(spark, monkeypatch, local):
     """In one task, and in many that leave rounds to do."""
