@@ -17,6 +17,7 @@ each give a row; an empty table gives no rows.  Other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +30,10 @@ RULES: tuple[tuple[str, str, str], ...] = (
     ("block", "net", "/es/"), ("block", "net", "/fr/"),
 )
 DAMPING = 0.85
+# Rounds of the registered query, which its SQL states.
 ROUNDS = 8
+# Without a number of rounds: the summed change of all scores that ends them.
+TOLERANCE = 1e-6
 # Rounds between two written tables: keeps plans and lineage short.
 CUT_EVERY = 4
 # Distrust over trust from which a host is blocked.
@@ -82,10 +86,22 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.unionByName(tree).groupBy("src", "dst").agg(F.sum("w").alias("w"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
+def _change(now: DataFrame, old: DataFrame) -> float:
+    """Summed absolute difference of two tables of scores."""
+    both = now.unionByName(old.select("kind", "host", (-F.col("score")).alias("score")))
+    return both.groupBy("kind", "host").agg(F.sum("score").alias("x")).agg(F.sum(F.abs("x"))).first()[0] or 0.0
+
+
+def propagate(edges: DataFrame, seeds: DataFrame, rounds: int | None = None, damping: float = DAMPING,
+              tolerance: float = TOLERANCE) -> DataFrame:
     """``(kind, host, score)``: PageRank of each kind from its seeds
     ``(kind, host, seed)``; kind ``trust`` follows the edges, kind
-    ``distrust`` goes against them."""
+    ``distrust`` goes against them.
+
+    Without ``rounds`` it ends when the scores change by ``tolerance`` or less
+    in all between two written tables.  What moves shrinks by ``damping`` a
+    round, so that comes after about ``log(tolerance) / log(damping)`` rounds
+    at most, however long the chains of hosts are."""
     both = edges.select(F.lit("trust").alias("kind"), F.col("src").alias("a"), F.col("dst").alias("b"), "w").unionByName(
         edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("a"), F.col("src").alias("b"), "w"))
     out = both.groupBy("kind", "a").agg(F.sum("w").alias("all"))
@@ -96,19 +112,24 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
                         "seeds")
     base = start.select("kind", "host", (F.lit(1 - damping) * F.col("s")).alias("score"))
     now = start.select("kind", "host", F.col("s").alias("score"))
-    for k in range(1, rounds + 1):
+    last = now
+    for k in range(1, rounds + 1) if rounds is not None else count(1):
         moved = (flow.join(now.select("kind", F.col("host").alias("a"), "score"), ["kind", "a"])
                  .select("kind", F.col("b").alias("host"), (F.lit(damping) * F.col("share") * F.col("score")).alias("score")))
         now = moved.unionByName(base).groupBy("kind", "host").agg(F.sum("score").alias("score"))
-        if k % CUT_EVERY == 0 and k < rounds:
+        if k % CUT_EVERY == 0 and k != rounds:
             now = write_table(now, "scores")
+            if rounds is None and _change(now, last) <= tolerance:
+                break
+            last = now
     return now
 
 
-def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, rounds: int = ROUNDS,
+def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, rounds: int | None = None,
           damping: float = DAMPING, ratio: float = RATIO, id_col: str = "page_id", url_col: str = "url",
           html_col: str = "html") -> DataFrame:
-    """``(page_id, host, path, rule, verdict)``, a row per page."""
+    """``(page_id, host, path, rule, verdict)``, a row per page; scores
+    propagate to convergence unless ``rounds`` are given."""
     src = pages.select(F.col(id_col).alias("page_id"), host_of(url_col).alias("host"), path_of(url_col).alias("path"),
                        F.col(html_col).alias("html"))
     rule, action = rule_of(F.col("host"), F.col("path"), rules)

@@ -50,7 +50,7 @@ def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op4_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linkgraph.judge(read(spark, sf_dir, "pages"))
+    return linkgraph.judge(read(spark, sf_dir, "pages"), rounds=linkgraph.ROUNDS)
 
 
 @_query

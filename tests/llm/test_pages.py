@@ -67,6 +67,16 @@ def test_propagation_equals_plain_loops(spark):
             assert abs(got.get((kind, h), 0) - x) < 1e-12
 
 
+def test_propagation_to_the_end_of_a_chain(spark):
+    """21 linked hosts before a blocked one: all are blocked, eight rounds reach nine pages."""
+    rows = [(i, f"http://h{i}.test/", f'<a href="http://h{i + 1}.test/">') for i in range(21)]
+    docs = pages_of(spark, rows + [(21, "http://h21.test/bad/", "")])
+    rules = [("block", "h21.test", "/bad/")]
+    blocked = lambda df: sorted(r.page_id for r in df.collect() if r.verdict == "block")
+    assert blocked(linkgraph.judge(docs, rules)) == list(range(22))
+    assert blocked(linkgraph.judge(docs, rules, rounds=linkgraph.ROUNDS)) == list(range(13, 22))
+
+
 def test_native_plan(spark, capsys):
     linkgraph.judge(spark.read.parquet("/root/testdata/sf0.001/pages.parquet")).explain()
     assert not re.search("Python|Pandas|Arrow|ExistingRDD", capsys.readouterr().out)
