@@ -150,8 +150,10 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Train both models from strings the fixed patterns label: values inside
     their spans are random, other runs ordinary.
 
-    At most ``max_strings`` distinct strings of each label, those of smallest
-    hash, reach the driver; made random strings join the first label."""
+    The models take at most ``max_strings`` distinct strings of each label,
+    those of smallest hash (ordinary ones from one document in
+    ``LEND_ONE_IN``); some four times as many reach the driver, however many
+    there are.  Made random strings join the first label."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,7 +175,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             h = hash_strings(pa.array(keys, pa.binary()))
             for label in (0, 1):                  # a task never needs more than the smallest hashes
                 mine = [i for i, k in enumerate(keys) if found[k] == label]
-                mine = sorted(mine, key=lambda i: int(h[i]))[:max_strings]
+                mine = sorted(mine, key=lambda i: (int(h[i].view(np.int64)), keys[i]))[:max_strings]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(mine), label), pa.int32()), pa.array(h[mine].view(np.int64)),
                      pa.array([keys[i] for i in mine], pa.binary())], ["label", "h", "s"])
@@ -184,7 +186,15 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     got: dict[int, list[bytes]] = {}
     rows = write_table(rows, "strings")
     for label in (0, 1):
-        top = rows.where(F.col("label") == label).orderBy("h", "s").limit(max_strings).collect()
+        mine = rows.where(F.col("label") == label)
+        n = mine.count()
+        # the hashes below this bound hold about four times what is taken
+        part = 4 * max_strings / max(n, 1)
+        top: list = []
+        while len(top) < min(n, max_strings):
+            low = mine if part >= 1 else mine.where(F.col("h") <= int((part * 2 - 1) * 2 ** 63))
+            top = low.orderBy("h", "s").limit(max_strings).collect()
+            part *= 2
         got[label] = [bytes(r["s"]) for r in top]
     return Markov(got[1] + _made_strings(max_strings // 2), got[0])
 

@@ -192,6 +192,16 @@ def test_markov_tells_random_from_ordinary(spark):
     assert (score(plain) <= secrets.THRESHOLD).mean() >= 0.98
 
 
+def test_training_strings_follow_the_hash(spark):
+    """The same models from any layout, with far fewer strings taken than there are."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    one = secrets.train(docs.coalesce(1), max_strings=20)
+    many = secrets.train(docs.repartition(7), max_strings=20)
+    data, off = raw(pa.array([HEX40 + " nmjzbqwplkxv antidisestablishmentarianism"]))
+    s, e = secrets.runs(data, off, secrets._RUN, 10)
+    assert len(s) == 3 and np.array_equal(one.score(data, s, e), many.score(data, s, e))
+
+
 def test_secret_query(spark):
     from marketprep.llm.queries import QUERIES
     got = {r.doc_id: r for r in QUERIES["op5_secret_scan"](spark, SF).collect()}
