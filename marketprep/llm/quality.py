@@ -244,7 +244,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = TRAIN_ROWS, **para
     """Fit the trees to at most ``max_rows`` labelled documents, the ones whose
     id has the smallest hash (the same at every size and layout).
 
-    Only their statistics (a dozen numbers each) reach the driver."""
+    Of rows that share an id the one with the smallest statistics is used, so
+    at most ``max_rows`` rows of a dozen numbers reach the driver."""
     ship(docs.sparkSession)
     chosen = (labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
               .groupBy(F.col("doc_id").alias("_id")).agg(F.max("quality").alias("_y"))
@@ -260,7 +261,9 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = TRAIN_ROWS, **para
                 ["_id", "_y", *(f"f{j}" for j in range(x.shape[1]))])
 
     kinds = ", ".join(f"f{j} double" for j in range(len(FEATURES)))
-    got = rows.mapInArrow(run, f"_id long, _y int, {kinds}").toPandas()
+    stats = rows.mapInArrow(run, f"_id long, _y int, {kinds}")
+    one = stats.groupBy("_id").agg(F.min(F.struct(*stats.columns[1:])).alias("r"))
+    got = one.select("_id", "r.*").toPandas()
     got = got.sort_values(list(got.columns), kind="stable")      # the same fit from any task order
     x, y = got.iloc[:, 2:].to_numpy(np.float64), got["_y"].to_numpy(np.float64)
     if not len(y) or y.min() == y.max():

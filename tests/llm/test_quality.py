@@ -71,6 +71,16 @@ def test_held_out_accuracy(spark):
     assert right >= 0.95 * len(got)
 
 
+def test_repeated_ids_train_once(spark):
+    """Rows that share an id count as one, so the fit is that of the rows without repeats."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    many = docs.unionByName(docs).unionByName(docs.where("doc_id % 2 = 0"))
+    texts = [r.text for r in docs.select("text").collect()]
+    _, x = quality.statistics(*raw(pa.array(texts, pa.string())))
+    one, two = (quality.train(d, labels) for d in (docs, many))
+    assert np.array_equal(one.score(x), two.score(x))
+
+
 def test_cases_and_keep(spark):
     docs = docs_of(spark, awkward())
     none = docs.selectExpr("doc_id", "cast(null as int) as quality")
