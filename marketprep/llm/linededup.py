@@ -8,8 +8,8 @@ copies at a Jaccard similarity of 0.8 or more.
 2. Each distinct line has a one-permutation MinHash signature with empty bins
    filled by optimal densification; 14 bands of 5 values give each line 14
    bucket keys (0.996 of the pairs at exactly 0.8 share one, more above).
-3. A bucket is sorted, streamed and chained from line to line; its pairs are
-   never listed.  The chained pairs are verified exactly; the lines of buckets
+3. Rows are sorted by bucket, streamed and chained from line to line; all pairs
+   of a bucket are never listed.  The chained pairs are verified exactly; the lines of buckets
    in which one fails, and which other buckets don't bring into one component,
    are verified in full over bounded leaves.
 4. Union-find over the verified links; of each component the first line (by
@@ -76,10 +76,12 @@ def line_shingles(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if len(cp) >= SHINGLE:
         h = cp[:-1] * _K1 + cp[1:]                           # 2 characters
         h = h[:-2] * _K2 + h[2:]                             # 4
-        h = mix(h[:-3] * _K3 + h[3:])                        # 7, the middle one twice
-        owner = np.repeat(np.arange(len(n)), n)
-        inside = np.flatnonzero(owner[:len(h)] == owner[SHINGLE - 1:SHINGLE - 1 + len(h)])
-        h, owner = h[inside], owner[inside]
+        h = h[:-3] * _K3 + h[3:]                             # 7, the middle one twice
+        inside = np.ones(len(cp), bool)
+        for k in range(1, SHINGLE):                          # those that reach into the next line
+            inside[at[1:][n >= k] - k] = False
+        h = mix(h[inside[:len(h)]])
+        owner = np.repeat(np.arange(len(n)), np.maximum(n - SHINGLE + 1, 0))
     else:
         h, owner = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     short = np.flatnonzero(n < SHINGLE)
@@ -162,7 +164,9 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted (key, h) rows -> neighbouring distinct lines of a bucket."""
+    """(key, h) rows sorted by key -> pairs of distinct lines that connect each
+    bucket.  What a batch holds of a bucket is sorted; the last row of a batch
+    ties the bucket to the next."""
     last_k, last_h = None, None
     for b in batches:
         k, h = b.column(0).to_numpy(), b.column(1).to_numpy()
@@ -170,11 +174,17 @@ def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         if last_k is not None:
             k, h = np.append(last_k, k), np.append(last_h, h)
+        last_k, last_h = k[-1], h[-1]
+        shared = np.zeros(len(k), bool)
+        shared[1:] = k[1:] == k[:-1]
+        shared[:-1] |= shared[1:]
+        k, h = k[shared], h[shared]
+        order = np.lexsort((h, k))
+        k, h = k[order], h[order]
         same = np.flatnonzero((k[1:] == k[:-1]) & (h[1:] != h[:-1]))
         if len(same):
             yield pa.RecordBatch.from_arrays([pa.array(k[same]), pa.array(h[same]), pa.array(h[same + 1])],
                                              ["key", "a", "b"])
-        last_k, last_h = k[-1], h[-1]
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,25 +199,35 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(line, pa.string())], ["h", "body"])
 
 
-def _distinct(h: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (owner, hash) pairs, sorted."""
-    order = np.lexsort((h, owner))
-    h, owner = h[order], owner[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
-    return h[new], owner[new]
+def similar(x: pa.Array, y: pa.Array) -> np.ndarray:
+    """Whether each line of ``x`` and the same one of ``y`` are near copies, by
+    their sets of shingles, all pairs together.  A shingle is one number: its
+    pair above, and below it what bits of its hash the number of pairs leaves."""
+    bits = np.uint64(max(1, len(x).bit_length()))
 
+    def distinct(lines: pa.Array) -> np.ndarray:
+        h, owner = line_shingles(lines)
+        return _sorted_distinct((owner.astype(np.uint64) << (np.uint64(64) - bits)) | (h >> bits))
 
-def similar(x: pa.Array, y: pa.Array) -> np.ndarray:
-    """Whether each line of ``x`` and the same one of ``y`` are near copies,
-    by their exact sets, all pairs together."""
-    (hx, ox), (hy, oy) = _distinct(*line_shingles(x)), _distinct(*line_shingles(y))
-    h, owner = np.concatenate([hx, hy]), np.concatenate([ox, oy])
-    order = np.lexsort((h, owner))
-    h, owner = h[order], owner[order]
-    both = np.bincount(owner[1:][(h[1:] == h[:-1]) & (owner[1:] == owner[:-1])], minlength=len(x))
-    whole = np.bincount(owner, minlength=len(x)) - both
-    return 100 * both >= PERCENT * whole
+    a, b = distinct(x), distinct(y)
+    all_ = np.concatenate([a, b])
+    all_.sort()
+    both = all_[1:][all_[1:] == all_[:-1]]
+
+    def per_pair(keys: np.ndarray) -> np.ndarray:
+        first = np.arange(len(x) + 1, dtype=np.uint64)
+        owner = keys >> (np.uint64(64) - bits)
+        return np.diff(np.searchsorted(owner, first))
+
+    common = per_pair(both)
+    return 100 * common >= PERCENT * (per_pair(a) + per_pair(b) - common)
+
+
+def _sorted_distinct(keys: np.ndarray) -> np.ndarray:
+    keys.sort()
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    return keys[new]
 
 
 # Bytes of line pairs that are compared at a time (or one pair).
@@ -242,7 +262,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = src.withColumn("t", F.xxhash64("text"))
     places = write_table(rows.mapInArrow(_places, "h long, doc_id long, line long, t long"), "places")
     chain = write_table(src.select("text").mapInArrow(_buckets, "key long, h long")
-                        .repartition("key").sortWithinPartitions("key", "h")
+                        .repartition("key").sortWithinPartitions("key")     # one long: a radix sort
                         .mapInArrow(_chain, "key long, a long, b long"), "chain")
 
     # Texts of the chained lines, each from one row it stands in.
