@@ -136,27 +136,45 @@ def _verifier(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     return run
 
 
+_LEAF = ("cluster long, leaf long, n_min long, n_max long, high array<int>, nodes array<long>, "
+         "weights array<long>, sizes array<long>, pts binary, bodies binary")
+
+
+def _leaves(points: DataFrame) -> DataFrame:
+    order = ["cluster", "n", "c0", "c1", "node"]
+    return write_table(points.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_pack, _LEAF), "leaves")
+
+
+def _in_reach(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
+    """Leaves of the same cluster, one of each table, whose boxes allow a link."""
+    box = ("leaf", "n_min", "n_max", "high")
+    a = left.select("cluster", *(F.col(c).alias(c + "1") for c in box))
+    b = right.select("cluster", *(F.col(c).alias(c + "2") for c in box))
+    reach = F.aggregate(F.zip_with("high1", "high2", lambda x, y: F.least(x, y)),
+                        F.lit(0).cast("long"), lambda s, v: s + v)
+    return (a.join(b, "cluster")
+            .where(f"100 * n_max1 >= {percent} * n_min2 and 100 * n_max2 >= {percent} * n_min1")
+            .where(F.lit(100 + percent) * reach >= F.lit(percent) * (F.col("n_min1") + F.col("n_min2")))
+            .select("leaf1", "leaf2"))
+
+
+def _verify(pairs: DataFrame, left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
+    """Links between the leaves ``leaf1`` of one table and ``leaf2`` of the other.
+
+    Both joins are dealt by leaf beforehand: a leaf has at most a row for each
+    other leaf of its cluster, which streams past its one body, and Spark needn't
+    cut a task per body because bodies are large."""
+    for k, leaves in (("1", left), ("2", right)):
+        body = leaves.select(*(F.col(c).alias(c + k) for c in ("leaf", "nodes", "weights", "sizes", "pts", "bodies")))
+        pairs = pairs.repartition("leaf" + k).join(body.repartition("leaf" + k), "leaf" + k)
+    return write_table(pairs.mapInArrow(_verifier(percent), "src long, dst long, links long"), "links")
+
+
 def verified_links(points: DataFrame, percent: int) -> DataFrame:
     """``(src, dst, links)`` for the points of each cluster: rows with
     ``src <> dst`` form spanning forests of the links; ``links`` summed over
     the rows of a ``src`` is the total weight of the nodes it links to (if each
     node is in one cluster)."""
-    order = ["cluster", "n", "c0", "c1", "node"]
-    leaves = write_table(
-        points.repartitionByRange(*order).sortWithinPartitions(*order)
-        .mapInArrow(_pack, "cluster long, leaf long, n_min long, n_max long, high array<int>, "
-                           "nodes array<long>, weights array<long>, sizes array<long>, "
-                           "pts binary, bodies binary"), "leaves")
-    box = leaves.select("cluster", "leaf", "n_min", "n_max", "high")
-    a = box.select("cluster", *(F.col(c).alias(c + "1") for c in box.columns[1:]))
-    b = box.select("cluster", *(F.col(c).alias(c + "2") for c in box.columns[1:]))
-    reach = F.aggregate(F.zip_with("high1", "high2", lambda x, y: F.least(x, y)),
-                        F.lit(0).cast("long"), lambda s, v: s + v)
-    pairs = (a.join(b, "cluster").where("leaf1 <= leaf2")
-             .where(f"100 * n_max1 >= {percent} * n_min2 and 100 * n_max2 >= {percent} * n_min1")
-             .where(F.lit(100 + percent) * reach >= F.lit(percent) * (F.col("n_min1") + F.col("n_min2")))
-             .select("leaf1", "leaf2"))
-    body = leaves.select("leaf", "nodes", "weights", "sizes", "pts", "bodies")
-    for k in ("1", "2"):
-        pairs = pairs.join(body.select(*(F.col(c).alias(c + k) for c in body.columns)), "leaf" + k)
-    return write_table(pairs.mapInArrow(_verifier(percent), "src long, dst long, links long"), "links")
+    leaves = _leaves(points)
+    pairs = _in_reach(leaves, leaves, percent).where("leaf1 <= leaf2")
+    return _verify(pairs, leaves, leaves, percent)
