@@ -12,8 +12,8 @@ Two physical forms, same result:
   comes from the number of reports.
 * :func:`sections_in_lines` - a landed line table ``(keys.., line_no, line)``
   for reports too large for one row.  Lines are dealt out once, by report and
-  block of consecutive lines; header hits and footer lines are aggregated per
-  block, and the section lines come from a join on (report, block), so a
+  block of consecutive lines; header hits and footer lines are reduced to a row
+  per block, and the section lines come from a join on (report, block), so a
   report with most of all lines is spread over its blocks.
 """
 
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import contains_text, split_lines
@@ -155,37 +155,36 @@ def sections_in_lines(lines: DataFrame, headers: DataFrame | Sequence[str], keys
         dealt = dealt.where(p)
     dealt = dealt.repartition(*spot)
 
-    # JOIN-2: which headers each line contains, a narrow filter of a short array.
+    # JOIN-2: which headers each line contains, and whether the footer: a narrow
+    # filter of a short array.
     if isinstance(headers, DataFrame):
         with_hdrs = dealt.join(_header_arrays(headers, header_keys, header_col, position_col),
                                list(header_keys), "inner")
     else:
         with_hdrs = dealt.withColumn("_hdrs", _header_list(headers))
-    hits = with_hdrs.select(*spot, "line_no", F.inline(F.filter("_hdrs", lambda h: contains_text("line", h["t"]))))
-    heads = hits.groupBy(*spot, "p", "t").agg(F.min("line_no").alias("_h"))
-    # Footer lines of each block, at most one number per line.
-    foots = dealt.groupBy(*spot).agg(F.sort_array(F.collect_list(
-        F.when(contains_text("line", footer), F.col("line_no")))).alias("_f"))
+    marks = F.concat(F.transform("_hdrs", lambda h: F.struct(h["p"].alias("p"), h["t"].alias("t"), F.lit(False).alias("_foot"))),
+                     F.array(F.struct(F.lit(None).alias("p"), F.lit(footer).alias("t"), F.lit(True).alias("_foot"))))
+    hits = with_hdrs.select(*spot, "line_no", F.inline(F.filter(marks, lambda h: contains_text("line", h["t"]))))
 
     # AGG-5: the first header line, and the first footer line after it: in the
-    # same block, else the first one of a later block.
-    after = F.get(F.filter("_f", lambda x: x > F.col("_h")), 0)
-    first = (heads.join(foots, spot).groupBy(*keys, "p", "t")
-             .agg(F.min(F.struct("_h", "_block", after.alias("_after"))).alias("_m"))
-             .select(*keys, "p", "t", "_m.*"))
-    ends = foots.select(*keys, F.col("_block").alias("_b"), F.get("_f", 0).alias("_first")).where("_first is not null")
-    ends = ends.withColumnsRenamed({k: f"_k_{k}" for k in keys})
-    on = F.col("_b") > F.col("_block")
-    for k in keys:
-        on = on & (F.col(k) == F.col(f"_k_{k}"))
-    bounds = (first.join(ends, on, "left").groupBy(*keys, "p", "t", "_h", "_after")
-              .agg(F.min("_first").alias("_later"))
-              .select(*keys, "p", "t", "_h", F.coalesce("_after", "_later").alias("_end")))
-
-    # FLT-2: the lines in between, joined block by block.
+    # same block, else the first one of a later block.  Both are a running
+    # minimum from the end, in which a line's (a block's) headers come before its
+    # footer; the second one gets a row per block and header.
+    def later(keys: Sequence[str], order: str, line: str) -> Column:
+        behind = Window.partitionBy(*keys).orderBy(F.col(order).desc(), "_foot").rowsBetween(Window.unboundedPreceding, -1)
+        return F.min(F.when(F.col("_foot"), F.col(line))).over(behind)
+
+    firsts = (hits.withColumn("_after", later(spot, "line_no", "line_no")).groupBy(*spot, "_foot", "p", "t")
+              .agg(F.min(F.struct(F.col("line_no").alias("_h"), "_after")).alias("_m")).select(*spot, "_foot", "p", "t", "_m.*"))
+    bounds = (firsts.withColumn("_end", F.coalesce("_after", later(keys, "_block", "_h"))).where("not _foot")
+              .groupBy(*keys, "p", "t").agg(F.min(F.struct("_h", "_end")).alias("_m")).select(*keys, "p", "t", "_m.*"))
+
+    # FLT-2: the lines in between, joined block by block.  The planner sizes both
+    # sides by the files that the lines are derived from, often a fraction, so it
+    # is told to merge: it would send all lines of many small reports by the driver.
     spans = bounds.where(F.col("_end") - F.col("_h") > 1).select(
         *keys, "p", "t", "_h", "_end",
         F.explode(F.sequence(F.floor((F.col("_h") + 1) / block_lines),
-                             F.floor((F.col("_end") - 1) / block_lines))).alias("_block"))
+                             F.floor((F.col("_end") - 1) / block_lines))).alias("_block")).hint("merge")
     body = dealt.join(spans, spot).where((F.col("line_no") > F.col("_h")) & (F.col("line_no") < F.col("_end")))
     return body.select(*keys, F.col("p").alias(position_col), F.col("t").alias(header_col), "line_no", "line")

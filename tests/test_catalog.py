@@ -127,3 +127,10 @@ def test_customers_are_joined_once(spark):
     for name in ("ratio_join", "wide_two_areas", "weekly_utilization"):
         plan = plan_text(QUERIES[name](spark, SF_SMALL), "formatted")
         assert plan.count("customer.parquet]") == 1 and plan.count("lineitem.parquet]") == 1, name
+
+
+def test_report_lines_do_not_pass_the_driver(spark):
+    """The planner sizes the lines by the small file they are made from, but
+    they and what is found in them may not be broadcast."""
+    plan = plan_text(QUERIES["report_settlement_lines"](spark, SF_SMALL), "simple")
+    assert "BroadcastExchange" not in plan and "SortMergeJoin" in plan
