@@ -64,11 +64,13 @@ def part_cells_sql() -> str:
             f"'----', {key}, {size} || '.' || {key})")
 
 
-def part_report_sql() -> str:
+def part_report_sql(one_by_one: bool = True) -> str:
     """SQL (of either engine) that writes a report text from a row of ``part``:
     five sections, some without header or footer, with blank lines, and data
     lines of 7 to 12 tokens.  ``cells`` holds the eight kinds of cells
-    (:func:`part_cells_sql`)."""
+    (:func:`part_cells_sql`).  Without ``one_by_one``, Spark's SQL for the same
+    text over an array ``cells``: a data line's cells are one short expression
+    (eleven each make a method that the JVM refuses to compile)."""
     size, key = "CAST(p_size AS STRING)", "CAST(p_partkey % 1000 AS STRING)"
 
     def cell(i: int, j: int) -> str:
@@ -76,7 +78,11 @@ def part_report_sql() -> str:
 
     def data(i: int, month: str) -> str:
         n = f"7 + (p_partkey + {5 * i}) % 6"
-        cells = ", ".join(f"CASE WHEN {n} > {j} THEN {cell(i, j)} END" for j in range(1, 12))
+        if one_by_one:
+            cells = ", ".join(f"CASE WHEN {n} > {j} THEN {cell(i, j)} END" for j in range(1, 12))
+        else:
+            cells = (f"transform(sequence(1, {n} - 1), "
+                     f"j -> element_at(cells, CAST(1 + (p_partkey + p_size + {7 * i} + j) % 8 AS INT)))")
         return f"concat_ws(' ', '{month}' || {size}, {cells})"
 
     parts = [f"'REPORT ' || {key}"]
@@ -491,9 +497,16 @@ def weekly_utilization(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ----------------------------------------- job A shape: sections -> wide rows
 def _part_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = read_table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_brand")
-    return p.withColumn("cells", F.expr(part_cells_sql())).select(
-        "p_partkey", F.expr(part_report_sql()).alias("text"))
+    """A report per part.  The rows are few bytes each, so a file's split holds
+    many, and a report takes far longer to write and scan than to read: they are
+    dealt out first, by whole row and to a set number of tasks (which Spark does
+    not merge because they are small)."""
+    cols = ["p_partkey", "p_size", "p_brand"]
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    p = read_table(spark, sf_dir, "part").select(*cols).repartition(tasks, *cols)
+    # The cells are cut once per row, not once per use.
+    return p.withColumn("cells", F.split(F.expr(part_cells_sql()), " ")).select(
+        "p_partkey", F.expr(part_report_sql(one_by_one=False)).alias("text"))
 
 
 def _part_pivot(status: DataFrame) -> DataFrame:

@@ -129,6 +129,22 @@ def test_customers_are_joined_once(spark):
         assert plan.count("customer.parquet]") == 1 and plan.count("lineitem.parquet]") == 1, name
 
 
+def test_part_reports_are_dealt_out(spark, tmp_path):
+    """The few rows of one file are as many tasks as a shuffle has, and the text
+    is what the SQL of both engines writes."""
+    from marketprep.plans import catalog
+    rows = [(i * 37, "n", f"Brand#{i % 50}", "t", i % 51, 1.0) for i in range(300)]
+    rows += [(None, "n", "Brand#1", "t", 3, 1.0), (5, "n", None, "t", 4, 1.0), (6, "n", "Brand#2", "t", None, 1.0)] + rows[:9]
+    df = spark.createDataFrame(rows, "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+                                     "p_retailprice double")
+    df.coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    got = catalog._part_reports(spark, str(tmp_path))
+    want = df.selectExpr("*", f"{catalog.part_cells_sql()} AS cells").selectExpr("p_partkey", f"{catalog.part_report_sql()} AS text")
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    for name in ("report_settlement", "report_settlement_lines"):
+        assert "REPARTITION_BY_NUM" in plan_text(QUERIES[name](spark, str(tmp_path)), "simple"), name
+
+
 def test_report_lines_do_not_pass_the_driver(spark):
     """The planner sizes the lines by the small file they are made from, but
     they and what is found in them may not be broadcast."""
