@@ -6,7 +6,8 @@ neighbour then shrink every component to a star.  The minimum per node is an
 aggregate with a map-side part, and joining it back is a plain join that AQE
 can split, so a hub with a large share of all edges is never gathered in one
 place.  Every round is written to the shared folder, which cuts the lineage and
-lets a lost executor's work be redone from files.
+lets a lost executor's work be redone from files; the round before it is
+deleted then, so the disk holds two rounds at most.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import ship, write_table
+from .shared import drop_tables, of_table, ship, write_table
 
 # Edges that one task unions at a time: bounds its memory.
 LOCAL_EDGES = 1 << 18
@@ -74,13 +75,14 @@ def _is_star(e: DataFrame) -> bool:
 def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """``(node, component)`` for every node of the edges; ``component`` is the
     smallest node of its component.  Loops and repeated edges do no harm, rows
-    with a null end are no edges; no edges give an empty table."""
+    with a null end are no edges; no edges give an empty table.  The caller may
+    drop the table behind the result."""
     ship(edges.sparkSession)
     e = (edges.select(F.col(src).cast("long").alias("src"), F.col(dst).cast("long").alias("dst"))
          .where("src is not null and dst is not null and src <> dst"))
     e = write_table(e, "edges")
     n = e.count()
-    e = write_table(_forest(e, n), "edges")
+    e = _instead(e, _forest(e, n))
     # Forests of one task are stars; those of several meet in common nodes.
     while n > LOCAL_EDGES and not _is_star(e):
         # Larger neighbours of every node hook to the smallest node around it ...
@@ -92,9 +94,16 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
         low = large.groupBy("src").agg(F.min("dst").alias("m"))
         small = (large.join(low, "src").where("dst <> m").select(F.col("dst").alias("src"), F.col("m").alias("dst"))
                  .unionByName(low.select("src", F.col("m").alias("dst"))))
-        e = write_table(small.where("src <> dst").distinct(), "edges")
-    return (e.select(F.col("src").alias("node"), F.col("dst").alias("component"))
-            .unionByName(e.select(F.col("dst").alias("node"), F.col("dst").alias("component")).distinct()))
+        e = _instead(e, small.where("src <> dst").distinct())
+    return of_table(e.select(F.col("src").alias("node"), F.col("dst").alias("component"))
+                    .unionByName(e.select(F.col("dst").alias("node"), F.col("dst").alias("component")).distinct()), e)
+
+
+def _instead(e: DataFrame, after: DataFrame) -> DataFrame:
+    """``after`` as a table, in place of the table ``e`` that it is made of."""
+    table = write_table(after, "edges")
+    drop_tables(e)
+    return table
 
 
 def local_components(a: np.ndarray, b: np.ndarray) -> dict[int, int]:

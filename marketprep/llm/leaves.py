@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import union
-from .shared import write_table
+from .shared import drop_tables, write_table
 from .textarrays import mix
 
 DIMS = 64              # coordinates of a point: hash groups of a set's members
@@ -177,4 +177,6 @@ def verified_links(points: DataFrame, percent: int) -> DataFrame:
     node is in one cluster)."""
     leaves = _leaves(points)
     pairs = _in_reach(leaves, leaves, percent).where("leaf1 <= leaf2")
-    return _verify(pairs, leaves, leaves, percent)
+    links = _verify(pairs, leaves, leaves, percent)
+    drop_tables(leaves)
+    return links

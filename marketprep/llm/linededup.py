@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .leaves import POINTS, point_rows, verified_links
-from .shared import ship, write_table
+from .shared import drop_tables, of_table, ship, write_table
 from .textarrays import BLANK_SPLIT, byte_strings, hash_strings, mix, raw, slices
 
 SHINGLE = 7
@@ -255,7 +255,8 @@ def _points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """``(places, removed)``: the lines with a word ``(h, doc_id, t, line)`` and
-    those of them that go, ``(doc_id, t, line)``; ``t`` is ``xxhash64`` of the text."""
+    those of them that go, ``(doc_id, t, line)``; ``t`` is ``xxhash64`` of the text.
+    Both are tables that the caller may drop."""
     ship(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     # A row is named by its id and the hash of its text, without an id by the hash alone.
@@ -288,34 +289,44 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     # What the chains verified, as components of their own.
     ok = checked.where("ok").select(F.col("a").alias("src"), F.col("b").alias("dst"))
-    label = write_table(components(ok).select(F.col("node").alias("h"), "component"), "labels")
+    chained = components(ok)
+    label = write_table(chained.select(F.col("node").alias("h"), "component"), "labels")
+    drop_tables(chained)
 
     # Buckets where a chain broke and whose lines are still in several
     # components: their lines, as far as buckets connect them, against each
     # other, each line in one cluster.  Two lines that failed need no second look.
     broken = chain.join(checked.where("not ok").select("a", "b"), ["a", "b"]).select("key").distinct()
     still = write_table(chain.join(broken, "key"), "open")
+    drop_tables(chain, checked)
     several = (still.select("key", F.explode(F.array("a", "b")).alias("h")).distinct().join(label, "h", "left")
                .groupBy("key").agg(F.count("*").alias("n"), F.min(F.coalesce("component", "h")).alias("lo"),
                                    F.max(F.coalesce("component", "h")).alias("hi"))
                .where("n > 2 and lo < hi").select("key"))
     cluster = components(still.join(several, "key").select("a", "b").distinct(), "a", "b")
+    drop_tables(still)
     inside = cluster.join(bodies, F.col("node") == F.col("h")).select(F.col("component").alias("cluster"), "h", "body")
-    more = verified_links(write_table(inside.mapInArrow(_points, POINTS), "points"), PERCENT)
+    points = write_table(inside.mapInArrow(_points, POINTS), "points")
+    drop_tables(cluster, bodies)
+    more = verified_links(points, PERCENT)
+    drop_tables(points)
 
     comp = components(label.select(F.col("h").alias("src"), F.col("component").alias("dst"))
                       .unionByName(more.select("src", "dst")))
+    drop_tables(label, more)
     place = F.struct("doc_id", "line", "t")
     group = places.select("doc_id", "line", "t", F.col("h")).join(
         comp.select(F.col("node").alias("h"), "component"), "h", "left") \
         .select("doc_id", "line", "t", F.coalesce("component", "h").alias("g"))
     # One line of each group stays: its smallest place.
     group = write_table(group, "group")
+    drop_tables(comp)
     first = write_table(group.groupBy("g").agg(F.min(place).alias("first"), F.count("*").alias("n"))
                         .where("n > 1").select("g", "first"), "first")
-    removed = (group.join(first, "g").where(~place.eqNullSafe(F.col("first")))
-               .select("doc_id", "t", "line").distinct())
-    return places.select("h", "doc_id", "t", "line"), write_table(removed, "removed")
+    removed = write_table(group.join(first, "g").where(~place.eqNullSafe(F.col("first")))
+                          .select("doc_id", "t", "line").distinct(), "removed")
+    drop_tables(group, first)
+    return of_table(places.select("h", "doc_id", "t", "line"), places), removed
 
 
 def _per_doc(removed: DataFrame, name: str) -> DataFrame:
@@ -348,7 +359,8 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """``docs`` with the removed lines cut out of their texts, all other
     columns as they were.  A document that loses its last line with a word
     goes; one that never had such a line stays."""
-    _, removed = near_copies(docs, id_col, text_col)
+    places, removed = near_copies(docs, id_col, text_col)
+    drop_tables(places)
     name = "gone"
     while name in docs.columns:
         name += "_"

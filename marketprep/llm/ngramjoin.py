@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .leaves import POINTS, point_rows, verified_links
-from .shared import ship, write_table
+from .shared import drop_tables, ship, write_table
 from .textarrays import BLANK_SPLIT, LOWER, hash_strings, mix, raw, slices, split_words
 
 WORDS = 3
@@ -173,25 +173,36 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, words: int, percent: in
     member = write_table(ids.join(low, by, "left").select(
         "doc_id", "t", "n_shingles", *[F.when(known, F.col(c)).alias(c) for c in ("node", "weight", "low", "low_t")]), "member")
 
-    # Blocks: group contents shared by several classes, as stars.
+    # Blocks: group contents shared by several classes, as stars.  The keys of a
+    # class are written as one list: dealt to the copies and, one by one, to
+    # their blocks in one query, both shuffles would stay until it ends.
     copies = member.where("doc_id <> low or t <> low_t").select("doc_id", "t")
-    keys = (named(sketch.where("n_shingles > 0 and doc_id is not null").join(copies, ["doc_id", "t"], "left_anti"))
-            .select(F.explode("keys").alias("key"), "node"))
+    blocks = write_table(named(sketch.where("n_shingles > 0 and doc_id is not null").join(copies, ["doc_id", "t"], "left_anti"))
+                         .select("node", "keys"), "blocks")
+    drop_tables(sketch)
+    keys = blocks.select(F.explode("keys").alias("key"), "node")
     # The shared keys are few; written, they free the shuffle that found them.
     shared = write_table(keys.groupBy("key").agg(F.min("node").alias("src"), F.max("node").alias("top"))
                          .where("src < top").select("key", "src"), "shared-keys")
     # merged at every size: a broadcast that only small inputs get would hide what it costs
     stars = keys.join(shared.hint("merge"), "key").where("node <> src").select("src", F.col("node").alias("dst")).distinct()
-    cand = write_table(components(stars), "candidates")
+    starred = components(stars)
+    cand = write_table(starred, "candidates")
+    drop_tables(starred, blocks, shared)
 
     # Points of the candidates, and their links over R-tree leaves.
     named_classes = named(classes).select("node", "weight", F.col("doc_id").alias("low"), F.col("t").alias("low_t"))
     wanted = cand.join(named_classes, "node").select(F.col("component").alias("cluster"), "node", "weight", "low", "low_t")
     points = (src.where("doc_id is not null").join(wanted, (src.doc_id == wanted.low) & (src.t == wanted.low_t))
               .select("cluster", "node", "weight", "text").mapInArrow(_points(words), POINTS))
-    links = verified_links(write_table(points, "points").dropDuplicates(["node", "body"]), percent)
-
-    comp = write_table(components(links).join(named_classes.drop("weight"), "node"), "components")
+    points = write_table(points, "points")
+    drop_tables(cand)
+    links = verified_links(points.dropDuplicates(["node", "body"]), percent)
+    drop_tables(points)
+
+    linked = components(links)
+    comp = write_table(linked.join(named_classes.drop("weight"), "node"), "components")
+    drop_tables(linked, classes, twice)
     least = comp.groupBy("component").agg(F.min(F.struct("low", "low_t")).alias("least"))
     comp = comp.join(least, "component").select("node", "least")
     per_class = links.groupBy(F.col("src").alias("node")).agg(F.sum("links").alias("links"))

@@ -1,13 +1,17 @@
+import os
 import re
+from collections import Counter
 
 import public_tokenizers as P
 import tiktoken
 
 import corpus_pipeline
-from marketprep.llm import bpe
+from marketprep.llm import bpe, linededup, ngramjoin
+from marketprep.llm import components as components_module
+from marketprep.llm.shared import shared_path
 
 from . import test_decontam, test_linededup, test_ngramjoin
-from .helpers import SF
+from .helpers import SF, awkward, docs_of
 
 
 def test_stages_against_brute_force(spark):
@@ -65,3 +69,33 @@ def test_stages_against_brute_force(spark):
     five = {r.doc_id: r.token_ids for r in steps["byte_level_bpe"](spark, four, SF).collect()}
     assert five == {d: enc.encode_ordinary(want[d]) for d in clean}
     assert {r.doc_id: r.token_ids for r in corpus_pipeline.run(spark, SF).collect()} == five
+
+
+def tables(spark) -> Counter:
+    """Names of the tables in the shared folder."""
+    folder = os.path.dirname(shared_path(spark, "x").removeprefix("file:"))
+    return Counter(x.rsplit("-", 1)[0] for x in os.listdir(folder)) if os.path.isdir(folder) else Counter()
+
+
+def test_stages_keep_only_the_tables_their_results_read(spark, monkeypatch):
+    """All tables of all stages together would not fit on the disk."""
+    monkeypatch.setattr(components_module, "LOCAL_EDGES", 4)      # several rounds
+    held, write = {}, ngramjoin.write_table
+
+    def recorded(df, name):
+        held[name] = tables(spark) - before
+        return write(df, name)
+
+    monkeypatch.setattr(ngramjoin, "write_table", recorded)
+    docs = docs_of(spark, awkward())
+    before = tables(spark)
+    cut = linededup.drop_lines(docs)
+    assert tables(spark) - before == Counter(["removed"])
+    assert cut.count() > 0
+
+    before = tables(spark)
+    kept = ngramjoin.drop_copies(docs)
+    assert tables(spark) - before == Counter(["member", "components", "links"])
+    assert 0 < kept.count() < docs.count()
+    # the keys of a class are on the disk once while they are dealt to their blocks
+    assert "blocks" in held["shared-keys"] and "sketch" not in held["shared-keys"]
