@@ -15,6 +15,10 @@ so a word that fills a third of the corpus is one row of each task.  Forms lead
 to words at least ``RATIO`` times as frequent, hence without cycles, and roots
 are found by jumping: each round doubles the length of the paths it has followed.
 
+Every join is by sorting.  Words are many even where their compressed table is
+small, and their grams nine times as many, which Spark's estimate of a size
+leaves out: it would send them through the driver.
+
 Defined cases: a null text has no words; a null ``doc_id`` names its damage with
 an empty id; rows that share an id are damaged alike; an empty table, or one
 whose words are all rare or short, gives no row; other columns are ignored.
@@ -102,7 +106,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
     on = ((a["length"] == b["length"]) & (a["half"] == b["half"]) & (a["part"] == b["part"])
           & ((a["length"] < F.length("other")) | (F.col("word") < F.col("other")))
           & (F.levenshtein(F.col("word"), F.col("other"), 1) == 1))
-    return a.join(b, on).select("word", "n", "other", "m").distinct()
+    return a.join(b.hint("merge"), on).select("word", "n", "other", "m").distinct()
 
 
 def forms(words: DataFrame, ratio: int = RATIO) -> DataFrame:
@@ -123,7 +127,7 @@ def roots(found: DataFrame) -> DataFrame:
     now = write_table(found.where("form is not null").select("word", F.col("form").alias("root")), "roots")
     while True:
         ahead = now.select(F.col("word").alias("_w"), F.col("root").alias("_r"))
-        step = now.join(ahead, F.col("root") == F.col("_w"), "left")
+        step = now.join(ahead.hint("merge"), F.col("root") == F.col("_w"), "left")
         now = write_table(step.select("word", F.coalesce("_r", "root").alias("root"), F.col("_r").isNotNull().alias("moved")), "roots")
         if now.where("moved").isEmpty():
             return now.select("word", "root")
@@ -134,6 +138,6 @@ def variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """``(word, form, root, n, n_near, form_n)`` per word of the documents."""
     words = write_table(word_counts(docs, id_col, text_col), "words")
     near = write_table(forms(words), "forms")
-    return (words.join(near, "word", "left").join(roots(near), "word", "left")
+    return (words.join(near.hint("merge"), "word", "left").join(roots(near).hint("merge"), "word", "left")
             .select("word", "form", F.coalesce("root", "word").alias("root"), "n",
                     F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), "form_n"))

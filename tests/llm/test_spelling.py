@@ -5,6 +5,7 @@ from collections import Counter
 
 from marketprep.llm import spelling as sp
 
+from ..conftest import plan_text
 from .helpers import SF, awkward, docs_of, low
 
 
@@ -96,6 +97,21 @@ def test_long_paths(spark):
     assert got == {f"w{k:02}": "w37" for k in range(37)}
 
 
+def test_no_join_goes_through_the_driver(spark, monkeypatch):
+    """Also where the words' table is small enough for Spark to broadcast it."""
+    plans, write = [], sp.write_table
+    monkeypatch.setattr(sp, "write_table", lambda df, name: plans.append(plan_text(df)) or write(df, name))
+    rng = random.Random(2)
+    base = ["".join(rng.choice("abcde") for _ in range(8)) for _ in range(30)]
+    base += [variants_of(rng, w) for w in base]
+    rows = [(d, " ".join(rng.choice(base[:5 + d % 55]) for _ in range(60))) for d in range(40)]
+    out = sp.variants(docs_of(spark, rows))
+    assert show(out) == want(rows)
+    plans.append(plan_text(out))                              # as it was run
+    assert sum("SortMergeJoin" in p for p in plans) >= 3      # near words, roots, the rows
+    assert not [p for p in plans if "Broadcast" in p]
+
+
 def test_empty_table(spark):
     df = docs_of(spark, awkward())
     assert sp.variants(df.where("false")).collect() == []
