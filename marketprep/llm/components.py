@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import drop_tables, of_table, ship, write_table
+from .shared import drop_tables, freed_shuffles, of_table, ship, write_table
 
 # Edges that one task unions at a time: bounds its memory.
 LOCAL_EDGES = 1 << 18
@@ -69,7 +69,8 @@ def _is_star(e: DataFrame) -> bool:
     """Whether each node has one smaller neighbour that has none itself."""
     twice = e.groupBy("src").agg(F.min("dst").alias("lo"), F.max("dst").alias("hi")).where("lo < hi").select("src")
     deep = e.select("src").join(e.select(F.col("dst").alias("src")).distinct(), "src", "left_semi")
-    return twice.unionByName(deep).isEmpty()
+    with freed_shuffles(e.sparkSession):
+        return twice.unionByName(deep).isEmpty()
 
 
 def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:

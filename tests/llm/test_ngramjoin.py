@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from marketprep.llm import components as components_module
 from marketprep.llm import ngramjoin
@@ -122,6 +123,23 @@ def test_rows_that_share_an_id(spark):
         [(0, near(a, 50)), (2, b), (4, c), (4, c), (4, e), (7, None), (7, "one"), (None, b), (7, a + " " + b)], key=str)
 
 
+def test_components_leave_no_shuffle_files(spark, monkeypatch):
+    """Whether a round was the last is found by shuffling all edges."""
+    monkeypatch.setattr(components_module, "LOCAL_EDGES", 2000)
+
+    def files():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        all_ = (found.apply(k) for k in range(found.size()))
+        return {f.getName(): f.length() for f in all_ if f.getName().startswith("shuffle_")}
+
+    df = spark.range(60_000, numPartitions=40).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+    before = files()
+    out = spark_components(df.orderBy(F.xxhash64("src")))
+    left = {n: size for n, size in files().items() if n not in before}
+    assert sum(left.values()) < 50_000, left
+    assert out.select("component").distinct().count() == 1
+
+
 @pytest.mark.parametrize("local", [None, 40])
 def test_components(spark, monkeypatch, local):
     """In one task, and in many that leave rounds to do."""
